@@ -1,3 +1,220 @@
-"""Queries (filled in below)."""
+"""Access decisions over requests derived from ``events``."""
 
-from wardlake.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardlake.operators import access
+from wardlake.operators.joins import attach_each
+from wardlake.operators.matching import exclude_hits, match_resources, positive_hits, prepare_patterns
+from wardlake.plans import fixtures as fx
+from wardlake.plans.access_sql import decide_sql, principals_sql
+from wardlake.plans.policy_plans import policy_snapshot, with_cte
+from wardlake.plans.registry import query
+from wardlake.sources.tables import scan_parquet
+
+LAKE = {"database": "db", "table": "tbl", "column": "col"}
+KEY = ["user", "access", "db", "tbl", "col"]
+RES = ["db", "tbl", "col"]
+
+
+def role_members_df(spark: SparkSession) -> DataFrame:
+    return fx.role_map_df(spark).select(F.col("Role").alias("role"), F.explode("Identifiers").alias("grp"))
+
+
+def lake_inputs(spark: SparkSession, sf_dir: str):
+    snap = policy_snapshot(spark, sf_dir)
+    items = snap["items_x"].where(F.col("service") == "lakehouse")
+    res = snap["resources"].where(F.col("service") == "lakehouse")
+    return items, res, snap["level_opts"]
+
+
+def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE) -> DataFrame:
+    items, res, opts = lake_inputs(spark, sf_dir)
+    princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
+    return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse")
+
+
+def request_keys(spark, sf_dir):
+    reqs = fx.requests(spark, sf_dir)
+    return reqs, reqs.select(*KEY).distinct()
+
+
+def _decided_requests(spark, sf_dir):
+    reqs, keys = request_keys(spark, sf_dir)
+    dec = decide_keys(spark, sf_dir, keys)
+    return access.decide_requests(reqs, KEY, dec)
+
+
+def cte(body: str, keys_cte: str = "reqs", keys_sql: str | None = None) -> str:
+    keys_sql = keys_sql or fx.requests_sql()
+    return with_cte(f""",
+{keys_cte} AS ({keys_sql}),
+{principals_sql(keys_cte)},
+{decide_sql(keys_cte)}
+{body}""")
+
+
+@query("decide_access", lambda: cte("""
+SELECT r.request_id, r."user", r.access, r.db, r.tbl, r.col, d.decision, d.allowed, d.policy_id
+FROM reqs r JOIN decisions_x d USING ("user", access, db, tbl, col)
+"""))
+def q_decide_access(spark, sf_dir):
+    return _decided_requests(spark, sf_dir).select(
+        "request_id", "user", "access", "db", "tbl", "col", "decision", "allowed", "policy_id")
+
+
+def _matched(spark, sf_dir):
+    _, keys = request_keys(spark, sf_dir)
+    items, res, opts = lake_inputs(spark, sf_dir)
+    heads = access.access_heads(items, "lakehouse")
+    res = res.join(heads.select("policy_id"), "policy_id", "left_semi")
+    res_keys = keys.select(*RES).distinct()
+    return res_keys, res, opts
+
+
+@query("resource_policy_join", lambda: cte("SELECT db, tbl, col, policy_id FROM matched"))
+def q_resource_policy_join(spark, sf_dir):
+    res_keys, res, opts = _matched(spark, sf_dir)
+    return match_resources(res_keys, RES, LAKE, res, opts, "lakehouse")
+
+
+@query("match_resource", lambda: cte("SELECT db, tbl, col, policy_id, level FROM lvl WHERE hit AND NOT ex"))
+def q_match_resource(spark, sf_dir):
+    res_keys, res, opts = _matched(spark, sf_dir)
+    pr = prepare_patterns(res, opts, "lakehouse")
+    return positive_hits(res_keys, RES, LAKE, pr, opts, "lakehouse")
+
+
+@query("match_excludes", lambda: cte("SELECT DISTINCT db, tbl, col, policy_id FROM lvl WHERE ex AND hit"))
+def q_match_excludes(spark, sf_dir):
+    res_keys, res, opts = _matched(spark, sf_dir)
+    pr = prepare_patterns(res, opts, "lakehouse")
+    return exclude_hits(res_keys, RES, LAKE, pr)
+
+
+@query("unprotected_resources", lambda: cte(
+    "SELECT * FROM res_keys k WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
+def q_unprotected(spark, sf_dir):
+    res_keys, res, opts = _matched(spark, sf_dir)
+    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse"), RES, "left_anti")
+
+
+@query("covered_resources", lambda: cte(
+    "SELECT * FROM res_keys k WHERE EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
+def q_covered(spark, sf_dir):
+    res_keys, res, opts = _matched(spark, sf_dir)
+    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse"), RES, "left_semi")
+
+
+@query("match_principal", lambda: cte("""
+SELECT "user", access, db, tbl, col, policy_id, al AS allow, de AS deny,
+       ae AS allow_exception, dx AS deny_exception FROM hits
+"""))
+def q_match_principal(spark, sf_dir):
+    _, keys = request_keys(spark, sf_dir)
+    items, res, opts = lake_inputs(spark, sf_dir)
+    heads = access.access_heads(items, "lakehouse")
+    matched = match_resources(keys.select(*RES).distinct(), RES, LAKE,
+                              res.join(heads.select("policy_id"), "policy_id", "left_semi"), opts, "lakehouse")
+    pairs = keys.join(matched, RES).select(*KEY, "policy_id")
+    princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
+    it = (items.where((F.col("policy_type") == 0) & F.col("is_enabled") & F.col("is_allowed")
+                      & F.col("item_kind").isin(access.ACCESS_KINDS))
+          .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
+    return (pairs.join(princ, "user").join(it, ["policy_id", "principal_kind", "principal", "access"])
+            .groupBy(*KEY, "policy_id")
+            .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in access.ACCESS_KINDS]))
+
+
+# The base access types of the lakehouse service.
+BASE_ACCESSES = ["select", "update", "create", "drop", "alter", "index", "lock"]
+
+
+def _matrix_keys_sql() -> str:
+    res = fx.values_sql([r[1:] for r in fx.RESOURCES], ["db", "tbl", "col"]).replace(" AS t(", " AS rc(")
+    acc = fx.values_sql([(a,) for a in BASE_ACCESSES], ["access"]).replace(" AS t(", " AS ac(")
+    return (f"SELECT u.\"user\", ac.access, rc.db, rc.tbl, rc.col FROM "
+            f"(SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS \"user\" FROM events) u, {res}, {acc}")
+
+
+@query("effective_permissions", lambda: cte(
+    'SELECT "user", db, tbl, col, access FROM decisions WHERE decision = \'ALLOW\'',
+    keys_cte="mkeys", keys_sql=_matrix_keys_sql()))
+def q_effective_permissions(spark, sf_dir):
+    users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
+    grid = spark.createDataFrame([(r[1], r[2], r[3], a) for r in fx.RESOURCES for a in BASE_ACCESSES],
+                                 "db string, tbl string, col string, access string")  # 43 x 7 fixed rows
+    keys = attach_each(users, grid).select(*KEY)
+    dec = decide_keys(spark, sf_dir, keys)
+    return dec.where("allowed").select("user", "db", "tbl", "col", "access")
+
+
+def _info_keys_sql() -> str:
+    res = fx.values_sql(fx.INFO_SCHEMA_TABLES, ["db", "tbl", "col"]).replace(" AS t(", " AS rc(")
+    return (f"SELECT u.\"user\", 'select' AS access, rc.db, rc.tbl, rc.col FROM "
+            f"(SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS \"user\" FROM events) u, {res}")
+
+
+@query("metadata_visibility", lambda: cte(
+    'SELECT "user", db, tbl, col, decision, allowed FROM decisions_x',
+    keys_cte="ikeys", keys_sql=_info_keys_sql()))
+def q_metadata_visibility(spark, sf_dir):
+    users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
+    info = spark.createDataFrame(fx.INFO_SCHEMA_TABLES, "db string, tbl string, col string") \
+        .withColumn("access", F.lit("select"))
+    keys = attach_each(users, info).select(*KEY)
+    return decide_keys(spark, sf_dir, keys).select("user", "db", "tbl", "col", "decision", "allowed")
+
+
+@query("audit_summary", lambda: cte("""
+SELECT r."user", r.db, r.tbl, r.col, r.access, d.decision,
+       strftime(date_trunc('hour', r.ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       count(*) AS n_events, strftime(min(r.ts), '%Y-%m-%d %H:%M:%S') AS first_seen,
+       strftime(max(r.ts), '%Y-%m-%d %H:%M:%S') AS last_seen
+FROM reqs r JOIN decisions_x d USING ("user", access, db, tbl, col)
+GROUP BY ALL
+"""))
+def q_audit_summary(spark, sf_dir):
+    from wardlake.operators.audit import audit_summary
+    return audit_summary(_decided_requests(spark, sf_dir), "1 hour")
+
+
+@query("audit_enabled_filter", lambda: cte("""
+SELECT r.request_id, r."user", r.access, r.db, r.tbl, r.col, d.decision, d.policy_id
+FROM reqs r JOIN decisions_x d USING ("user", access, db, tbl, col) WHERE d.is_audit_enabled
+"""))
+def q_audit_enabled(spark, sf_dir):
+    from wardlake.operators.audit import audit_rows
+    return audit_rows(_decided_requests(spark, sf_dir)).select(
+        "request_id", "user", "access", "db", "tbl", "col", "decision", "policy_id")
+
+
+# UDF names a request may call (request i calls UDFS[i % 4]).
+UDFS = ["mask_first4", "mask_hash", "geo_lookup", "MASK_LAST4"]
+
+
+@query("udf_access", lambda: with_cte(f""",
+ureqs AS (
+  SELECT e.event_id AS request_id, 'u' || CAST(e.user_id AS VARCHAR) AS "user", 'select' AS access,
+         'tpch' AS db, u.udf
+  FROM events e JOIN {fx.values_sql([(i, n) for i, n in enumerate(UDFS)], ['i', 'udf']).replace(' AS t(', ' AS u(')}
+    ON u.i = e.event_id % {len(UDFS)}
+),
+{principals_sql('ureqs')},
+{decide_sql('ureqs', levels=[('database', 'db'), ('udf', 'udf')])}
+SELECT r.request_id, r."user", r.udf, d.decision, d.allowed
+FROM ureqs r JOIN decisions_x d USING ("user", access, db, udf)
+"""))
+def q_udf_access(spark, sf_dir):
+    e = scan_parquet(spark, sf_dir, "events").select("event_id", "user_id")
+    udfs = spark.createDataFrame(list(enumerate(UDFS)), "i int, udf string")
+    reqs = (e.withColumn("i", F.pmod("event_id", F.lit(len(UDFS))).cast("int"))
+            .join(F.broadcast(udfs), "i")
+            .select(F.col("event_id").alias("request_id"), fx.user_name(F.col("user_id")).alias("user"),
+                    F.lit("select").alias("access"), F.lit("tpch").alias("db"), "udf"))
+    kc = ["user", "access", "db", "udf"]
+    dec = decide_keys(spark, sf_dir, reqs.select(*kc).distinct(), key_cols=kc,
+                      levels={"database": "db", "udf": "udf"})
+    return access.decide_requests(reqs, kc, dec).select("request_id", "user", "udf", "decision", "allowed")

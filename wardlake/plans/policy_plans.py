@@ -46,6 +46,28 @@ def expanded_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pol.expand_implied(all_items(spark, sf_dir), pol.implied_grants(servicedefs(spark)))
 
 
+_SNAPSHOTS: dict[tuple[str, str], str] = {}
+
+
+def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Normalized policy tables, written once per application and scale dir.
+
+    Normalizing is a batch job whose output every decision reads; landing
+    it as Parquet in the shared folder cuts the lineage (nothing is
+    recomputed if an executor is lost later) and makes size checks on it a
+    cheap metadata count.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        base = fresh_path(spark, "policy_snapshot")
+        expanded_items(spark, sf_dir).write.parquet(f"{base}/items_x")
+        all_resources(spark, sf_dir).write.parquet(f"{base}/resources")
+        pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
+        _SNAPSHOTS[key] = base
+    base = _SNAPSHOTS[key]
+    return {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts")}
+
+
 def with_cte(body: str) -> str:
     return f"WITH {policies_cte()}\n{body}"
 
