@@ -96,7 +96,7 @@ SERVICEDEF = T.StructType([
 # Readers (SRC-07)
 # ---------------------------------------------------------------------------
 
-def read_export(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_export(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Policy export documents ``{"policies": [...]}`` -> one row per policy.
 
     A single pretty-printed export is read with ``multiLine`` (one document
@@ -291,10 +291,16 @@ def ignore_case_levels(servicedefs: DataFrame) -> DataFrame:
 ORDER_POLICY_OFFSET = 1_000_000
 
 
-def order_policies(orders: DataFrame) -> DataFrame:
-    """A policy per order, in the v2 shape (see README for the rule)."""
+def order_policies(orders: DataFrame, previous: bool = False) -> DataFrame:
+    """A policy per order, in the v2 shape (see README for the rule).
+
+    ``previous=True`` gives the earlier export of the same store: read and
+    write for every owner, no deny items.
+    """
     acc = lambda t: F.struct(F.lit(t).alias("type"), F.lit(True).alias("isAllowed"))
     accesses = F.when(F.col("o_orderstatus") == "O", F.array(acc("read"), acc("write"))).otherwise(F.array(acc("read")))
+    if previous:
+        accesses = F.array(acc("read"), acc("write"))
     empty = F.array().cast("array<string>")
     allow = F.array(F.struct(accesses.alias("accesses"),
                              F.array(F.concat(F.lit("u"), F.col("o_custkey").cast("string"))).alias("users"),
@@ -304,6 +310,8 @@ def order_policies(orders: DataFrame) -> DataFrame:
         F.array(acc("write")).alias("accesses"), empty.alias("users"), F.array(F.lit("public")).alias("groups"),
         empty.alias("roles"), empty.alias("conditions"), F.lit(False).alias("delegateAdmin")))
     ).otherwise(F.array().cast(T.ArrayType(ITEM)))
+    if previous:
+        deny = F.array().cast(T.ArrayType(ITEM))
     path = F.concat(F.lit("/orders/"), F.year("o_orderdate").cast("string"), F.lit("/"),
                     F.col("o_orderkey").cast("string"))
     res = F.create_map(F.lit("path"), F.struct(F.array(path).alias("values"), F.lit(False).alias("isExcludes"),

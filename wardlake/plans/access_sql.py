@@ -23,8 +23,20 @@ princ AS (
 )"""
 
 
-def decide_sql(keys_cte: str, levels=LAKE_LEVELS, service: str = "lakehouse") -> str:
+_CTE_NAMES = ["res_keys", "heads", "pres", "req_lv", "lvl", "npl", "matched", "its", "pairs", "hits",
+              "per_pol", "agg", "decisions_x", "decisions"]
+
+
+def decide_sql(keys_cte: str, levels=LAKE_LEVELS, service: str = "lakehouse", prefix: str = "") -> str:
     """CTEs over ``keys_cte(user, access, <level cols>)`` ending in ``decisions``."""
+    sql = _decide_sql(keys_cte, levels, service)
+    if prefix:
+        import re
+        sql = re.sub(r"\b(" + "|".join(_CTE_NAMES) + r")\b", lambda m: prefix + m.group(1), sql)
+    return sql
+
+
+def _decide_sql(keys_cte: str, levels, service: str) -> str:
     rc = [c for _, c in levels]
     rcs = ", ".join(rc)
     kcols = '"user", access, ' + rcs

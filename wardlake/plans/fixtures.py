@@ -16,6 +16,11 @@ from wardlake.sources.tables import scan_parquet
 
 DATA_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "data")
 POLICY_FILE = os.path.join(DATA_DIR, "lakehouse_policies.json")
+TAG_POLICY_FILE = os.path.join(DATA_DIR, "tag_policies.json")
+PREV_POLICY_FILE = os.path.join(DATA_DIR, "lakehouse_policies_prev.json")
+TAGSET_FILE = os.path.join(DATA_DIR, "tagsets.jsonl")
+# The authored policy exports read together as the current store.
+POLICY_FILES = [POLICY_FILE, TAG_POLICY_FILE]
 LEGACY_FILE = os.path.join(DATA_DIR, "legacy_policies.jsonl")
 SERVICEDEF_FILE = os.path.join(DATA_DIR, "servicedefs.jsonl")
 

@@ -15,7 +15,7 @@ from wardlake.sources.tables import scan_parquet
 
 
 def authored_v2(spark: SparkSession) -> DataFrame:
-    return pol.read_export(spark, fx.POLICY_FILE, multi_line=True)
+    return pol.read_export(spark, fx.POLICY_FILES, multi_line=True)
 
 
 def derived_v2(spark: SparkSession, sf_dir: str) -> DataFrame:

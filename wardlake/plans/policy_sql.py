@@ -5,7 +5,7 @@ builds the same normalized rows with ``unnest``)."""
 from __future__ import annotations
 
 from wardlake.operators.policies import ORDER_POLICY_OFFSET
-from wardlake.plans.fixtures import LEGACY_FILE, POLICY_FILE, SERVICEDEF_FILE
+from wardlake.plans.fixtures import LEGACY_FILE, POLICY_FILES, SERVICEDEF_FILE
 
 _ACC = 'STRUCT("type" VARCHAR, isAllowed BOOLEAN)[]'
 _ITEM = (f'accesses {_ACC}, users VARCHAR[], "groups" VARCHAR[], roles VARCHAR[], '
@@ -63,7 +63,7 @@ def policies_cte() -> str:
     ])
     return f"""
 pol_v2 AS (
-  SELECT unnest(policies) AS p FROM read_json('{POLICY_FILE}', columns={{'policies': '{POLICY_TYPE}'}})
+  SELECT unnest(policies) AS p FROM read_json({POLICY_FILES!r}, columns={{'policies': '{POLICY_TYPE}'}})
 ),
 pol_orders AS (
   SELECT {{

@@ -46,6 +46,7 @@ def _load_all() -> None:
         policy_plans,
         retail_plans,
         stream_plans,
+        tag_plans,
     )
 
 
