@@ -106,6 +106,13 @@ def match_resources(keys: DataFrame, key_cols: list[str], level_cols: dict[str,
 # JN-06 / GOV-05: path under a recursive policy path
 # ---------------------------------------------------------------------------
 
+SHALLOW_DEPTH = 2
+
+
+def _depth(c: str):
+    return F.size(F.filter(F.split(F.col(c), "/"), lambda x: x != ""))
+
+
 def path_ancestors(path_col: str = "path"):
     """'/a/b/c' -> ['/a/b/c', '/a/b', '/a', '/'] (the path and each parent)."""
     parts = F.filter(F.split(F.col(path_col), "/"), lambda x: x != "")
@@ -127,9 +134,20 @@ def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, serv
     pr = (resources.where((F.col("service") == service) & (F.col("level") == "path") & ~F.col("excludes"))
           .withColumn("pattern", F.regexp_replace("pattern", "(.)/+$", "$1"))
           .withColumn("wild", has_wildcard(F.col("pattern"))))
-    anc = reqs.select(*key_cols, "path", F.explode(path_ancestors("path")).alias("prefix"))
-    rec = pr.where(~F.col("wild") & F.col("recursive")).select("policy_id", F.col("pattern").alias("prefix"))
-    rec_hits = anc.join(rec, "prefix").select(*key_cols, "policy_id", F.col("prefix").alias("pattern"))
+    anc = (reqs.select(*key_cols, "path", F.explode(path_ancestors("path")).alias("prefix"))
+           .withColumn("depth", _depth("prefix")))
+    rec = (pr.where(~F.col("wild") & F.col("recursive"))
+           .select("policy_id", F.col("pattern").alias("prefix")).withColumn("depth", _depth("prefix")))
+    # Shallow prefixes ('/', '/en') are few in any store but cover most
+    # requests: a shuffle join on them would send every request under '/en'
+    # to one task. They are joined by broadcast (after a size check); deep
+    # prefixes, as many as the store, by a shuffle join on the prefix.
+    shallow = rec.where(F.col("depth") <= SHALLOW_DEPTH)
+    deep = rec.where(F.col("depth") > SHALLOW_DEPTH)
+    sh = F.broadcast(shallow) if fits_broadcast(shallow) else shallow
+    rec_hits = (anc.where(F.col("depth") <= SHALLOW_DEPTH).join(sh, ["prefix", "depth"])
+                .unionByName(anc.where(F.col("depth") > SHALLOW_DEPTH).join(deep, ["prefix", "depth"]))
+                .select(*key_cols, "policy_id", F.col("prefix").alias("pattern")))
     flat = pr.where(~F.col("wild") & ~F.col("recursive")).select("policy_id", F.col("pattern").alias("path"))
     flat_hits = reqs.select(*key_cols, "path").join(flat, "path").select(*key_cols, "policy_id",
                                                                           F.col("path").alias("pattern"))

@@ -43,6 +43,7 @@ def _load_all() -> None:
         governed_plans,
         json_plans,
         log_plans,
+        path_plans,
         policy_plans,
         retail_plans,
         stream_plans,
