@@ -1,3 +1,57 @@
-"""Queries (filled in below)."""
+"""JSON column functions over ``events.props`` and ``conversations.text``."""
 
-from wardlake.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wardlake.functions import jsoncols as jc
+from wardlake.plans.registry import query
+from wardlake.sources.tables import scan_parquet
+
+
+@query("json_parse_strict", """
+SELECT 'events' AS src, event_id AS id, json_valid(props) AS valid,
+       CASE WHEN json_valid(props) THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events
+UNION ALL
+SELECT 'conversations', conv_id * 1000 + turn, json_valid(text),
+       CASE WHEN json_valid(text) THEN TRY_CAST(json_extract(text, '$.k') AS BIGINT) END FROM conversations
+""")
+def q_json_parse_strict(spark, sf_dir):
+    e = scan_parquet(spark, sf_dir, "events").select(F.lit("events").alias("src"), F.col("event_id").alias("id"),
+                                                     F.col("props").alias("doc"))
+    c = scan_parquet(spark, sf_dir, "conversations").select(
+        F.lit("conversations").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        F.col("text").alias("doc"))
+    v = e.unionByName(c).withColumn("j", jc.parse_strict(F.col("doc")))
+    return v.select("src", "id", F.col("j").isNotNull().alias("valid"),
+                    F.try_variant_get("j", "$.k", "bigint").alias("k"))
+
+
+@query("json_canonical", """
+SELECT event_id, to_json({'event_id': event_id, 'event_type': event_type, 'k': CAST(json_extract(props, '$.k') AS BIGINT),
+                          'user_id': user_id, 'value': value}) AS doc FROM events
+""")
+def q_json_canonical(spark, sf_dir):
+    e = scan_parquet(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    return e.select("event_id", jc.canonical(["value", "user_id", "k", "event_type", "event_id"]).alias("doc"))
+
+
+@query("json_nonfinite", """
+SELECT event_id, CASE WHEN value > 40 THEN 'Infinity'::DOUBLE WHEN value < 1 THEN 'NaN'::DOUBLE
+                      WHEN value < 2 THEN '-Infinity'::DOUBLE ELSE value END AS v FROM events
+""")
+def q_json_nonfinite(spark, sf_dir):
+    e = scan_parquet(spark, sf_dir, "events")
+    tok = (F.when(F.col("value") > 40, "Infinity").when(F.col("value") < 1, "NaN")
+           .when(F.col("value") < 2, "-Infinity").otherwise(F.col("value").cast("string")))
+    doc = F.concat(F.lit('{"v": '), tok, F.lit("}"))
+    return e.select("event_id", jc.parse_nonfinite(doc, "v double")["v"].alias("v"))
+
+
+@query("json_flatten", """
+SELECT e.event_id, j.key, j.value FROM events e, json_each(e.props) j
+""")
+def q_json_flatten(spark, sf_dir):
+    e = scan_parquet(spark, sf_dir, "events")
+    return e.select("event_id", F.explode(jc.flatten_object(F.col("props"))).alias("kv")).select(
+        "event_id", F.col("kv.key").alias("key"), F.col("kv.value").alias("value"))

@@ -47,6 +47,12 @@ def q_sales_by_category(spark, sf_dir):
     return retail.sales_by_category(_sales(spark, sf_dir))
 
 
+@query("order_desc", SALES_SQL + " ORDER BY total_sales DESC, sku")
+def q_order_desc(spark, sf_dir):
+    # SRT-01: a full sort (range-partitioned shuffle, then per-task sort).
+    return _sales(spark, sf_dir).orderBy(F.desc("total_sales"), "sku")
+
+
 @query("join_orders_products", """
 SELECT CAST(o.o_custkey AS VARCHAR) AS customer_id, strftime(o.o_orderdate, '%Y-%m-%d') AS order_date,
        l.l_extendedprice AS price, CAST(l.l_partkey AS VARCHAR) AS sku,
