@@ -11,9 +11,18 @@ from wardlake.plans.policy_plans import with_cte
 from wardlake.plans.registry import query
 from wardlake.sources.tables import scan_parquet
 
-# Readers of the registered governed queries.
-ORDERS_READER = "u4"
-CUSTOMER_READER = "u12"
+# The reader of the registered governed queries: the first customer of the
+# BUILDING segment that no allow exception names (users u3 and u13).
+READER_SQL = ("(SELECT 'u' || CAST(min(c_custkey) AS VARCHAR) FROM customer "
+              "WHERE c_mktsegment = 'BUILDING' AND c_custkey NOT IN (3, 13))")
+
+
+def reader(spark, sf_dir) -> str:
+    from pyspark.sql import functions as F
+    c = scan_parquet(spark, sf_dir, "customer")
+    row = (c.where((F.col("c_mktsegment") == "BUILDING") & ~F.col("c_custkey").isin(3, 13))
+           .agg(F.min("c_custkey")).first())
+    return f"u{row[0]}"
 
 ORDERS_COLS = [("o_orderkey", "num"), ("o_custkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "num"),
                ("o_orderdate", "time"), ("o_orderpriority", "str")]
@@ -45,7 +54,7 @@ def _resolution_sql(user: str, tbl: str, cols) -> str:
     """CTEs: princ for the user, tl (table-level match), rf (row filter), masks per column."""
     col_vals = " UNION ALL ".join(f"SELECT '{c}' AS col" for c, _ in cols)
     return f""",
-one_user AS (SELECT '{user}' AS "user"),
+one_user AS (SELECT {user} AS "user"),
 {principals_sql('one_user')},
 lvl_t AS (
   SELECT policy_id, level,
@@ -120,23 +129,23 @@ def _governed_sql(user, tbl, cols, do_filter=True, do_mask=True):
 SELECT {sel} FROM {tbl} {where}""")
 
 
-@query("row_filter", lambda: _governed_sql(ORDERS_READER, "orders", ORDERS_COLS, do_mask=False))
+@query("row_filter", lambda: _governed_sql(READER_SQL, "orders", ORDERS_COLS, do_mask=False))
 def q_row_filter(spark, sf_dir):
-    return _governed(spark, sf_dir, "orders", ORDERS_READER, masks=False, column_acl=False)
+    return _governed(spark, sf_dir, "orders", reader(spark, sf_dir), masks=False, column_acl=False)
 
 
-@query("column_mask", lambda: _governed_sql(CUSTOMER_READER, "customer", CUSTOMER_COLS, do_filter=False))
+@query("column_mask", lambda: _governed_sql(READER_SQL, "customer", CUSTOMER_COLS, do_filter=False))
 def q_column_mask(spark, sf_dir):
-    return _governed(spark, sf_dir, "customer", CUSTOMER_READER, row_filter=False, column_acl=False)
+    return _governed(spark, sf_dir, "customer", reader(spark, sf_dir), row_filter=False, column_acl=False)
 
 
-@query("governed_read", lambda: _governed_sql(ORDERS_READER, "orders", ORDERS_COLS))
+@query("governed_read", lambda: _governed_sql(READER_SQL, "orders", ORDERS_COLS))
 def q_governed_read(spark, sf_dir):
     # The reader may select every orders column (checked by the decision
     # rule); the oracle therefore projects all of them.
-    return _governed(spark, sf_dir, "orders", ORDERS_READER)
+    return _governed(spark, sf_dir, "orders", reader(spark, sf_dir))
 
 
-@query("governed_read_customer", lambda: _governed_sql(CUSTOMER_READER, "customer", CUSTOMER_COLS))
+@query("governed_read_customer", lambda: _governed_sql(READER_SQL, "customer", CUSTOMER_COLS))
 def q_governed_read_customer(spark, sf_dir):
-    return _governed(spark, sf_dir, "customer", CUSTOMER_READER)
+    return _governed(spark, sf_dir, "customer", reader(spark, sf_dir))
