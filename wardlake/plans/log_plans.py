@@ -15,7 +15,7 @@ from wardlake.sources.tables import scan_parquet
 # same line is composed on both sides from the orders row.
 
 
-def _pieces():
+def _spark_cols() -> dict:
     k = F.col("o_orderkey")
     ks = k.cast("string")
     ts = F.timestamp_add("SECOND", F.pmod(k, F.lit(86400)), F.col("o_orderdate"))
@@ -32,6 +32,16 @@ def _pieces():
     ).otherwise(F.concat(F.lit("database={PolicyResource={values={sales staging } isExcludes={false} "
                                "isRecursive={false} }} table={PolicyResource={values={orders_"), year,
                          F.lit(" } isExcludes={false} isRecursive={false} }} ")))
+    return {"ts": F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+            "ms": F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0"),
+            "thread": F.pmod(k, F.lit(16)).cast("string"),
+            "level": F.when(F.pmod(k, F.lit(7)) == 0, "INFO ").otherwise("DEBUG"),
+            "line": (F.pmod(k, F.lit(50)) + 100).cast("string"),
+            "kind": kind, "key": ks, "service": F.when(objs, "objectstore").otherwise("catalog"),
+            "res": res, "w": w, "grp": grp}
+
+
+def _pieces():
     sql_year = "CAST(year(o_orderdate) AS VARCHAR)"
     sql_ts = "o_orderdate + to_seconds(o_orderkey % 86400)"
     sql_kind = "CASE o_orderstatus WHEN 'F' THEN 'update' WHEN 'O' THEN 'create' ELSE 'delete' END"
@@ -45,29 +55,29 @@ def _pieces():
                "CASE WHEN o_orderkey % 5 = 0 THEN ' partner_companyA' ELSE '' END || ' '")
     sql_w = "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END"
     head = [
-        (F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), f"strftime({sql_ts}, '%Y-%m-%d %H:%M:%S')"), ",",
-        (F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0"), "lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')"),
-        " [http-exec-", (F.pmod(k, F.lit(16)).cast("string"), "CAST(o_orderkey % 16 AS VARCHAR)"), "] ",
-        (F.when(F.pmod(k, F.lit(7)) == 0, "INFO ").otherwise("DEBUG"),
-         "CASE WHEN o_orderkey % 7 = 0 THEN 'INFO ' ELSE 'DEBUG' END"),
+        ("ts", f"strftime({sql_ts}, '%Y-%m-%d %H:%M:%S')"), ",",
+        ("ms", "lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')"),
+        " [http-exec-", ("thread", "CAST(o_orderkey % 16 AS VARCHAR)"), "] ",
+        ("level", "CASE WHEN o_orderkey % 7 = 0 THEN 'INFO ' ELSE 'DEBUG' END"),
         " com.example.policy.PolicyService (PolicyService.java:",
-        ((F.pmod(k, F.lit(50)) + 100).cast("string"), "CAST(o_orderkey % 50 + 100 AS VARCHAR)"), ") - ",
+        ("line", "CAST(o_orderkey % 50 + 100 AS VARCHAR)"), ") - ",
     ]
     call = [
-        "<== PolicyService.", (kind, sql_kind), "Policy(Policy={id={", (ks, "CAST(o_orderkey AS VARCHAR)"),
-        "} guid={ord-", (ks, "CAST(o_orderkey AS VARCHAR)"), "} isEnabled={true} service={",
-        (F.when(objs, "objectstore").otherwise("catalog"), f"CASE WHEN {sql_objs} THEN 'objectstore' ELSE 'catalog' END"),
-        "} name={order ", (ks, "CAST(o_orderkey AS VARCHAR)"), "} policyType={0} resources={", (res, sql_res),
+        "<== PolicyService.", ("kind", sql_kind), "Policy(Policy={id={", ("key", "CAST(o_orderkey AS VARCHAR)"),
+        "} guid={ord-", ("key", "CAST(o_orderkey AS VARCHAR)"), "} isEnabled={true} service={",
+        ("service", f"CASE WHEN {sql_objs} THEN 'objectstore' ELSE 'catalog' END"),
+        "} name={order ", ("key", "CAST(o_orderkey AS VARCHAR)"), "} policyType={0} resources={", ("res", sql_res),
         "} policyItems={PolicyItem={accessTypes={PolicyItemAccess={type={read} isAllowed={true} }"
-        "PolicyItemAccess={type={write} isAllowed={", (w, sql_w), "} }} users={} groups={", (grp, sql_grp),
+        "PolicyItemAccess={type={write} isAllowed={", ("w", sql_w), "} }} users={} groups={", ("grp", sql_grp),
         "} conditions={} delegateAdmin={false} }} denyPolicyItems={} allowExceptions={}})",
     ]
-    entry = ["==> PolicyService.", (kind, sql_kind), "Policy(id={", (ks, "CAST(o_orderkey AS VARCHAR)"), "})"]
+    entry = ["==> PolicyService.", ("kind", sql_kind), "Policy(id={", ("key", "CAST(o_orderkey AS VARCHAR)"), "})"]
     return head, call, entry
 
 
 def _spark(pieces):
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p[0] for p in pieces])
+    cols = _spark_cols()
+    return F.concat(*[F.lit(p) if isinstance(p, str) else cols[p[0]] for p in pieces])
 
 
 def _sql(pieces):
