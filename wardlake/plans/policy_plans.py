@@ -60,8 +60,10 @@ def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SNAPSHOTS:
         base = fresh_path(spark, "policy_snapshot")
-        expanded_items(spark, sf_dir).write.parquet(f"{base}/items_x")
-        all_resources(spark, sf_dir).write.parquet(f"{base}/resources")
+        # Partitioned by service: a decision for one service reads only its
+        # own policies (partition pruning), however large the others grow.
+        expanded_items(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/items_x")
+        all_resources(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/resources")
         pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
         _SNAPSHOTS[key] = base
     base = _SNAPSHOTS[key]
