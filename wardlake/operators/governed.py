@@ -32,12 +32,13 @@ def _user_principals(princ: DataFrame, user: str) -> DataFrame:
 
 
 def resolve_row_filter(spark: SparkSession, user: str, db: str, tbl: str, items: DataFrame,
-                       resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str) -> str | None:
+                       resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
+                       bound: int | None = None) -> str | None:
     """First fitting row-filter item (lowest policy id, then item order)."""
     keys = spark.createDataFrame([(db, tbl)], "db string, tbl string")
     rf_pols = items.where((F.col("policy_type") == 2) & F.col("is_enabled")).select("policy_id").distinct()
     matched = match_resources(keys, ["db", "tbl"], {"database": "db", "table": "tbl"},
-                              resources.join(rf_pols, "policy_id", "left_semi"), opts, service)
+                              resources.join(rf_pols, "policy_id", "left_semi"), opts, service, bound)
     rows = (items.where((F.col("item_kind") == "row_filter") & (F.col("access") == "select") & F.col("is_enabled"))
             .join(matched.select("policy_id"), "policy_id", "left_semi")
             .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi")
@@ -46,12 +47,13 @@ def resolve_row_filter(spark: SparkSession, user: str, db: str, tbl: str, items:
 
 
 def resolve_masks(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], items: DataFrame,
-                  resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str) -> dict[str, tuple]:
+                  resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
+                  bound: int | None = None) -> dict[str, tuple]:
     """Column -> (mask_type, value_expr) of the first fitting mask item."""
     keys = spark.createDataFrame([(db, tbl, c) for c in columns], "db string, tbl string, col string")
     m_pols = items.where((F.col("policy_type") == 1) & F.col("is_enabled")).select("policy_id").distinct()
     matched = match_resources(keys, ["db", "tbl", "col"], {"database": "db", "table": "tbl", "column": "col"},
-                              resources.join(m_pols, "policy_id", "left_semi"), opts, service)
+                              resources.join(m_pols, "policy_id", "left_semi"), opts, service, bound)
     cand = (items.where((F.col("item_kind") == "mask") & (F.col("access") == "select") & F.col("is_enabled"))
             .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi")
             .join(matched.select("col", "policy_id"), "policy_id")
@@ -85,7 +87,8 @@ def allowed_columns(decisions: DataFrame) -> list[str]:
 
 def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, resources: DataFrame,
              opts: DataFrame, princ: DataFrame, decide_fn, service: str = "lakehouse",
-             row_filter: bool = True, masks: bool = True, column_acl: bool = True) -> DataFrame:
+             row_filter: bool = True, masks: bool = True, column_acl: bool = True,
+             bound: int | None = None) -> DataFrame:
     """The table as ``user`` may see it."""
     spark = df.sparkSession
     cols = df.columns
@@ -99,6 +102,7 @@ def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, reso
             raise AccessDenied(f"{user} may not select from {db}.{tbl}")
     out = df
     if row_filter:
-        out = apply_row_filter(out, resolve_row_filter(spark, user, db, tbl, items, resources, opts, princ, service))
-    m = resolve_masks(spark, user, db, tbl, cols, items, resources, opts, princ, service) if masks else {}
+        out = apply_row_filter(out, resolve_row_filter(spark, user, db, tbl, items, resources, opts, princ,
+                                                       service, bound))
+    m = resolve_masks(spark, user, db, tbl, cols, items, resources, opts, princ, service, bound) if masks else {}
     return apply_masks(out, m, keep)

@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 from wardlake.session import BROADCAST_ROW_LIMIT
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int | None = None) -> bool:
+    """True when ``df`` has at most ``limit`` rows.
+
+    ``bound`` is a known upper bound of the row count (for example the row
+    count of the table ``df`` was filtered from, recorded when that table was
+    written); when it is under the limit no job is needed. Otherwise the
+    check reads at most limit+1 rows.
+    """
+    if bound is not None and bound <= limit:
+        return True
     return df.limit(limit + 1).count() <= limit
 
 
@@ -22,7 +30,7 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFram
 
 
 def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
-                buckets: int = 64) -> DataFrame:
+                buckets: int = 64, bound: int | None = None) -> DataFrame:
     """Pair every row of ``big`` with every row of a short ``small`` list.
 
     Used where the output is by definition big x small (each user gets every
@@ -31,7 +39,7 @@ def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIM
     parts by hash, ``big`` is replicated once per part, and the pairs are made
     by an equi join on the part number, so no single task holds all of ``small``.
     """
-    if fits_broadcast(small, limit):
+    if fits_broadcast(small, limit, bound):
         return big.join(F.broadcast(small), F.lit(True))
     s = small.withColumn("_part", F.pmod(F.xxhash64(*small.columns), F.lit(buckets)))
     b = big.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

@@ -24,7 +24,8 @@ def _level_rows(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str]
             .where(F.col("value").isNotNull()))
 
 
-def pattern_join(req: DataFrame, patterns: DataFrame, key_cols: list[str], parts: int = 64) -> DataFrame:
+def pattern_join(req: DataFrame, patterns: DataFrame, key_cols: list[str], parts: int = 64,
+                 bound: int | None = None) -> DataFrame:
     """Rows of ``req`` x ``patterns`` on the same level whose value fits ``_re``.
 
     Under the broadcast bound: one broadcast hash join on ``level`` with the
@@ -33,7 +34,7 @@ def pattern_join(req: DataFrame, patterns: DataFrame, key_cols: list[str], parts
     1/parts of the patterns.
     """
     cond_cols = ["level"]
-    if fits_broadcast(patterns):
+    if fits_broadcast(patterns, bound=bound):
         return req.join(F.broadcast(patterns), cond_cols).where(F.regexp_like(F.col("value"), F.col("_re")))
     p = patterns.withColumn("_part", F.pmod(F.xxhash64("policy_id", "pattern"), F.lit(parts)))
     r = req.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
@@ -49,7 +50,7 @@ def prepare_patterns(resources: DataFrame, level_opts: DataFrame, service: str)
 
 
 def positive_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str],
-                  pr: DataFrame, level_opts: DataFrame, service: str) -> DataFrame:
+                  pr: DataFrame, level_opts: DataFrame, service: str, bound: int | None = None) -> DataFrame:
     """GOV-03: (key, policy_id, level) where a non-excluded pattern fits."""
     req = _level_rows(keys, key_cols, level_cols)
     opts = level_opts.where(F.col("service") == service).select("level", "ignore_case")
@@ -63,42 +64,46 @@ def positive_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, st
     exact_hits = req.join(exact, ["level", "norm"]).select(*key_cols, "policy_id", "level")
     wild = (pos.where(F.col("wild"))
             .select("policy_id", "level", "pattern", glob_to_regex(F.col("pattern"), F.col("ignore_case")).alias("_re")))
-    wild_hits = pattern_join(req.drop("norm"), wild, key_cols).select(*key_cols, "policy_id", "level")
+    wild_hits = pattern_join(req.drop("norm"), wild, key_cols, bound=bound).select(*key_cols, "policy_id", "level")
     return exact_hits.unionByName(wild_hits).distinct()
 
 
-def exclude_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], pr: DataFrame) -> DataFrame:
+def exclude_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], pr: DataFrame,
+                 bound: int | None = None) -> DataFrame:
     """(key, policy_id) where a value hits an *excluded* pattern (a veto)."""
     req = _level_rows(keys, key_cols, level_cols)
     ex = (pr.where(F.col("excludes"))
           .select("policy_id", "level", "pattern", glob_to_regex(F.col("pattern"), F.col("ignore_case")).alias("_re")))
-    return pattern_join(req, ex, key_cols).select(*key_cols, "policy_id").distinct()
+    return pattern_join(req, ex, key_cols, bound=bound).select(*key_cols, "policy_id").distinct()
 
 
 def match_resources(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str],
-                    resources: DataFrame, level_opts: DataFrame, service: str) -> DataFrame:
+                    resources: DataFrame, level_opts: DataFrame, service: str,
+                    bound: int | None = None) -> DataFrame:
     """(key..., policy_id): every level of the policy fits the request.
 
     A level lists values; it fits when any value fits, inverted for an
     excludes level. A policy without some level of the request covers all of
     that level; a policy level the request does not have never fits.
+    ``bound``: a known upper bound of the resource rows (skips size jobs).
     """
     pr = prepare_patterns(resources, level_opts, service)
     n_pos = (pr.where(~F.col("excludes")).groupBy("policy_id").agg(F.countDistinct("level").alias("n_pos")))
     all_pols = pr.select("policy_id").distinct()
-    hits = positive_hits(keys, key_cols, level_cols, pr, level_opts, service)
+    hits = positive_hits(keys, key_cols, level_cols, pr, level_opts, service, bound)
     cand = (hits.groupBy(*key_cols, "policy_id").agg(F.count(F.lit(1)).alias("n_ok"))
             .join(F.broadcast(n_pos), "policy_id").where(F.col("n_ok") == F.col("n_pos"))
             .select(*key_cols, "policy_id"))
     # Policies with only excludes levels: every key is a candidate.
     only_ex = all_pols.join(n_pos, "policy_id", "left_anti")
-    cand = cand.unionByName(attach_each(keys.select(*key_cols), only_ex).select(*key_cols, "policy_id"))
+    cand = cand.unionByName(attach_each(keys.select(*key_cols), only_ex, bound=bound)
+                            .select(*key_cols, "policy_id"))
     # An excludes level needs the request to have that level.
     ex_levels = pr.where(F.col("excludes")).select("policy_id", "level").distinct()
     present = set(level_cols)
     missing = ex_levels.where(~F.col("level").isin(list(present))).select("policy_id")
     cand = cand.join(missing, "policy_id", "left_anti")
-    vetoes = exclude_hits(keys, key_cols, level_cols, pr)
+    vetoes = exclude_hits(keys, key_cols, level_cols, pr, bound)
     return cand.join(vetoes, [*key_cols, "policy_id"], "left_anti")
 
 

@@ -10,7 +10,7 @@ from wardlake.operators.joins import attach_each
 from wardlake.operators.matching import exclude_hits, match_resources, positive_hits, prepare_patterns
 from wardlake.plans import fixtures as fx
 from wardlake.plans.access_sql import decide_sql, principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, with_cte
+from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
 from wardlake.plans.registry import query
 from wardlake.sources.tables import scan_parquet
 
@@ -33,7 +33,8 @@ def lake_inputs(spark: SparkSession, sf_dir: str):
 def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE) -> DataFrame:
     items, res, opts = lake_inputs(spark, sf_dir)
     princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
-    return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse")
+    return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse",
+                         resource_bound(spark, sf_dir, "lakehouse"))
 
 
 def request_keys(spark, sf_dir):
@@ -77,7 +78,7 @@ def _matched(spark, sf_dir):
 @query("resource_policy_join", lambda: cte("SELECT db, tbl, col, policy_id FROM matched"))
 def q_resource_policy_join(spark, sf_dir):
     res_keys, res, opts = _matched(spark, sf_dir)
-    return match_resources(res_keys, RES, LAKE, res, opts, "lakehouse")
+    return match_resources(res_keys, RES, LAKE, res, opts, "lakehouse", resource_bound(spark, sf_dir, "lakehouse"))
 
 
 @query("match_resource", lambda: cte("SELECT db, tbl, col, policy_id, level FROM lvl WHERE hit AND NOT ex"))
@@ -98,14 +99,16 @@ def q_match_excludes(spark, sf_dir):
     "SELECT * FROM res_keys k WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
 def q_unprotected(spark, sf_dir):
     res_keys, res, opts = _matched(spark, sf_dir)
-    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse"), RES, "left_anti")
+    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse",
+                                         resource_bound(spark, sf_dir, "lakehouse")), RES, "left_anti")
 
 
 @query("covered_resources", lambda: cte(
     "SELECT * FROM res_keys k WHERE EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
 def q_covered(spark, sf_dir):
     res_keys, res, opts = _matched(spark, sf_dir)
-    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse"), RES, "left_semi")
+    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse",
+                                         resource_bound(spark, sf_dir, "lakehouse")), RES, "left_semi")
 
 
 @query("match_principal", lambda: cte("""
@@ -117,7 +120,8 @@ def q_match_principal(spark, sf_dir):
     items, res, opts = lake_inputs(spark, sf_dir)
     heads = access.access_heads(items, "lakehouse")
     matched = match_resources(keys.select(*RES).distinct(), RES, LAKE,
-                              res.join(heads.select("policy_id"), "policy_id", "left_semi"), opts, "lakehouse")
+                              res.join(heads.select("policy_id"), "policy_id", "left_semi"), opts, "lakehouse",
+                              resource_bound(spark, sf_dir, "lakehouse"))
     pairs = keys.join(matched, RES).select(*KEY, "policy_id")
     princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
     it = (items.where((F.col("policy_type") == 0) & F.col("is_enabled") & F.col("is_allowed")

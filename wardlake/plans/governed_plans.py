@@ -7,7 +7,7 @@ from wardlake.operators.governed import governed
 from wardlake.plans import fixtures as fx
 from wardlake.plans.access_plans import decide_keys, lake_inputs, role_members_df
 from wardlake.plans.access_sql import principals_sql
-from wardlake.plans.policy_plans import with_cte
+from wardlake.plans.policy_plans import resource_bound, with_cte
 from wardlake.plans.registry import query
 from wardlake.sources.tables import scan_parquet
 
@@ -47,7 +47,7 @@ def _governed(spark, sf_dir, table, user, **kw):
         return decide_keys(spark, sf_dir, keys)
 
     return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, items, res, opts, princ,
-                    decide_fn, **kw)
+                    decide_fn, bound=resource_bound(spark, sf_dir, "lakehouse"), **kw)
 
 
 def _resolution_sql(user: str, tbl: str, cols) -> str:

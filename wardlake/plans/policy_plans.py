@@ -47,6 +47,7 @@ def expanded_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SNAPSHOTS: dict[tuple[str, str], str] = {}
+_BOUNDS: dict[tuple[str, str], dict[str, int]] = {}
 
 
 def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -65,11 +66,20 @@ def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         expanded_items(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/items_x")
         all_resources(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/resources")
         pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
+        # Resource rows per service, recorded once: any pattern subset of a
+        # service is bounded by it, so later broadcast checks need no job.
+        counts = spark.read.parquet(f"{base}/resources").groupBy("service").count().collect()
+        _BOUNDS[key] = {r["service"]: r["count"] for r in counts}
         _SNAPSHOTS[key] = base
     base = _SNAPSHOTS[key]
     return {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts")}
 
 
+def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int:
+    policy_snapshot(spark, sf_dir)
+    return _BOUNDS[(spark.sparkContext.applicationId, sf_dir)].get(service, 0)
+
+
 def with_cte(body: str) -> str:
     return f"WITH {policies_cte()}\n{body}"
 

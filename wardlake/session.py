@@ -57,8 +57,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wardlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    The result survives executor loss (nothing upstream is replayed), its
+    plan is a plain scan, and its size is known to AQE from the files. One
+    compute + write, unlike an RDD checkpoint that computes twice when the
+    input is not persisted.
+    """
     spark = spark or df.sparkSession
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
