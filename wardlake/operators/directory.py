@@ -52,6 +52,9 @@ def under_base(dn, base: str):
     return F.lower(dn).endswith(base.lower())
 
 
+SALT = 16
+
+
 def apply_changes(entries: DataFrame) -> DataFrame:
     """DIR-02: fold add / modify records into the current entry per DN.
 
@@ -75,9 +78,15 @@ def apply_changes(entries: DataFrame) -> DataFrame:
     last_reset = (allc.where(F.col("op").isin("replace", "delete"))
                   .groupBy("dn", "attr").agg(F.max_by(F.struct("op", "vals"), F.col("seq")).alias("r"),
                                              F.max("seq").alias("reset_seq")))
-    adds = (allc.where(F.col("op") == "add").join(last_reset, ["dn", "attr"], "left")
+    # A big group is one (dn, 'member') key holding every member: the adds
+    # are salted by value and the (small) reset side is copied once per salt,
+    # so the members of one group spread over SALT tasks.
+    adds = (allc.where(F.col("op") == "add").select("dn", "attr", "seq", F.explode("vals").alias("value"))
+            .withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALT))))
+    resets = last_reset.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    adds = (adds.join(resets, ["dn", "attr", "_salt"], "left")
             .where(F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
-            .select("dn", "attr", F.explode("vals").alias("value")))
+            .select("dn", "attr", "value"))
     repl = (last_reset.where(F.col("r.op") == "replace")
             .select("dn", "attr", F.explode("r.vals").alias("value")))
     return adds.unionByName(repl).distinct()

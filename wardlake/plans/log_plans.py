@@ -87,15 +87,14 @@ def _sql(pieces):
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(line_id, ts_ms, value): the policy call line of every order, plus an
-    entry line (``==>``) for every third order."""
+    """(line_id, ts_ms, value): for every order, an entry line (``==>``) and
+    the policy call line (``<==``) that the subscription filter keeps."""
     head, call, entry = _pieces()
     o = scan_parquet(spark, sf_dir, "orders")
     ts_ms = (F.unix_micros(F.timestamp_add("SECOND", F.pmod("o_orderkey", F.lit(86400)),
                                            F.col("o_orderdate").cast("timestamp"))) / 1000).cast("long")
     calls = o.select((F.col("o_orderkey") * 2).alias("line_id"), ts_ms.alias("ts_ms"), _spark(head + call).alias("value"))
-    entries = (o.where(F.pmod("o_orderkey", F.lit(3)) == 0)
-               .select((F.col("o_orderkey") * 2 + 1).alias("line_id"), ts_ms.alias("ts_ms"),
+    entries = (o.select((F.col("o_orderkey") * 2 + 1).alias("line_id"), ts_ms.alias("ts_ms"),
                        _spark(head + entry).alias("value")))
     return calls.unionByName(entries)
 
@@ -106,7 +105,7 @@ def lines_sql() -> str:
 loglines AS (
   SELECT o_orderkey * 2 AS line_id, o_orderkey, {_sql(head + call)} AS value FROM orders
   UNION ALL
-  SELECT o_orderkey * 2 + 1, o_orderkey, {_sql(head + entry)} FROM orders WHERE o_orderkey % 3 = 0
+  SELECT o_orderkey * 2 + 1, o_orderkey, {_sql(head + entry)} FROM orders
 )"""
 
 
