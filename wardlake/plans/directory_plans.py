@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlake.operators import directory as d
 from wardlake.plans import fixtures as fx
 from wardlake.plans.registry import query
-from wardlake.session import fresh_path
+from wardlake.session import cut_lineage, fresh_path
 from wardlake.sources.tables import scan_parquet
 
 # Directory layout.
@@ -54,9 +54,11 @@ def ldif_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the LDIF text, parse it once into a Parquet stage, read that back
+    (every directory query reads the parsed records several times)."""
     path = fresh_path(spark, "directory_ldif")
     ldif_records(spark, sf_dir).write.mode("overwrite").text(path)
-    return d.parse_entries(d.read_ldif(spark, path))
+    return cut_lineage(d.parse_entries(d.read_ldif(spark, path)), name="directory_entries")
 
 
 USER_DN_SQL = f"'CN=u' || CAST(c.c_custkey AS VARCHAR) || ',{USERS_OU}'"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlake.operators import policylog as pl
 from wardlake.operators.audit import retention_filter
 from wardlake.plans.registry import query
-from wardlake.session import fresh_path
+from wardlake.session import cut_lineage, fresh_path
 from wardlake.sources.tables import scan_parquet
 
 # A template piece is a literal or a (spark column, duckdb sql) pair, so the
@@ -176,9 +176,15 @@ FROM orders
 """)
 
 
+FIELD_COLS = ["seq", "log_ts", "policy_id", "guid", "service", "policy_name", "groups", "first_values",
+              "table_values", "read_allowed", "write_allowed", "kind"]
+
+
 def _fields(spark, sf_dir):
-    p = parsed_log(spark, sf_dir).where(F.col("policy_id").isNotNull())
-    return p
+    """Policy lines with their fields, parsed once into a Parquet stage
+    (grants, upserts and documents read it more than once)."""
+    p = parsed_log(spark, sf_dir).where(F.col("policy_id").isNotNull()).select(*FIELD_COLS)
+    return cut_lineage(p, name="policy_log_fields")
 
 
 @query("extract_policy_fields", EXTRACT_SQL)

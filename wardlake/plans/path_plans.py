@@ -13,6 +13,7 @@ from wardlake.plans.access_plans import request_keys, role_members_df
 from wardlake.plans.access_sql import principals_sql
 from wardlake.plans.policy_plans import policy_snapshot, with_cte
 from wardlake.plans.registry import query
+from wardlake.session import cut_lineage
 from wardlake.sources.tables import scan_parquet
 
 URL_PATH = r"^[a-zA-Z]+://[^/?#]*([^?#]*)"
@@ -25,7 +26,15 @@ def norm_path(c):
 
 
 def path_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(request_id, user, access, path): order lines and web pages as object paths."""
+    """(request_id, user, access, path): order lines and web pages as object paths.
+
+    Written once as a Parquet stage: the matcher reads it in three branches
+    (ancestors, exact paths, wildcard paths) and the decision once more.
+    """
+    return cut_lineage(_path_requests(spark, sf_dir), name="path_requests")
+
+
+def _path_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = scan_parquet(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     o = scan_parquet(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = li.join(o, li.l_orderkey == o.o_orderkey).select(
