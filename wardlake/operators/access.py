@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlake.operators.joins import skew_safe_join
 from wardlake.operators.matching import match_resources
 from wardlake.session import cut_lineage
 
@@ -103,10 +104,9 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
 def decide_requests(requests: DataFrame, key_cols: list[str], decisions: DataFrame) -> DataFrame:
     """Join decided keys back to every request row.
 
-    Decided keys are bounded by users x accesses x resources, not by rows.
-    Their size is only known at run time, so the join is left to AQE: it
-    measures the shuffled decision side and switches to a broadcast join
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, keeping the
-    shuffle join above it.
+    Decided keys are bounded by users x accesses x resources, not by rows;
+    one key can still stand for a large share of the requests (a user who
+    repeats one request). The decided table is a written stage, so its row
+    count is a cheap check: broadcast under the bound, a salted join above it.
     """
-    return requests.join(decisions, key_cols)
+    return skew_safe_join(requests, decisions, key_cols)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators import directory as d
+from wardlake.operators.joins import skew_safe_join
 from wardlake.plans import fixtures as fx
 from wardlake.plans.registry import query
 from wardlake.session import cut_lineage, fresh_path
@@ -178,7 +179,10 @@ def group_members(applied: DataFrame) -> DataFrame:
     users = (applied.where(F.col("attr") == "distinguishedname").select(F.col("dn").alias("udn"), F.col("value").alias("mdn"))
              .join(applied.where(F.col("attr") == "samaccountname")
                    .select(F.col("dn").alias("udn"), F.lower("value").alias("user")), "udn"))
-    return members.join(groups, "gdn").join(users, "mdn").select("grp", "user")
+    # Every member row of a big group carries the same group DN: the group
+    # side (one row per group) is joined skew-safe; the user side is keyed by
+    # the member DN, which is spread.
+    return skew_safe_join(members, groups, ["gdn"]).join(users, "mdn").select("grp", "user")
 
 
 @query("resolve_group_members", lambda: f"SELECT grp, \"user\" FROM ({fx.MEMBERSHIPS_SQL})")
