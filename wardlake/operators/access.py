@@ -51,18 +51,23 @@ def access_heads(items: DataFrame, service: str) -> DataFrame:
 
 def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame,
            resources: DataFrame, level_opts: DataFrame, princ: DataFrame, service: str,
-           bound: int | None = None) -> DataFrame:
-    """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled."""
+           bound: int | None = None, stage: bool = True) -> DataFrame:
+    """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled.
+
+    ``stage=False`` skips the Parquet stages, for a handful of keys built on
+    the driver (a governed read asks about one table's columns).
+    """
+    cut = cut_lineage if stage else (lambda df: df)
     # The keys (a distinct over all requests) and the matched pairs are each
     # read several times below: they are checkpointed into the shared folder
     # once, so no branch recomputes the request scan and a lost executor
     # does not replay it.
-    keys = cut_lineage(keys.select(*key_cols))
+    keys = cut(keys.select(*key_cols))
     heads = access_heads(items, service)
     res_cols = list(level_cols.values())
     res_keys = keys.select(*res_cols).distinct()
     access_res = resources.join(heads.select("policy_id"), "policy_id", "left_semi")
-    matched = cut_lineage(match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound))
+    matched = cut(match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound))
     # Matched pairs are (distinct resources x fitting policies): small; the
     # key side is the larger one.
     pairs = keys.join(matched, res_cols).select(*key_cols, "policy_id")
@@ -94,7 +99,7 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
                 .otherwise("NOT_DETERMINED"))
     decided = agg.select(*key_cols, decision.alias("decision"), win["policy_id"].alias("policy_id"),
                          win["is_audit_enabled"].alias("is_audit_enabled"))
-    return cut_lineage(
+    return cut(
         keys.select(*key_cols).join(decided, key_cols, "left")
         .select(*key_cols, F.coalesce("decision", F.lit("NOT_DETERMINED")).alias("decision"),
                 (F.coalesce("decision", F.lit("")) == "ALLOW").alias("allowed"),

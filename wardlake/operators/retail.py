@@ -48,6 +48,11 @@ def limit_n(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
+def peek(df: DataFrame, n: int = 2) -> list:
+    """LIM-03: first rows for display (``take`` reads only what it needs)."""
+    return df.take(n)
+
+
 def top_k(df: DataFrame, k: int, by: str, tie: list[str]) -> DataFrame:
     """LIM-02: order + limit plans as TakeOrderedAndProject (per-task heaps)."""
     return df.orderBy(F.desc(by), *tie).limit(k)

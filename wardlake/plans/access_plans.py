@@ -30,11 +30,12 @@ def lake_inputs(spark: SparkSession, sf_dir: str):
     return items, res, snap["level_opts"]
 
 
-def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE) -> DataFrame:
+def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE,
+                stage: bool = True) -> DataFrame:
     items, res, opts = lake_inputs(spark, sf_dir)
     princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
     return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse",
-                         resource_bound(spark, sf_dir, "lakehouse"))
+                         resource_bound(spark, sf_dir, "lakehouse"), stage=stage)
 
 
 def request_keys(spark, sf_dir):

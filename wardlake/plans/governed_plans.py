@@ -44,7 +44,7 @@ def _governed(spark, sf_dir, table, user, **kw):
     princ = access.principals(users, fx.memberships(spark, sf_dir), role_members_df(spark))
 
     def decide_fn(keys):
-        return decide_keys(spark, sf_dir, keys)
+        return decide_keys(spark, sf_dir, keys, stage=False)
 
     return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, items, res, opts, princ,
                     decide_fn, bound=resource_bound(spark, sf_dir, "lakehouse"), **kw)
