@@ -29,7 +29,7 @@ def q_json_parse_strict(spark, sf_dir):
 
 @query("json_canonical", """
 SELECT event_id, to_json({'event_id': event_id, 'event_type': event_type, 'k': CAST(json_extract(props, '$.k') AS BIGINT),
-                          'user_id': user_id, 'value': value}) AS doc FROM events
+                          'user_id': user_id, 'value': value})::VARCHAR AS doc FROM events
 """)
 def q_json_canonical(spark, sf_dir):
     e = scan_parquet(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
@@ -49,7 +49,7 @@ def q_json_nonfinite(spark, sf_dir):
 
 
 @query("json_flatten", """
-SELECT e.event_id, j.key, j.value FROM events e, json_each(e.props) j
+SELECT e.event_id, j.key, CAST(j.value AS VARCHAR) AS value FROM events e, json_each(e.props) j
 """)
 def q_json_flatten(spark, sf_dir):
     e = scan_parquet(spark, sf_dir, "events")

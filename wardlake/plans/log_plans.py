@@ -298,7 +298,7 @@ def q_upsert_grants(spark, sf_dir):
 
 
 @query("collect_statements", lambda: _stmt_sql() + f"""
-SELECT policy_doc, CAST(floor(CAST(sid AS BIGINT) / {pl.DOC_SIZE}) AS BIGINT) AS doc_no, count(*) AS n_statements,
+SELECT policy_doc, CAST(floor(CAST(sid AS BIGINT) / {pl.DOC_SIZE}) AS BIGINT) AS doc_no, CAST(count(*) AS INTEGER) AS n_statements,
        string_agg(sid, ',' ORDER BY CAST(sid AS BIGINT)) AS sids
 FROM st GROUP BY 1, 2""")
 def q_collect_statements(spark, sf_dir):

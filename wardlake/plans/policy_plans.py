@@ -86,7 +86,7 @@ def with_cte(body: str) -> str:
 
 @query("scan_policies", lambda: with_cte("""
 SELECT p.id AS policy_id, p.service, p.policyType AS policy_type, p.isEnabled AS is_enabled,
-       len(p.policyItems) AS n_allow, len(p.denyPolicyItems) AS n_deny
+       CAST(len(p.policyItems) AS INTEGER) AS n_allow, CAST(len(p.denyPolicyItems) AS INTEGER) AS n_deny
 FROM (SELECT p FROM pol_all UNION ALL
       SELECT {'id': p.id, 'service': p.service, 'policyType': p.policyType, 'isEnabled': p.isEnabled,
               'policyItems': p.policyItems, 'denyPolicyItems': p.denyPolicyItems} FROM pol_orders)

@@ -51,7 +51,7 @@ def _list(kind: str, col: str, mask: bool = False, rf: bool = False) -> str:
          it."groups" AS grps, it.roles AS roles, coalesce(it.delegateAdmin, false) AS delegate_admin,
          CAST({m[0]} AS VARCHAR) AS mask_type, CAST({m[1]} AS VARCHAR) AS condition_expr,
          CAST({m[2]} AS VARCHAR) AS value_expr, CAST({f} AS VARCHAR) AS filter_expr
-  FROM (SELECT {HEAD}, unnest(p.{col}) AS it, generate_subscripts(p.{col}, 1) - 1 AS item_no FROM pol_all)"""
+  FROM (SELECT {HEAD}, unnest(p.{col}) AS it, CAST(generate_subscripts(p.{col}, 1) - 1 AS INTEGER) AS item_no FROM pol_all)"""
 
 
 def policies_cte() -> str:
@@ -112,7 +112,7 @@ raw_items_legacy AS (
          pm.userList AS users, pm.groupList AS grps, []::VARCHAR[] AS roles, false AS delegate_admin,
          CAST(NULL AS VARCHAR) AS mask_type, CAST(NULL AS VARCHAR) AS condition_expr,
          CAST(NULL AS VARCHAR) AS value_expr, CAST(NULL AS VARCHAR) AS filter_expr
-  FROM (SELECT *, unnest(permMapList) AS pm, generate_subscripts(permMapList, 1) - 1 AS item_no FROM legacy)
+  FROM (SELECT *, unnest(permMapList) AS pm, CAST(generate_subscripts(permMapList, 1) - 1 AS INTEGER) AS item_no FROM legacy)
 ),
 raw_items AS (
   SELECT * FROM raw_items_v2 UNION ALL SELECT * FROM raw_items_orders UNION ALL SELECT * FROM raw_items_legacy
