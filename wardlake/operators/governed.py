@@ -88,8 +88,13 @@ def allowed_columns(decisions: DataFrame) -> list[str]:
 def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, resources: DataFrame,
              opts: DataFrame, princ: DataFrame, decide_fn, service: str = "lakehouse",
              row_filter: bool = True, masks: bool = True, column_acl: bool = True,
-             bound: int | None = None) -> DataFrame:
-    """The table as ``user`` may see it."""
+             bound: int | None = None, denied: str = "drop") -> DataFrame:
+    """The table as ``user`` may see it.
+
+    Columns the user may not select are dropped (``denied="drop"``, the
+    default) or kept as typed NULLs (``denied="null"``, a stable schema for
+    reports that run for many readers).
+    """
     spark = df.sparkSession
     cols = df.columns
     keep = cols
@@ -100,9 +105,13 @@ def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, reso
         keep = [c for c in cols if c in allowed]
         if not keep:
             raise AccessDenied(f"{user} may not select from {db}.{tbl}")
+        hidden = [c for c in cols if c not in allowed]
     out = df
     if row_filter:
         out = apply_row_filter(out, resolve_row_filter(spark, user, db, tbl, items, resources, opts, princ,
                                                        service, bound))
     m = resolve_masks(spark, user, db, tbl, cols, items, resources, opts, princ, service, bound) if masks else {}
+    if column_acl and denied == "null":
+        m.update({c: ("MASK_NULL", None) for c in hidden})
+        keep = cols
     return apply_masks(out, m, keep)

@@ -122,10 +122,24 @@ def _where_sql(cols) -> str:
     return f"WHERE coalesce(CASE (SELECT filter_expr FROM rf) {cases} END, true)"
 
 
-def _governed_sql(user, tbl, cols, do_filter=True, do_mask=True):
-    sel = ", ".join(_mask_sql(c, k) if do_mask else c for c, k in cols)
+def _acl_sql(tbl: str) -> str:
+    from wardlake.plans.access_sql import decide_sql
+    return f""",
+acl_keys AS (SELECT u."user", 'select' AS access, 'tpch' AS db, '{tbl}' AS tbl, c.col FROM one_user u, tcols c),
+{decide_sql('acl_keys', prefix='a_')}"""
+
+
+def _governed_sql(user, tbl, cols, do_filter=True, do_mask=True, do_acl=False):
+    def one(c, k):
+        expr = _mask_sql(c, k) if do_mask else f"{c} AS {c}"
+        if not do_acl:
+            return expr
+        body = expr.rsplit(" AS ", 1)[0]
+        return f"CASE WHEN (SELECT allowed FROM a_decisions_x WHERE col = '{c}') THEN {body} END AS {c}"
+    sel = ", ".join(one(c, k) for c, k in cols)
     where = _where_sql(cols) if do_filter else ""
-    return with_cte(f"""{_resolution_sql(user, tbl, cols)}
+    acl = _acl_sql(tbl) if do_acl else ""
+    return with_cte(f"""{_resolution_sql(user, tbl, cols)}{acl}
 SELECT {sel} FROM {tbl} {where}""")
 
 
@@ -139,13 +153,13 @@ def q_column_mask(spark, sf_dir):
     return _governed(spark, sf_dir, "customer", reader(spark, sf_dir), row_filter=False, column_acl=False)
 
 
-@query("governed_read", lambda: _governed_sql(READER_SQL, "orders", ORDERS_COLS))
+@query("governed_read", lambda: _governed_sql(READER_SQL, "orders", ORDERS_COLS, do_acl=True))
 def q_governed_read(spark, sf_dir):
-    # The reader may select every orders column (checked by the decision
-    # rule); the oracle therefore projects all of them.
-    return _governed(spark, sf_dir, "orders", reader(spark, sf_dir))
+    # Columns the reader may not select come out as NULL, so the registered
+    # report keeps one schema whoever the reader is.
+    return _governed(spark, sf_dir, "orders", reader(spark, sf_dir), denied="null")
 
 
-@query("governed_read_customer", lambda: _governed_sql(READER_SQL, "customer", CUSTOMER_COLS))
+@query("governed_read_customer", lambda: _governed_sql(READER_SQL, "customer", CUSTOMER_COLS, do_acl=True))
 def q_governed_read_customer(spark, sf_dir):
-    return _governed(spark, sf_dir, "customer", reader(spark, sf_dir))
+    return _governed(spark, sf_dir, "customer", reader(spark, sf_dir), denied="null")
