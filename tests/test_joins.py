@@ -19,3 +19,12 @@ def test_attach_each_both_paths(spark):
         got = attach_each(big, small, limit=limit, buckets=4)
         assert got.count() == 150
         assert got.groupBy("u").agg(F.count("p").alias("n")).where("n != 3").count() == 0
+
+
+def test_column_family_round_trip(spark):
+    from wardlake.sources.sinks import from_column_families, to_column_families
+    df = spark.createDataFrame([("k1", "a", True), ("k2", "b", False)], "ad_id string, page string, clicked boolean")
+    fam = to_column_families(df, "ad_id", "analyst1")
+    assert fam.columns == ["rowkey", "analyst1"]
+    back = from_column_families(fam, "analyst1", "ad_id")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

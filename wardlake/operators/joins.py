@@ -25,10 +25,6 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int |
     return df.limit(limit + 1).count() <= limit
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
-
-
 def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
                 buckets: int = 64, bound: int | None = None) -> DataFrame:
     """Pair every row of ``big`` with every row of a short ``small`` list.

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.functions.globs import glob_to_regex
 from wardlake.operators import access
 from wardlake.operators.matching import match_paths
 from wardlake.plans import fixtures as fx

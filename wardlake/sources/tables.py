@@ -7,8 +7,6 @@ so every column pick and predicate still reaches the Parquet scan.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,20 +26,6 @@ def scan_parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _view_name(prefix: str, sf_dir: str) -> str:
-    return prefix + "_" + re.sub(r"[^0-9A-Za-z]+", "_", sf_dir.strip("/"))
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Temp views for every driver table, named per scale dir."""
-    names = {}
-    for t in TABLES:
-        v = _view_name(t, sf_dir)
-        scan_parquet(spark, sf_dir, t).createOrReplaceTempView(v)
-        names[t] = v
-    return names
-
-
 # --- staging views in the shape of the retail tables --------------------
 
 def staging_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,25 +108,6 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-IMPRESSION_SCHEMA = T.StructType(
-    [
-        T.StructField("request_begin_time", T.StringType()),
-        T.StructField("ad_id", T.StringType()),
-        T.StructField("impression_id", T.StringType()),
-        T.StructField("page", T.StringType()),
-        T.StructField("user_agent", T.StringType()),
-        T.StructField("user_cookie", T.StringType()),
-        T.StructField("ip_address", T.StringType()),
-        T.StructField("clicked", T.BooleanType()),
-    ]
-)
-
-PRODUCTS_DDL = (
-    "company STRING, link STRING, price DOUBLE, product_category STRING, "
-    "release_date STRING, sku STRING"
-)
-
-
 def create_database(spark: SparkSession, name: str, comment: str, props: dict[str, str]) -> None:
     """SNK-04: database with a comment and properties."""
     kv = ", ".join(f"'{k}'='{v}'" for k, v in props.items())
