@@ -1,7 +1,7 @@
 """Column masks as built-in expressions (no UDF: they stay in codegen).
 
 Mask types follow the public policy-engine names; the transforms use the
-public Hive/Spark mask semantics (letters and digits -> 'x' for the
+public SQL mask-function semantics (Spark's ``mask``) (letters and digits -> 'x' for the
 show-first/last kinds, other characters kept).
 """
 

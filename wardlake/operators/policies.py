@@ -325,7 +325,7 @@ def order_policies(orders: DataFrame, previous: bool = False) -> DataFrame:
         F.lit(0).alias("policyType"), F.lit(0).alias("policyPriority"), F.lit("").alias("description"),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("isAuditEnabled"),
         (F.col("o_orderstatus") != "P").alias("isEnabled"), F.lit(1).alias("version"),
-        F.lit("hdfs").alias("serviceType"), F.lit(False).alias("isDenyAllElse"),
+        F.lit("objectstore").alias("serviceType"), F.lit(False).alias("isDenyAllElse"),
         empty.alias("policyLabels"), res.alias("resources"), allow.alias("policyItems"),
         deny.alias("denyPolicyItems"), none_items.alias("allowExceptions"), none_items.alias("denyExceptions"),
         F.array().cast(T.ArrayType(MASK_ITEM)).alias("dataMaskPolicyItems"),

@@ -87,7 +87,7 @@ def staging_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ad-impression table (tblanalyst shape) derived from ``events``.
+    """The ad-impression table derived from ``events``.
 
     request_begin_time <- ts, ad_id <- props.k, impression_id <- event_id,
     page <- event_type, user_cookie <- user_id, clicked <- event_type='click',
@@ -120,7 +120,7 @@ def external_table(spark: SparkSession, name: str, ddl: str, location: str) -> D
     """SRC-03: declare a typed, unmanaged Parquet table at a location.
 
     The declared schema is used as is (no inference); columns missing in the
-    files read as NULL, as for a Hive external table.
+    files read as NULL, as for any external table.
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{location}'")
