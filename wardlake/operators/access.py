@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.joins import skew_safe_join
 from wardlake.operators.matching import match_resources
-from wardlake.session import cut_lineage
+from wardlake.session import BROADCAST_ROW_LIMIT, cut_lineage
 
 ACCESS_KINDS = ["allow", "deny", "allow_exception", "deny_exception"]
 
@@ -51,7 +51,7 @@ def access_heads(items: DataFrame, service: str) -> DataFrame:
 
 def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame,
            resources: DataFrame, level_opts: DataFrame, princ: DataFrame, service: str,
-           bound: int | None = None, stage: bool = True) -> DataFrame:
+           bound: int | None = None, stage: bool = True, items_bound: int | None = None) -> DataFrame:
     """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled.
 
     ``stage=False`` skips the Parquet stages, for a handful of keys built on
@@ -70,12 +70,16 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
     matched = cut(match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound))
     # Matched pairs are (distinct resources x fitting policies): small; the
     # key side is the larger one.
-    pairs = keys.join(matched, res_cols).select(*key_cols, "policy_id")
+    # A resource asked for by many keys, a user with many keys and a '*'
+    # policy fitting every key are all hot join keys: each join below puts
+    # the small side in a broadcast under a proven bound, or salts.
+    pairs = skew_safe_join(keys, matched, res_cols).select(*key_cols, "policy_id")
     it = (items.where((F.col("service") == service) & (F.col("policy_type") == 0) & F.col("is_enabled")
                       & F.col("is_allowed") & F.col("item_kind").isin(ACCESS_KINDS))
           .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
-    hits = (pairs.join(princ, "user")
-            .join(it, ["policy_id", "principal_kind", "principal", "access"])
+    hits = (skew_safe_join(pairs, princ, ["user"])
+            .join(F.broadcast(it) if items_bound is not None and items_bound <= BROADCAST_ROW_LIMIT else it,
+                  ["policy_id", "principal_kind", "principal", "access"])
             .groupBy(*key_cols, "policy_id")
             .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in ACCESS_KINDS]))
     per_pol = (pairs.join(hits, [*key_cols, "policy_id"], "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions.globs import glob_to_regex, has_wildcard
-from wardlake.operators.joins import attach_each, fits_broadcast
+from wardlake.operators.joins import attach_each, fits_broadcast, skew_safe_join
 
 
 def _level_rows(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str]) -> DataFrame:
@@ -61,7 +61,9 @@ def positive_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, st
     exact = (pos.where(~F.col("wild"))
              .select("policy_id", "level", F.when(F.col("ignore_case"), F.lower("pattern"))
                      .otherwise(F.col("pattern")).alias("norm")))
-    exact_hits = req.join(exact, ["level", "norm"]).select(*key_cols, "policy_id", "level")
+    # One literal value ('tpch' at the database level) is shared by most
+    # resources: a hot key, so the literal patterns join skew-safe.
+    exact_hits = skew_safe_join(req, exact, ["level", "norm"], bound=bound).select(*key_cols, "policy_id", "level")
     wild = (pos.where(F.col("wild"))
             .select("policy_id", "level", "pattern", glob_to_regex(F.col("pattern"), F.col("ignore_case")).alias("_re")))
     wild_hits = pattern_join(req.drop("norm"), wild, key_cols, bound=bound).select(*key_cols, "policy_id", "level")

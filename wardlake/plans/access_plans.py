@@ -35,7 +35,8 @@ def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY,
     items, res, opts = lake_inputs(spark, sf_dir)
     princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
     return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse",
-                         resource_bound(spark, sf_dir, "lakehouse"), stage=stage)
+                         resource_bound(spark, sf_dir, "lakehouse"), stage=stage,
+                         items_bound=resource_bound(spark, sf_dir, "items:lakehouse"))
 
 
 def request_keys(spark, sf_dir):

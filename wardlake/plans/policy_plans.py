@@ -69,13 +69,17 @@ def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         # Resource rows per service, recorded once: any pattern subset of a
         # service is bounded by it, so later broadcast checks need no job.
         counts = spark.read.parquet(f"{base}/resources").groupBy("service").count().collect()
+        icounts = spark.read.parquet(f"{base}/items_x").groupBy("service").count().collect()
         _BOUNDS[key] = {r["service"]: r["count"] for r in counts}
+        _BOUNDS[key].update({"items:" + r["service"]: r["count"] for r in icounts})
         _SNAPSHOTS[key] = base
     base = _SNAPSHOTS[key]
     return {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts")}
 
 
 def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int:
+    """Row count of the service's policy resources (and, with ``items:``
+    before the name, of its policy items) recorded with the snapshot."""
     policy_snapshot(spark, sf_dir)
     return _BOUNDS[(spark.sparkContext.applicationId, sf_dir)].get(service, 0)
 
