@@ -10,7 +10,7 @@ from wardlake.operators.matching import match_resources
 from wardlake.plans import fixtures as fx
 from wardlake.plans.access_plans import KEY, LAKE, RES, decide_keys, lake_inputs, request_keys, role_members_df
 from wardlake.plans.access_sql import decide_sql, principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, with_cte
+from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
 from wardlake.plans.registry import query
 
 TAGSET_COLS = (
@@ -106,7 +106,8 @@ def q_tag_policy_access(spark, sf_dir):
     res = snap["resources"].where(F.col("service") == "tags")
     princ = access.principals(tkeys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
     tdec = access.decide(tkeys, ["user", "access", "tag"], {"tag": "tag"}, items, res, snap["level_opts"],
-                         princ, "tags")
+                         princ, "tags", resource_bound(spark, sf_dir, "tags"),
+                         items_bound=resource_bound(spark, sf_dir, "items:tags"))
     tv = (keys.join(rt, RES).join(tdec, ["user", "access", "tag"])
           .groupBy(*KEY).agg(F.max(F.when(F.col("decision") == "DENY", 2)
                                    .when(F.col("decision") == "ALLOW", 1).otherwise(0)).alias("tv")))
