@@ -152,7 +152,7 @@ def q_effective_permissions(spark, sf_dir):
     users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
     grid = spark.createDataFrame([(r[1], r[2], r[3], a) for r in fx.RESOURCES for a in BASE_ACCESSES],
                                  "db string, tbl string, col string, access string")  # 43 x 7 fixed rows
-    keys = attach_each(users, grid).select(*KEY)
+    keys = attach_each(users, grid, bound=len(fx.RESOURCES) * len(BASE_ACCESSES)).select(*KEY)
     dec = decide_keys(spark, sf_dir, keys)
     return dec.where("allowed").select("user", "db", "tbl", "col", "access")
 
@@ -170,7 +170,7 @@ def q_metadata_visibility(spark, sf_dir):
     users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
     info = spark.createDataFrame(fx.INFO_SCHEMA_TABLES, "db string, tbl string, col string") \
         .withColumn("access", F.lit("select"))
-    keys = attach_each(users, info).select(*KEY)
+    keys = attach_each(users, info, bound=len(fx.INFO_SCHEMA_TABLES)).select(*KEY)
     return decide_keys(spark, sf_dir, keys).select("user", "db", "tbl", "col", "decision", "allowed")
 
 
