@@ -59,17 +59,15 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
     """
     cut = cut_lineage if stage else (lambda df: df)
     # The keys (a distinct over all requests) and the matched pairs are each
-    # read several times below: they are checkpointed into the shared folder
-    # once, so no branch recomputes the request scan and a lost executor
-    # does not replay it.
+    # read several times below: they are written once as Parquet stages in
+    # the shared folder, so no branch recomputes the request scan and a lost
+    # executor does not replay it.
     keys = cut(keys.select(*key_cols))
     heads = access_heads(items, service)
     res_cols = list(level_cols.values())
     res_keys = keys.select(*res_cols).distinct()
     access_res = resources.join(heads.select("policy_id"), "policy_id", "left_semi")
     matched = cut(match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound))
-    # Matched pairs are (distinct resources x fitting policies): small; the
-    # key side is the larger one.
     # A resource asked for by many keys, a user with many keys and a '*'
     # policy fitting every key are all hot join keys: each join below puts
     # the small side in a broadcast under a proven bound, or salts.
@@ -77,13 +75,15 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
     it = (items.where((F.col("service") == service) & (F.col("policy_type") == 0) & F.col("is_enabled")
                       & F.col("is_allowed") & F.col("item_kind").isin(ACCESS_KINDS))
           .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
+    # Policy items and heads are bounded by the service's item count,
+    # recorded with the policy snapshot; without that bound AQE decides.
+    small_items = items_bound is not None and items_bound <= BROADCAST_ROW_LIMIT
     hits = (skew_safe_join(pairs, princ, ["user"])
-            .join(F.broadcast(it) if items_bound is not None and items_bound <= BROADCAST_ROW_LIMIT else it,
-                  ["policy_id", "principal_kind", "principal", "access"])
+            .join(F.broadcast(it) if small_items else it, ["policy_id", "principal_kind", "principal", "access"])
             .groupBy(*key_cols, "policy_id")
             .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in ACCESS_KINDS]))
     per_pol = (pairs.join(hits, [*key_cols, "policy_id"], "left")
-               .join(F.broadcast(heads), "policy_id")
+               .join(F.broadcast(heads) if small_items else heads, "policy_id")
                .select(*key_cols, "policy_id", "priority", "is_audit_enabled",
                        (F.coalesce("allow", F.lit(False)) & ~F.coalesce("allow_exception", F.lit(False))).alias("a"),
                        (F.coalesce("deny", F.lit(False)) & ~F.coalesce("deny_exception", F.lit(False))).alias("d"),
