@@ -94,7 +94,8 @@ def match_resources(keys: DataFrame, key_cols: list[str], level_cols: dict[str,
     all_pols = pr.select("policy_id").distinct()
     hits = positive_hits(keys, key_cols, level_cols, pr, level_opts, service, bound)
     cand = (hits.groupBy(*key_cols, "policy_id").agg(F.count(F.lit(1)).alias("n_ok"))
-            .join(F.broadcast(n_pos), "policy_id").where(F.col("n_ok") == F.col("n_pos"))
+            .join(F.broadcast(n_pos) if fits_broadcast(n_pos, bound=bound) else n_pos, "policy_id")
+            .where(F.col("n_ok") == F.col("n_pos"))
             .select(*key_cols, "policy_id"))
     # Policies with only excludes levels: every key is a candidate.
     only_ex = all_pols.join(n_pos, "policy_id", "left_anti")
