@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import chat, exact_dedup, mixing, packing
+from wardlake.llm import chat, exact_dedup, html_text, mixing, near_dedup, packing, quality, token_counts
 from wardlake.llm.common import table
 
 OWN_CONVERSATION = -7
 OWN_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.decisions(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(F.lit(OWN_CONVERSATION).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -29,6 +41,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.mix(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -39,5 +55,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_chat_formatting, op8_mixing, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_html_text, op5_quality, op6_chat_formatting,
+                                  op7_token_counts, op8_mixing, op9_packing)}
 ORACLES = {"op2_exact_dedup": exact_dedup.SQL, "op6_chat_formatting": chat.SQL}
