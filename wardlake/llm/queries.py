@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import chat, exact_dedup, html_text, mixing, near_dedup, packing, quality, token_counts
+from wardlake.llm import (
+    chat,
+    exact_dedup,
+    html_text,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    toxicity,
+)
 from wardlake.llm.common import table
 
 OWN_CONVERSATION = -7
@@ -24,6 +35,17 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    count = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return got.select("doc_id", *count, "base_sha256", "spans")
+
+
+def _equals(value: int):
+    return lambda x: x == value
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.decisions(table(spark, sf_dir, "documents"))
 
@@ -55,6 +77,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_html_text, op5_quality, op6_chat_formatting,
-                                  op7_token_counts, op8_mixing, op9_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_html_text, op4_personal_data, op5_quality,
+                                  op6_chat_formatting, op7_token_counts, op8_mixing, op9_packing, op10_toxicity)}
 ORACLES = {"op2_exact_dedup": exact_dedup.SQL, "op6_chat_formatting": chat.SQL}
