@@ -41,16 +41,46 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], how: str =
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+#: Links that one task joins to trees in its memory.
+FOREST_LINKS = 250_000
+
+
+def _forest(batches):
+    """The links of one task as stars: every node with the least node that the task's links connect it to."""
+    import pyarrow as pa
+    up: dict[int, int] = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+            x, y = top(x), top(y)
+            up[max(x, y)] = min(x, y)
+    nodes = list(up)
+    for k in range(0, len(nodes), 50_000):
+        some = nodes[k:k + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([top(x) for x in some], pa.int64())],
+                                         names=["node", "label"])
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links`` (a, b): one row (node, label) for each linked node.
 
-    Every round takes the smallest label among a node's neighbours and then
-    the label of that label, so a chain of n nodes needs about log n rounds.
-    Labels are kept in written tables; only the count of changed rows reaches
-    the driver. The rounds end when nothing changes.
+    First every task turns at most about FOREST_LINKS links into stars, which keeps what they connect. If that
+    took several tasks, rounds over all stars follow: a node takes the smallest label among its neighbours and
+    then the label of that label, so a chain of n nodes needs about log n rounds. Labels are kept in written
+    tables; only counts reach the driver. The rounds end when nothing changes.
     """
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-        links.select(F.col("b").alias("u"), F.col("a").alias("v"))).filter("u <> v").distinct()
+    parts = -(-max(1, links.count()) // FOREST_LINKS)
+    stars = stage(links.select("a", "b").repartition(parts).mapInArrow(_forest, "node long, label long"), f"{name}-stars")
+    if parts == 1:
+        return stars
+    far = stars.filter("node <> label").withColumnsRenamed({"node": "u", "label": "v"})
+    both = far.unionByName(far.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     edges = stage(both, f"{name}-edges")
     labels = stage(edges.groupBy("u").agg(F.min("v").alias("m")).select(
         F.col("u").alias("node"), F.least("u", "m").alias("label")), f"{name}-labels")

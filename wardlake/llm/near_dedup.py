@@ -13,12 +13,14 @@ alone, and a document stops as soon as no later point can win a slot.
 Slots are cut into bands; texts that agree in a whole band meet in a bucket. Links are verified with the exact J.
 Equal texts are one node throughout. No bucket is turned into all its pairs:
 
-1. every bucket offers its least node against all others (two texts of one bucket, linear in its size);
-2. buckets whose members are still in several components offer the pairs across components, and only these;
-   while their number is above ``PAIRS_PER_MEMBER`` times the members left, one more leader per bucket is compared
-   with all members outside its component instead, which is linear again and lowers the number.
-
-So every pair that shares a bucket is either compared or already connected.
+1. in the first ``FIRST_BANDS`` bands every bucket offers its least node against all others, linear in its size;
+   this joins groups of near copies to components;
+2. over all bands, buckets whose members are still in several components are compared across components, and only
+   there. Members are dealt to chunks of about ``CHUNK`` by a hash, and two chunks meet in one block, whose task counts
+   shared shingles for all of the block together and gives out no pair but the links that connect something new.
+
+So every pair that shares a bucket is either compared or already connected, without a cap: a bucket of n texts that
+stay unlike takes (n / CHUNK)^2 / 2 blocks, each of bounded size.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ from wardlake.llm.common import components, row_key, salted_lookup, stage, text_
 
 WORDS = 5
 SIMILAR = 0.8
-BANDS, ROWS = 42, 6
-PAIRS_PER_MEMBER = 20
+BANDS, ROWS = 36, 7
+FIRST_BANDS = 6
+CHUNK = 256
+COLUMNS = 20_000
 #: Texts of a leader are copied once for so many partners.
 PARTNERS = 500
 HASH_ENTRIES = 400_000
@@ -205,60 +209,142 @@ def _links(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
         _verified(similar), "a long, b long, similarity double")
 
 
+def _in_buckets(signed: DataFrame, labels: DataFrame | None, first: int | None = None) -> DataFrame:
+    """(bucket, node, label) for all bands, or the first ones; a node without a label is its own component."""
+    if labels is None:
+        named = signed.withColumn("label", F.col("node"))
+    else:
+        named = signed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    bands = F.col("bands") if first is None else F.slice("bands", 1, first)
+    return named.select("node", "label", F.explode(bands).alias("bucket"))
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
+    """Per bucket of several nodes, the least against the others: distinct (a, b)."""
+    heads = stage(rows.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("most")).filter(
+        "a < most").select("bucket", "a"), "near-heads")
+    return salted_lookup(rows.select("bucket", F.col("node").alias("b")), heads, ["bucket"], "inner").filter(
+        "a <> b").select("a", "b").distinct()
+
+
+def _similar_pairs(sets: list[tuple[np.ndarray, np.ndarray]], similar: float) -> np.ndarray:
+    """Which of all pairs of a block can be similar: exact for texts without repeated shingles, a bound for others."""
+    m = len(sets)
+    size = np.array([w.sum() for _, w in sets], float)
+    plain = np.array([len(h) == w.sum() for h, w in sets])
+    every = np.concatenate([h for h, _ in sets])
+    owner = np.repeat(np.arange(m), [len(h) for h, _ in sets])
+    weight = np.concatenate([w for _, w in sets]).astype(np.float32)
+    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    column, owner, weight = column[shared], owner[shared], weight[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner, weight = column[order], owner[order], weight[order]
+    common = np.zeros((m, m))  # common[x, y]: weight in x of what x and y share
+    start = 0
+    while start < len(column):
+        stop = int(np.searchsorted(column, column[start] + COLUMNS))
+        at = np.unique(column[start:stop], return_inverse=True)[1]
+        has = np.zeros((m, at.max() + 1), np.float32)
+        has[owner[start:stop], at] = weight[start:stop]
+        common += has @ (has > 0).astype(np.float32).T
+        start = stop
+    share = common / np.maximum(size, 1)[:, None]
+    good = np.minimum(share, share.T) >= similar - 1e-6
+    both = plain[:, None] & plain[None, :]
+    jaccard = common / np.maximum(1, size[:, None] + size[None, :] - common)
+    return np.where(both, jaccard >= similar - 1e-6, good)
+
+
+def _block_links(nodes: list[int], labels: list[int], chunks: list[int], texts: list[str], two: bool,
+                 similar: float) -> list[tuple[int, int, float]]:
+    """The links of a block that connect components not yet connected in it."""
+    sets = [shingles(t) for t in texts]
+    up: dict[int, int] = {}
+
+    def top(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    may = _similar_pairs(sets, similar) if len(sets) > 2 else np.ones((len(sets), len(sets)), bool)
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(may, 1))):
+        if two and chunks[i] == chunks[j]:
+            continue  # met in a block of their own
+        x, y = top(labels[i]), top(labels[j])
+        if x != y:
+            s = probability_jaccard(sets[i], sets[j])
+            if s >= similar - 1e-12:
+                up[max(x, y)] = min(x, y)
+                out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), s))
+    return out
+
+
+def _blocks(similar: float):
+    """Rows of a partition, sorted by block: one block in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def links():
+            if len({r[1] for r in rows}) < 2:
+                return []
+            nodes, labels, chunks, texts = map(list, zip(*rows))
+            return _block_links(nodes, labels, chunks, texts, key[1] != key[2], similar)
+
+        def given(found):
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(
+                (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])
+
+        for b in batches:
+            names = ("bucket", "low", "high", "node", "label", "chunk", "text")
+            found = []
+            for bucket, low, high, *row in zip(*(b.column(n).to_pylist() for n in names)):
+                if (bucket, low, high) != key:
+                    found += links() if rows else []
+                    key, rows = (bucket, low, high), []
+                rows.append(row)
+            yield given(found)
+        yield given(links() if rows else [])
+
+    return run
+
+
+def _links_across(rows: DataFrame, texts_of, similar: float) -> DataFrame | None:
+    """Links between components among the members (bucket, node, label) of all buckets; None if no bucket is mixed."""
+    parts = rows.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
+    mixed = stage(parts.filter("least < most").select(
+        "bucket", F.ceil(F.col("n") / F.lit(float(CHUNK))).cast("long").alias("of")), "near-mixed")
+    waiting = stage(rows.join(mixed, "bucket"), "near-waiting")
+    if waiting.limit(1).count() == 0:
+        return None
+    dealt = waiting.withColumn("chunk", F.pmod(F.xxhash64("node"), "of")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1))).withColumn(
+        "low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
+    texts = stage(texts_of(waiting.select("node").distinct()), "near-texts")
+    blocks = dealt.join(texts, "node").select("bucket", "low", "high", "node", "label", "chunk", "text")
+    return stage(blocks.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high").mapInArrow(
+        _blocks(similar), "a long, b long, similarity double"), "near-links")
+
+
 def near_links(signed: DataFrame, texts_of, similar: float = SIMILAR) -> tuple[DataFrame | None, DataFrame | None]:
     """Links (a, b, similarity) that connect all similar nodes, and their components (node, label).
 
     ``signed`` has (node, bands), one row per distinct text; ``texts_of(nodes)`` gives (node, text) for a table of
-    nodes. (None, None) if no two texts share a bucket.
+    nodes. (None, None) if no two texts are similar.
     """
-    rows = signed.select("node", F.explode("bands").alias("bucket"))
-    buckets = stage(rows.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
-        "least < most").select("bucket", "least"), "near-buckets")
-    members = stage(rows.join(buckets, "bucket"), "near-members")
-    if members.limit(1).count() == 0:
-        return None, None
-    texts = stage(texts_of(members.select("node").distinct()), "near-texts")
-    tried = stage(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(),
-                  "near-pairs")
-    links = stage(_links(tried, texts, similar), "near-links")
-    led = members.select("bucket", F.col("least").alias("leader")).distinct()
-    while True:
-        labels = components(links, "near") if links.limit(1).count() else None
-        known = members.select("bucket", "node")
-        known = (known.withColumn("label", F.col("node")) if labels is None else
-                 known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        waiting = known.join(led.withColumnRenamed("leader", "node"), ["bucket", "node"], "left_anti")
-        # members whose bucket still has a pair across components that no leader was part of
-        parts = waiting.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        still = stage(parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
-                                                  F.count("*").alias("parts")).filter("parts > 1"), "near-open")
-        total = still.agg(F.sum("n"), F.sum(F.expr("(n * n - within) div 2"))).first()  # two numbers
-        if total[0] is None:
-            return links, labels
-        open_rows = stage(waiting.join(still.select("bucket"), "bucket"), "near-waiting")
-        if total[1] <= PAIRS_PER_MEMBER * total[0]:
-            right = open_rows.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-            pairs = open_rows.withColumnRenamed("node", "a").join(right, "bucket").filter("a < b AND label <> label_b")
-            done = True
-        else:
-            heads = open_rows.groupBy("bucket").agg(F.min(F.struct("node", "label")).alias("h")).select(
-                "bucket", F.col("h.node").alias("a"), F.col("h.label").alias("label_a"))
-            led = stage(led.unionByName(heads.select("bucket", F.col("a").alias("leader"))), "near-led")
-            pairs = salted_lookup(open_rows.withColumnRenamed("node", "b"), heads, ["bucket"], "inner").filter(
-                "a <> b AND label <> label_a")
-            done = False
-        new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        old = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        new = stage(new.join(old, ["a", "b"], "left_anti"), "near-pairs")
-        tried = tried.unionByName(new)
-        if new.limit(1).count():
-            more = stage(_links(new, texts, similar), "near-links")
-            found = more.limit(1).count() > 0
-            links = links.unionByName(more)
-        else:
-            found = False
-        if done:
-            return links, components(links, "near") if found else labels
+    links, labels = None, None
+    first = stage(_leader_pairs(_in_buckets(signed, None, FIRST_BANDS)), "near-pairs")
+    if first.limit(1).count():
+        texts = stage(texts_of(first.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-texts")
+        links = stage(_links(first, texts, similar), "near-links")
+        labels = components(links, "near")
+    more = _links_across(_in_buckets(signed, labels), texts_of, similar)
+    if more is not None:
+        links = more if links is None else links.unionByName(more)
+        labels = components(links, "near")
+    return links, labels
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR,
