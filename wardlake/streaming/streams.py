@@ -31,16 +31,14 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
 
 
 def run(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-        available_now: bool = True, processing_time: str | None = None, timeout_s: int = 600) -> None:
+        available_now: bool = True, processing_time: str | None = None) -> None:
+    """Run ``stream``; with ``available_now`` until all input there is has been processed, however long, and an
+    error of the query is raised: a part of the result never passes for the whole."""
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-        if q.exception():
-            raise RuntimeError(str(q.exception()))
+        q.awaitTermination()
 
 
 def batch_writer(out: str, fmt: str = "parquet"):
@@ -109,7 +107,7 @@ def stream_audit_summary(spark: SparkSession, stream: DataFrame, decisions: Data
 
     w = agg.writeStream.outputMode("update").foreachBatch(fn).option("checkpointLocation", checkpoint)
     q = w.trigger(availableNow=True).start()
-    q.awaitTermination(600)
+    q.awaitTermination()
     keys = ["user", "db", "tbl", "col", "access", "decision", "w"]
     allb = spark.read.parquet(out)
     vals = ["n_events", "first_ts", "last_ts"]
