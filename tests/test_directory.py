@@ -46,3 +46,11 @@ def test_first_rdn(spark):
     df = spark.createDataFrame([("cn=Bob,OU=Users,DC=x",)], "dn string")
     r = df.select(d.dn_first_rdn(F.col("dn")), d.under_base(F.col("dn"), "ou=users,dc=x")).first()
     assert r[0] == "Bob" and r[1] is True
+
+
+def test_folded_encoded_and_empty_values(spark, tmp_path):
+    p = tmp_path / "in.ldf"
+    p.write_text("dn: CN=long,OU=Us\n ers,DC=x\nchangetype: add\ncn:: w6k=\nmail:\nnote: a: b\n")
+    e = d.parse_entries(d.read_ldif(spark, str(p))).first()
+    assert e.dn == "CN=long,OU=Users,DC=x"
+    assert (e.attributes["cn"], e.attributes["mail"], e.attributes["note"]) == (["é"], [""], ["a: b"])

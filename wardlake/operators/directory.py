@@ -19,15 +19,24 @@ def read_ldif(spark: SparkSession, path: str) -> DataFrame:
             .select(F.trim(F.col("value")).alias("record"), F.monotonically_increasing_id().alias("seq")))
 
 
+def _value(line):
+    """``attr: text``, ``attr:: base64`` or ``attr:`` (an empty value)."""
+    text = F.regexp_extract(line, r"^[^:]*::? *(.*)$", 1)
+    return F.when(line.rlike("^[^:]*::"), F.try_to_binary(text, F.lit("base64")).cast("string")).otherwise(text)
+
+
 def _kv(lines):
     return F.transform(
         F.filter(lines, lambda x: (x != "") & (x != "-") & ~x.startswith("#")),
-        lambda x: F.struct(F.split(x, ": ", 2)[0].alias("k"), F.split(x, ": ", 2)[1].alias("v")))
+        lambda x: F.struct(F.regexp_extract(x, "^[^:]*", 0).alias("k"), _value(x).alias("v")))
 
 
 def parse_entries(records: DataFrame) -> DataFrame:
-    """DIR-01: (seq, dn, changetype, op, op_attr, attributes map<key, array<value>>)."""
-    lines = F.split(F.col("record"), "\n")
+    """DIR-01: (seq, dn, changetype, op, op_attr, attributes map<key, array<value>>).
+
+    A line that begins with a space continues the one before.
+    """
+    lines = F.split(F.regexp_replace("record", "\r?\n ", ""), "\r?\n")
     kv = _kv(lines)
     keys = F.array_distinct(F.transform(kv, lambda x: F.lower(x["k"])))
     attrs = F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(

@@ -101,18 +101,19 @@ def read_export(spark: SparkSession, path: str | list[str], multi_line: bool = T
 
     A single pretty-printed export is read with ``multiLine`` (one document
     per file); a large store is kept as JSON Lines (one export per line),
-    which splits across tasks.
+    which splits across tasks. A malformed document raises: a lost policy
+    could be a lost deny.
     """
-    docs = spark.read.schema(EXPORT).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
+    docs = spark.read.schema(EXPORT).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
     return docs.select(F.explode("policies").alias("p")).select("p.*")
 
 
 def read_legacy(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LEGACY).json(path)
+    return spark.read.schema(LEGACY).option("mode", "FAILFAST").json(path)
 
 
 def read_servicedefs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SERVICEDEF).json(path)
+    return spark.read.schema(SERVICEDEF).option("mode", "FAILFAST").json(path)
 
 
 # ---------------------------------------------------------------------------

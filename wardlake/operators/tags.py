@@ -30,7 +30,7 @@ TAGSET = T.StructType([
 
 
 def read_tagsets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TAGSET).json(path)
+    return spark.read.schema(TAGSET).option("mode", "FAILFAST").json(path)
 
 
 def latest_tagsets(ts: DataFrame) -> DataFrame:
