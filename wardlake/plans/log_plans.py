@@ -63,7 +63,7 @@ def _pieces():
         ("line", "CAST(o_orderkey % 50 + 100 AS VARCHAR)"), ") - ",
     ]
     call = [
-        "<== PolicyService.", ("kind", sql_kind), "Policy(Policy={id={", ("key", "CAST(o_orderkey AS VARCHAR)"),
+        f"<== {pl.CALL_PREFIX}.", ("kind", sql_kind), "Policy(StorePolicy={id={", ("key", "CAST(o_orderkey AS VARCHAR)"),
         "} guid={ord-", ("key", "CAST(o_orderkey AS VARCHAR)"), "} isEnabled={true} service={",
         ("service", f"CASE WHEN {sql_objs} THEN 'objectstore' ELSE 'catalog' END"),
         "} name={order ", ("key", "CAST(o_orderkey AS VARCHAR)"), "} policyType={0} resources={", ("res", sql_res),
@@ -71,7 +71,7 @@ def _pieces():
         "PolicyItemAccess={type={write} isAllowed={", ("w", sql_w), "} }} users={} groups={", ("grp", sql_grp),
         "} conditions={} delegateAdmin={false} }} denyPolicyItems={} allowExceptions={}})",
     ]
-    entry = ["==> PolicyService.", ("kind", sql_kind), "Policy(id={", ("key", "CAST(o_orderkey AS VARCHAR)"), "})"]
+    entry = [f"==> {pl.CALL_PREFIX}.", ("kind", sql_kind), "Policy(id={", ("key", "CAST(o_orderkey AS VARCHAR)"), "})"]
     return head, call, entry
 
 
@@ -141,17 +141,17 @@ def q_parse_log_header(spark, sf_dir):
 
 
 @query("filter_contains", lambda: _cte(
-    "SELECT line_id % 2 AS is_entry, o_orderkey AS policy_id FROM hdr WHERE contains(g7, 'PolicyService.updatePolicy')"))
+    "SELECT line_id % 2 AS is_entry, o_orderkey AS policy_id FROM hdr WHERE contains(g7, 'ServiceREST.updatePolicy')"))
 def q_filter_contains(spark, sf_dir):
     p = parsed_log(spark, sf_dir)
-    f = p.where(pl.contains_call(F.col("message"), "PolicyService.updatePolicy"))
+    f = p.where(pl.contains_call(F.col("message"), "ServiceREST.updatePolicy"))
     return f.select(F.when(F.col("message").startswith("==>"), 1).otherwise(0).cast("bigint").alias("is_entry"),
                     F.coalesce("policy_id", F.regexp_extract("message", r"id=\{(\d+)\}", 1).cast("long"))
                     .alias("policy_id"))
 
 
 @query("filter_positional_words", lambda: _cte("""
-SELECT o_orderkey AS policy_id, regexp_extract(g7, 'PolicyService\\.(\\w+)Policy\\(', 1) AS kind FROM hdr
+SELECT o_orderkey AS policy_id, regexp_extract(g7, 'ServiceREST\\.(\\w+)Policy\\(', 1) AS kind FROM hdr
 WHERE string_split_regex(value, ' +')[8] = '<=='
 """))
 def q_filter_positional(spark, sf_dir):
@@ -195,7 +195,7 @@ def q_extract_policy_fields(spark, sf_dir):
 
 
 @query("policy_event_kinds", lambda: _cte("""
-SELECT regexp_extract(g7, 'PolicyService\\.(\\w+)Policy\\(', 1) AS kind, count(*) AS n FROM hdr
+SELECT regexp_extract(g7, 'ServiceREST\\.(\\w+)Policy\\(', 1) AS kind, count(*) AS n FROM hdr
 WHERE string_split_regex(value, ' +')[8] = '<==' GROUP BY 1
 """))
 def q_policy_event_kinds(spark, sf_dir):
@@ -297,13 +297,22 @@ def q_upsert_grants(spark, sf_dir):
     return _flat(_upserted(spark, sf_dir))
 
 
+DOC_SIZE = 1000
+
+
+def _json_list(c: str) -> str:
+    return f"""'["' || replace({c}, ',', '","') || '"]'"""
+
+
 @query("collect_statements", lambda: _stmt_sql() + f"""
-SELECT policy_doc, CAST(floor(CAST(sid AS BIGINT) / {pl.DOC_SIZE}) AS BIGINT) AS doc_no, CAST(count(*) AS INTEGER) AS n_statements,
-       string_agg(sid, ',' ORDER BY CAST(sid AS BIGINT)) AS sids
+SELECT policy_doc, CAST(sid AS BIGINT) // {DOC_SIZE} AS doc_no, CAST(count(*) AS INTEGER) AS n_statements,
+       string_agg(sid, ',' ORDER BY CAST(sid AS BIGINT)) AS sids,
+       '{{"Version":"2012-10-17","Statement":[' || string_agg(
+         '{{"Sid":"' || sid || '","Effect":"' || effect || '","Action":' || {_json_list('actions')}
+         || ',"Resource":' || {_json_list('resources')} || '}}', ',' ORDER BY CAST(sid AS BIGINT)) || ']}}' AS document
 FROM st GROUP BY 1, 2""")
 def q_collect_statements(spark, sf_dir):
-    docs = pl.collect_statements(_upserted(spark, sf_dir))
-    return docs.select("policy_doc", F.col("doc_no").cast("long").alias("doc_no"), "n_statements", "sids")
+    return pl.collect_statements(_upserted(spark, sf_dir), DOC_SIZE)
 
 
 @query("decode_log_envelope", lambda: f"WITH {lines_sql()} SELECT CAST(line_id AS VARCHAR) AS event_id, value AS message "
