@@ -26,6 +26,7 @@ def res(pid, level, pattern, excludes=False):
 # policy 4: t3.* deny-all-else, allow user u5 select
 # policy 5: tables except t1 (excludes), allow public update
 # policy 6: disabled, t1.* allow public drop
+# policy 8: t4.* deny-all-else without any item
 ITEMS = [
     item(1, "allow", "group", "g1", "select"), item(1, "allow_exception", "user", "u9", "select"),
     item(2, "deny", "group", "g2", "select"), item(2, "deny_exception", "user", "u8", "select"),
@@ -34,6 +35,7 @@ ITEMS = [
     item(5, "allow", "group", "public", "update"),
     item(6, "allow", "group", "public", "drop", enabled=False),
     item(7, "allow", "group", "g2", "select"),
+    (8, S, 0, 0, True, True, True, None, None, None, None, None, None),
 ]
 RES = [
     res(1, "table", "t1"), res(1, "column", "*"),
@@ -43,6 +45,7 @@ RES = [
     res(5, "table", "t1", excludes=True),
     res(6, "table", "t1"),
     res(7, "table", "t2"),
+    res(8, "table", "t4"),
 ]
 MEMBERS = [("u1", "g1"), ("u2", "g2"), ("u3", "g3"), ("u8", "g2"), ("u9", "g1"), ("u12", "g1"), ("u12", "g2")]
 
@@ -61,6 +64,7 @@ TRUTH = [
     ("u1", "update", "t2", "a", "ALLOW", 5),            # excludes: t2 is not t1
     ("u1", "update", "t1", "a", "NOT_DETERMINED", None),  # excludes: t1 excluded
     ("u1", "drop", "t1", "a", "NOT_DETERMINED", None),  # disabled policy ignored
+    ("u1", "select", "t4", "a", "DENY", 8),             # deny-all-else of a policy without items
     ("u7", "select", "t9", "a", "NOT_DETERMINED", None),  # nothing fits
 ]
 

@@ -35,3 +35,14 @@ def test_ancestors(spark):
     df = spark.createDataFrame([("/a/b/c",), ("/",), ("/a/",)], "path string")
     got = [sorted(r[0]) for r in df.select(path_ancestors("path")).collect()]
     assert got == [sorted(["/a/b/c", "/a/b", "/a", "/"]), ["/"], sorted(["/a", "/"])]
+
+
+def test_excluded_paths(spark):
+    from wardlake.operators.matching import match_paths
+    reqs = spark.createDataFrame([(1, "/a/b"), (2, "/a"), (3, "/c/d"), (4, "/x/1/y")], "id int, path string")
+    res = spark.createDataFrame(
+        [(1, "s", "path", "/a", True, True), (1, "s", "path", "/x/*", True, True), (2, "s", "path", "/a", True, False),
+         (3, "s", "path", "/c", False, True)],
+        "policy_id int, service string, level string, pattern string, excludes boolean, recursive boolean")
+    got = sorted((r.policy_id, r.id, r.pattern) for r in match_paths(reqs, ["id"], res, "s").collect())
+    assert got == [(1, 3, None), (2, 1, None), (2, 3, None), (2, 4, None), (3, 3, "/c")]

@@ -19,3 +19,12 @@ def test_path_without_scheme_is_taken_whole(spark):
     fields = spark.createDataFrame([("t", 1, "objectstore", "update", 7, "g", "true", "false", "s3://b/x plain/y")], cols)
     r = pl.grants_object_store(fields).first()
     assert [a.removeprefix(pl.ARN_PREFIX) for a in r.resources] == ["b/x", "plain/y"]
+
+
+def test_a_policy_without_items_keeps_its_header(spark, tmp_path):
+    p = tmp_path / "e.json"
+    p.write_text('{"policies": [{"id": 5, "service": "s", "isDenyAllElse": true}, '
+                 '{"id": 6, "service": "s", "policyItems": [{"users": ["u"]}]}]}')
+    rows = pol.v2_items(pol.read_export(spark, str(p))).orderBy("policy_id").collect()
+    assert [(r.policy_id, r.deny_all_else, r.item_kind, r.principal, r.access) for r in rows] == [
+        (5, True, None, None, None), (6, False, "allow", "u", None)]

@@ -51,9 +51,12 @@ def access_heads(items: DataFrame, service: str) -> DataFrame:
 
 def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame,
            resources: DataFrame, level_opts: DataFrame, princ: DataFrame, service: str,
-           bound: int | None = None, stage: bool = True, items_bound: int | None = None) -> DataFrame:
+           bound: int | None = None, stage: bool = True, items_bound: int | None = None,
+           matched: DataFrame | None = None) -> DataFrame:
     """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled.
 
+    ``matched`` (resource columns, policy_id) stands in for resource matching where another matcher decides what a
+    policy covers, as for paths.
     ``stage=False`` skips the Parquet stages, for a handful of keys built on
     the driver (a governed read asks about one table's columns).
     """
@@ -65,9 +68,11 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
     keys = cut(keys.select(*key_cols))
     heads = access_heads(items, service)
     res_cols = list(level_cols.values())
-    res_keys = keys.select(*res_cols).distinct()
-    access_res = resources.join(heads.select("policy_id"), "policy_id", "left_semi")
-    matched = cut(match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound))
+    if matched is None:
+        res_keys = keys.select(*res_cols).distinct()
+        access_res = resources.join(heads.select("policy_id"), "policy_id", "left_semi")
+        matched = match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound)
+    matched = cut(matched)
     # A resource asked for by many keys, a user with many keys and a '*'
     # policy fitting every key are all hot join keys: each join below puts
     # the small side in a broadcast under a proven bound, or salts.

@@ -18,11 +18,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int |
     ``bound`` is a known upper bound of the row count (for example the row
     count of the table ``df`` was filtered from, recorded when that table was
     written); when it is under the limit no job is needed. Otherwise the
-    check reads at most limit+1 rows.
+    rows are counted: partial counts per task, one number each to the last.
     """
     if bound is not None and bound <= limit:
         return True
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,

@@ -131,39 +131,41 @@ def path_ancestors(path_col: str = "path"):
                          F.array(F.lit("/")))
 
 
-def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, service: str) -> DataFrame:
+def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, service: str,
+                bound: int | None = None) -> DataFrame:
     """(key..., policy_id, pattern): request path fits a path policy.
 
-    Exact recursive paths: explode the request's ancestors and equi join
-    (a shuffle join on the prefix; no theta join). Exact non-recursive
-    paths: equality. Wildcard paths (few): regex, broadcast behind a check.
-    A recursive wildcard path also covers children (``pattern/...``).
+    Exact recursive paths: the request's ancestors equi join the prefixes. Exact non-recursive paths: equality.
+    Wildcard paths (few): regex; a recursive one also covers children (``pattern/...``). A policy whose paths are
+    excluded (``isExcludes``) fits the requests that none of its paths covers, with a NULL pattern. A prefix or a path
+    that covers most requests is a hot key: those joins are broadcast under a bound or salted.
     """
-    pr = (resources.where((F.col("service") == service) & (F.col("level") == "path") & ~F.col("excludes"))
+    pr = (resources.where((F.col("service") == service) & (F.col("level") == "path"))
           .withColumn("pattern", F.regexp_replace("pattern", "(.)/+$", "$1"))
           .withColumn("wild", has_wildcard(F.col("pattern"))))
+    out = [*key_cols, "policy_id", "excludes", "pattern"]
     anc = (reqs.select(*key_cols, "path", F.explode(path_ancestors("path")).alias("prefix"))
            .withColumn("depth", _depth("prefix")))
     rec = (pr.where(~F.col("wild") & F.col("recursive"))
-           .select("policy_id", F.col("pattern").alias("prefix")).withColumn("depth", _depth("prefix")))
+           .select("policy_id", "excludes", F.col("pattern").alias("prefix")).withColumn("depth", _depth("prefix")))
     # Shallow prefixes ('/', '/en') are few in any store but cover most
-    # requests: a shuffle join on them would send every request under '/en'
-    # to one task. They are joined by broadcast (after a size check); deep
-    # prefixes, as many as the store, by a shuffle join on the prefix.
-    shallow = rec.where(F.col("depth") <= SHALLOW_DEPTH)
-    deep = rec.where(F.col("depth") > SHALLOW_DEPTH)
-    sh = F.broadcast(shallow) if fits_broadcast(shallow) else shallow
-    rec_hits = (anc.where(F.col("depth") <= SHALLOW_DEPTH).join(sh, ["prefix", "depth"])
-                .unionByName(anc.where(F.col("depth") > SHALLOW_DEPTH).join(deep, ["prefix", "depth"]))
-                .select(*key_cols, "policy_id", F.col("prefix").alias("pattern")))
-    flat = pr.where(~F.col("wild") & ~F.col("recursive")).select("policy_id", F.col("pattern").alias("path"))
-    flat_hits = reqs.select(*key_cols, "path").join(flat, "path").select(*key_cols, "policy_id",
-                                                                          F.col("path").alias("pattern"))
+    # requests: they are joined apart from the deep ones, as many as the store.
+    shallow, deep = F.col("depth") <= SHALLOW_DEPTH, F.col("depth") > SHALLOW_DEPTH
+    hits = (skew_safe_join(anc.where(shallow), rec.where(shallow), ["prefix", "depth"])
+            .unionByName(skew_safe_join(anc.where(deep), rec.where(deep), ["prefix", "depth"]))
+            .withColumnRenamed("prefix", "pattern").select(*out))
+    flat = (pr.where(~F.col("wild") & ~F.col("recursive"))
+            .select("policy_id", "excludes", "pattern", F.col("pattern").alias("path")))
+    hits = hits.unionByName(skew_safe_join(reqs.select(*key_cols, "path"), flat, ["path"]).select(*out))
     wild = pr.where(F.col("wild")).select(
-        "policy_id", "pattern", F.lit("path").alias("level"),
+        "policy_id", "excludes", "pattern", F.lit("path").alias("level"),
         F.when(F.col("recursive"),
                F.concat(F.regexp_replace(glob_to_regex(F.col("pattern")), r"\$$", ""), F.lit("(/.*)?$")))
         .otherwise(glob_to_regex(F.col("pattern"))).alias("_re"))
     wreq = reqs.select(*key_cols, F.lit("path").alias("level"), F.col("path").alias("value"))
-    wild_hits = pattern_join(wreq, wild, key_cols).select(*key_cols, "policy_id", "pattern")
-    return rec_hits.unionByName(flat_hits).unionByName(wild_hits).distinct()
+    hits = hits.unionByName(pattern_join(wreq, wild, key_cols).select(*out)).distinct()
+    excluding = pr.where("excludes").select("policy_id").distinct()
+    outside = (attach_each(reqs.select(*key_cols), excluding, bound=bound)
+               .join(hits.where("excludes").select(*key_cols, "policy_id"), [*key_cols, "policy_id"], "left_anti")
+               .withColumn("pattern", F.lit(None).cast("string")))
+    return hits.where(~F.col("excludes")).drop("excludes").unionByName(outside)

@@ -174,18 +174,22 @@ def _v2_header(p: DataFrame) -> list[Column]:
 
 
 def _flatten_items(df: DataFrame) -> DataFrame:
-    """(header..., it) -> one row per (item, principal, access)."""
+    """(header..., it) -> one row per (item, principal, access).
+
+    A policy without items, and an item without principals or accesses, keeps one row with NULL in their columns:
+    its header still decides (``deny_all_else``).
+    """
     return (
-        df.select(*HEADER_COLS, F.explode("_items").alias("it"))
+        df.select(*HEADER_COLS, F.explode_outer("_items").alias("it"))
         .select(*HEADER_COLS, "it.item_kind", "it.item_no", "it.delegate_admin", "it.mask_type",
                 "it.condition_expr", "it.value_expr", "it.filter_expr",
-                F.explode(_principals(F.col("it.users"), F.col("it.groups"), F.col("it.roles"))).alias("pr"),
+                F.explode_outer(_principals(F.col("it.users"), F.col("it.groups"), F.col("it.roles"))).alias("pr"),
                 F.col("it.accesses").alias("accesses"))
         .select(*HEADER_COLS, "item_kind", "item_no", F.col("pr.kind").alias("principal_kind"),
-                F.col("pr.name").alias("principal"), F.explode("accesses").alias("acc"),
+                F.col("pr.name").alias("principal"), F.explode_outer("accesses").alias("acc"),
                 "delegate_admin", "mask_type", "condition_expr", "value_expr", "filter_expr")
         .select(*HEADER_COLS, "item_kind", "item_no", "principal_kind", "principal",
-                F.col("acc.type").alias("access"), F.coalesce("acc.isAllowed", F.lit(True)).alias("is_allowed"),
+                F.col("acc.type").alias("access"), F.when(F.col("acc").isNotNull(), F.coalesce("acc.isAllowed", F.lit(True))).alias("is_allowed"),
                 "delegate_admin", "mask_type", "condition_expr", "value_expr", "filter_expr")
     )
 
@@ -273,7 +277,7 @@ def expand_implied(items: DataFrame, grants: DataFrame) -> DataFrame:
 
 
 def delegate_admins(items: DataFrame) -> DataFrame:
-    return (items.where("delegate_admin AND item_kind = 'allow' AND is_enabled")
+    return (items.where("delegate_admin AND item_kind = 'allow' AND is_enabled AND principal IS NOT NULL")
             .select("policy_id", "service", "principal_kind", "principal").distinct())
 
 

@@ -36,6 +36,13 @@ def decide_sql(keys_cte: str, levels=LAKE_LEVELS, service: str = "lakehouse", pr
     return sql
 
 
+def decide_matched_sql(keys_cte: str, rc: list[str], service: str) -> str:
+    """The same from given ``matched(<resource columns>, policy_id)``."""
+    sql = _decide_sql(keys_cte, [("-", c) for c in rc], service)
+    head = sql[sql.index("heads AS"):sql.index("pres AS")]
+    return head + sql[sql.index("its AS"):]
+
+
 def _decide_sql(keys_cte: str, levels, service: str) -> str:
     rc = [c for _, c in levels]
     rcs = ", ".join(rc)

@@ -9,8 +9,8 @@ from wardlake.operators import access
 from wardlake.operators.matching import match_paths
 from wardlake.plans import fixtures as fx
 from wardlake.plans.access_plans import request_keys, role_members_df
-from wardlake.plans.access_sql import principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, with_cte
+from wardlake.plans.access_sql import decide_matched_sql, principals_sql
+from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
 from wardlake.plans.registry import query
 from wardlake.session import cut_lineage
 from wardlake.sources.tables import scan_parquet
@@ -71,8 +71,8 @@ def _path_cte(body: str, enabled_only: bool) -> str:
     en = "AND policy_id IN (SELECT policy_id FROM items WHERE is_enabled)" if enabled_only else ""
     return with_cte(f""",
 preqs AS ({PATH_REQS_SQL}),
-ppol AS (SELECT DISTINCT policy_id, regexp_replace(pattern, '(.)/+$', '\\1') AS pattern, recursive FROM resources
-         WHERE service = 'objectstore' AND level = 'path' AND NOT excludes {en}),
+ppol AS (SELECT DISTINCT policy_id, regexp_replace(pattern, '(.)/+$', '\\1') AS pattern, recursive, excludes
+         FROM resources WHERE service = 'objectstore' AND level = 'path' {en}),
 panc AS (
   SELECT request_id, path, '/' AS prefix FROM preqs
   UNION
@@ -80,16 +80,22 @@ panc AS (
   FROM (SELECT request_id, path, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM preqs),
        LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS k)
 ),
-pmatch AS (
-  SELECT a.request_id, p.policy_id, p.pattern FROM panc a JOIN ppol p ON a.prefix = p.pattern
+phit AS (
+  SELECT a.request_id, p.policy_id, p.pattern, p.excludes FROM panc a JOIN ppol p ON a.prefix = p.pattern
   WHERE p.recursive AND NOT (contains(p.pattern, '*') OR contains(p.pattern, '?'))
   UNION
-  SELECT r.request_id, p.policy_id, p.pattern FROM preqs r JOIN ppol p ON r.path = p.pattern
+  SELECT r.request_id, p.policy_id, p.pattern, p.excludes FROM preqs r JOIN ppol p ON r.path = p.pattern
   WHERE NOT p.recursive AND NOT (contains(p.pattern, '*') OR contains(p.pattern, '?'))
   UNION
-  SELECT r.request_id, p.policy_id, p.pattern FROM preqs r,
+  SELECT r.request_id, p.policy_id, p.pattern, p.excludes FROM preqs r,
     (SELECT * FROM ppol WHERE contains(pattern, '*') OR contains(pattern, '?')) p
   WHERE r.path GLOB p.pattern OR (p.recursive AND r.path GLOB p.pattern || '/*')
+),
+pmatch AS (
+  SELECT request_id, policy_id, pattern FROM phit WHERE NOT excludes
+  UNION ALL
+  SELECT r.request_id, x.policy_id, NULL FROM preqs r, (SELECT DISTINCT policy_id FROM ppol WHERE excludes) x
+  WHERE NOT EXISTS (SELECT 1 FROM phit h WHERE h.request_id = r.request_id AND h.policy_id = x.policy_id)
 )
 {body}""")
 
@@ -121,39 +127,31 @@ def q_match_recursive_path(spark, sf_dir):
 
 
 def path_decisions(spark, sf_dir, reqs):
-    """GOV-19 + object-store decision: superusers skip; deny beats allow."""
+    """GOV-19 + object-store decision by the rule of ``access.decide``; superusers skip it."""
     snap = policy_snapshot(spark, sf_dir)
-    m = match_paths(reqs, ["request_id"], objectstore_resources(spark, sf_dir, True), "objectstore")
-    it = (snap["items_x"].where((F.col("service") == "objectstore") & F.col("is_enabled") & F.col("is_allowed")
-                                & F.col("item_kind").isin("allow", "deny"))
-          .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
+    items = snap["items_x"].where(F.col("service") == "objectstore")
+    # Distinct paths are matched and distinct (user, access, path) keys decided, whatever the number of requests.
+    paths = reqs.select("path").distinct().withColumn("key", F.col("path"))
+    m = match_paths(paths, ["key"], objectstore_resources(spark, sf_dir, True), "objectstore")
     princ = access.principals(reqs.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
-    hits = (reqs.select("request_id", "user", "access").join(m.select("request_id", "policy_id"), "request_id")
-            .join(princ, "user").join(it, ["policy_id", "principal_kind", "principal", "access"])
-            .groupBy("request_id").agg(F.max(F.col("item_kind") == "deny").alias("d"),
-                                       F.max(F.col("item_kind") == "allow").alias("a")))
+    keys = ["user", "access", "path"]
+    dec = access.decide(reqs.select(*keys).distinct(), keys, {"path": "path"}, items,
+                        snap["resources"], snap["level_opts"], princ, "objectstore",
+                        items_bound=resource_bound(spark, sf_dir, "items:objectstore"),
+                        matched=m.select(F.col("key").alias("path"), "policy_id").distinct())
     skip = F.col("user").isin(fx.SKIP_USERS)
-    return (reqs.join(hits, "request_id", "left")
+    return (access.decide_requests(reqs, keys, dec.select(*keys, "decision"))
             .select("request_id", "user", "access", "path",
-                    F.when(skip, "SUPERUSER").when(F.coalesce("d", F.lit(False)), "DENY")
-                    .when(F.coalesce("a", F.lit(False)), "ALLOW").otherwise("NOT_DETERMINED").alias("decision")))
+                    F.when(skip, "SUPERUSER").otherwise(F.col("decision")).alias("decision")))
 
 
 @query("skip_superusers", lambda: _path_cte(f""",
 {principals_sql('preqs')},
-pits AS (SELECT DISTINCT policy_id, item_kind, principal_kind, principal, access FROM items_x
-         WHERE service = 'objectstore' AND is_enabled AND is_allowed AND item_kind IN ('allow', 'deny')),
-phits AS (
-  SELECT r.request_id, bool_or(i.item_kind = 'deny') AS d, bool_or(i.item_kind = 'allow') AS a
-  FROM preqs r JOIN pmatch m USING (request_id) JOIN princ p ON p."user" = r."user"
-  JOIN pits i ON i.policy_id = m.policy_id AND i.principal_kind = p.principal_kind AND i.principal = p.principal
-   AND i.access = r.access
-  GROUP BY r.request_id
-)
+matched AS (SELECT DISTINCT r.path, m.policy_id FROM pmatch m JOIN preqs r USING (request_id)),
+{decide_matched_sql('preqs', ['path'], 'objectstore')}
 SELECT r.request_id, r."user", r.access, r.path,
-       CASE WHEN r."user" IN {tuple(fx.SKIP_USERS)} THEN 'SUPERUSER' WHEN coalesce(h.d, false) THEN 'DENY'
-            WHEN coalesce(h.a, false) THEN 'ALLOW' ELSE 'NOT_DETERMINED' END AS decision
-FROM preqs r LEFT JOIN phits h USING (request_id)
+       CASE WHEN r."user" IN {tuple(fx.SKIP_USERS)} THEN 'SUPERUSER' ELSE d.decision END AS decision
+FROM preqs r JOIN decisions d USING ("user", access, path)
 """, True))
 def q_skip_superusers(spark, sf_dir):
     return path_decisions(spark, sf_dir, path_requests(spark, sf_dir))

@@ -114,17 +114,27 @@ raw_items_legacy AS (
          CAST(NULL AS VARCHAR) AS value_expr, CAST(NULL AS VARCHAR) AS filter_expr
   FROM (SELECT *, unnest(permMapList) AS pm, CAST(generate_subscripts(permMapList, 1) - 1 AS INTEGER) AS item_no FROM legacy)
 ),
+raw_items_none AS (
+  SELECT {HEAD_COLS}, NULL AS item_kind, NULL AS item_no, NULL AS accesses, NULL AS users, NULL AS grps, NULL AS roles,
+         NULL AS delegate_admin, NULL AS mask_type, NULL AS condition_expr, NULL AS value_expr, NULL AS filter_expr
+  FROM (SELECT {HEAD} FROM pol_all WHERE coalesce(len(p.policyItems), 0) + coalesce(len(p.denyPolicyItems), 0)
+          + coalesce(len(p.allowExceptions), 0) + coalesce(len(p.denyExceptions), 0)
+          + coalesce(len(p.dataMaskPolicyItems), 0) + coalesce(len(p.rowFilterPolicyItems), 0) = 0
+        UNION ALL
+        SELECT id, repositoryName, 0, 0, coalesce(lower(trim(isEnabled)) = 'true', false),
+               coalesce(lower(trim(isAuditEnabled)) = 'true', false), false
+        FROM legacy WHERE coalesce(len(permMapList), 0) = 0)
+),
 raw_items AS (
-  SELECT * FROM raw_items_v2 UNION ALL SELECT * FROM raw_items_orders UNION ALL SELECT * FROM raw_items_legacy
+  SELECT * FROM raw_items_none UNION ALL SELECT * FROM raw_items_v2 UNION ALL SELECT * FROM raw_items_orders UNION ALL SELECT * FROM raw_items_legacy
 ),
 items AS (
   SELECT {HEAD_COLS}, item_kind, item_no, pr.kind AS principal_kind, pr.name AS principal,
-         ac.a."type" AS access, coalesce(ac.a.isAllowed, true) AS is_allowed, delegate_admin,
-         mask_type, condition_expr, value_expr, filter_expr
-  FROM raw_items,
-  LATERAL (SELECT 'user' AS kind, unnest(users) AS name UNION ALL SELECT 'group', unnest(grps)
-           UNION ALL SELECT 'role', unnest(roles)) pr,
-  LATERAL (SELECT unnest(accesses) AS a) ac
+         ac.a."type" AS access, CASE WHEN ac.a IS NOT NULL THEN coalesce(ac.a.isAllowed, true) END AS is_allowed,
+         delegate_admin, mask_type, condition_expr, value_expr, filter_expr
+  FROM raw_items LEFT JOIN LATERAL (SELECT 'user' AS kind, unnest(users) AS name UNION ALL SELECT 'group', unnest(grps)
+           UNION ALL SELECT 'role', unnest(roles)) pr ON true
+  LEFT JOIN LATERAL (SELECT unnest(accesses) AS a) ac ON true
 ),
 res_v2 AS (
   SELECT p.id AS policy_id, p.service, e.key AS level, unnest(e.value."values") AS pattern,

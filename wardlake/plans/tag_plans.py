@@ -129,7 +129,8 @@ def _core(lst: str) -> str:
 
 
 def grants_of(items):
-    return items.select("policy_id", "item_kind", "principal_kind", "principal", "access")
+    return (items.where(F.col("principal").isNotNull() & F.col("access").isNotNull())
+            .select("policy_id", "item_kind", "principal_kind", "principal", "access"))
 
 
 def policy_version_diff(prev_items, cur_items):
@@ -168,7 +169,8 @@ prev_items AS (
   FROM orders
 ),
 cur_items AS (SELECT policy_id, item_kind, principal_kind, principal, access FROM items
-              WHERE service IN ('lakehouse', 'objectstore') AND policy_id < 900 OR policy_id >= 1000000),
+              WHERE (service IN ('lakehouse', 'objectstore') AND policy_id < 900 OR policy_id >= 1000000)
+                AND principal IS NOT NULL AND access IS NOT NULL),
 added AS (SELECT *, 'added' AS change FROM (SELECT * FROM cur_items EXCEPT ALL SELECT * FROM prev_items)),
 removed AS (SELECT *, 'removed' AS change FROM (SELECT * FROM prev_items EXCEPT ALL SELECT * FROM cur_items)),
 pids AS (SELECT coalesce(a.policy_id, b.policy_id) AS policy_id,
