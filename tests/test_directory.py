@@ -54,3 +54,78 @@ def test_folded_encoded_and_empty_values(spark, tmp_path):
     e = d.parse_entries(d.read_ldif(spark, str(p))).first()
     assert e.dn == "CN=long,OU=Users,DC=x"
     assert (e.attributes["cn"], e.attributes["mail"], e.attributes["note"]) == (["é"], [""], ["a: b"])
+
+
+def _applied(spark, path, **kw):
+    return {(r.dn, r.attr, r.value) for r in d.apply_changes(d.parse_entries(d.read_ldif(spark, str(path), **kw))).collect()}
+
+
+CHANGES = """dn: CN=t
+changetype: add
+cn: t
+member: a
+member: b
+mail: x
+
+dn: CN=t
+changetype: modify
+add: member
+member: c
+member: a
+-
+delete: member
+member: b
+-
+replace: mail
+mail: y
+mail: z
+-
+delete: phone
+-
+
+dn: CN=gone
+changetype: add
+cn: old
+note: old
+
+dn: CN=gone
+changetype: delete
+
+
+dn: CN=gone
+cn: new
+
+dn: CN=t
+changetype: modify
+delete: mail
+mail: y
+-
+add: mail
+mail: w
+"""
+AFTER = {("CN=t", "cn", "t"), ("CN=t", "member", "a"), ("CN=t", "member", "c"), ("CN=t", "mail", "z"),
+         ("CN=t", "mail", "w"), ("CN=gone", "cn", "new")}
+
+
+def test_several_operations_deletes_and_order(spark, tmp_path):
+    (tmp_path / "a.ldf").write_text(CHANGES)
+    (tmp_path / "b.ldf").write_bytes(CHANGES.replace("\n", "\r\n").encode())
+    assert _applied(spark, tmp_path / "a.ldf") == AFTER
+    assert _applied(spark, tmp_path / "b.ldf") == AFTER
+    assert _applied(spark, tmp_path / "b.ldf", record_sep="\r\n\r\n") == AFTER
+
+
+def test_later_file_wins_whatever_its_size(spark, tmp_path):
+    one = "dn: CN=a\nchangetype: modify\nreplace: mail\nmail: {}\n-\n"
+    (tmp_path / "1.ldf").write_text(one.format("first"))
+    (tmp_path / "2.ldf").write_text("\n".join([one.format("second")] + [one.format("x").replace("CN=a", f"CN={i}")
+                                                                      for i in range(300)]))
+    assert ("CN=a", "mail", "second") in _applied(spark, tmp_path)
+    assert ("CN=a", "mail", "first") not in _applied(spark, tmp_path)
+
+
+def test_renames_raise(spark, tmp_path):
+    import pytest
+    (tmp_path / "a.ldf").write_text("dn: CN=a\nchangetype: modrdn\nnewrdn: CN=b\n")
+    with pytest.raises(Exception, match="changetype not supported"):
+        _applied(spark, tmp_path / "a.ldf")

@@ -11,12 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.sources.tables import read_order
 
-def read_ldif(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-08: one row per record, with a read-order sequence number."""
-    raw = spark.read.option("lineSep", "\n\n").text(path)
-    return (raw.where(F.trim("value") != "")
-            .select(F.trim(F.col("value")).alias("record"), F.monotonically_increasing_id().alias("seq")))
+
+def read_ldif(spark: SparkSession, path: str, record_sep: str = "\n\n") -> DataFrame:
+    """SRC-08: one row per record with ``seq``, its place in read order (see ``split_records``).
+
+    The reader splits a file at ``record_sep``; for large exports with CRLF lines pass ``"\\r\\n\\r\\n"``, else such a
+    file is one row until it is split here.
+    """
+    return split_records(spark.read.option("lineSep", record_sep).text(path).select("value", "_metadata"))
+
+
+def split_records(raw: DataFrame, batch: int = 0) -> DataFrame:
+    """(record, seq) of ``raw(value, _metadata)``: blank lines, with either line end, part records.
+
+    ``seq`` is the read order of the row and the place of the record in it.
+    """
+    rows = raw.select(read_order(batch).alias("at"), "value")
+    return (rows.select("at", F.posexplode(F.split("value", "(\r?\n){2,}")).alias("pos", "text"))
+            .where(F.trim("text", F.lit(" \r\n")) != "")
+            .select(F.regexp_replace("text", "^[\r\n]+|[ \r\n]+$", "").alias("record"),
+                    F.struct("at", "pos").alias("seq")))
 
 
 def _value(line):
@@ -31,25 +47,39 @@ def _kv(lines):
         lambda x: F.struct(F.regexp_extract(x, "^[^:]*", 0).alias("k"), _value(x).alias("v")))
 
 
+OPS = ["add", "replace", "delete"]
+
+
+def _operations(text):
+    """The operations of a modify record in order: each is ``<op>: <attr>`` and the values after it, up to a ``-`` line."""
+    def one(chunk, i):
+        kv = F.filter(_kv(F.split(chunk, "\r?\n")), lambda x: ~F.lower(x["k"]).isin("dn", "changetype"))
+        head = F.get(kv, F.lit(0))
+        attr = F.lower(F.trim(head["v"]))
+        vals = F.transform(F.filter(kv, lambda x: F.lower(x["k"]) == attr), lambda x: x["v"])
+        return F.struct(i.alias("no"), F.lower(head["k"]).alias("op"), attr.alias("attr"), vals.alias("vals"))
+    return F.filter(F.transform(F.split(text, r"\r?\n-[ \t]*(?=\r?\n|$)"), one), lambda x: x["op"].isin(OPS))
+
+
 def parse_entries(records: DataFrame) -> DataFrame:
-    """DIR-01: (seq, dn, changetype, op, op_attr, attributes map<key, array<value>>).
+    """DIR-01: (seq, dn, changetype, op, op_attr, ops, attributes map<key, array<value>>).
 
-    A line that begins with a space continues the one before.
+    A line that begins with a space continues the one before. A record without ``changetype`` is a content record and
+    counts as an add. ``ops`` holds every operation of a modify record; ``op`` and ``op_attr`` are the first one's.
     """
-    lines = F.split(F.regexp_replace("record", "\r?\n ", ""), "\r?\n")
+    text = F.regexp_replace("record", "\r?\n ", "")
+    lines = F.split(text, "\r?\n")
     kv = _kv(lines)
     keys = F.array_distinct(F.transform(kv, lambda x: F.lower(x["k"])))
     attrs = F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(
         F.filter(kv, lambda x: F.lower(x["k"]) == k), lambda x: x["v"])))
-    df = records.select("seq", attrs.alias("attributes"))
-    first_op = F.filter(F.array(*[F.when(F.col("attributes")[o].isNotNull(),
-                                         F.struct(F.lit(o).alias("op"), F.col("attributes")[o][0].alias("attr")))
-                                  for o in ("add", "replace", "delete")]), lambda x: x.isNotNull())
-    return df.select(
-        "seq", F.col("attributes")["dn"][0].alias("dn"),
-        F.lower(F.col("attributes")["changetype"][0]).alias("changetype"),
-        F.try_element_at(first_op, F.lit(1))["op"].alias("op"), F.try_element_at(first_op, F.lit(1))["attr"].alias("op_attr"),
-        "attributes")
+    df = records.select("seq", attrs.alias("attributes"), _operations(text).alias("_ops"))
+    kind = F.coalesce(F.lower(F.trim(F.get(F.col("attributes")["changetype"], F.lit(0)))), F.lit("add"))
+    df = df.withColumn("changetype", kind)
+    df = df.withColumn("ops", F.when(F.col("changetype") == "modify", F.col("_ops")))
+    first = F.get("ops", F.lit(0))
+    return df.select("seq", F.get(F.col("attributes")["dn"], F.lit(0)).alias("dn"), "changetype",
+                     first["op"].alias("op"), first["attr"].alias("op_attr"), "ops", "attributes")
 
 
 def dn_first_rdn(dn):
@@ -64,38 +94,47 @@ def under_base(dn, base: str):
 SALT = 16
 
 
+def _salted_left(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """``big`` carries ``_salt``; the small side is copied once per salt."""
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return big.join(copies, [*on, "_salt"], "left")
+
+
 def apply_changes(entries: DataFrame) -> DataFrame:
-    """DIR-02: fold add / modify records into the current entry per DN.
+    """DIR-02: (dn, attr, value) after all records, in the order of ``seq`` and of the operations in a record.
+
+    Add records and ``add:`` put values, ``replace:`` puts its values in place of all earlier ones, ``delete:`` with
+    values takes those away and without values the whole attribute, ``changetype: delete`` the whole entry. A value
+    stands when its last put is later than the last delete of it, of its attribute and of its entry. Renames
+    (``modrdn``, ``moddn``) are not supported and raise.
 
-    ``add`` records give the base attributes; ``modify/add`` unions values;
-    ``modify/replace`` keeps the value of the latest record (``max_by`` on
-    the read sequence); ``modify/delete`` removes the attribute. One hash
-    aggregate per (dn, attribute): a group with millions of member records
-    is combined partially before the shuffle, never held as one record.
+    One aggregate per (dn, attr, value), combined before the shuffle; the rare resets join it salted, so the members
+    of one big group spread over SALT tasks.
     """
-    # An entry is added before it is modified: add records order first,
-    # modify records by read order.
-    entries = entries.withColumn("seq", F.when(F.col("changetype") == "add", F.lit(-1)).otherwise(F.col("seq")))
+    known = F.col("changetype").isin("add", "modify", "delete")
+    entries = entries.withColumn("changetype", F.when(known, F.col("changetype")).otherwise(
+        F.raise_error(F.concat(F.lit("changetype not supported: "), F.col("changetype"))).cast("string")))
+    no_op = F.lit(-1).cast("int")
     base = (entries.where(F.col("changetype") == "add")
-            .select("dn", "seq", F.explode("attributes").alias("attr", "vals"))
+            .select("dn", F.struct("seq", no_op.alias("no")).alias("at"), F.explode("attributes").alias("attr", "vals"))
             .where(~F.col("attr").isin("dn", "changetype"))
-            .select("dn", "attr", "seq", F.lit("add").alias("op"), "vals"))
-    mods = (entries.where(F.col("changetype") == "modify")
-            .select("dn", "seq", "op", F.lower("op_attr").alias("attr"),
-                    F.coalesce(F.col("attributes")[F.lower("op_attr")], F.array().cast("array<string>")).alias("vals")))
-    allc = base.unionByName(mods.select("dn", "attr", "seq", "op", "vals"))
-    last_reset = (allc.where(F.col("op").isin("replace", "delete"))
-                  .groupBy("dn", "attr").agg(F.max_by(F.struct("op", "vals"), F.col("seq")).alias("r"),
-                                             F.max("seq").alias("reset_seq")))
-    # A big group is one (dn, 'member') key holding every member: the adds
-    # are salted by value and the (small) reset side is copied once per salt,
-    # so the members of one group spread over SALT tasks.
-    adds = (allc.where(F.col("op") == "add").select("dn", "attr", "seq", F.explode("vals").alias("value"))
-            .withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALT))))
-    resets = last_reset.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    adds = (adds.join(resets, ["dn", "attr", "_salt"], "left")
-            .where(F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
+            .select("dn", "attr", "at", F.lit("add").alias("op"), "vals"))
+    mods = (entries.where(F.col("changetype") == "modify").select("dn", "seq", F.explode("ops").alias("o"))
+            .select("dn", F.col("o.attr").alias("attr"), F.struct("seq", F.col("o.no").alias("no")).alias("at"),
+                    F.col("o.op").alias("op"), F.col("o.vals").alias("vals")))
+    steps = base.unionByName(mods)
+    is_delete = F.col("op") == "delete"
+    values = (steps.select("dn", "attr", "at", "op", F.explode("vals").alias("value"))
+              .groupBy("dn", "attr", "value")
+              .agg(F.max(F.when(~is_delete, F.col("at"))).alias("put"), F.max(F.when(is_delete, F.col("at"))).alias("cut"))
+              .where(F.col("put").isNotNull() & (F.col("cut").isNull() | (F.col("put") > F.col("cut"))))
+              .withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALT))))
+    # A replace resets its attribute and puts at the same step, so >= keeps its own values.
+    resets = (steps.where((F.col("op") == "replace") | (is_delete & (F.size("vals") == 0)))
+              .groupBy("dn", "attr").agg(F.max("at").alias("reset")))
+    gone = (entries.where(F.col("changetype") == "delete")
+            .groupBy("dn").agg(F.max(F.struct("seq", no_op.alias("no"))).alias("gone")))
+    return (_salted_left(_salted_left(values, resets, ["dn", "attr"]), gone, ["dn"])
+            .where((F.col("reset").isNull() | (F.col("put") >= F.col("reset")))
+                   & (F.col("gone").isNull() | (F.col("put") > F.col("gone"))))
             .select("dn", "attr", "value"))
-    repl = (last_reset.where(F.col("r.op") == "replace")
-            .select("dn", "attr", F.explode("r.vals").alias("value")))
-    return adds.unionByName(repl).distinct()

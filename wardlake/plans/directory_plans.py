@@ -29,29 +29,43 @@ def _rec(*parts):
     return F.concat(F.concat_ws("\n", *parts), F.lit("\n"))
 
 
-def ldif_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users (disabled at add), groups, one membership record per member,
-    and an enable record for customers with a positive balance."""
-    c = scan_parquet(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+def ldif_adds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users (disabled at add) and groups."""
+    c = scan_parquet(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("c_custkey")
     users = c.select(_rec(
         F.concat(F.lit("dn: "), _user_dn(k)), F.lit("changetype: add"), F.lit("objectClass: top"),
         F.lit("objectClass: person"), F.lit("objectClass: user"), F.concat(F.lit("cn: u"), k.cast("string")),
         F.concat(F.lit("sAMAccountName: U"), k.cast("string")), F.concat(F.lit("name: "), F.col("c_name")),
         F.lit("userAccountControl: 514"), F.concat(F.lit("distinguishedName: "), _user_dn(k))).alias("value"))
-    mem = fx.memberships(spark, sf_dir)
-    groups = mem.select("grp").distinct().select(_rec(
+    groups = fx.memberships(spark, sf_dir).select("grp").distinct().select(_rec(
         F.concat(F.lit("dn: "), _group_dn(F.col("grp"))), F.lit("changetype: add"), F.lit("objectClass: top"),
         F.lit("objectClass: group"), F.concat(F.lit("cn: "), F.col("grp")),
         F.concat(F.lit("sAMAccountName: "), F.col("grp")),
         F.concat(F.lit("distinguishedName: "), _group_dn(F.col("grp")))).alias("value"))
-    members = mem.select(_rec(
+    return users.unionByName(groups)
+
+
+def ldif_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One membership record per member, an enable record for customers with
+    a positive balance, and for every tenth customer a record that deletes one
+    object class and adds a title."""
+    c = scan_parquet(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    k = F.col("c_custkey")
+    members = fx.memberships(spark, sf_dir).select(_rec(
         F.concat(F.lit("dn: "), _group_dn(F.col("grp"))), F.lit("changetype: modify"), F.lit("add: member"),
         F.concat(F.lit("member: CN="), F.col("user"), F.lit("," + USERS_OU)), F.lit("-")).alias("value"))
     enable = c.where(F.col("c_acctbal") > 0).select(_rec(
         F.concat(F.lit("dn: "), _user_dn(k)), F.lit("changeType: Modify"), F.lit("replace: userAccountControl"),
         F.lit("userAccountControl: 512"), F.lit("-")).alias("value"))
-    return users.unionByName(groups).unionByName(members).unionByName(enable)
+    tenth = c.where(k % 10 == 0).select(_rec(
+        F.concat(F.lit("dn: "), _user_dn(k)), F.lit("changetype: modify"), F.lit("delete: objectClass"),
+        F.lit("objectClass: top"), F.lit("-"), F.lit("add: title"), F.lit("title: keeper"), F.lit("-")).alias("value"))
+    return members.unionByName(enable).unionByName(tenth)
+
+
+def ldif_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ldif_adds(spark, sf_dir).unionByName(ldif_changes(spark, sf_dir))
 
 
 def landed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +88,7 @@ recs AS (
   UNION ALL SELECT DISTINCT {GROUP_DN_SQL}, 'add' FROM m
   UNION ALL SELECT {GROUP_DN_SQL}, 'modify' FROM m
   UNION ALL SELECT {USER_DN_SQL}, 'modify' FROM customer c WHERE c.c_acctbal > 0
+  UNION ALL SELECT {USER_DN_SQL}, 'modify' FROM customer c WHERE c.c_custkey % 10 = 0
 )"""
 
 
@@ -115,7 +130,10 @@ def q_parse_directory_entries(spark, sf_dir):
 APPLIED_SQL = lambda: f"""
 WITH m AS ({fx.MEMBERSHIPS_SQL}),
 applied AS (
-  {_user_attrs_sql("CASE WHEN c.c_acctbal > 0 THEN '512' ELSE '514' END")}
+  SELECT u.dn, u.attr, u.value FROM ({_user_attrs_sql("CASE WHEN c.c_acctbal > 0 THEN '512' ELSE '514' END")}) u
+  WHERE NOT (u.attr = 'objectclass' AND u.value = 'top'
+             AND CAST(regexp_extract(u.dn, '^CN=u([0-9]+)', 1) AS BIGINT) % 10 = 0)
+  UNION ALL SELECT {USER_DN_SQL}, 'title', 'keeper' FROM customer c WHERE c.c_custkey % 10 = 0
   UNION ALL {_group_attrs_sql()}
   UNION ALL SELECT {GROUP_DN_SQL}, 'member', 'CN=' || m."user" || ',{USERS_OU}' FROM m
 )"""

@@ -9,7 +9,7 @@ from wardlake.operators import policylog as pl
 from wardlake.operators.audit import retention_filter
 from wardlake.plans.registry import query
 from wardlake.session import cut_lineage, fresh_path
-from wardlake.sources.tables import scan_parquet
+from wardlake.sources.tables import read_order, scan_parquet
 
 # A template piece is a literal or a (spark column, duckdb sql) pair, so the
 # same line is composed on both sides from the orders row.
@@ -117,7 +117,7 @@ def landed_log(spark, sf_dir) -> str:
 
 def parsed_log(spark, sf_dir) -> DataFrame:
     """Text -> header fields -> policy fields; ``seq`` orders lines within the read."""
-    lines = spark.read.text(landed_log(spark, sf_dir)).withColumn("seq", F.monotonically_increasing_id())
+    lines = spark.read.text(landed_log(spark, sf_dir)).select("value", read_order().alias("seq"))
     p = pl.parse_header(lines)
     return pl.extract_policy_fields(p).withColumn("kind", pl.event_kind(F.col("message")))
 

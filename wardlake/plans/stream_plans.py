@@ -12,9 +12,14 @@ from wardlake.session import fresh_path
 from wardlake.streaming import streams as st
 
 
-def _land_log(spark, sf_dir, files: int = 4) -> str:
+def _files(spark) -> int:
+    """Files landed for a stream, taken half at a time: as many as there are cores, at least 2."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
+def _land_log(spark, sf_dir) -> str:
     path = fresh_path(spark, "stream_log_in")
-    (lp.log_lines(spark, sf_dir).repartition(files, "line_id").sortWithinPartitions("line_id")
+    (lp.log_lines(spark, sf_dir).repartition(_files(spark), "line_id").sortWithinPartitions("line_id")
      .select("value").write.mode("overwrite").text(path))
     return path
 
@@ -22,14 +27,14 @@ def _land_log(spark, sf_dir, files: int = 4) -> str:
 @query("stream_policy_changes", lambda: REGISTRY["filter_positional_words"].sql())
 def q_stream_policy_changes(spark, sf_dir):
     out = st.stream_policy_changes(spark, _land_log(spark, sf_dir), fresh_path(spark, "stream_changes_out"),
-                                   fresh_path(spark, "stream_changes_ckpt"))
+                                   fresh_path(spark, "stream_changes_ckpt"), _files(spark) // 2)
     return out.select("policy_id", "kind")
 
 
 @query("stream_grant_state", lambda: REGISTRY["grants_object_store"].sql())
 def q_stream_grant_state(spark, sf_dir):
     state = st.stream_grant_state(spark, _land_log(spark, sf_dir), fresh_path(spark, "stream_grants_state"),
-                                  fresh_path(spark, "stream_grants_ckpt"))
+                                  fresh_path(spark, "stream_grants_ckpt"), _files(spark) // 2)
     return state.select("policy_doc", "sid", "effect", F.array_join("actions", ",").alias("actions"),
                         F.array_join("resources", ",").alias("resources"))
 
@@ -39,29 +44,18 @@ def q_stream_audit_summary(spark, sf_dir):
     from wardlake.sources.tables import scan_parquet
     landed = fresh_path(spark, "stream_events_in")
     ev = scan_parquet(spark, sf_dir, "events")
-    # Events arrive in time order: land four consecutive time slices as
-    # separate files, oldest first, so each micro-batch is a later slice.
-    lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
-                    F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    step = (hi - lo) // 4 + 1
-    slot = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) / F.lit(step))
-    for i in range(4):
-        ev.where(slot == i).coalesce(1).write.mode("append").parquet(landed)
-    schema = spark.read.parquet(landed).schema
-    stream_events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    ev.repartition(_files(spark)).write.mode("overwrite").parquet(landed)
+    stream_events = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", _files(spark) // 2)
+                     .parquet(landed))
     # The same request derivation as the batch job, on the stream.
     from wardlake.plans import fixtures as fx
     reqs = (stream_events.withColumn("res_idx", F.pmod(F.col("event_id"), F.lit(fx.N_RESOURCES)).cast("int"))
             .join(F.broadcast(fx.resources_df(spark)), "res_idx")
             .join(F.broadcast(fx.access_map_df(spark)), "event_type")
             .select(F.col("event_id").alias("request_id"),
-                    # Watermarks need an instant type: the wall-clock time is
-                    # read in the session time zone and shown back in it.
                     F.col("ts").cast("timestamp").alias("ts"), fx.user_name(F.col("user_id")).alias("user"),
                     "access", "db", "tbl", "col"))
-    _, keys = ap.request_keys(spark, sf_dir)
-    decisions = ap.decide_keys(spark, sf_dir, keys).select(*ap.KEY, "decision")
-    out = st.stream_audit_summary(spark, reqs, decisions, ap.KEY, fresh_path(spark, "stream_audit_out"),
+    out = st.stream_audit_summary(spark, reqs, lambda keys: ap.decide_keys(spark, sf_dir, keys), ap.KEY, fresh_path(spark, "stream_audit_out"),
                                   fresh_path(spark, "stream_audit_ckpt"))
     fmt = "yyyy-MM-dd HH:mm:ss"
     return out.select("user", "db", "tbl", "col", "access", "decision",
@@ -72,8 +66,9 @@ def q_stream_audit_summary(spark, sf_dir):
 
 @query("stream_directory_sync", lambda: REGISTRY["apply_changes"].sql())
 def q_stream_directory_sync(spark, sf_dir):
-    path = fresh_path(spark, "stream_ldif_in")
-    dp.ldif_records(spark, sf_dir).repartition(3).write.mode("overwrite").text(path + "/part0")
-    return st.stream_directory_sync(spark, path + "/part0", fresh_path(spark, "stream_ldif_out"),
-                                    fresh_path(spark, "stream_ldif_ckpt"))
-
+    path = fresh_path(spark, "stream_ldif_in") + "/part0"
+    # Entries arrive before the changes to them: two writes, one batch each.
+    for records in (dp.ldif_adds(spark, sf_dir), dp.ldif_changes(spark, sf_dir)):
+        records.repartition(_files(spark)).write.mode("append").text(path)
+    return st.stream_directory_sync(spark, path, fresh_path(spark, "stream_ldif_out"),
+                                    fresh_path(spark, "stream_ldif_ckpt"), _files(spark))

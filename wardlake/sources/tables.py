@@ -26,6 +26,15 @@ def scan_parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def read_order(batch: int = 0):
+    """Place of a row in read order: (batch, file, start of the split, row in the task), of a frame with ``_metadata``.
+
+    Tasks take files in any order, so a row number alone is not read order: it counts only within one split of a file.
+    """
+    return F.struct(F.lit(batch).cast("long").alias("batch"), F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+
+
 # --- staging views in the shape of the retail tables --------------------
 
 def staging_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from wardlake.operators import directory as d
 from wardlake.operators import policylog as pl
 from wardlake.operators import tags as tg
+from wardlake.operators.joins import skew_safe_join
+from wardlake.sources.tables import read_order
 
 
 def list_children(spark: SparkSession, path: str) -> list[str]:
@@ -30,6 +32,19 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def committed(spark: SparkSession, out: str, name: str = "batch") -> list[str]:
+    """The ``<name>=<id>`` folders under ``out`` whose write ended (they hold the success marker), by id."""
+    ids = sorted(int(n.split("=")[1]) for n in list_children(spark, out) if n.startswith(f"{name}="))
+    paths = [f"{out}/{name}={i}" for i in ids]
+    return [p for p in paths if "_SUCCESS" in list_children(spark, p)]
+
+
+def read_batches(spark: SparkSession, out: str, like: DataFrame) -> DataFrame:
+    """All batches written to ``out``; without any, no rows with the columns of ``like``."""
+    paths = committed(spark, out)
+    return spark.read.schema(like.schema).parquet(*paths) if paths else spark.createDataFrame([], like.schema)
+
+
 def run(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
         available_now: bool = True, processing_time: str | None = None) -> None:
     """Run ``stream``; with ``available_now`` until all input there is has been processed, however long, and an
@@ -50,69 +65,78 @@ def batch_writer(out: str, fmt: str = "parquet"):
 
 # --- STR-01: policy-change lines -> parsed events --------------------------
 
-def policy_change_stream(spark: SparkSession, log_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(log_dir)
+def _file_stream(spark: SparkSession, files_per_trigger: int | None):
+    reader = spark.readStream
+    return reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
+
+
+def policy_change_stream(spark: SparkSession, log_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Parsed policy lines with ``_metadata``; a batch takes ``files_per_trigger`` files (None: all there are)."""
+    lines = _file_stream(spark, files_per_trigger).text(log_dir).select("value", "_metadata")
     kept = lines.where(pl.positional_filter(F.col("value")))
     p = pl.parse_header(kept)
     return pl.extract_policy_fields(p).withColumn("kind", pl.event_kind(F.col("message")))
 
 
-def stream_policy_changes(spark: SparkSession, log_dir: str, out: str, checkpoint: str) -> DataFrame:
-    s = policy_change_stream(spark, log_dir).select("policy_id", "kind", "service", "log_ts")
+def stream_policy_changes(spark: SparkSession, log_dir: str, out: str, checkpoint: str,
+                          files_per_trigger: int | None = None) -> DataFrame:
+    s = policy_change_stream(spark, log_dir, files_per_trigger).select("policy_id", "kind", "service", "log_ts")
     run(s, batch_writer(out), checkpoint)
-    return spark.read.parquet(out)
+    return read_batches(spark, out, s)
 
 
 # --- STR-02: grant state, replaced by Sid -----------------------------------
 
-def stream_grant_state(spark: SparkSession, log_dir: str, state_dir: str, checkpoint: str) -> DataFrame:
-    """Each batch: latest statement per (doc, sid) inside the batch (by log
-    time, then line order), upserted into the previous state version; the
-    new state is written as version ``v=<batchId>`` (a snapshot directory per
-    batch, the pointer being the greatest version)."""
+def stream_grant_state(spark: SparkSession, log_dir: str, state_dir: str, checkpoint: str,
+                       files_per_trigger: int | None = None) -> DataFrame:
+    """The newest statement per (doc, sid) by log time, then read order, whatever the batch it came in.
+
+    A batch writes only its own newest statements with their time and order, so its work does not grow with the state;
+    the state is the newest over all batches. A replayed batch overwrites its folder.
+    """
+    stream = policy_change_stream(spark, log_dir, files_per_trigger)
+
+    def statements(df: DataFrame, batch_id: int) -> DataFrame:
+        return pl.latest_statements(pl.grants_object_store(df.withColumn("seq", read_order(batch_id))))
 
     def fn(df: DataFrame, batch_id: int) -> None:
-        sess = df.sparkSession
-        fields = df.withColumn("seq", F.monotonically_increasing_id())
-        upd = pl.latest_statements(pl.grants_object_store(fields))
-        prev = [int(n.split("=")[1]) for n in list_children(sess, state_dir) if n.startswith("v=")]
-        prev = [v for v in prev if v < batch_id]
-        if prev:
-            old = sess.read.parquet(f"{state_dir}/v={max(prev)}")
-            new = pl.upsert_grants(old, upd)
-        else:
-            new = upd
-        new.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
-
-    run(policy_change_stream(spark, log_dir), fn, checkpoint)
-    versions = [int(n.split("=")[1]) for n in list_children(spark, state_dir) if n.startswith("v=")]
-    return spark.read.parquet(f"{state_dir}/v={max(versions)}")
+        statements(df, batch_id).write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
+
+    run(stream, fn, checkpoint)
+    paths = committed(spark, state_dir)
+    if not paths:
+        empty = spark.read.schema("value string").text(log_dir).select("value", "_metadata").limit(0)
+        p = pl.extract_policy_fields(pl.parse_header(empty)).withColumn("kind", pl.event_kind(F.col("message")))
+        return statements(p, 0)
+    return pl.latest_statements(spark.read.parquet(*paths))
 
 
 # --- STR-03: audit summary over a stream of requests ------------------------
 
-def stream_audit_summary(spark: SparkSession, stream: DataFrame, decisions: DataFrame, key_cols: list[str],
-                         out: str, checkpoint: str, window: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
-    """Stream-static join with decided keys, then a windowed count under a
-    watermark (state older than the watermark is dropped). Update mode:
-    every batch emits the changed windows; the final table keeps the last
-    emitted row per window key."""
-    dec = stream.join(decisions, key_cols)
-    agg = (dec.withWatermark("ts", watermark)
-           .groupBy("user", "db", "tbl", "col", "access", "decision", F.window("ts", window).alias("w"))
-           .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+def stream_audit_summary(spark: SparkSession, stream: DataFrame, decide_fn: Callable[[DataFrame], DataFrame],
+                         key_cols: list[str], out: str, checkpoint: str, window: str = "1 hour") -> DataFrame:
+    """Requests decided and counted per window.
+
+    ``decide_fn(keys) -> keys + decision`` decides the distinct keys of each batch, so no request is lost for a key
+    that was not known beforehand. A batch writes its own counts per window and the result adds them up, so a request
+    that comes however late still counts in its window and no state is held between batches.
+    """
+    keys = [*key_cols, "decision", "w"]
 
     def fn(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        dec = decide_fn(df.select(*key_cols).distinct()).select(*key_cols, "decision")
+        (skew_safe_join(df, dec, key_cols)
+         .groupBy(*key_cols, "decision", F.window("ts", window).alias("w"))
+         .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
 
-    w = agg.writeStream.outputMode("update").foreachBatch(fn).option("checkpointLocation", checkpoint)
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    keys = ["user", "db", "tbl", "col", "access", "decision", "w"]
-    allb = spark.read.parquet(out)
-    vals = ["n_events", "first_ts", "last_ts"]
-    return (allb.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("r"))
-            .select(*keys, *[F.col(f"r.{v}").alias(v) for v in vals]))
+    run(stream, fn, checkpoint)
+    like = (spark.createDataFrame([], stream.schema).withColumn("decision", F.lit(""))
+            .groupBy(*key_cols, "decision", F.window("ts", window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+    return (read_batches(spark, out, like).groupBy(*keys)
+            .agg(F.sum("n_events").alias("n_events"), F.min("first_ts").alias("first_ts"),
+                 F.max("last_ts").alias("last_ts")))
 
 
 # --- STR-04: tag files re-read periodically, replace by version -------------
@@ -125,27 +149,27 @@ def stream_tag_replace(spark: SparkSession, tag_dir: str, out: str, checkpoint:
 
     def fn(df: DataFrame, batch_id: int) -> None:
         sess = df.sparkSession
-        prev = [int(n.split("=")[1]) for n in list_children(sess, out) if n.startswith("v=")]
-        prev = [v for v in prev if v < batch_id]
-        allv = df if not prev else df.unionByName(sess.read.parquet(f"{out}/v={max(prev)}"))
+        prev = [p for p in committed(sess, out, "v") if int(p.rsplit("=", 1)[1]) < batch_id]
+        allv = df if not prev else df.unionByName(sess.read.parquet(prev[-1]))
         tg.latest_tagsets(allv).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
 
     run(src, fn, checkpoint, available_now=available_now, processing_time="30 seconds")
-    versions = [int(n.split("=")[1]) for n in list_children(spark, out) if n.startswith("v=")]
-    return spark.read.parquet(f"{out}/v={max(versions)}")
+    versions = committed(spark, out, "v")
+    return spark.read.parquet(versions[-1]) if versions else spark.createDataFrame([], src.schema)
 
 
 # --- STR-05: directory sync ---------------------------------------------------
 
-def stream_directory_sync(spark: SparkSession, ldif_dir: str, out: str, checkpoint: str) -> DataFrame:
+def stream_directory_sync(spark: SparkSession, ldif_dir: str, out: str, checkpoint: str,
+                          files_per_trigger: int | None = None) -> DataFrame:
     """LDIF files arrive; each batch appends its parsed records; the current
-    directory is the fold of all records (add before modify, then order)."""
-    src = (spark.readStream.option("lineSep", "\n\n").option("maxFilesPerTrigger", 1).text(ldif_dir)
-           .where(F.trim("value") != "").select(F.trim("value").alias("record")))
+    directory is the fold of all records in order of (batch, file, place)."""
+    src = (_file_stream(spark, files_per_trigger).option("lineSep", "\n\n").text(ldif_dir)
+           .select("value", "_metadata"))
 
     def fn(df: DataFrame, batch_id: int) -> None:
-        recs = df.withColumn("seq", F.monotonically_increasing_id() + F.lit(batch_id) * F.lit(1 << 40))
-        d.parse_entries(recs).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        d.parse_entries(d.split_records(df, batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     run(src, fn, checkpoint)
-    return d.apply_changes(spark.read.parquet(out))
+    like = d.parse_entries(d.read_ldif(spark, ldif_dir).limit(0))
+    return d.apply_changes(read_batches(spark, out, like))
