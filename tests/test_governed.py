@@ -29,3 +29,27 @@ def test_filter_reaches_scan(spark, sf_dir):
     q = se.queries()
     plan = q["row_filter"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan
+
+
+def test_subqueries_in_policies_are_refused(spark):
+    import pytest
+
+    from wardlake.operators import governed as g
+    df = spark.createDataFrame([("2024-03-01", "abc", 5)], "d string, s string, n int").withColumn("d", F.to_date("d"))
+    df.createOrReplaceTempView("hidden_rows")
+    assert g.apply_row_filter(df, "extract(year from d) = 2024 AND s <> 'select from'").count() == 1
+    for bad in ("n IN (SELECT n FROM hidden_rows)", "EXISTS (SELECT 1 FROM hidden_rows)",
+                "n > (SELECT max(n) FROM hidden_rows)"):
+        with pytest.raises(ValueError, match="subquery"):
+            g.apply_row_filter(df, bad)
+        with pytest.raises(ValueError, match="subquery"):
+            g.apply_masks(df, {"s": ("MASK_NULL", None, bad)})
+    with pytest.raises(ValueError, match="subquery"):
+        g.apply_masks(df, {"n": ("CUSTOM", "{col} + (SELECT max(n) FROM hidden_rows)", None)})
+
+
+def test_conditional_mask(spark):
+    from wardlake.operators import governed as g
+    df = spark.createDataFrame([("a", 1), ("b", 9), ("c", None)], "s string, n int")
+    got = [r.s for r in g.apply_masks(df, {"s": ("MASK_NULL", None, "n < 5")}).collect()]
+    assert got == [None, "b", None]

@@ -29,8 +29,17 @@ def show_last_4(c: Column) -> Column:
     return F.when(n <= 4, c).otherwise(F.concat(_xx(F.substring(c, 1, n - 4)), F.substring(c, -4, 4)))
 
 
-def mask_column(name: str, dtype: T.DataType, mask_type: str | None, value_expr: str | None) -> Column:
-    """The masked value of column ``name`` (keeps the column name)."""
+def custom_value(name: str, value_expr: str) -> str:
+    """The expression of a CUSTOM mask with ``{col}`` as the quoted column."""
+    return value_expr.replace("{col}", "`" + name.replace("`", "``") + "`")
+
+
+def mask_column(name: str, dtype: T.DataType, mask_type: str | None, value_expr: str | None,
+                condition_expr: str | None = None) -> Column:
+    """The masked value of column ``name`` (keeps the column name).
+
+    With ``condition_expr`` only rows for which it is FALSE show the raw value; where it is NULL the mask holds.
+    """
     c = F.col(name)
     is_str = isinstance(dtype, T.StringType)
     is_time = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
@@ -49,8 +58,10 @@ def mask_column(name: str, dtype: T.DataType, mask_type: str | None, value_expr:
     elif mask_type == "MASK_DATE_SHOW_YEAR" and is_time:
         out = F.make_date(F.year(c), F.lit(1), F.lit(1)).cast(dtype)
     elif mask_type == "CUSTOM" and value_expr:
-        out = F.expr(value_expr.replace("{col}", f"`{name}`")).cast(dtype)
+        out = F.expr(custom_value(name, value_expr)).cast(dtype)
     else:
         # A string mask on a non-string column shows nothing.
         out = F.lit(None).cast(dtype)
+    if condition_expr and condition_expr.strip():
+        out = F.when(~F.coalesce(F.expr(condition_expr), F.lit(True)), c).otherwise(out)
     return out.alias(name)

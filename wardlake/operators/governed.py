@@ -12,16 +12,12 @@ through it and does not stop a direct read of the files.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.functions.masks import mask_column
+from wardlake.functions.masks import custom_value, mask_column
 from wardlake.operators.matching import match_resources
 
-_SUBQUERY = re.compile(r"(?i)\b(select|from)\b")
-
 
 class AccessDenied(PermissionError):
     pass
@@ -31,53 +27,53 @@ def _user_principals(princ: DataFrame, user: str) -> DataFrame:
     return princ.where(F.col("user") == user).select("principal_kind", "principal")
 
 
-def resolve_row_filter(spark: SparkSession, user: str, db: str, tbl: str, items: DataFrame,
-                       resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
-                       bound: int | None = None) -> str | None:
-    """First fitting row-filter item (lowest policy id, then item order)."""
-    keys = spark.createDataFrame([(db, tbl)], "db string, tbl string")
-    rf_pols = items.where((F.col("policy_type") == 2) & F.col("is_enabled")).select("policy_id").distinct()
-    matched = match_resources(keys, ["db", "tbl"], {"database": "db", "table": "tbl"},
-                              resources.join(rf_pols, "policy_id", "left_semi"), opts, service, bound)
-    rows = (items.where((F.col("item_kind") == "row_filter") & (F.col("access") == "select") & F.col("is_enabled"))
-            .join(matched.select("policy_id"), "policy_id", "left_semi")
-            .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi")
-            .select("policy_id", "item_no", "filter_expr").orderBy("policy_id", "item_no").limit(1).collect())
-    return rows[0]["filter_expr"] if rows else None
-
-
-def resolve_masks(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], items: DataFrame,
-                  resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
-                  bound: int | None = None) -> dict[str, tuple]:
-    """Column -> (mask_type, value_expr) of the first fitting mask item."""
-    keys = spark.createDataFrame([(db, tbl, c) for c in columns], "db string, tbl string, col string")
-    m_pols = items.where((F.col("policy_type") == 1) & F.col("is_enabled")).select("policy_id").distinct()
-    matched = match_resources(keys, ["db", "tbl", "col"], {"database": "db", "table": "tbl", "column": "col"},
-                              resources.join(m_pols, "policy_id", "left_semi"), opts, service, bound)
-    cand = (items.where((F.col("item_kind") == "mask") & (F.col("access") == "select") & F.col("is_enabled"))
-            .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi")
-            .join(matched.select("col", "policy_id"), "policy_id")
-            .groupBy("col").agg(F.min(F.struct("policy_id", "item_no", "mask_type", "value_expr")).alias("m")))
-    return {r["col"]: (r["m"]["mask_type"], r["m"]["value_expr"]) for r in cand.collect()}
-
+def resolve_policies(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], items: DataFrame,
+                     resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
+                     bound: int | None = None) -> tuple[str | None, dict[str, tuple]]:
+    """(row filter, column -> (mask type, value, condition)): the first fitting item of each, by policy id, then order.
 
-def check_filter_expr(df: DataFrame, expr: str) -> None:
-    """A filter held as data must analyse against the table and hold no subquery."""
-    if _SUBQUERY.search(expr):
-        raise ValueError(f"row filter rejected (subquery): {expr!r}")
-    df.where(F.expr(expr)).schema  # analysis only; raises on unknown columns
+    The table (a key without a column) and its columns are matched in one job; one row per column comes back.
+    """
+    keys = spark.createDataFrame([(db, tbl, c) for c in [None, *columns]], "db string, tbl string, col string")
+    mine = (items.where((F.col("access") == "select") & F.col("is_enabled")
+                        & F.col("item_kind").isin("mask", "row_filter"))
+            .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi"))
+    matched = match_resources(keys, ["db", "tbl", "col"], {"database": "db", "table": "tbl", "column": "col"},
+                              resources.join(mine.select("policy_id").distinct(), "policy_id", "left_semi"), opts,
+                              service, bound)
+    fields = ["policy_id", "item_no", "mask_type", "value_expr", "condition_expr", "filter_expr"]
+    rows = (mine.join(matched.select("col", "policy_id"), "policy_id")
+            .where(F.col("col").isNull() == (F.col("item_kind") == "row_filter"))
+            .groupBy("col").agg(F.min(F.struct(*fields)).alias("m")).collect())
+    row_filter = next((r["m"]["filter_expr"] for r in rows if r["col"] is None), None)
+    return row_filter, {r["col"]: (r["m"]["mask_type"], r["m"]["value_expr"], r["m"]["condition_expr"])
+                        for r in rows if r["col"] is not None}
+
+
+def check_expr(df: DataFrame, text: str) -> None:
+    """An expression held as data must analyse against the table and hold no subquery."""
+    spark = df.sparkSession
+    parsed = spark._jsparkSession.sessionState().sqlParser().parseExpression(text)
+    if spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression.hasSubquery(parsed):
+        raise ValueError(f"policy expression rejected (subquery): {text!r}")
+    df.select(F.expr(text)).schema  # analysis only; raises on unknown columns
 
 
 def apply_row_filter(df: DataFrame, expr: str | None) -> DataFrame:
     if not expr:
         return df
-    check_filter_expr(df, expr)
+    check_expr(df, expr)
     return df.where(F.expr(expr))
 
 
 def apply_masks(df: DataFrame, masks: dict[str, tuple], keep: list[str] | None = None) -> DataFrame:
     cols = keep if keep is not None else df.columns
     types = dict((f.name, f.dataType) for f in df.schema.fields)
+    for c in cols:
+        kind, value, condition = (*masks.get(c, ()), None, None, None)[:3]
+        for text in (custom_value(c, value) if kind == "CUSTOM" and value else None, condition):
+            if text:
+                check_expr(df, text)
     return df.select(*[mask_column(c, types[c], *masks.get(c, (None, None))) for c in cols])
 
 
@@ -106,12 +102,12 @@ def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, reso
         if not keep:
             raise AccessDenied(f"{user} may not select from {db}.{tbl}")
         hidden = [c for c in cols if c not in allowed]
-    out = df
-    if row_filter:
-        out = apply_row_filter(out, resolve_row_filter(spark, user, db, tbl, items, resources, opts, princ,
-                                                       service, bound))
-    m = resolve_masks(spark, user, db, tbl, cols, items, resources, opts, princ, service, bound) if masks else {}
+    out, m = df, {}
+    if row_filter or masks:
+        rows, found = resolve_policies(spark, user, db, tbl, cols, items, resources, opts, princ, service, bound)
+        out = apply_row_filter(df, rows) if row_filter else df
+        m = found if masks else {}
     if column_acl and denied == "null":
-        m.update({c: ("MASK_NULL", None) for c in hidden})
+        m.update({c: ("MASK_NULL", None, None) for c in hidden})
         keep = cols
     return apply_masks(out, m, keep)

@@ -36,6 +36,7 @@ FILTER_SQL = {
     "c_mktsegment = 'BUILDING'": "c_mktsegment = 'BUILDING'",
 }
 CUSTOM_SQL = {"round({col}, -3)": "round({col}, -3)"}
+CONDITION_SQL = {"c_name": {"c_acctbal < 5000": "c_acctbal < 5000"}}
 
 
 def _governed(spark, sf_dir, table, user, **kw):
@@ -79,8 +80,10 @@ lvl_c AS (
 cmatch AS (SELECT col, policy_id FROM lvl_c GROUP BY col, policy_id HAVING bool_and(coalesce(ok, false))),
 masks AS (
   SELECT col, arg_min(mask_type, policy_id * 1000 + item_no) AS mask_type,
-         arg_min(value_expr, policy_id * 1000 + item_no) AS value_expr
-  FROM (SELECT DISTINCT m.col, i.policy_id, i.item_no, i.mask_type, i.value_expr
+         arg_min(value_expr, policy_id * 1000 + item_no) AS value_expr,
+         arg_min(condition_expr, policy_id * 1000 + item_no) AS condition_expr
+  FROM (SELECT DISTINCT m.col, i.policy_id, i.item_no, i.mask_type, i.value_expr,
+               coalesce(i.condition_expr, '') AS condition_expr
         FROM items_x i JOIN princ p ON p.principal_kind = i.principal_kind AND p.principal = i.principal
         JOIN cmatch m ON m.policy_id = i.policy_id
         WHERE i.service = 'lakehouse' AND i.policy_type = 1 AND i.is_enabled AND i.item_kind = 'mask'
@@ -90,6 +93,15 @@ masks AS (
 
 
 def _mask_sql(c: str, kind: str) -> str:
+    body = _plain_mask_sql(c, kind)
+    if c not in CONDITION_SQL:
+        return body
+    cond = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONDITION_SQL[c].items())
+    return (f"CASE WHEN NOT coalesce(CASE (SELECT condition_expr FROM masks WHERE col = '{c}') {cond} END, true) "
+            f"THEN {c} ELSE {body.rsplit(' AS ', 1)[0]} END AS {c}")
+
+
+def _plain_mask_sql(c: str, kind: str) -> str:
     mt = f"(SELECT mask_type FROM masks WHERE col = '{c}')"
     ve = f"(SELECT value_expr FROM masks WHERE col = '{c}')"
     xx = "regexp_replace({s}, '[A-Za-z0-9]', 'x', 'g')"
