@@ -24,7 +24,7 @@ def role_members_df(spark: SparkSession) -> DataFrame:
 
 
 def lake_inputs(spark: SparkSession, sf_dir: str):
-    snap = policy_snapshot(spark, sf_dir)
+    snap = policy_snapshot(spark, sf_dir, "lakehouse")
     items = snap["items_x"].where(F.col("service") == "lakehouse")
     res = snap["resources"].where(F.col("service") == "lakehouse")
     return items, res, snap["level_opts"]
@@ -87,7 +87,7 @@ def q_resource_policy_join(spark, sf_dir):
 def q_match_resource(spark, sf_dir):
     res_keys, res, opts = _matched(spark, sf_dir)
     pr = prepare_patterns(res, opts, "lakehouse")
-    return positive_hits(res_keys, RES, LAKE, pr, opts, "lakehouse")
+    return positive_hits(res_keys, RES, LAKE, pr, opts, "lakehouse", resource_bound(spark, sf_dir, "lakehouse"))
 
 
 @query("match_excludes", lambda: cte("SELECT DISTINCT db, tbl, col, policy_id FROM lvl WHERE ex AND hit"))

@@ -30,41 +30,49 @@ def servicedefs(spark: SparkSession) -> DataFrame:
     return pol.read_servicedefs(spark, fx.SERVICEDEF_FILE)
 
 
-def all_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (pol.v2_items(authored_v2(spark))
-            .unionByName(pol.v2_items(derived_v2(spark, sf_dir)))
-            .unionByName(pol.legacy_items(legacy(spark))))
+def _authored_and(spark: SparkSession, sf_dir: str, derived: bool) -> DataFrame:
+    v2 = authored_v2(spark)
+    return v2.unionByName(derived_v2(spark, sf_dir)) if derived else v2
 
 
-def all_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (pol.v2_resources(authored_v2(spark))
-            .unionByName(pol.v2_resources(derived_v2(spark, sf_dir)))
-            .unionByName(pol.legacy_resources(legacy(spark))))
+def all_items(spark: SparkSession, sf_dir: str, derived: bool = True) -> DataFrame:
+    return pol.v2_items(_authored_and(spark, sf_dir, derived)).unionByName(pol.legacy_items(legacy(spark)))
 
 
-def expanded_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pol.expand_implied(all_items(spark, sf_dir), pol.implied_grants(servicedefs(spark)))
+def all_resources(spark: SparkSession, sf_dir: str, derived: bool = True) -> DataFrame:
+    return pol.v2_resources(_authored_and(spark, sf_dir, derived)).unionByName(pol.legacy_resources(legacy(spark)))
 
 
-_SNAPSHOTS: dict[tuple[str, str], str] = {}
-_BOUNDS: dict[tuple[str, str], dict[str, int]] = {}
+def expanded_items(spark: SparkSession, sf_dir: str, derived: bool = True) -> DataFrame:
+    return pol.expand_implied(all_items(spark, sf_dir, derived), pol.implied_grants(servicedefs(spark)))
 
 
-def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# The service whose policies are derived from the data (one per order).
+DERIVED_SERVICE = "objectstore"
+_SNAPSHOTS: dict[tuple, str] = {}
+_BOUNDS: dict[tuple, dict[str, int]] = {}
+
+
+def _snapshot_key(spark: SparkSession, sf_dir: str, service: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir, service.removeprefix("items:") == DERIVED_SERVICE
+
+
+def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SERVICE) -> dict[str, DataFrame]:
     """Normalized policy tables, written once per application and scale dir.
 
     Normalizing is a batch job whose output every decision reads; landing
     it as Parquet in the shared folder cuts the lineage (nothing is
     recomputed if an executor is lost later) and makes size checks on it a
-    cheap metadata count.
+    cheap metadata count. The policies derived from the orders are part of it
+    only for the service that they belong to.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _snapshot_key(spark, sf_dir, service)
     if key not in _SNAPSHOTS:
         base = fresh_path(spark, "policy_snapshot")
         # Partitioned by service: a decision for one service reads only its
         # own policies (partition pruning), however large the others grow.
-        expanded_items(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/items_x")
-        all_resources(spark, sf_dir).write.partitionBy("service").parquet(f"{base}/resources")
+        expanded_items(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/items_x")
+        all_resources(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/resources")
         pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
         # Resource rows per service, recorded once: any pattern subset of a
         # service is bounded by it, so later broadcast checks need no job.
@@ -77,11 +85,11 @@ def policy_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts")}
 
 
-def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int:
-    """Row count of the service's policy resources (and, with ``items:``
-    before the name, of its policy items) recorded with the snapshot."""
-    policy_snapshot(spark, sf_dir)
-    return _BOUNDS[(spark.sparkContext.applicationId, sf_dir)].get(service, 0)
+def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int | None:
+    """Row count of the service's policy resources (and, with ``items:`` before the name, of its policy items)
+    recorded with the snapshot; None, which leaves the size checks on, for a service without any."""
+    policy_snapshot(spark, sf_dir, service.removeprefix("items:"))
+    return _BOUNDS[_snapshot_key(spark, sf_dir, service)].get(service)
 
 
 def with_cte(body: str) -> str:

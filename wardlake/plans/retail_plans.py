@@ -19,7 +19,7 @@ def _tag(sf_dir: str) -> str:
 
 
 def _sales(spark: SparkSession, sf_dir: str):
-    return retail.sales_by_sku(tables.order_lines(spark, sf_dir), tables.staging_products(spark, sf_dir))
+    return retail.sales_by_sku(tables.staging_orders(spark, sf_dir), tables.staging_products(spark, sf_dir))
 
 
 SALES_SQL = """
@@ -85,17 +85,18 @@ SELECT p_brand AS company, p_name AS link, p_retailprice AS price, p_type AS pro
 
 @query("scan_table", PRODUCTS_SQL)
 def q_scan_table(spark, sf_dir):
-    name = f"staging_products_{_tag(sf_dir)}"
-    tables.staging_products(spark, sf_dir).createOrReplaceTempView(name)
-    return spark.table(name)
+    # A table of the catalog with its declared columns, scanned by name.
+    ddl = "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_retailprice DOUBLE"
+    return tables.products_of(tables.external_table(
+        spark, f"cat_part_{_tag(sf_dir)}", ddl, tables.table_path(sf_dir, "part")))
 
 
 @query("external_table", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
 """)
 def q_external_table(spark, sf_dir):
     ddl = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
-           "o_totalprice DOUBLE, o_orderpriority STRING")
+           "o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
     return tables.external_table(
         spark, f"ext_orders_{_tag(sf_dir)}", ddl, tables.table_path(sf_dir, "orders"))
 

@@ -101,7 +101,7 @@ def q_tag_policy_access(spark, sf_dir):
     res_dec = decide_keys(spark, sf_dir, keys)
     rt = resource_tags(spark, sf_dir, keys.select(*RES).distinct())
     tkeys = keys.join(rt, RES).select("user", "access", "tag").distinct()
-    snap = policy_snapshot(spark, sf_dir)
+    snap = policy_snapshot(spark, sf_dir, "tags")
     items = snap["items_x"].where(F.col("service") == "tags")
     res = snap["resources"].where(F.col("service") == "tags")
     princ = access.principals(tkeys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))

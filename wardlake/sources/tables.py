@@ -52,21 +52,13 @@ def staging_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders(price, sku) without the header join: every order line has an
-    order, so a job that needs only price and sku skips the lineitem x orders
-    shuffle join entirely."""
-    li = scan_parquet(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_partkey").cast("string").alias("sku"),
-    )
-
-
 def staging_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """products(company, link, price, product_category, release_date, sku)."""
-    p = scan_parquet(spark, sf_dir, "part")
-    return p.select(
+    return products_of(scan_parquet(spark, sf_dir, "part"))
+
+
+def products_of(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_brand").alias("company"),
         F.col("p_name").alias("link"),
         F.col("p_retailprice").alias("price"),
