@@ -52,11 +52,12 @@ def access_heads(items: DataFrame, service: str) -> DataFrame:
 def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame,
            resources: DataFrame, level_opts: DataFrame, princ: DataFrame, service: str,
            bound: int | None = None, stage: bool = True, items_bound: int | None = None,
-           matched: DataFrame | None = None) -> DataFrame:
+           matched: DataFrame | None = None, n_keys: int | None = None) -> DataFrame:
     """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled.
 
     ``matched`` (resource columns, policy_id) stands in for resource matching where another matcher decides what a
-    policy covers, as for paths.
+    policy covers, as for paths. ``n_keys``: a known upper bound of the keys; with ``bound`` it bounds the matched pairs
+    and skips their size checks.
     ``stage=False`` skips the Parquet stages, for a handful of keys built on
     the driver (a governed read asks about one table's columns).
     """
@@ -76,14 +77,16 @@ def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], ite
     # A resource asked for by many keys, a user with many keys and a '*'
     # policy fitting every key are all hot join keys: each join below puts
     # the small side in a broadcast under a proven bound, or salts.
-    pairs = skew_safe_join(keys, matched, res_cols).select(*key_cols, "policy_id")
+    pair_bound = n_keys * bound if n_keys is not None and bound is not None else None
+    pairs = skew_safe_join(keys, matched, res_cols, bound=pair_bound).select(*key_cols, "policy_id")
     it = (items.where((F.col("service") == service) & (F.col("policy_type") == 0) & F.col("is_enabled")
                       & F.col("is_allowed") & F.col("item_kind").isin(ACCESS_KINDS))
           .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
     # Policy items and heads are bounded by the service's item count,
     # recorded with the policy snapshot; without that bound AQE decides.
     small_items = items_bound is not None and items_bound <= BROADCAST_ROW_LIMIT
-    hits = (skew_safe_join(pairs, princ, ["user"])
+    few = pair_bound is not None and pair_bound <= BROADCAST_ROW_LIMIT
+    hits = ((princ.join(F.broadcast(pairs), "user") if few else skew_safe_join(pairs, princ, ["user"]))
             .join(F.broadcast(it) if small_items else it, ["policy_id", "principal_kind", "principal", "access"])
             .groupBy(*key_cols, "policy_id")
             .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in ACCESS_KINDS]))

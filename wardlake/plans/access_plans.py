@@ -31,12 +31,12 @@ def lake_inputs(spark: SparkSession, sf_dir: str):
 
 
 def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE,
-                stage: bool = True) -> DataFrame:
+                stage: bool = True, n_keys: int | None = None) -> DataFrame:
     items, res, opts = lake_inputs(spark, sf_dir)
     princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
     return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse",
                          resource_bound(spark, sf_dir, "lakehouse"), stage=stage,
-                         items_bound=resource_bound(spark, sf_dir, "items:lakehouse"))
+                         items_bound=resource_bound(spark, sf_dir, "items:lakehouse"), n_keys=n_keys)
 
 
 def request_keys(spark, sf_dir):

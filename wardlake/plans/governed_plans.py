@@ -44,10 +44,12 @@ def _governed(spark, sf_dir, table, user, **kw):
     users = spark.createDataFrame([(user,)], "user string")
     princ = access.principals(users, fx.memberships(spark, sf_dir), role_members_df(spark))
 
+    df = scan_parquet(spark, sf_dir, table)
+
     def decide_fn(keys):
-        return decide_keys(spark, sf_dir, keys, stage=False)
+        return decide_keys(spark, sf_dir, keys, stage=False, n_keys=len(df.columns))
 
-    return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, items, res, opts, princ,
+    return governed(df, user, "tpch", table, items, res, opts, princ,
                     decide_fn, bound=resource_bound(spark, sf_dir, "lakehouse"), **kw)
 
 

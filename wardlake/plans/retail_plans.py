@@ -168,8 +168,8 @@ def _land_per_user(spark, sf_dir):
 SELECT CAST(user_id AS VARCHAR) AS user_cookie, count(*) AS n_rows FROM events GROUP BY user_id
 """)
 def q_per_user_landing(spark, sf_dir):
+    # The owner's type comes from the declared schema.
     path = _land_per_user(spark, sf_dir)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     back = spark.read.option("sep", "\t").schema(TSV_SCHEMA).csv(path)
     return back.groupBy("user_cookie").agg(F.count(F.lit(1)).alias("n_rows"))
 

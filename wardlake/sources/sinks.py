@@ -30,7 +30,7 @@ def keep_latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataF
     """SNK-05: a row-keyed store keeps one row per key; the last write wins.
 
     ``max_by`` over a struct of the ordering columns picks the newest row per
-    key in one hash aggregate (partial aggregation before the shuffle, so a hot
+    key in one sort aggregate (partial aggregation before the shuffle, so a hot
     key costs one row per map task, not its full group).
     """
     others = [c for c in df.columns if c != key]
