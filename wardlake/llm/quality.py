@@ -4,12 +4,14 @@ A document's histograms (classes of characters; common words) are compared with
 Jensen-Shannon distance. The references are counted over all documents of the language that pass the base rules,
 common words being the most frequent ones of that count, and the share of a class of characters the median of the documents'
 shares, which junk of a minority cannot move. Short texts have noisy histograms: a distance is used
-only from a minimum length on.
+only from a minimum length on, and the limit of the common words follows the distances that texts of the same length
+drawn from the reference have.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +28,13 @@ COMMON_WORDS = 64
 #: A language with a smaller share of all words is held against all documents, so there are at most 1000 references.
 LEAST_SHARE = 0.001
 MAX_CHAR_DISTANCE = 0.15
-MAX_WORD_DISTANCE = 0.60
+#: The limit of the word distance: mean and NOISE standard deviations of texts of that length drawn from the reference,
+#: at least LEAST_LIMIT of the distance of a text without common words. A limit beyond that distance could not reject;
+#: such short texts are only rejected if they have no common word where that has a chance below NO_COMMON.
+NOISE = 5
+LEAST_LIMIT = 0.7
+NO_COMMON = 1e-6
+LENGTHS = [50, 70, 100, 140, 200, 280, 400, 800, 1600, 3200, 6400, 12800]
 SHARE_STEPS = 2000
 MIN_CHARS_FOR_CLASSES = 200
 MIN_WORDS_FOR_COMMON = 50
@@ -34,15 +42,18 @@ MIN_WORDS_FOR_COMMON = 50
 WORDS = re.compile("[^ \t-\r]+").findall
 SYMBOLS = "#*$%&|<>"
 MARKS = "!?;:\"'()[]{}-_/\\+=@^~`"
-CLASSES = ["lower", "upper", "other", "space", "stop", "mark", "symbol"]  # digits count as lower: a number is no junk
+CLASSES = ["lower", "upper", "other", "space", "stop", "mark", "symbol", "digit", "sign"]
+DIGIT = CLASSES.index("digit")
+#: So many digits, as a share of the text, count as lower: a number is no junk, a page of numbers is.
+FREE_DIGITS = 0.1
 EDGES = ".,;:!?\"'()[]{}#*$%&|<>"
-_TABLE_SIZE = 0x250
+_TABLE_SIZE = 0x20000
 
 
 def _class_of(c: str) -> int:
     if c in " \t\n\x0b\x0c\r":
         return 3
-    if c in ".,":
+    if c in ".,。，、．।۔،":
         return 4
     if c in SYMBOLS:
         return 6
@@ -50,16 +61,27 @@ def _class_of(c: str) -> int:
         return 5
     if c.isupper():
         return 1
-    return 0 if c.isalnum() else 2
+    if ord(c) < 0x250:
+        return DIGIT if c.isnumeric() else 0 if c.isalpha() else 2
+    kind = unicodedata.category(c)
+    if kind == "Cf":  # joiners inside words
+        return 0
+    return {"L": 0, "M": 0, "N": DIGIT, "Z": 3, "P": 5}.get(kind[0], 8)
 
 
-#: The class of each character below U+0250; all above count as lower case.
-_CLASS = np.array([_class_of(chr(k)) for k in range(_TABLE_SIZE)] + [0], np.uint8)
+#: The class of each character of the first two planes; further ones are ideographs, tags (lower) or private (sign).
+_CLASS = np.array([_class_of(chr(k)) for k in range(_TABLE_SIZE)] + [0, 8], np.uint8)
 
 
 def char_classes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.bincount(_CLASS[np.minimum(points, _TABLE_SIZE)], minlength=len(CLASSES)).astype(np.int64)
+    if len(points) and points.max() >= _TABLE_SIZE:
+        points = np.where(points >= 0xF0000, _TABLE_SIZE + 1, np.minimum(points, _TABLE_SIZE))
+    n = np.bincount(_CLASS[points], minlength=len(CLASSES)).astype(np.int64)
+    free = min(int(n[DIGIT]), int(FREE_DIGITS * len(points)))
+    n[DIGIT] -= free
+    n[0] += free
+    return n
 
 
 def class_shares(text: str) -> list[str]:
@@ -135,6 +157,17 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return max(0.0, (part(p) + part(q)) / 2) ** 0.5
 
 
+def js_distances(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """``js_distance`` of every row of counts and ``q``."""
+    p, q = rows / rows.sum(axis=1, keepdims=True), q / q.sum()
+    m = (p + q) / 2
+
+    def part(x):
+        return np.where(x > 0, x * np.log2(np.where(x > 0, x, 1) / np.where(m > 0, m, 1)), 0).sum(axis=1)
+
+    return np.sqrt(np.maximum(0, (part(p) + part(np.broadcast_to(q, p.shape))) / 2))
+
+
 class Reference:
     """One language: the class shares and the counts of its common words, the last of which is all other words."""
 
@@ -142,6 +175,7 @@ class Reference:
         self.classes = np.array(classes, float)
         self.at = {w: k for k, (w, _) in enumerate(words)}
         self.words = np.array([n for _, n in words] + [max(0, total - sum(n for _, n in words))], float)
+        self._limits: tuple[float, float, np.ndarray] | None = None
 
     def word_counts(self, words: list[str]) -> np.ndarray:
         out = np.zeros(len(self.words))
@@ -150,14 +184,34 @@ class Reference:
             out[self.at.get(plain_word(w), other) if len(w) < 40 else other] += n
         return out
 
+    def too_far(self, counts: np.ndarray, distance: float) -> bool:
+        """Whether a text of these ``word_counts`` lies beyond the limit of its length."""
+        if self.words.sum() == 0:
+            return False
+        if self._limits is None:  # worked out when the language is first met
+            share = self.words / self.words.sum()
+            rng = np.random.default_rng(0)
+            drawn = [js_distances(rng.multinomial(n, share, 200), share) for n in LENGTHS]
+            none = js_distance(np.eye(len(share))[-1], share)
+            self._limits = none, float(share[-1]), np.array([d.mean() + NOISE * d.std() for d in drawn])
+        none, rest, limits = self._limits
+        n = counts.sum()
+        limit = float(np.interp(np.log(n), np.log(LENGTHS), limits))
+        if limit < none and distance > max(limit, LEAST_LIMIT * none):
+            return True
+        return counts[:-1].sum() == 0 and rest ** n < NO_COMMON
+
 
 def judge(text: str, words: list[str], n_repeat: int, ref: Reference | None) -> tuple[float, float, bool]:
     """The two distances (0 where the text is too short for one) and whether the method keeps the text."""
     if ref is None:
         return 0.0, 0.0, True
     chars = js_distance(char_classes(text).astype(float), ref.classes) if len(text) >= MIN_CHARS_FOR_CLASSES else 0.0
-    common = js_distance(ref.word_counts(words), ref.words) if len(words) >= MIN_WORDS_FOR_COMMON else 0.0
-    return chars, common, chars <= MAX_CHAR_DISTANCE and common <= MAX_WORD_DISTANCE
+    if len(words) < MIN_WORDS_FOR_COMMON:
+        return chars, 0.0, chars <= MAX_CHAR_DISTANCE
+    counts = ref.word_counts(words)
+    common = js_distance(counts, ref.words)
+    return chars, common, chars <= MAX_CHAR_DISTANCE and not ref.too_far(counts, common)
 
 
 def _count(entries: int = 200_000):
