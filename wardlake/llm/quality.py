@@ -20,13 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardlake.llm.common import stage, text_of
 
 MIN_WORDS = 50
 COMMON_WORDS = 64
-#: A language with a smaller share of all words is held against all documents, so there are at most 1000 references.
-LEAST_SHARE = 0.001
+#: What passes the base rules in a language, for its medians and its common words to be a reference.
+LEAST_DOCUMENTS = 10
+LEAST_WORDS = 2000
+#: References of the languages with the most rows that every task holds; those of further languages are joined to their rows.
+MAX_HELD = 1000
 MAX_CHAR_DISTANCE = 0.15
 #: The limit of the word distance: mean and NOISE standard deviations of texts of that length drawn from the reference,
 #: at least LEAST_LIMIT of the distance of a text without common words. A limit beyond that distance could not reject;
@@ -90,20 +94,6 @@ def class_shares(text: str) -> list[str]:
     return [f"{c}:{s}" for c, s in zip(CLASSES, np.rint(n * SHARE_STEPS / max(1, n.sum())).astype(int).tolist())]
 
 
-def median_shares(counts: dict[str, int]) -> list[float]:
-    """The median share of each class from the counts of ``class:share``."""
-    out = []
-    for c in CLASSES:
-        pairs = sorted((int(k[len(c) + 1:]), n) for k, n in counts.items() if k.startswith(c + ":"))
-        half, share = sum(n for _, n in pairs) / 2, 0
-        for share, n in pairs:
-            half -= n
-            if half <= 0:
-                break
-        out.append(float(share))
-    return out
-
-
 def repeated_words(words: list[str]) -> int:
     """Words that lie in a window of three words which the text holds twice or more."""
     if len(words) < 4:
@@ -169,10 +159,13 @@ def js_distances(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Reference:
-    """One language: the class shares and the counts of its common words, the last of which is all other words."""
+    """One language: the class shares and the counts of its common words, the last of which is all other words.
+
+    Empty ``classes`` or a ``total`` of 0: too few documents or words, and that distance is skipped.
+    """
 
     def __init__(self, classes: list[float], words: list[tuple[str, int]], total: int):
-        self.classes = np.array(classes, float)
+        self.classes = np.array(classes or [0] * len(CLASSES), float)
         self.at = {w: k for k, (w, _) in enumerate(words)}
         self.words = np.array([n for _, n in words] + [max(0, total - sum(n for _, n in words))], float)
         self._limits: tuple[float, float, np.ndarray] | None = None
@@ -215,18 +208,19 @@ def judge(text: str, words: list[str], n_repeat: int, ref: Reference | None) ->
 
 
 def _count(entries: int = 200_000):
-    """Pass one: counts of classes and words per language, combined inside the task and given out when the table is full."""
+    """Pass one: counts of rows, classes and words per language, combined inside the task and given out when the table is full."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str | None, tuple[Counter, Counter]] = {}
+        kept: dict[str | None, tuple[Counter, Counter, Counter]] = {}
+        size = 0
 
         def out():
             lang, kind, key, n = [], [], [], []
-            for la, (words, classes) in kept.items():
+            for la, (words, classes, rows) in kept.items():
                 plain = Counter()
                 for w, c in words.items():
                     plain[plain_word(w) if len(w) < 40 else ""] += c
-                for kd, pairs in (("w", plain.items()), ("c", classes.items())):
+                for kd, pairs in (("w", plain.items()), ("c", classes.items()), ("d", rows.items())):
                     for k, c in pairs:
                         lang.append(la)
                         kind.append(kd)
@@ -239,71 +233,113 @@ def _count(entries: int = 200_000):
 
         for b in batches:
             for la, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                mine = kept.setdefault(la, (Counter(), Counter(), Counter()))
+                size -= sum(map(len, mine))
+                mine[2][""] += 1
                 words = WORDS(text)
-                if base_failed(len(words), repeated_words(words)):
-                    continue
-                if la not in kept:
-                    kept[la] = (Counter(), Counter())
-                kept[la][0].update(words)
-                kept[la][1].update(class_shares(text))
-                if sum(len(c) for c, _ in kept.values()) > entries:
+                if not base_failed(len(words), repeated_words(words)):
+                    mine[0].update(words)
+                    mine[1].update(class_shares(text))
+                size += sum(map(len, mine))
+                if size > entries:
                     yield out()
+                    size = 0
         if kept:
             yield out()
 
     return run
 
 
-def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str | None, Reference]:
-    """The references of all languages with a share of words of ``LEAST_SHARE`` and, under "*", of all documents.
+def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """One short row per language, counted over every document that passes the base rules, and written.
 
-    Counted over every document that passes the base rules. What reaches the driver is bounded: at most 1001
-    references, each of COMMON_WORDS words and the shares of seven classes.
+    lang, known (false for a null language, whose lang is then empty), n_rows (all rows), classes (median shares in
+    the order of CLASSES, empty under LEAST_DOCUMENTS documents), words and counts (the COMMON_WORDS most frequent,
+    best first), total (all words, 0 under LEAST_WORDS).
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))
-    counts = stage(rows.mapInArrow(_count(), "lang string, kind string, key string, n long").groupBy(
-        "lang", "kind", "key").agg(F.sum("n").alias("n")), "quality-counts")
-    total = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
-    share = total.withColumn("all", F.sum("total").over(W.partitionBy())).filter(
-        F.col("total") >= F.col("all") * LEAST_SHARE).select("lang", "total")
-    named = share.withColumn("known", F.col("lang").isNotNull()).withColumn("lang", F.coalesce("lang", F.lit("")))
-    keyed = counts.withColumn("known", F.col("lang").isNotNull()).withColumn("lang", F.coalesce("lang", F.lit("")))
-    own = keyed.join(F.broadcast(named), ["lang", "known"]).select("lang", "known", "kind", "key", "n")  # <= 1000 rows
-    every = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(
-        F.lit("*").alias("lang"), F.lit(False).alias("known"), "kind", "key", "n")
-    both = own.unionByName(every)
+    found = rows.mapInArrow(_count(), "lang string, kind string, key string, n long")
+    keyed = found.select(F.coalesce("lang", F.lit("")).alias("lang"), F.col("lang").isNotNull().alias("known"), "kind", "key", "n")
+    counts = stage(keyed.groupBy("lang", "known", "kind", "key").agg(F.sum("n").alias("n")), "quality-counts")
+    value = F.lit(None).cast("double").alias("value")
     nth = F.row_number().over(W.partitionBy("lang", "known").orderBy(F.desc("n"), "key"))
-    words_top = both.filter("kind = 'w' AND key <> ''").withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS)
-    # at most COMMON_WORDS words and seven classes of SHARE_STEPS shares for each reference
-    top = words_top.drop("nth").unionByName(both.filter("kind = 'c'")).collect()
-    sums = {(r["lang"], r["known"]): r["total"] for r in named.collect()}
-    sums["*", False] = counts.filter("kind = 'w'").agg(F.sum("n")).first()[0] or 0
-    out: dict[str | None, Reference] = {}
-    for (lang, known), n in sums.items():
-        mine = [r for r in top if (r["lang"], r["known"]) == (lang, known)]
-        if mine:
-            by_class = {r["key"]: r["n"] for r in mine if r["kind"] == "c"}
-            words = sorted(((r["key"], r["n"]) for r in mine if r["kind"] == "w"), key=lambda x: (-x[1], x[0]))
-            key = lang if known or lang == "*" else None
-            out[key] = Reference(median_shares(by_class), words, n)
-    return out
-
-
-def _judged(refs: dict[str | None, Reference]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common = counts.filter("kind = 'w' AND key <> ''").withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS).drop("nth")
+    total = counts.filter("kind <> 'c'").groupBy("lang", "known", F.when(F.col("kind") == "w", "t").otherwise("d").alias("kind")).agg(
+        F.lit("").alias("key"), F.sum("n").alias("n"))
+    share = F.split("key", ":")
+    medians = counts.filter("kind = 'c'").select("lang", "known", "kind", share[0].alias("key"), share[1].cast("int").alias("share"), "n").groupBy(
+        "lang", "known", "kind", "key").agg(F.sum("n").alias("n"), F.expr("percentile(share, 0.5, n)").alias("value"))
+    parts = common.withColumn("value", value).unionByName(total.withColumn("value", value)).unionByName(medians)
+
+    def of(kind, x):
+        return F.when(F.col("kind") == kind, x)
+
+    # COMMON_WORDS + len(CLASSES) + 2 rows a language
+    one = parts.groupBy("lang", "known").agg(
+        F.max(of("d", F.col("n"))).alias("n_rows"), F.coalesce(F.max(of("t", F.col("n"))), F.lit(0).cast("long")).alias("total"),
+        F.coalesce(F.max(of("c", F.col("n"))), F.lit(0).cast("long")).alias("documents"),
+        F.collect_list(of("c", F.struct("key", "value"))).alias("medians"),
+        F.sort_array(F.collect_list(of("w", F.struct((-F.col("n")).alias("n"), "key")))).alias("common"))
+    by_class = F.map_from_entries("medians")
+    enough = F.col("total") >= LEAST_WORDS
+    none = F.array().cast("array<double>")
+    return stage(one.select(
+        "lang", "known", "n_rows",
+        F.when(F.col("documents") >= LEAST_DOCUMENTS, F.array(*(by_class[c] for c in CLASSES))).otherwise(none).alias("classes"),
+        F.when(enough, F.col("common.key")).otherwise(F.array().cast("array<string>")).alias("words"),
+        F.when(enough, F.transform("common.n", lambda n: -n)).otherwise(F.array().cast("array<bigint>")).alias("counts"),
+        F.when(enough, F.col("total")).otherwise(0).alias("total")), "quality-references")
+
+
+def _reference(r) -> Reference | None:
+    return Reference(r["classes"], list(zip(r["words"], r["counts"])), r["total"]) if r["classes"] or r["total"] else None
+
+
+def _each(rows: DataFrame, refs: DataFrame, work, schema: str | StructType) -> DataFrame:
+    """``work(batch, references of its rows)`` over all batches of ``rows``, which have a column _lang.
+
+    Every task holds the MAX_HELD references of the languages with the most rows. Rows of other languages, none of
+    which has more than one in MAX_HELD rows, are joined to theirs.
+    """
+    top = refs.orderBy(F.desc("n_rows"), "lang", "known").limit(MAX_HELD).collect()
+    held = {r["lang"] if r["known"] else None: _reference(r) for r in top}
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in range(9)]
-            for la, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                words = WORDS(text)
-                four = base_counts(text, words)
-                chars, common, good = judge(text, words, four[3], refs.get(la, refs.get("*")))
-                failed = base_failed(len(words), four[3])
-                for column, value in zip(out, (len(words), *four, failed, good and not failed, chars, common)):
-                    column.append(value)
-            kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(out, kinds))],
-                                             names=["doc_id", *(x.split()[0] for x in _SCHEMA.split(", "))])
-    return run
+            yield work(b, [held.get(la) for la in b.column("_lang").to_pylist()])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = ()  # the join leaves the rows of a language together
+        for b in batches:
+            mine = []
+            for k, la in enumerate(b.column("_lang").to_pylist()):
+                if last[:1] != (la,):
+                    r = b.column("_reference")[k].as_py()
+                    last = la, r and _reference(r)
+                mine.append(last[1])
+            yield work(b, mine)
+
+    if len(top) < MAX_HELD:
+        return rows.mapInArrow(near, schema)
+    here = F.coalesce(F.col("_lang").isin([la for la in held if la is not None]), F.lit(None in held))
+    keys = refs.select(F.col("lang").alias("_l"), F.col("known").alias("_k"),
+                       F.struct("classes", "words", "counts", "total").alias("_reference"))
+    far = rows.filter(~here).join(keys, (F.coalesce("_lang", F.lit("")) == F.col("_l")) & (F.col("_lang").isNotNull() == F.col("_k")), "left")
+    return rows.filter(here).mapInArrow(near, schema).union(far.drop("_l", "_k").mapInArrow(joined, schema))
+
+
+def _judged(b: pa.RecordBatch, refs: list[Reference | None]) -> pa.RecordBatch:
+    out: list[list] = [[] for _ in range(9)]
+    for ref, text in zip(refs, b.column("_text").to_pylist()):
+        words = WORDS(text)
+        four = base_counts(text, words)
+        chars, common, good = judge(text, words, four[3], ref)
+        failed = base_failed(len(words), four[3])
+        for column, value in zip(out, (len(words), *four, failed, good and not failed, chars, common)):
+            column.append(value)
+    kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+    return pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(out, kinds))],
+                                      names=["doc_id", *(x.split()[0] for x in _SCHEMA.split(", "))])
 
 
 _SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
@@ -313,15 +349,15 @@ _SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 def decisions(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs`` with its counts, both distances and the verdict.
 
-    A null text has no words and fails the base rules, as every text under 50 words. A null or rare language is held
-    against its own reference or that of all documents. If no document passes the base rules there is no reference,
-    and the base rules decide alone. An empty table gives no rows; other columns are not read.
+    A null text has no words and fails the base rules, as every text under 50 words. Every language is held against
+    its own reference, rows without a language against that of all of these. Where a language has too few documents or words
+    for a reference, the distance is 0 and the other rules decide. An empty table gives no rows; other columns are not read.
     """
     refs = references(docs, lang_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
-                       text_of(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("_lang"),
+                       text_of(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_judged(refs), f"doc_id {kind}, {_SCHEMA}")
+    return _each(rows, refs, _judged, f"doc_id {kind}, {_SCHEMA}")
 
 
 def good_documents(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -329,14 +365,12 @@ def good_documents(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     refs = references(docs, lang_col, text_col)
     names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for la, text in zip(b.column("_lang").to_pylist(), b.column("_text").to_pylist()):
-                words = WORDS(text)
-                n = repeated_words(words)
-                keep.append(not base_failed(len(words), n) and judge(text, words, n, refs.get(la, refs.get("*")))[2])
-            yield b.select(names).filter(pa.array(keep, pa.bool_()))
+    def work(b: pa.RecordBatch, refs: list[Reference | None]) -> pa.RecordBatch:
+        keep = []
+        for ref, text in zip(refs, b.column("_text").to_pylist()):
+            words = WORDS(text)
+            n = repeated_words(words)
+            keep.append(not base_failed(len(words), n) and judge(text, words, n, ref)[2])
+        return b.select(names).filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn("_lang", F.col(lang_col).cast("string")).withColumn("_text", text_of(text_col)).mapInArrow(
-        run, docs.schema)
+    return _each(docs.withColumn("_lang", F.col(lang_col).cast("string")).withColumn("_text", text_of(text_col)), refs, work, docs.schema)
