@@ -38,9 +38,11 @@ class WordTokenizer:
     The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's ids are the ids of its
     words. A word with characters from U+0250 on is given to the library as it stands. Other words are cut by
     the pre-tokenizer's own pattern here, and their distinct parts go to the library without its normalizer.
+    With ``added`` the strings of added tokens (``<|endoftext|>``) inside a text are these tokens, as by the library's
+    default; words that may hold one are given to the library. Otherwise they are ordinary text.
     """
 
-    def __init__(self, path: str, entries: int = TABLE_ENTRIES):
+    def __init__(self, path: str, entries: int = TABLE_ENTRIES, added: bool = False):
         import json
         import os
         import unicodedata
@@ -49,7 +51,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings inside a text are ordinary text
+        self.whole.encode_special_tokens = not added
         with open(path) as f:
             spec = json.load(f)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -65,7 +67,8 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.kind = np.dtype("<u2") if len(self.ends) <= 1 << 16 else np.dtype("<u4")
         self.nfc = unicodedata.normalize
-        self.foreign = re.compile("[ɐ-\U0010ffff]").search
+        names = [re.escape(t["content"]) for t in spec["added_tokens"]] if added else []
+        self.foreign = re.compile("|".join(["[ɐ-\U0010ffff]", *names])).search
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
         self.entries = entries
@@ -151,7 +154,7 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 def tokenizer(path: str) -> WordTokenizer:
     """One tokenizer and word table for a Python worker, kept between tasks."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = WordTokenizer(path, added=True)
     return _TOKENIZERS[path]
 
 
