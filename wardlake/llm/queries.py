@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import (
     chat,
+    conversation_repair,
     exact_dedup,
     html_text,
+    merkle,
     mixing,
     near_dedup,
     packing,
     pii,
     quality,
+    secrets,
     token_counts,
     toxicity,
 )
@@ -82,6 +85,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report(conversation_repair.damaged(rows), rows)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secrets.find(table(spark, sf_dir, "documents"))
+    said = F.transform("findings", lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"]))
+    return got.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.concat_ws(",", said).alias("spans"),
+                      F.size(F.filter("findings", lambda f: f["live"])).cast("long").alias("n_live"),
+                      F.size(F.filter("findings", lambda f: ~f["live"])).cast("long").alias("n_copied"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=merkle.tampered_ids())
+
+
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_html_text, op4_personal_data, op5_quality,
-                                  op6_chat_formatting, op7_token_counts, op8_mixing, op9_packing, op10_toxicity)}
-ORACLES = {"op2_exact_dedup": exact_dedup.SQL, "op6_chat_formatting": chat.SQL}
+                                  op6_chat_formatting, op7_token_counts, op8_mixing, op9_packing, op10_toxicity,
+                                  op11_conversation_repair, op12_secrets, op13_merkle)}
+ORACLES = {"op2_exact_dedup": exact_dedup.SQL, "op6_chat_formatting": chat.SQL, "op13_merkle": merkle.SQL}
