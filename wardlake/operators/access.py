@@ -1,33 +1,36 @@
-"""Access decisions as joins and one aggregate (GOV-07, GOV-08, GOV-16...).
+"""Access decisions (GOV-07, GOV-08, GOV-16...): lists of policies per resource, decided inside the row.
 
 Decision rule (frozen in tests/test_decide_truth_table.py):
 
 * only enabled access policies (type 0) whose resources fit take part;
-* in a policy, an allow item fits when the principal (user, one of the
-  user's groups, ``public``, or a role of those groups) and the access fit,
-  unless an allow exception fits too; deny items and deny exceptions the same;
+* in a policy, an allow item fits when the principal (user, one of the user's groups, ``public``, or a role of those
+  groups) and the access fit, unless an allow exception fits too; deny items and deny exceptions the same;
 * ``isDenyAllElse``: a fitting policy that does not allow, denies;
-* override policies (priority > 0) are decided first: deny, then allow;
-  then normal policies: deny beats allow; nothing fits -> NOT_DETERMINED,
-  which is not an allow.
-
-Everything runs per distinct (user, access, resource) key; requests get
-their answer by one join back. Fixed-size dimensions are broadcast
-explicitly; sides whose size depends on the data (matched pairs, decided
-keys, policy items) are left to AQE's runtime broadcast conversion, which
-is a measured size check with the shuffle join as the way beyond it.
+* override policies (priority > 0) are decided first: deny, then allow; then normal policies: deny beats allow;
+  nothing fits -> NOT_DETERMINED, which is not an allow.
+
+``policy_index`` turns the normalized tables into one row per policy with its patterns and items. The distinct
+(resource, access) of the requests meet it once (``access_lists``), which gives each of them the short list of
+policies that may decide it, with the principals they name. A key (user, access, resource) then takes the list of its
+resource and the principals of its user by two joins and is decided in the row: there is no further join or
+aggregate, and nothing is as large as keys x policies x items.
+
+Lists of principals longer than ``LONG_LIST`` stay out of the rows: they are joined with the users instead, and a
+key learns which of those lists hold its user (``long_lists``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.operators.joins import skew_safe_join
-from wardlake.operators.matching import match_resources
-from wardlake.session import BROADCAST_ROW_LIMIT, cut_lineage
+from wardlake.operators.joins import sized_join
+from wardlake.operators.matching import USER_MACRO, covers_for, match_index, pattern_rows
+from wardlake.session import cut_lineage
 
 ACCESS_KINDS = ["allow", "deny", "allow_exception", "deny_exception"]
+LONG_LIST = 512
+_DETAILS = ["mask_type", "value_expr", "condition_expr", "filter_expr"]
 
 
 def principals(users: DataFrame, members: DataFrame, role_members: DataFrame) -> DataFrame:
@@ -38,92 +41,163 @@ def principals(users: DataFrame, members: DataFrame, role_members: DataFrame) ->
         u.select("user", F.lit("user").alias("principal_kind"), F.col("user").alias("principal"))
         .unionByName(u.select("user", F.lit("group").alias("principal_kind"), F.lit("public").alias("principal")))
         .unionByName(m.select("user", F.lit("group").alias("principal_kind"), F.col("grp").alias("principal")))
-        .unionByName(m.join(F.broadcast(role_members), "grp")
+        .unionByName(m.join(role_members, "grp")
                      .select("user", F.lit("role").alias("principal_kind"), F.col("role").alias("principal")))
         .distinct()
     )
 
 
-def access_heads(items: DataFrame, service: str) -> DataFrame:
-    return (items.where((F.col("service") == service) & (F.col("policy_type") == 0) & F.col("is_enabled"))
-            .select("policy_id", "priority", "deny_all_else", "is_audit_enabled").distinct())
+def _tag(kind: str = "principal_kind", name: str = "principal") -> Column:
+    return F.concat_ws(":", kind, name)
+
+
+EVERYBODY = f"user:{USER_MACRO}"
+
 
+def user_tags(princ: DataFrame) -> DataFrame:
+    """(user, who): all principals that a user is, as tags; as many as the user has memberships."""
+    return princ.groupBy("user").agg(F.collect_set(_tag()).alias("who"))
 
-def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame,
-           resources: DataFrame, level_opts: DataFrame, princ: DataFrame, service: str,
-           bound: int | None = None, stage: bool = True, items_bound: int | None = None,
-           matched: DataFrame | None = None, n_keys: int | None = None) -> DataFrame:
-    """keys(user, access, <levels>) -> keys + decision, allowed, policy_id, is_audit_enabled.
 
-    ``matched`` (resource columns, policy_id) stands in for resource matching where another matcher decides what a
-    policy covers, as for paths. ``n_keys``: a known upper bound of the keys; with ``bound`` it bounds the matched pairs
-    and skips their size checks.
-    ``stage=False`` skips the Parquet stages, for a handful of keys built on
-    the driver (a governed read asks about one table's columns).
+def long_lists(items: DataFrame) -> DataFrame:
+    """(service, policy_id, access, item_kind) of more than LONG_LIST principals: counted in the tasks first."""
+    return (items.where(F.col("principal").isNotNull() & F.col("item_kind").isin(ACCESS_KINDS)).groupBy("service", "policy_id", "access", "item_kind").count()
+            .where(F.col("count") > LONG_LIST).drop("count"))
+
+
+def policy_index(items: DataFrame, resources: DataFrame, level_opts: DataFrame | None, long: DataFrame) -> DataFrame:
+    """One row per enabled policy that has resources.
+
+    service, policy_id, policy_type, priority, deny_all_else, is_audit_enabled, res (see ``matching.pattern_rows``),
+    its: array of (kind, access, principal tag, item_no, mask and filter texts); principal is NULL for a long list.
+    """
+    one = ["service", "policy_id"]
+    details = [F.col(c) if c in items.columns else F.lit(None).cast("string").alias(c) for c in _DETAILS]
+    counted = F.col("item_kind").isin(ACCESS_KINDS)
+    live = items.where("is_enabled").join(long.withColumn("_long", F.lit(True)),
+                                          [*one, "access", "item_kind"], "left")
+    it = F.when(F.col("is_allowed") & F.col("principal").isNotNull() & F.col("access").isNotNull(), F.struct(
+        F.col("item_kind").alias("kind"), "access", F.when(F.col("_long").isNull(), _tag()).alias("principal"),
+        F.when(~counted, F.col("item_no")).alias("item_no"), *details))
+    head = F.struct("policy_type", "priority", "deny_all_else", "is_audit_enabled")
+    rows = live.select(*one, head.alias("head"), it.alias("it")).unionByName(
+        pattern_rows(resources, level_opts).select(*one, "r"), allowMissingColumns=True)
+    got = rows.groupBy(*one).agg(F.max("head").alias("head"), F.collect_set("r").alias("res"), F.collect_set("it").alias("its"))
+    return got.where(F.col("head").isNotNull() & (F.size("res") > 0)).select(*one, "head.*", "res", "its")
+
+
+def access_lists(asked: DataFrame, res_cols: list[str], level_cols: dict[str, str], index: DataFrame,
+                 bound: int | None = None) -> DataFrame:
+    """(resource..., access, policies): the policies that may decide the access, each with the principals it names."""
+    pols = index.where(F.col("policy_type") == 0).drop("policy_type", "service")
+    met = match_index(asked.select(*res_cols, "access"), level_cols, pols, bound)
+    of = lambda k: F.transform(F.filter("_its", lambda x: x["kind"] == k), lambda x: x["principal"])
+    macro = "only" in met.columns  # only paths hold the user's macro
+    extra = ["only", "unless"] if macro else []
+    entry = F.struct("policy_id", "priority", "deny_all_else", "is_audit_enabled",
+                     *[of(k).alias(k) for k in ACCESS_KINDS], *extra)
+    got = met.withColumn("_its", F.filter("its", lambda x: x["access"] == F.col("access")))
+    return (got.where((F.size("_its") > 0) | F.col("deny_all_else")).groupBy(*res_cols, "access")
+            .agg(F.collect_list(entry).alias("policies")))
+
+
+def judge(policies: Column, path: Column | None = None) -> Column:
+    """What each policy of the list says of the key: (policy_id, is_audit_enabled, over, a, d and the four item hits).
+
+    ``who`` are the user's tags, ``held`` the long lists that hold the user.
     """
-    cut = cut_lineage if stage else (lambda df: df)
-    # The keys (a distinct over all requests) and the matched pairs are each
-    # read several times below: they are written once as Parquet stages in
-    # the shared folder, so no branch recomputes the request scan and a lost
-    # executor does not replay it.
-    keys = cut(keys.select(*key_cols))
-    heads = access_heads(items, service)
+    def say(e):
+        def hit(k):
+            here = F.coalesce(F.arrays_overlap(F.filter(e[k], lambda x: x.isNotNull()), F.col("who")), F.lit(False))
+            long = F.coalesce(F.exists("held", lambda x: (x["policy_id"] == e["policy_id"]) & (x["item_kind"] == k)),
+                              F.lit(False))
+            return here | long
+        return F.struct(e["policy_id"].alias("policy_id"), e["is_audit_enabled"].alias("is_audit_enabled"),
+                        (e["priority"] > 0).alias("over"), e["deny_all_else"].alias("else_deny"),
+                        *[hit(k).alias(k) for k in ACCESS_KINDS])
+
+    if path is not None:
+        policies = F.filter(policies, lambda e: (e["only"].isNull() | covers_for(e["only"], path, F.col("user")))
+                            & (e["unless"].isNull() | ~covers_for(e["unless"], path, F.col("user"))))
+    said = F.transform(policies, say)
+
+    def allows(s):
+        return s["allow"] & ~s["allow_exception"]
+
+    return F.transform(said, lambda s: s.withField("a", allows(s)).withField(
+        "d", (s["deny"] & ~s["deny_exception"]) | (s["else_deny"] & ~allows(s))))
+
+
+def verdict(judged: Column) -> Column:
+    """(decision, policy_id, is_audit_enabled) from what the policies say."""
+    def first(over, side):
+        return F.array_min(F.transform(F.filter(judged, lambda s: (s["over"] == over) & s[side]), lambda s: F.struct(
+            s["policy_id"].alias("policy_id"), s["is_audit_enabled"].alias("is_audit_enabled"))))
+    sides = [(first(True, "d"), "DENY"), (first(True, "a"), "ALLOW"), (first(False, "d"), "DENY"), (first(False, "a"), "ALLOW")]
+    said = F.coalesce(*[F.when(w.isNotNull(), F.lit(name)) for w, name in sides], F.lit("NOT_DETERMINED"))
+    win = F.coalesce(*[w for w, _ in sides])
+    return F.struct(said.alias("decision"), win["policy_id"].alias("policy_id"), win["is_audit_enabled"].alias("is_audit_enabled"))
+
+
+def with_principals(keys: DataFrame, princ: DataFrame, long_items: DataFrame | None) -> DataFrame:
+    """``keys`` with ``who`` and ``held``. Everybody is the macro for the requesting user."""
+    tags = user_tags(princ)
+    out = keys.join(tags, "user", "left").withColumn("who", F.concat(
+        F.coalesce("who", F.array().cast("array<string>")), F.array(F.lit(EVERYBODY))))
+    if long_items is None:
+        return out.withColumn("held", F.lit(None).cast("array<struct<policy_id:bigint,item_kind:string>>"))
+    lists = long_items.select("policy_id", "item_kind", "access", "principal_kind", "principal").distinct()
+    held = (lists.join(princ, ["principal_kind", "principal"]).groupBy("user", "access")
+            .agg(F.collect_set(F.struct(F.col("policy_id").cast("long").alias("policy_id"), "item_kind")).alias("held")))
+    return out.join(held, ["user", "access"], "left")
+
+
+def judged_keys(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], index: DataFrame, princ: DataFrame,
+                long_items: DataFrame | None = None, bound: int | None = None) -> DataFrame:
+    """``key_cols`` of the distinct ``keys`` with ``judged`` (empty where no policy fits)."""
     res_cols = list(level_cols.values())
-    if matched is None:
-        res_keys = keys.select(*res_cols).distinct()
-        access_res = resources.join(heads.select("policy_id"), "policy_id", "left_semi")
-        matched = match_resources(res_keys, res_cols, level_cols, access_res, level_opts, service, bound)
-    matched = cut(matched)
-    # A resource asked for by many keys, a user with many keys and a '*'
-    # policy fitting every key are all hot join keys: each join below puts
-    # the small side in a broadcast under a proven bound, or salts.
-    pair_bound = n_keys * bound if n_keys is not None and bound is not None else None
-    pairs = skew_safe_join(keys, matched, res_cols, bound=pair_bound).select(*key_cols, "policy_id")
-    it = (items.where((F.col("service") == service) & (F.col("policy_type") == 0) & F.col("is_enabled")
-                      & F.col("is_allowed") & F.col("item_kind").isin(ACCESS_KINDS))
-          .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
-    # Policy items and heads are bounded by the service's item count,
-    # recorded with the policy snapshot; without that bound AQE decides.
-    small_items = items_bound is not None and items_bound <= BROADCAST_ROW_LIMIT
-    few = pair_bound is not None and pair_bound <= BROADCAST_ROW_LIMIT
-    hits = ((princ.join(F.broadcast(pairs), "user") if few else skew_safe_join(pairs, princ, ["user"]))
-            .join(F.broadcast(it) if small_items else it, ["policy_id", "principal_kind", "principal", "access"])
-            .groupBy(*key_cols, "policy_id")
-            .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in ACCESS_KINDS]))
-    per_pol = (pairs.join(hits, [*key_cols, "policy_id"], "left")
-               .join(F.broadcast(heads) if small_items else heads, "policy_id")
-               .select(*key_cols, "policy_id", "priority", "is_audit_enabled",
-                       (F.coalesce("allow", F.lit(False)) & ~F.coalesce("allow_exception", F.lit(False))).alias("a"),
-                       (F.coalesce("deny", F.lit(False)) & ~F.coalesce("deny_exception", F.lit(False))).alias("d"),
-                       "deny_all_else"))
-    per_pol = per_pol.withColumn("d", F.col("d") | (F.col("deny_all_else") & ~F.col("a")))
-    ov = F.col("priority") > 0
-
-    def first_pid(cond):
-        return F.min(F.when(cond, F.struct(F.col("policy_id"), F.col("is_audit_enabled"))))
-
-    agg = per_pol.groupBy(*key_cols).agg(
-        first_pid(ov & F.col("d")).alias("ovd"), first_pid(ov & F.col("a")).alias("ova"),
-        first_pid(~ov & F.col("d")).alias("nd"), first_pid(~ov & F.col("a")).alias("na"))
-    win = F.coalesce("ovd", "ova", "nd", "na")
-    decision = (F.when(F.col("ovd").isNotNull(), "DENY").when(F.col("ova").isNotNull(), "ALLOW")
-                .when(F.col("nd").isNotNull(), "DENY").when(F.col("na").isNotNull(), "ALLOW")
-                .otherwise("NOT_DETERMINED"))
-    decided = agg.select(*key_cols, decision.alias("decision"), win["policy_id"].alias("policy_id"),
-                         win["is_audit_enabled"].alias("is_audit_enabled"))
-    return cut(
-        keys.select(*key_cols).join(decided, key_cols, "left")
-        .select(*key_cols, F.coalesce("decision", F.lit("NOT_DETERMINED")).alias("decision"),
-                (F.coalesce("decision", F.lit("")) == "ALLOW").alias("allowed"),
-                "policy_id", "is_audit_enabled"))
+    lists = access_lists(keys.select(*res_cols, "access").distinct(), res_cols, level_cols, index, bound)
+    full = with_principals(keys.select(*key_cols).join(lists, [*res_cols, "access"], "left"), princ, long_items)
+    path = F.col(res_cols[0]) if list(level_cols) == ["path"] else None
+    return full.withColumn("judged", F.coalesce(judge(F.col("policies"), path), F.array())).select(*key_cols, "judged")
+
+
+def long_items_of(items: DataFrame, long: DataFrame) -> DataFrame | None:
+    """The items of the long lists that decide; None where there are none (one look at ``long``)."""
+    if long.limit(1).count() == 0:
+        return None
+    return items.where((F.col("policy_type") == 0) & F.col("is_enabled") & F.col("is_allowed")
+                       & F.col("item_kind").isin(ACCESS_KINDS)).join(
+        long, ["service", "policy_id", "access", "item_kind"], "left_semi")
+
+
+def decide_by_index(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], index: DataFrame,
+                    princ: DataFrame, long_items: DataFrame | None = None, bound: int | None = None,
+                    stage: bool = True) -> DataFrame:
+    """``key_cols`` + decision, allowed, policy_id, is_audit_enabled, one row per row of ``keys``.
+
+    ``stage``: the decisions are written once, because they are joined back to many more requests.
+    """
+    got = judged_keys(keys, key_cols, level_cols, index, princ, long_items, bound)
+    out = got.withColumn("v", verdict(F.col("judged"))).select(
+        *key_cols, "v.decision", (F.col("v.decision") == "ALLOW").alias("allowed"), "v.policy_id", "v.is_audit_enabled")
+    return cut_lineage(out, name="decisions") if stage else out
+
+
+def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame, resources: DataFrame,
+           level_opts: DataFrame, princ: DataFrame, service: str) -> DataFrame:
+    """keys(user, access, <levels>) -> keys + decision..., from the normalized tables of one service."""
+    mine = items.where(F.col("service") == service)
+    long = cut_lineage(long_lists(mine), name="long_lists")
+    index = policy_index(mine, resources.where(F.col("service") == service), level_opts, long)
+    staged = cut_lineage(keys.select(*key_cols).distinct(), name="keys")
+    return decide_by_index(staged, key_cols, level_cols, index, princ, long_items_of(mine, long))
 
 
 def decide_requests(requests: DataFrame, key_cols: list[str], decisions: DataFrame) -> DataFrame:
     """Join decided keys back to every request row.
 
-    Decided keys are bounded by users x accesses x resources, not by rows;
-    one key can still stand for a large share of the requests (a user who
-    repeats one request). The decided table is a written stage, so its row
-    count is a cheap check: broadcast under the bound, a salted join above it.
+    ``decisions`` is a written table of short rows, one for each distinct key: broadcast when its files are under the
+    session's threshold, else a shuffle join in which AQE splits the keys that many requests repeat.
     """
-    return skew_safe_join(requests, decisions, key_cols)
+    return sized_join(requests, decisions, key_cols, None)

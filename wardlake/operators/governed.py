@@ -16,38 +16,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.functions.masks import custom_value, mask_column
-from wardlake.operators.matching import match_resources
+from wardlake.operators import access
+from wardlake.operators.matching import match_index
 
 
 class AccessDenied(PermissionError):
     pass
 
 
-def _user_principals(princ: DataFrame, user: str) -> DataFrame:
-    return princ.where(F.col("user") == user).select("principal_kind", "principal")
+LEVELS = {"database": "db", "table": "tbl", "column": "col"}
 
 
-def resolve_policies(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], items: DataFrame,
-                     resources: DataFrame, opts: DataFrame, princ: DataFrame, service: str,
-                     bound: int | None = None) -> tuple[str | None, dict[str, tuple]]:
-    """(row filter, column -> (mask type, value, condition)): the first fitting item of each, by policy id, then order.
+def resolve_policies(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], index: DataFrame,
+                     princ: DataFrame, long_items: DataFrame | None = None,
+                     bound: int | None = None) -> tuple[set[str], str | None, dict[str, tuple]]:
+    """(columns that may be selected, row filter, column -> (mask type, value, condition)).
 
-    The table (a key without a column) and its columns are matched in one job; one row per column comes back.
+    The table (a key without a column) and its columns meet the policy index once, with access, filter and mask items
+    in one row; one row per column comes back. Of filters and masks the first fitting item counts, by policy id, then
+    order.
     """
-    keys = spark.createDataFrame([(db, tbl, c) for c in [None, *columns]], "db string, tbl string, col string")
-    mine = (items.where((F.col("access") == "select") & F.col("is_enabled")
-                        & F.col("item_kind").isin("mask", "row_filter"))
-            .join(_user_principals(princ, user), ["principal_kind", "principal"], "left_semi"))
-    matched = match_resources(keys, ["db", "tbl", "col"], {"database": "db", "table": "tbl", "column": "col"},
-                              resources.join(mine.select("policy_id").distinct(), "policy_id", "left_semi"), opts,
-                              service, bound)
-    fields = ["policy_id", "item_no", "mask_type", "value_expr", "condition_expr", "filter_expr"]
-    rows = (mine.join(matched.select("col", "policy_id"), "policy_id")
-            .where(F.col("col").isNull() == (F.col("item_kind") == "row_filter"))
-            .groupBy("col").agg(F.min(F.struct(*fields)).alias("m")).collect())
-    row_filter = next((r["m"]["filter_expr"] for r in rows if r["col"] is None), None)
-    return row_filter, {r["col"]: (r["m"]["mask_type"], r["m"]["value_expr"], r["m"]["condition_expr"])
-                        for r in rows if r["col"] is not None}
+    keys = spark.createDataFrame([(user, "select", db, tbl, c) for c in [None, *columns]],
+                                 "user string, access string, db string, tbl string, col string")
+    met = access.with_principals(match_index(keys, LEVELS, index, bound), princ, long_items)
+    its = F.filter("its", lambda x: x["access"] == F.col("access"))
+    of = lambda k: F.transform(F.filter("its", lambda x: x["kind"] == k), lambda x: x["principal"])
+    entry = F.struct("policy_id", "priority", "deny_all_else", "is_audit_enabled", *[of(k).alias(k) for k in access.ACCESS_KINDS])
+
+    def first(kind, fields):
+        fit = F.filter("its", lambda x: (x["kind"] == kind) & F.array_contains("who", x["principal"]))
+        return F.min(F.array_min(F.transform(fit, lambda x: F.struct(
+            F.col("policy_id"), x["item_no"].alias("item_no"), *[x[c].alias(c) for c in fields]))))
+
+    decides = (F.col("policy_type") == 0) & ((F.size("its") > 0) | F.col("deny_all_else"))
+    rows = (met.withColumn("its", its).groupBy("user", "col").agg(
+        F.collect_list(F.when(decides, entry)).alias("policies"), F.first("who").alias("tags"), F.first("held").alias("lists"),
+        first("mask", ["mask_type", "value_expr", "condition_expr"]).alias("mask"),
+        first("row_filter", ["filter_expr"]).alias("filter"))
+        .withColumnsRenamed({"tags": "who", "lists": "held"}).select("col", access.verdict(access.judge(F.col("policies")))["decision"].alias("decision"), "mask", "filter").collect())
+    row_filter = next((r["filter"]["filter_expr"] for r in rows if r["col"] is None and r["filter"]), None)
+    masks = {r["col"]: (r["mask"]["mask_type"], r["mask"]["value_expr"], r["mask"]["condition_expr"])
+             for r in rows if r["col"] is not None and r["mask"]}
+    return {r["col"] for r in rows if r["decision"] == "ALLOW" and r["col"] is not None}, row_filter, masks
 
 
 def check_expr(df: DataFrame, text: str) -> None:
@@ -77,37 +87,22 @@ def apply_masks(df: DataFrame, masks: dict[str, tuple], keep: list[str] | None =
     return df.select(*[mask_column(c, types[c], *masks.get(c, (None, None))) for c in cols])
 
 
-def allowed_columns(decisions: DataFrame) -> list[str]:
-    return [r["col"] for r in decisions.where("allowed").select("col").collect()]
-
-
-def governed(df: DataFrame, user: str, db: str, tbl: str, items: DataFrame, resources: DataFrame,
-             opts: DataFrame, princ: DataFrame, decide_fn, service: str = "lakehouse",
-             row_filter: bool = True, masks: bool = True, column_acl: bool = True,
-             bound: int | None = None, denied: str = "drop") -> DataFrame:
-    """The table as ``user`` may see it.
+def governed(df: DataFrame, user: str, db: str, tbl: str, index: DataFrame, princ: DataFrame,
+             long_items: DataFrame | None = None, bound: int | None = None, row_filter: bool = True, masks: bool = True,
+             column_acl: bool = True, denied: str = "drop") -> DataFrame:
+    """The table as ``user`` may see it. ``index``: the policies of its service (``access.policy_index``).
 
     Columns the user may not select are dropped (``denied="drop"``, the
     default) or kept as typed NULLs (``denied="null"``, a stable schema for
     reports that run for many readers).
     """
-    spark = df.sparkSession
-    cols = df.columns
-    keep = cols
+    allowed, rows, found = resolve_policies(df.sparkSession, user, db, tbl, df.columns, index, princ, long_items, bound)
+    keep, m = df.columns, dict(found) if masks else {}
     if column_acl:
-        keys = spark.createDataFrame([(user, "select", db, tbl, c) for c in cols],
-                                     "user string, access string, db string, tbl string, col string")
-        allowed = set(allowed_columns(decide_fn(keys)))
-        keep = [c for c in cols if c in allowed]
+        keep = [c for c in df.columns if c in allowed]
         if not keep:
             raise AccessDenied(f"{user} may not select from {db}.{tbl}")
-        hidden = [c for c in cols if c not in allowed]
-    out, m = df, {}
-    if row_filter or masks:
-        rows, found = resolve_policies(spark, user, db, tbl, cols, items, resources, opts, princ, service, bound)
-        out = apply_row_filter(df, rows) if row_filter else df
-        m = found if masks else {}
-    if column_acl and denied == "null":
-        m.update({c: ("MASK_NULL", None, None) for c in hidden})
-        keep = cols
-    return apply_masks(out, m, keep)
+        if denied == "null":
+            m.update({c: ("MASK_NULL", None, None) for c in df.columns if c not in allowed})
+            keep = df.columns
+    return apply_masks(apply_row_filter(df, rows) if row_filter else df, m, keep)

@@ -25,6 +25,19 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int |
     return df.count() <= limit
 
 
+#: Rows of a policy index that are sent to every task; each row holds one policy with lists of bounded length.
+INDEX_ROW_LIMIT = 20_000
+
+
+def sized_join(big: DataFrame, index: DataFrame, on: list[str], bound: int | None, how: str = "inner") -> DataFrame:
+    """Join with a table of policies: a broadcast where ``bound``, a known number of rows, is under INDEX_ROW_LIMIT.
+
+    Else a plain join, of which AQE makes a broadcast when the index turns out under the session's threshold of
+    bytes, and splits the partitions of hot keys of ``big`` (``spark.sql.adaptive.skewJoin``) when not.
+    """
+    return big.join(F.broadcast(index) if bound is not None and bound <= INDEX_ROW_LIMIT else index, on, how)
+
+
 def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
                 buckets: int = 64, bound: int | None = None) -> DataFrame:
     """Pair every row of ``big`` with every row of a short ``small`` list.

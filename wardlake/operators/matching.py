@@ -1,125 +1,150 @@
-"""Resource matching: request resources x policy resource patterns.
+"""Resource matching: requested resources x policy patterns, through an index of literal prefixes.
 
-Plan shape (JN-04): patterns without wildcards are matched by an equi join on
-``(level, value)``; wildcard and exclude patterns (a bounded set) are tested
-with a regex against each request value of the same level, broadcast after a
-size check, or spread over hash parts beyond it. Matching runs on *distinct*
-resource keys, never on raw request rows.
+A policy is one row (``resource_index``) with all its patterns. It is posted under the literal text before the first
+wildcard of the patterns of one level, the level where this text is longest; a path is cut at a slash. A request asks
+for all prefixes of its values (a path: its ancestors), so an equi join on (level, prefix) finds the candidates, and
+only these are tested as a whole, inside the row: every level of the policy must fit. A policy whose patterns begin
+with a wildcard, or that only excludes, is posted under the empty prefix, which every request asks for.
+
+Matching runs on distinct resources. The index is broadcast below a checked number of rows; else it is joined by
+shuffle and AQE splits the partitions of prefixes that many resources share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions.globs import glob_to_regex, has_wildcard
-from wardlake.operators.joins import attach_each, fits_broadcast, skew_safe_join
+from wardlake.operators.joins import sized_join
+
+#: The macro for the requesting user in paths and principals, as policies write it.
+USER_MACRO = "{USER}"
+PATH = "path"
+
+
+def pattern_rows(resources: DataFrame, level_opts: DataFrame | None) -> DataFrame:
+    """``resources`` with ``r``: all that a test of the pattern needs.
+
+    r: level, pattern, excludes, recursive, ignore_case, wild, macro, re (regex of a pattern with wildcards or the
+    macro, which stays in it as text), prefix (lower case, except of a path), strength (its length; a whole literal
+    counts more).
+    """
+    if level_opts is None:
+        rows = resources.withColumn("ignore_case", F.lit(False))
+    else:
+        opts = level_opts.select("service", "level", "ignore_case")  # as many rows as the service definitions have
+        rows = resources.join(F.broadcast(opts), ["service", "level"], "left").withColumn(
+            "ignore_case", F.coalesce("ignore_case", F.lit(False)))
+    is_path = F.col("level") == PATH
+    rows = rows.withColumn("pattern", F.when(is_path, F.regexp_replace("pattern", "(.)/+$", "$1")).otherwise(F.col("pattern")))
+    wild, macro = has_wildcard(F.col("pattern")), is_path & F.col("pattern").contains(USER_MACRO)
+    rx = glob_to_regex(F.col("pattern"), F.col("ignore_case"))
+    deep = F.concat(F.regexp_replace(rx, r"\$$", ""), F.lit("(/.*)?$"))
+    head = F.regexp_extract("pattern", r"^(.*?)(?:\*|\?|\{USER\}|$)", 1)
+    folder = F.regexp_replace(head, "/[^/]*$", "")
+    prefix = F.when(~is_path, F.lower(F.regexp_extract("pattern", r"^([^*?]*)", 1))).when(wild | macro, F.when(
+        folder == "", F.lit("/")).otherwise(folder)).otherwise(F.col("pattern"))
+    return rows.withColumn("r", F.struct(
+        "level", "pattern", "excludes", "recursive", "ignore_case", wild.alias("wild"), macro.alias("macro"),
+        F.when(wild | macro, F.when(is_path & F.col("recursive"), deep).otherwise(rx)).alias("re"), prefix.alias("prefix"),
+        F.when(wild | macro, F.length(prefix)).otherwise(F.length("pattern") + 1000).alias("strength")))
+
+
+def resource_index(resources: DataFrame, level_opts: DataFrame | None, service: str) -> DataFrame:
+    """(policy_id, res): one row per policy of ``service``. A policy's patterns came in one document."""
+    rows = pattern_rows(resources.where(F.col("service") == service), level_opts)
+    return rows.groupBy("policy_id").agg(F.collect_set("r").alias("res"))
+
+
+def postings(index: DataFrame, levels: list[str]) -> DataFrame:
+    """``index`` once per (level, prefix) under which a policy is found; ``prefixes`` lists all of its own.
+
+    A policy with a level that the requests lack can never fit and is left out.
+    """
+    able = index.where(F.forall("res", lambda r: r["level"].isin(levels)))
+    pos = F.filter("res", lambda r: ~r["excludes"])
+    names = F.array_distinct(F.transform(pos, lambda r: r["level"]))
+    best = F.array_max(F.transform(names, lambda n: F.struct(F.array_min(F.transform(
+        F.filter("_pos", lambda r: r["level"] == n), lambda r: r["strength"])).alias("s"), n.alias("n"))))
+    own = F.array_distinct(F.transform(F.filter("_pos", lambda r: r["level"] == F.col("level")), lambda r: r["prefix"]))
+    root = F.lit("/" if levels == [PATH] else "")
+    return (able.withColumn("_pos", pos).withColumn("level", F.coalesce(best["n"], F.lit("")))
+            .withColumn("prefixes", F.when(F.size("_pos") > 0, own).otherwise(F.array(root))).drop("_pos")
+            .withColumn("prefix", F.explode("prefixes")))
 
 
-def _level_rows(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str]) -> DataFrame:
-    lv = F.explode(F.array(*[F.struct(F.lit(lvl).alias("level"), F.col(c).cast("string").alias("value"))
-                             for lvl, c in level_cols.items()]))
-    return (keys.select(*key_cols, lv.alias("_l"))
-            .select(*key_cols, F.col("_l.level").alias("level"), F.col("_l.value").alias("value"))
-            .where(F.col("value").isNotNull()))
+def value_map(level_cols: dict[str, str]) -> Column:
+    return F.create_map(*[x for lvl, c in level_cols.items() for x in (F.lit(lvl), F.col(c).cast("string"))])
 
 
-def pattern_join(req: DataFrame, patterns: DataFrame, key_cols: list[str], parts: int = 64,
-                 bound: int | None = None) -> DataFrame:
-    """Rows of ``req`` x ``patterns`` on the same level whose value fits ``_re``.
+def fits_value(r: Column, v: Column) -> Column:
+    return (F.when(r["wild"], F.regexp_like(v, r["re"])).when(r["ignore_case"], F.lower(v) == F.lower(r["pattern"]))
+            .otherwise(v == r["pattern"]))
 
-    Under the broadcast bound: one broadcast hash join on ``level`` with the
-    regex in the join condition. Beyond it: patterns are hashed into
-    ``parts`` and each request row is sent to every part, so every task holds
-    1/parts of the patterns.
+
+def all_levels_fit(res: Column, values: Column) -> Column:
+    """Every level lists values and fits when any does, inverted where the level excludes."""
+    levels = F.array_distinct(F.transform(res, lambda r: F.struct(r["level"].alias("level"), r["excludes"].alias("excludes"))))
+    return F.forall(levels, lambda lv: values[lv["level"]].isNotNull() & (F.exists(
+        res, lambda r: (r["level"] == lv["level"]) & (r["excludes"] == lv["excludes"])
+        & fits_value(r, values[lv["level"]])) != lv["excludes"]))
+
+
+def _anchors(level_cols: dict[str, str]) -> Column:
+    """(level, prefix) for every prefix of every value, and the empty one of a request as a whole."""
+    def of(level, c):
+        v = F.lower(F.col(c).cast("string"))
+        return F.when(v.isNotNull(), F.transform(F.sequence(F.lit(0), F.length(v)), lambda k: F.struct(
+            F.lit(level).alias("level"), F.substr(v, F.lit(1), k).alias("prefix"))))
+    whole = F.array(F.struct(F.lit("").alias("level"), F.lit("").alias("prefix")))
+    none = F.array().cast("array<struct<level:string,prefix:string>>")
+    return F.concat(whole, *[F.coalesce(of(lvl, c), none) for lvl, c in level_cols.items()])
+
+
+def match_index(keys: DataFrame, level_cols: dict[str, str], index: DataFrame, bound: int | None = None) -> DataFrame:
+    """Rows of ``keys`` x ``index`` whose levels all fit, each once.
+
+    ``bound``: a known upper bound of the policies. For path resources see ``match_path_index``.
     """
-    cond_cols = ["level"]
-    if fits_broadcast(patterns, bound=bound):
-        return req.join(F.broadcast(patterns), cond_cols).where(F.regexp_like(F.col("value"), F.col("_re")))
-    p = patterns.withColumn("_part", F.pmod(F.xxhash64("policy_id", "pattern"), F.lit(parts)))
-    r = req.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return r.join(p, ["level", "_part"]).where(F.regexp_like(F.col("value"), F.col("_re"))).drop("_part")
-
-
-def prepare_patterns(resources: DataFrame, level_opts: DataFrame, service: str) -> DataFrame:
-    opts = level_opts.where(F.col("service") == service).select("level", "ignore_case")
-    pr = (resources.where(F.col("service") == service)
-          .join(F.broadcast(opts), "level", "left")
-          .withColumn("ignore_case", F.coalesce("ignore_case", F.lit(False))))
-    return pr.withColumn("wild", has_wildcard(F.col("pattern")))
-
-
-def positive_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str],
-                  pr: DataFrame, level_opts: DataFrame, service: str, bound: int | None = None) -> DataFrame:
-    """GOV-03: (key, policy_id, level) where a non-excluded pattern fits."""
-    req = _level_rows(keys, key_cols, level_cols)
-    opts = level_opts.where(F.col("service") == service).select("level", "ignore_case")
-    req = (req.join(F.broadcast(opts), "level", "left")
-           .withColumn("norm", F.when(F.coalesce("ignore_case", F.lit(False)), F.lower("value"))
-                       .otherwise(F.col("value"))).drop("ignore_case"))
-    pos = pr.where(~F.col("excludes"))
-    exact = (pos.where(~F.col("wild"))
-             .select("policy_id", "level", F.when(F.col("ignore_case"), F.lower("pattern"))
-                     .otherwise(F.col("pattern")).alias("norm")))
-    # One literal value ('tpch' at the database level) is shared by most
-    # resources: a hot key, so the literal patterns join skew-safe.
-    exact_hits = skew_safe_join(req, exact, ["level", "norm"], bound=bound).select(*key_cols, "policy_id", "level")
-    wild = (pos.where(F.col("wild"))
-            .select("policy_id", "level", "pattern", glob_to_regex(F.col("pattern"), F.col("ignore_case")).alias("_re")))
-    wild_hits = pattern_join(req.drop("norm"), wild, key_cols, bound=bound).select(*key_cols, "policy_id", "level")
-    return exact_hits.unionByName(wild_hits).distinct()
-
-
-def exclude_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], pr: DataFrame,
-                 bound: int | None = None) -> DataFrame:
-    """(key, policy_id) where a value hits an *excluded* pattern (a veto)."""
-    req = _level_rows(keys, key_cols, level_cols)
-    ex = (pr.where(F.col("excludes"))
-          .select("policy_id", "level", "pattern", glob_to_regex(F.col("pattern"), F.col("ignore_case")).alias("_re")))
-    return pattern_join(req, ex, key_cols, bound=bound).select(*key_cols, "policy_id").distinct()
-
-
-def match_resources(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str],
-                    resources: DataFrame, level_opts: DataFrame, service: str,
-                    bound: int | None = None) -> DataFrame:
+    if list(level_cols) == [PATH]:
+        return match_path_index(keys, level_cols[PATH], index, bound)
+    posted = postings(index, list(level_cols))
+    asked = keys.withColumn("_a", F.explode(_anchors(level_cols))).select(*keys.columns, "_a.level", "_a.prefix")
+    met = sized_join(asked, posted, ["level", "prefix"], bound)
+    values = value_map(level_cols)
+    # a policy is met under each of its prefixes that the value has: the first of them counts
+    first = F.array_min(F.filter("prefixes", lambda p: F.startswith(
+        F.coalesce(F.lower(values[F.col("level")]), F.lit("")), p)))
+    return met.where((F.col("prefix") == first) & all_levels_fit(F.col("res"), values)).select(
+        *keys.columns, *index.columns)
+
+
+def match_resources(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], resources: DataFrame,
+                    level_opts: DataFrame, service: str, bound: int | None = None) -> DataFrame:
     """(key..., policy_id): every level of the policy fits the request.
 
-    A level lists values; it fits when any value fits, inverted for an
-    excludes level. A policy without some level of the request covers all of
-    that level; a policy level the request does not have never fits.
-    ``bound``: a known upper bound of the resource rows (skips size jobs).
+    A policy without some level of the request covers all of that level; a policy level the request does not have
+    never fits. ``bound``: a known upper bound of the resource rows.
     """
-    pr = prepare_patterns(resources, level_opts, service)
-    n_pos = (pr.where(~F.col("excludes")).groupBy("policy_id").agg(F.countDistinct("level").alias("n_pos")))
-    all_pols = pr.select("policy_id").distinct()
-    hits = positive_hits(keys, key_cols, level_cols, pr, level_opts, service, bound)
-    cand = (hits.groupBy(*key_cols, "policy_id").agg(F.count(F.lit(1)).alias("n_ok"))
-            .join(F.broadcast(n_pos) if fits_broadcast(n_pos, bound=bound) else n_pos, "policy_id")
-            .where(F.col("n_ok") == F.col("n_pos"))
-            .select(*key_cols, "policy_id"))
-    # Policies with only excludes levels: every key is a candidate.
-    only_ex = all_pols.join(n_pos, "policy_id", "left_anti")
-    cand = cand.unionByName(attach_each(keys.select(*key_cols), only_ex, bound=bound)
-                            .select(*key_cols, "policy_id"))
-    # An excludes level needs the request to have that level.
-    ex_levels = pr.where(F.col("excludes")).select("policy_id", "level").distinct()
-    present = set(level_cols)
-    missing = ex_levels.where(~F.col("level").isin(list(present))).select("policy_id")
-    cand = cand.join(missing, "policy_id", "left_anti")
-    vetoes = exclude_hits(keys, key_cols, level_cols, pr, bound)
-    return cand.join(vetoes, [*key_cols, "policy_id"], "left_anti")
+    index = resource_index(resources, level_opts, service)
+    return match_index(keys.select(*key_cols), level_cols, index, bound).select(*key_cols, "policy_id")
 
 
-# ---------------------------------------------------------------------------
-# JN-06 / GOV-05: path under a recursive policy path
-# ---------------------------------------------------------------------------
-
-SHALLOW_DEPTH = 2
+def pattern_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], resources: DataFrame,
+                 level_opts: DataFrame, service: str, bound: int | None = None) -> DataFrame:
+    """GOV-03 / GOV-04: (key..., policy_id, level, excludes): some pattern of that level fits the value."""
+    pats = pattern_rows(resources.where(F.col("service") == service), level_opts).select(
+        "policy_id", "level", "excludes", F.col("r.prefix").alias("prefix"), "r")
+    asked = keys.select(*key_cols, F.explode(_anchors(level_cols)).alias("_a"), value_map(level_cols).alias("_v")).select(
+        *key_cols, "_a.level", "_a.prefix", F.col("_v")[F.col("_a.level")].alias("value"))
+    met = sized_join(asked, pats, ["level", "prefix"], bound)
+    return met.where(fits_value(F.col("r"), F.col("value"))).select(*key_cols, "policy_id", "level", "excludes").distinct()
 
 
-def _depth(c: str):
-    return F.size(F.filter(F.split(F.col(c), "/"), lambda x: x != ""))
-
+# ---------------------------------------------------------------------------
+# JN-06 / GOV-05 / GOV-06: path under a recursive, wildcard or user's path
+# ---------------------------------------------------------------------------
 
 def path_ancestors(path_col: str = "path"):
     """'/a/b/c' -> ['/a/b/c', '/a/b', '/a', '/'] (the path and each parent)."""
@@ -131,41 +156,62 @@ def path_ancestors(path_col: str = "path"):
                          F.array(F.lit("/")))
 
 
-def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, service: str,
+def _quoted(user: Column) -> Column:
+    return F.replace(user, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+
+
+def covers(r: Column, path: Column) -> Column:
+    """The pattern covers the path, for some user where it holds the macro."""
+    some_user = F.replace(r["re"], F.lit(USER_MACRO), F.lit("\\E.+\\Q"))
+    literal = (path == r["pattern"]) | (r["recursive"] & (
+        (r["pattern"] == "/") | F.startswith(path, F.concat(r["pattern"], F.lit("/")))))
+    return F.when(r["re"].isNotNull(), F.regexp_like(path, some_user)).otherwise(literal)
+
+
+def covers_for(templates: Column, path: Column, user: Column) -> Column:
+    """Any of the regexes with the macro covers the path when the macro is ``user``."""
+    return F.exists(templates, lambda t: F.regexp_like(path, F.replace(t, F.lit(USER_MACRO), _quoted(user))))
+
+
+def match_path_index(keys: DataFrame, path_col: str, index: DataFrame, bound: int | None = None) -> DataFrame:
+    """Rows of ``keys`` x ``index`` that fit, with ``hit`` (the patterns that cover the path), ``only`` and ``unless``.
+
+    ``only``: NULL, or regexes with the macro, one of which must cover the path for the requesting user. ``unless``:
+    NULL, or such regexes of an excluding policy, none of which may. A policy that excludes paths fits those that
+    none of its paths covers; it is posted at the root, which is an ancestor of every path.
+    """
+    posted = postings(index, [PATH])
+    asked = keys.withColumn("_up", path_ancestors(path_col)).withColumn("prefix", F.explode("_up"))
+    shallow, deep = "size(split(prefix, '/')) <= 3", "size(split(prefix, '/')) > 3"
+    # '/', '/en': few in any store but over most requests, so they are joined apart from the many deep ones
+    met = sized_join(asked.where(shallow), posted.where(shallow), ["prefix"], bound).unionByName(
+        sized_join(asked.where(deep), posted.where(deep), ["prefix"], bound))
+    first = F.array_min(F.array_intersect("prefixes", "_up"))
+    seen = met.where(F.col("prefix") == first).withColumn("hit", F.filter("res", lambda r: covers(r, F.col(path_col))))
+    plain = F.exists("hit", lambda r: ~r["macro"])
+    templates = F.transform("hit", lambda r: r["re"])
+    excluding = F.exists("res", lambda r: r["excludes"])
+    kept = seen.where(F.when(excluding, ~plain).otherwise(F.size("hit") > 0))
+    return kept.select(*keys.columns, *index.columns, "hit", excluding.alias("excluding"),
+                       F.when(~excluding & ~plain, templates).alias("only"),
+                       F.when(excluding & (F.size("hit") > 0), templates).alias("unless"))
+
+
+def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, service: str, user_col: str | None = None,
                 bound: int | None = None) -> DataFrame:
-    """(key..., policy_id, pattern): request path fits a path policy.
+    """(key..., policy_id, pattern): request path fits a path policy; an excluding policy has a NULL pattern.
 
-    Exact recursive paths: the request's ancestors equi join the prefixes. Exact non-recursive paths: equality.
-    Wildcard paths (few): regex; a recursive one also covers children (``pattern/...``). A policy whose paths are
-    excluded (``isExcludes``) fits the requests that none of its paths covers, with a NULL pattern. A prefix or a path
-    that covers most requests is a hot key: those joins are broadcast under a bound or salted.
+    Distinct paths are matched and go back to the requests. ``user_col`` names the requesting user, whom the macro in a
+    path stands for; without it a path with the macro fits no request.
     """
-    pr = (resources.where((F.col("service") == service) & (F.col("level") == "path"))
-          .withColumn("pattern", F.regexp_replace("pattern", "(.)/+$", "$1"))
-          .withColumn("wild", has_wildcard(F.col("pattern"))))
-    out = [*key_cols, "policy_id", "excludes", "pattern"]
-    anc = (reqs.select(*key_cols, "path", F.explode(path_ancestors("path")).alias("prefix"))
-           .withColumn("depth", _depth("prefix")))
-    rec = (pr.where(~F.col("wild") & F.col("recursive"))
-           .select("policy_id", "excludes", F.col("pattern").alias("prefix")).withColumn("depth", _depth("prefix")))
-    # Shallow prefixes ('/', '/en') are few in any store but cover most
-    # requests: they are joined apart from the deep ones, as many as the store.
-    shallow, deep = F.col("depth") <= SHALLOW_DEPTH, F.col("depth") > SHALLOW_DEPTH
-    hits = (skew_safe_join(anc.where(shallow), rec.where(shallow), ["prefix", "depth"])
-            .unionByName(skew_safe_join(anc.where(deep), rec.where(deep), ["prefix", "depth"]))
-            .withColumnRenamed("prefix", "pattern").select(*out))
-    flat = (pr.where(~F.col("wild") & ~F.col("recursive"))
-            .select("policy_id", "excludes", "pattern", F.col("pattern").alias("path")))
-    hits = hits.unionByName(skew_safe_join(reqs.select(*key_cols, "path"), flat, ["path"]).select(*out))
-    wild = pr.where(F.col("wild")).select(
-        "policy_id", "excludes", "pattern", F.lit("path").alias("level"),
-        F.when(F.col("recursive"),
-               F.concat(F.regexp_replace(glob_to_regex(F.col("pattern")), r"\$$", ""), F.lit("(/.*)?$")))
-        .otherwise(glob_to_regex(F.col("pattern"))).alias("_re"))
-    wreq = reqs.select(*key_cols, F.lit("path").alias("level"), F.col("path").alias("value"))
-    hits = hits.unionByName(pattern_join(wreq, wild, key_cols).select(*out)).distinct()
-    excluding = pr.where("excludes").select("policy_id").distinct()
-    outside = (attach_each(reqs.select(*key_cols), excluding, bound=bound)
-               .join(hits.where("excludes").select(*key_cols, "policy_id"), [*key_cols, "policy_id"], "left_anti")
-               .withColumn("pattern", F.lit(None).cast("string")))
-    return hits.where(~F.col("excludes")).drop("excludes").unionByName(outside)
+    index = resource_index(resources, None, service)
+    rows = reqs.select(*key_cols, F.col("path"), (F.col(user_col) if user_col else F.lit(None).cast("string")).alias("_user"))
+    found = match_index(rows.select("path").distinct(), {PATH: "path"}, index, bound)
+    lists = found.groupBy("path").agg(F.collect_list(F.struct("policy_id", "excluding", "hit", "unless")).alias("_found"))
+    one = rows.join(lists, "path").select(*key_cols, "path", "_user", F.explode("_found").alias("f"))
+    mine = lambda r: ~r["macro"] | F.coalesce(covers_for(F.array(r["re"]), F.col("path"), F.col("_user")), F.lit(False))
+    none = F.array(F.lit(None).cast("string"))
+    kept = one.where(~F.col("f.excluding") | F.col("f.unless").isNull()
+                     | ~F.coalesce(covers_for(F.col("f.unless"), F.col("path"), F.col("_user")), F.lit(False)))
+    patterns = F.when(F.col("f.excluding"), none).otherwise(F.transform(F.filter("f.hit", mine), lambda r: r["pattern"]))
+    return kept.select(*key_cols, F.col("f.policy_id").alias("policy_id"), F.explode(patterns).alias("pattern")).distinct()

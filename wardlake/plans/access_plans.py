@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from wardlake.operators import access
 from wardlake.operators.joins import attach_each
-from wardlake.operators.matching import exclude_hits, match_resources, positive_hits, prepare_patterns
+from wardlake.operators.matching import match_resources, pattern_hits
 from wardlake.plans import fixtures as fx
 from wardlake.plans.access_sql import decide_sql, principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
+from wardlake.plans.policy_plans import policy_snapshot, resource_bound, service_index, with_cte
 from wardlake.plans.registry import query
+from wardlake.session import cut_lineage
 from wardlake.sources.tables import scan_parquet
 
 LAKE = {"database": "db", "table": "tbl", "column": "col"}
@@ -30,13 +31,15 @@ def lake_inputs(spark: SparkSession, sf_dir: str):
     return items, res, snap["level_opts"]
 
 
-def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE,
-                stage: bool = True, n_keys: int | None = None) -> DataFrame:
-    items, res, opts = lake_inputs(spark, sf_dir)
-    princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
-    return access.decide(keys, key_cols, levels, items, res, opts, princ, "lakehouse",
-                         resource_bound(spark, sf_dir, "lakehouse"), stage=stage,
-                         items_bound=resource_bound(spark, sf_dir, "items:lakehouse"), n_keys=n_keys)
+def principals_of(spark: SparkSession, sf_dir: str, users: DataFrame) -> DataFrame:
+    return access.principals(users.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
+
+
+def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE, stage: bool = True) -> DataFrame:
+    """Decisions of distinct keys of the lakehouse service; the keys are read three times, so they are written first."""
+    staged = cut_lineage(keys.select(*key_cols), name="keys") if stage else keys
+    return access.decide_by_index(staged, key_cols, levels, princ=principals_of(spark, sf_dir, staged), stage=stage,
+                                  **service_index(spark, sf_dir, "lakehouse"))
 
 
 def request_keys(spark, sf_dir):
@@ -69,48 +72,53 @@ def q_decide_access(spark, sf_dir):
 
 
 def _matched(spark, sf_dir):
+    """(keys, resources of live policies, options, bound); the keys are written: the requests are scanned once."""
     _, keys = request_keys(spark, sf_dir)
     items, res, opts = lake_inputs(spark, sf_dir)
-    heads = access.access_heads(items, "lakehouse")
-    res = res.join(heads.select("policy_id"), "policy_id", "left_semi")
-    res_keys = keys.select(*RES).distinct()
-    return res_keys, res, opts
+    live = res.join(access_heads(items).select("policy_id"), "policy_id", "left_semi")
+    return cut_lineage(keys.select(*RES).distinct(), name="resources"), live, opts, resource_bound(spark, sf_dir, "lakehouse")
+
+
+def access_heads(items: DataFrame) -> DataFrame:
+    return items.where((F.col("policy_type") == 0) & F.col("is_enabled")).select("policy_id").distinct()
+
+
+def _resource_policies(spark, sf_dir):
+    res_keys, res, opts, bound = _matched(spark, sf_dir)
+    return res_keys, match_resources(res_keys, RES, LAKE, res, opts, "lakehouse", bound)
 
 
 @query("resource_policy_join", lambda: cte("SELECT db, tbl, col, policy_id FROM matched"))
 def q_resource_policy_join(spark, sf_dir):
-    res_keys, res, opts = _matched(spark, sf_dir)
-    return match_resources(res_keys, RES, LAKE, res, opts, "lakehouse", resource_bound(spark, sf_dir, "lakehouse"))
+    return _resource_policies(spark, sf_dir)[1]
 
 
 @query("match_resource", lambda: cte("SELECT db, tbl, col, policy_id, level FROM lvl WHERE hit AND NOT ex"))
 def q_match_resource(spark, sf_dir):
-    res_keys, res, opts = _matched(spark, sf_dir)
-    pr = prepare_patterns(res, opts, "lakehouse")
-    return positive_hits(res_keys, RES, LAKE, pr, opts, "lakehouse", resource_bound(spark, sf_dir, "lakehouse"))
+    res_keys, res, opts, bound = _matched(spark, sf_dir)
+    hits = pattern_hits(res_keys, RES, LAKE, res, opts, "lakehouse", bound)
+    return hits.where(~F.col("excludes")).drop("excludes")
 
 
 @query("match_excludes", lambda: cte("SELECT DISTINCT db, tbl, col, policy_id FROM lvl WHERE ex AND hit"))
 def q_match_excludes(spark, sf_dir):
-    res_keys, res, opts = _matched(spark, sf_dir)
-    pr = prepare_patterns(res, opts, "lakehouse")
-    return exclude_hits(res_keys, RES, LAKE, pr)
+    res_keys, res, opts, bound = _matched(spark, sf_dir)
+    hits = pattern_hits(res_keys, RES, LAKE, res.where("excludes"), opts, "lakehouse", bound)
+    return hits.select(*RES, "policy_id").distinct()
 
 
 @query("unprotected_resources", lambda: cte(
     "SELECT * FROM res_keys k WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
 def q_unprotected(spark, sf_dir):
-    res_keys, res, opts = _matched(spark, sf_dir)
-    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse",
-                                         resource_bound(spark, sf_dir, "lakehouse")), RES, "left_anti")
+    res_keys, matched = _resource_policies(spark, sf_dir)
+    return res_keys.join(matched, RES, "left_anti")
 
 
 @query("covered_resources", lambda: cte(
     "SELECT * FROM res_keys k WHERE EXISTS (SELECT 1 FROM matched m WHERE m.db = k.db AND m.tbl = k.tbl AND m.col = k.col)"))
 def q_covered(spark, sf_dir):
-    res_keys, res, opts = _matched(spark, sf_dir)
-    return res_keys.join(match_resources(res_keys, RES, LAKE, res, opts, "lakehouse",
-                                         resource_bound(spark, sf_dir, "lakehouse")), RES, "left_semi")
+    res_keys, matched = _resource_policies(spark, sf_dir)
+    return res_keys.join(matched, RES, "left_semi")
 
 
 @query("match_principal", lambda: cte("""
@@ -119,19 +127,12 @@ SELECT "user", access, db, tbl, col, policy_id, al AS allow, de AS deny,
 """))
 def q_match_principal(spark, sf_dir):
     _, keys = request_keys(spark, sf_dir)
-    items, res, opts = lake_inputs(spark, sf_dir)
-    heads = access.access_heads(items, "lakehouse")
-    matched = match_resources(keys.select(*RES).distinct(), RES, LAKE,
-                              res.join(heads.select("policy_id"), "policy_id", "left_semi"), opts, "lakehouse",
-                              resource_bound(spark, sf_dir, "lakehouse"))
-    pairs = keys.join(matched, RES).select(*KEY, "policy_id")
-    princ = access.principals(keys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
-    it = (items.where((F.col("policy_type") == 0) & F.col("is_enabled") & F.col("is_allowed")
-                      & F.col("item_kind").isin(access.ACCESS_KINDS))
-          .select("policy_id", "item_kind", "principal_kind", "principal", "access").distinct())
-    return (pairs.join(princ, "user").join(it, ["policy_id", "principal_kind", "principal", "access"])
-            .groupBy(*KEY, "policy_id")
-            .agg(*[F.max(F.col("item_kind") == k).alias(k) for k in access.ACCESS_KINDS]))
+    staged = cut_lineage(keys, name="keys")
+    got = access.judged_keys(staged, KEY, LAKE, princ=principals_of(spark, sf_dir, staged),
+                             **service_index(spark, sf_dir, "lakehouse"))
+    said = got.select(*KEY, F.explode("judged").alias("s"))
+    return (said.where("s.allow OR s.deny OR s.allow_exception OR s.deny_exception")
+            .select(*KEY, "s.policy_id", *[f"s.{k}" for k in access.ACCESS_KINDS]))
 
 
 # The base access types of the lakehouse service.
@@ -152,9 +153,32 @@ def q_effective_permissions(spark, sf_dir):
     users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
     grid = spark.createDataFrame([(r[1], r[2], r[3], a) for r in fx.RESOURCES for a in BASE_ACCESSES],
                                  "db string, tbl string, col string, access string")  # 43 x 7 fixed rows
-    keys = attach_each(users, grid, bound=len(fx.RESOURCES) * len(BASE_ACCESSES)).select(*KEY)
-    dec = decide_keys(spark, sf_dir, keys)
-    return dec.where("allowed").select("user", "db", "tbl", "col", "access")
+    return effective_permissions(users, grid, RES, LAKE, principals_of(spark, sf_dir, users),
+                                 **service_index(spark, sf_dir, "lakehouse"))
+
+
+def effective_permissions(users: DataFrame, grid: DataFrame, res_cols: list[str], level_cols: dict[str, str],
+                          princ: DataFrame, index: DataFrame, long_items: DataFrame | None, bound: int | None) -> DataFrame:
+    """(user, <resource>, access) that are allowed, of the ``users`` (distinct) and the cells of ``grid``.
+
+    From the policies outwards: the principals that an allow item names for a cell are resolved to users, and only
+    these (user, cell) pairs are decided. A pair that no item allows is never made.
+    """
+    lists = cut_lineage(access.access_lists(grid, res_cols, level_cols, index, bound), name="access_lists")
+    tags = princ.select("user", F.concat_ws(":", "principal_kind", "principal").alias("tag")).unionByName(
+        users.select("user", F.lit(access.EVERYBODY).alias("tag")))
+    named = lists.select(*res_cols, "access", F.explode(F.array_distinct(F.flatten(F.transform(
+        "policies", lambda e: e["allow"])))).alias("tag"))
+    pairs = tags.join(named.where(F.col("tag").isNotNull()), "tag").select("user", "access", *res_cols)
+    if long_items is not None:
+        far = (long_items.where(F.col("item_kind") == "allow").join(princ, ["principal_kind", "principal"])
+               .select("user", "policy_id", "access").distinct())
+        of = lists.select(*res_cols, "access", F.explode("policies").alias("p")).select(*res_cols, "access", "p.policy_id")
+        pairs = pairs.unionByName(far.join(of, ["policy_id", "access"]).select("user", "access", *res_cols))
+    keys = pairs.distinct()
+    full = access.with_principals(keys.join(lists, [*res_cols, "access"]), princ, long_items)
+    said = access.verdict(access.judge(F.col("policies")))
+    return full.where(said["decision"] == "ALLOW").select("user", *res_cols, "access")
 
 
 def _info_keys_sql() -> str:

@@ -17,6 +17,7 @@ princ AS (
   SELECT DISTINCT * FROM (
     SELECT "user", 'user' AS principal_kind, "user" AS principal FROM req_users
     UNION ALL SELECT "user", 'group', 'public' FROM req_users
+    UNION ALL SELECT "user", 'user', '{{USER}}' FROM req_users
     UNION ALL SELECT m."user", 'group', m.grp FROM members m JOIN req_users USING ("user")
     UNION ALL SELECT m."user", 'role', r.role FROM members m JOIN req_users USING ("user")
               JOIN role_members r ON m.grp = r.grp)
@@ -37,8 +38,10 @@ def decide_sql(keys_cte: str, levels=LAKE_LEVELS, service: str = "lakehouse", pr
 
 
 def decide_matched_sql(keys_cte: str, rc: list[str], service: str) -> str:
-    """The same from given ``matched(<resource columns>, policy_id)``."""
+    """The same from given ``matched(<resource columns>, user, policy_id)``."""
     sql = _decide_sql(keys_cte, [("-", c) for c in rc], service)
+    on = " AND ".join(f"k.{c} = m.{c}" for c in rc)
+    sql = sql.replace(f"JOIN matched m ON {on}", f'JOIN matched m ON {on} AND k."user" = m."user"')
     head = sql[sql.index("heads AS"):sql.index("pres AS")]
     return head + sql[sql.index("its AS"):]
 

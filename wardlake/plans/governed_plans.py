@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from wardlake.operators import access
 from wardlake.operators.governed import governed
-from wardlake.plans import fixtures as fx
-from wardlake.plans.access_plans import decide_keys, lake_inputs, role_members_df
+from wardlake.plans.access_plans import principals_of
 from wardlake.plans.access_sql import principals_sql
-from wardlake.plans.policy_plans import resource_bound, with_cte
+from wardlake.plans.policy_plans import service_index, with_cte
 from wardlake.plans.registry import query
 from wardlake.sources.tables import scan_parquet
 
@@ -40,17 +38,9 @@ CONDITION_SQL = {"c_name": {"c_acctbal < 5000": "c_acctbal < 5000"}}
 
 
 def _governed(spark, sf_dir, table, user, **kw):
-    items, res, opts = lake_inputs(spark, sf_dir)
-    users = spark.createDataFrame([(user,)], "user string")
-    princ = access.principals(users, fx.memberships(spark, sf_dir), role_members_df(spark))
-
-    df = scan_parquet(spark, sf_dir, table)
-
-    def decide_fn(keys):
-        return decide_keys(spark, sf_dir, keys, stage=False, n_keys=len(df.columns))
-
-    return governed(df, user, "tpch", table, items, res, opts, princ,
-                    decide_fn, bound=resource_bound(spark, sf_dir, "lakehouse"), **kw)
+    princ = principals_of(spark, sf_dir, spark.createDataFrame([(user,)], "user string"))
+    return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, princ=princ,
+                    **service_index(spark, sf_dir, "lakehouse"), **kw)
 
 
 def _resolution_sql(user: str, tbl: str, cols) -> str:

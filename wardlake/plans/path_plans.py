@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from wardlake.operators import access
 from wardlake.operators.matching import match_paths
 from wardlake.plans import fixtures as fx
-from wardlake.plans.access_plans import request_keys, role_members_df
+from wardlake.plans.access_plans import principals_of, request_keys
 from wardlake.plans.access_sql import decide_matched_sql, principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
+from wardlake.plans.policy_plans import policy_snapshot, resource_bound, service_index, with_cte
 from wardlake.plans.registry import query
 from wardlake.session import cut_lineage
 from wardlake.sources.tables import scan_parquet
@@ -48,7 +48,17 @@ def _path_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("request_id"),
         fx.user_name(F.pmod("page_id", F.lit(150))).alias("user"), F.lit("read").alias("access"),
         norm_path(F.col("url")).alias("path"))
-    return lines.unionByName(pages)
+    # Home folders: the owner reads one, the next user tries to, the owner writes another.
+    c = scan_parquet(spark, sf_dir, "customer").select("c_custkey")
+    own = fx.user_name(F.col("c_custkey"))
+    home, other = F.concat(F.lit("/user/"), own, F.lit("/notes")), F.concat(F.lit("/tmp/"), own)
+    homes = c.select(F.col("c_custkey").cast("string").alias("n"), F.explode(F.array(
+        F.struct(F.lit("H").alias("k"), own.alias("user"), F.lit("read").alias("access"), home.alias("path")),
+        F.struct(F.lit("N").alias("k"), fx.user_name(F.col("c_custkey") + 1).alias("user"), F.lit("read").alias("access"),
+                 home.alias("path")),
+        F.struct(F.lit("T").alias("k"), own.alias("user"), F.lit("write").alias("access"), other.alias("path")))).alias("r"))
+    homes = homes.select(F.concat("r.k", "n").alias("request_id"), "r.user", "r.access", "r.path")
+    return lines.unionByName(pages).unionByName(homes)
 
 
 PATH_REQS_SQL = f"""
@@ -64,6 +74,10 @@ SELECT 'P' || CAST(page_id AS VARCHAR), 'u' || CAST(page_id % 150 AS VARCHAR), '
        regexp_replace(CASE WHEN regexp_extract(url, '{URL_PATH}', 1) = '' THEN '/'
                            ELSE regexp_extract(url, '{URL_PATH}', 1) END, '(.)/+$', '\\1')
 FROM pages
+UNION ALL
+SELECT k || CAST(c_custkey AS VARCHAR), 'u' || CAST(c_custkey + other AS VARCHAR), access, root || 'u' || CAST(c_custkey AS VARCHAR) || leaf
+FROM customer, (VALUES ('H', 0, 'read', '/user/', '/notes'), ('N', 1, 'read', '/user/', '/notes'),
+                       ('T', 0, 'write', '/tmp/', '')) AS v(k, other, access, root, leaf)
 """
 
 
@@ -73,6 +87,8 @@ def _path_cte(body: str, enabled_only: bool) -> str:
 preqs AS ({PATH_REQS_SQL}),
 ppol AS (SELECT DISTINCT policy_id, regexp_replace(pattern, '(.)/+$', '\\1') AS pattern, recursive, excludes
          FROM resources WHERE service = 'objectstore' AND level = 'path' {en}),
+umac AS (SELECT DISTINCT p.*, r."user", replace(p.pattern, '{{USER}}', r."user") AS own
+         FROM ppol p, (SELECT DISTINCT "user" FROM preqs) r WHERE contains(p.pattern, '{{USER}}')),
 panc AS (
   SELECT request_id, path, '/' AS prefix FROM preqs
   UNION
@@ -90,6 +106,10 @@ phit AS (
   SELECT r.request_id, p.policy_id, p.pattern, p.excludes FROM preqs r,
     (SELECT * FROM ppol WHERE contains(pattern, '*') OR contains(pattern, '?')) p
   WHERE r.path GLOB p.pattern OR (p.recursive AND r.path GLOB p.pattern || '/*')
+  UNION
+  SELECT a.request_id, m.policy_id, m.pattern, m.excludes
+  FROM panc a JOIN preqs r USING (request_id) JOIN umac m ON m."user" = r."user" AND m.own = a.prefix
+  WHERE m.recursive OR a.path = a.prefix
 ),
 pmatch AS (
   SELECT request_id, policy_id, pattern FROM phit WHERE NOT excludes
@@ -109,36 +129,33 @@ def objectstore_resources(spark, sf_dir, enabled_only: bool):
     return res
 
 
-@query("path_prefix_join", lambda: _path_cte("SELECT request_id, policy_id, pattern FROM pmatch", False))
+@query("path_prefix_join", lambda: _path_cte("SELECT DISTINCT request_id, policy_id, pattern FROM pmatch", False))
 def q_path_prefix_join(spark, sf_dir):
     reqs = path_requests(spark, sf_dir)
-    return match_paths(reqs, ["request_id"], objectstore_resources(spark, sf_dir, False), "objectstore")
+    return match_paths(reqs, ["request_id"], objectstore_resources(spark, sf_dir, False), "objectstore", "user",
+                       resource_bound(spark, sf_dir, "objectstore"))
 
 
 @query("match_recursive_path", lambda: _path_cte("""
-SELECT m.request_id, r.path, m.policy_id, m.pattern FROM pmatch m JOIN preqs r USING (request_id)
+SELECT DISTINCT m.request_id, r.path, m.policy_id, m.pattern FROM pmatch m JOIN preqs r USING (request_id)
 WHERE r.path <> m.pattern
 """, True))
 def q_match_recursive_path(spark, sf_dir):
     reqs = path_requests(spark, sf_dir)
-    m = match_paths(reqs, ["request_id"], objectstore_resources(spark, sf_dir, True), "objectstore")
-    return (m.join(reqs.select("request_id", "path"), "request_id").where(F.col("path") != F.col("pattern"))
-            .select("request_id", "path", "policy_id", "pattern"))
+    return (match_paths(reqs, ["request_id", "path"], objectstore_resources(spark, sf_dir, True), "objectstore", "user",
+                        resource_bound(spark, sf_dir, "objectstore"))
+            .where(F.col("path") != F.col("pattern")).select("request_id", "path", "policy_id", "pattern"))
 
 
 def path_decisions(spark, sf_dir, reqs):
-    """GOV-19 + object-store decision by the rule of ``access.decide``; superusers skip it."""
-    snap = policy_snapshot(spark, sf_dir)
-    items = snap["items_x"].where(F.col("service") == "objectstore")
-    # Distinct paths are matched and distinct (user, access, path) keys decided, whatever the number of requests.
-    paths = reqs.select("path").distinct().withColumn("key", F.col("path"))
-    m = match_paths(paths, ["key"], objectstore_resources(spark, sf_dir, True), "objectstore")
-    princ = access.principals(reqs.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
+    """GOV-19 + object-store decision by the rule of ``access``; superusers skip it.
+
+    Distinct (path, access) are matched and distinct (user, access, path) decided, whatever the number of requests.
+    """
     keys = ["user", "access", "path"]
-    dec = access.decide(reqs.select(*keys).distinct(), keys, {"path": "path"}, items,
-                        snap["resources"], snap["level_opts"], princ, "objectstore",
-                        items_bound=resource_bound(spark, sf_dir, "items:objectstore"),
-                        matched=m.select(F.col("key").alias("path"), "policy_id").distinct())
+    staged = cut_lineage(reqs.select(*keys).distinct(), name="keys")
+    dec = access.decide_by_index(staged, keys, {"path": "path"}, princ=principals_of(spark, sf_dir, staged),
+                                 **service_index(spark, sf_dir, "objectstore"))
     skip = F.col("user").isin(fx.SKIP_USERS)
     return (access.decide_requests(reqs, keys, dec.select(*keys, "decision"))
             .select("request_id", "user", "access", "path",
@@ -147,7 +164,7 @@ def path_decisions(spark, sf_dir, reqs):
 
 @query("skip_superusers", lambda: _path_cte(f""",
 {principals_sql('preqs')},
-matched AS (SELECT DISTINCT r.path, m.policy_id FROM pmatch m JOIN preqs r USING (request_id)),
+matched AS (SELECT DISTINCT r.path, r."user", m.policy_id FROM pmatch m JOIN preqs r USING (request_id)),
 {decide_matched_sql('preqs', ['path'], 'objectstore')}
 SELECT r.request_id, r."user", r.access, r.path,
        CASE WHEN r."user" IN {tuple(fx.SKIP_USERS)} THEN 'SUPERUSER' ELSE d.decision END AS decision

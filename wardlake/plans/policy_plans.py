@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.operators import access
 from wardlake.operators import policies as pol
 from wardlake.operators.joins import attach_each
 from wardlake.plans import fixtures as fx
@@ -49,12 +50,13 @@ def expanded_items(spark: SparkSession, sf_dir: str, derived: bool = True) -> Da
 
 # The service whose policies are derived from the data (one per order).
 DERIVED_SERVICE = "objectstore"
+LONG_LISTS = "policy_id long, access string, item_kind string, service string"
 _SNAPSHOTS: dict[tuple, str] = {}
 _BOUNDS: dict[tuple, dict[str, int]] = {}
 
 
 def _snapshot_key(spark: SparkSession, sf_dir: str, service: str) -> tuple:
-    return spark.sparkContext.applicationId, sf_dir, service.removeprefix("items:") == DERIVED_SERVICE
+    return spark.sparkContext.applicationId, sf_dir, service.rsplit(":", 1)[-1] == DERIVED_SERVICE
 
 
 def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SERVICE) -> dict[str, DataFrame]:
@@ -74,21 +76,39 @@ def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SER
         expanded_items(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/items_x")
         all_resources(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/resources")
         pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
+        items, res, opts = (spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts"))
+        # The index that decisions read: one row per policy, and the lists that are too long for such a row.
+        access.long_lists(items).write.partitionBy("service").parquet(f"{base}/long_lists")
+        long = spark.read.schema(LONG_LISTS).parquet(f"{base}/long_lists")
+        access.policy_index(items, res, opts, long).write.partitionBy("service").parquet(f"{base}/index")
         # Resource rows per service, recorded once: any pattern subset of a
         # service is bounded by it, so later broadcast checks need no job.
         counts = spark.read.parquet(f"{base}/resources").groupBy("service").count().collect()
         icounts = spark.read.parquet(f"{base}/items_x").groupBy("service").count().collect()
+        lcounts = long.groupBy("service").count().collect()
         _BOUNDS[key] = {r["service"]: r["count"] for r in counts}
         _BOUNDS[key].update({"items:" + r["service"]: r["count"] for r in icounts})
+        _BOUNDS[key].update({"long:" + r["service"]: r["count"] for r in lcounts})
         _SNAPSHOTS[key] = base
     base = _SNAPSHOTS[key]
-    return {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts")}
+    out = {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts", "index")}
+    return {**out, "long_lists": spark.read.schema(LONG_LISTS).parquet(f"{base}/long_lists")}
+
+
+def service_index(spark: SparkSession, sf_dir: str, service: str) -> dict:
+    """What ``access.decide_by_index`` needs of a service: index, long_items, bound."""
+    snap = policy_snapshot(spark, sf_dir, service)
+    mine = F.col("service") == service
+    long = None
+    if resource_bound(spark, sf_dir, "long:" + service):
+        long = access.long_items_of(snap["items_x"].where(mine), snap["long_lists"].where(mine))
+    return {"index": snap["index"].where(mine), "long_items": long, "bound": resource_bound(spark, sf_dir, service)}
 
 
 def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int | None:
-    """Row count of the service's policy resources (and, with ``items:`` before the name, of its policy items)
-    recorded with the snapshot; None, which leaves the size checks on, for a service without any."""
-    policy_snapshot(spark, sf_dir, service.removeprefix("items:"))
+    """Row count of the service's policy resources (with ``items:`` before the name, of its policy items, with ``long:``,
+    of its long lists of principals) recorded with the snapshot; None, which leaves the size checks on, for a service without any."""
+    policy_snapshot(spark, sf_dir, service.rsplit(":", 1)[-1])
     return _BOUNDS[_snapshot_key(spark, sf_dir, service)].get(service)
 
 
@@ -110,7 +130,7 @@ def q_scan_policies(spark, sf_dir):
     docs = authored_v2(spark).unionByName(derived_v2(spark, sf_dir))
     # At most 1000 policies per document: the group size is bounded, whatever
     # the store size.
-    (docs.withColumn("_b", F.floor(F.col("id") / 1000))
+    (docs.withColumn("_b", F.expr("id div 1000"))
          .groupBy("_b").agg(F.collect_list(F.struct(*[c for c in docs.columns])).alias("policies"))
          .select("policies").write.mode("overwrite").json(path))
     back = pol.read_export(spark, path, multi_line=False)

@@ -8,10 +8,11 @@ from wardlake.operators import access, tags
 from wardlake.operators import policies as pol
 from wardlake.operators.matching import match_resources
 from wardlake.plans import fixtures as fx
-from wardlake.plans.access_plans import KEY, LAKE, RES, decide_keys, lake_inputs, request_keys, role_members_df
+from wardlake.plans.access_plans import KEY, LAKE, RES, lake_inputs, principals_of, request_keys
 from wardlake.plans.access_sql import decide_sql, principals_sql
-from wardlake.plans.policy_plans import policy_snapshot, resource_bound, with_cte
+from wardlake.plans.policy_plans import service_index, with_cte
 from wardlake.plans.registry import query
+from wardlake.session import cut_lineage
 
 TAGSET_COLS = (
     "{'op': 'VARCHAR', 'tagVersion': 'INTEGER', 'serviceName': 'VARCHAR', "
@@ -57,7 +58,8 @@ def resource_tags(spark, sf_dir, res_keys):
     ts = tags.latest_tagsets(tags.read_tagsets(spark, fx.TAGSET_FILE))
     b = tags.tag_bindings(ts).where(F.col("service") == "lakehouse")
     _, _, opts = lake_inputs(spark, sf_dir)
-    m = match_resources(res_keys, RES, LAKE, tags.as_resources(b), opts, "lakehouse")
+    b = cut_lineage(b, name="bindings")
+    m = match_resources(res_keys, RES, LAKE, tags.as_resources(b), opts, "lakehouse", b.count())
     return (m.join(b.select(F.col("res_id").cast("long").alias("policy_id"), "tag").distinct(), "policy_id")
             .select(*RES, "tag").distinct())
 
@@ -65,15 +67,17 @@ def resource_tags(spark, sf_dir, res_keys):
 @query("tag_resources", lambda: _req_cte("SELECT db, tbl, col, tag FROM res_tags"))
 def q_tag_resources(spark, sf_dir):
     _, keys = request_keys(spark, sf_dir)
-    return resource_tags(spark, sf_dir, keys.select(*RES).distinct())
+    return resource_tags(spark, sf_dir, cut_lineage(keys.select(*RES).distinct(), name="resources"))
 
 
 @query("resource_tag_join", lambda: _req_cte(
     "SELECT r.request_id, r.db, r.tbl, r.col, t.tag FROM reqs r JOIN res_tags t USING (db, tbl, col)"))
 def q_resource_tag_join(spark, sf_dir):
     reqs, keys = request_keys(spark, sf_dir)
-    rt = resource_tags(spark, sf_dir, keys.select(*RES).distinct())
-    return reqs.join(rt, RES).select("request_id", "db", "tbl", "col", "tag")
+    rt = resource_tags(spark, sf_dir, cut_lineage(keys.select(*RES).distinct(), name="resources"))
+    # one row per resource, so the requests are not multiplied before they leave the join
+    lists = cut_lineage(rt.groupBy(*RES).agg(F.collect_set("tag").alias("tags")), name="resource_tags")
+    return access.decide_requests(reqs, RES, lists).select("request_id", *RES, F.explode("tags").alias("tag"))
 
 
 TAG_LEVELS = [("tag", "tag")]
@@ -96,29 +100,30 @@ SELECT r.request_id, d.decision AS resource_decision,
 FROM reqs r JOIN decisions d USING ("user", access, db, tbl, col) LEFT JOIN tag_dec td USING (request_id)
 """))
 def q_tag_policy_access(spark, sf_dir):
-    """GOV-13: tag policies first (deny wins), then resource policies."""
+    """GOV-13: tag policies first (deny wins), then resource policies, both decided in the row of the key."""
     reqs, keys = request_keys(spark, sf_dir)
-    res_dec = decide_keys(spark, sf_dir, keys)
-    rt = resource_tags(spark, sf_dir, keys.select(*RES).distinct())
-    tkeys = keys.join(rt, RES).select("user", "access", "tag").distinct()
-    snap = policy_snapshot(spark, sf_dir, "tags")
-    items = snap["items_x"].where(F.col("service") == "tags")
-    res = snap["resources"].where(F.col("service") == "tags")
-    princ = access.principals(tkeys.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
-    tdec = access.decide(tkeys, ["user", "access", "tag"], {"tag": "tag"}, items, res, snap["level_opts"],
-                         princ, "tags", resource_bound(spark, sf_dir, "tags"),
-                         items_bound=resource_bound(spark, sf_dir, "items:tags"))
-    tv = (keys.join(rt, RES).join(tdec, ["user", "access", "tag"])
-          .groupBy(*KEY).agg(F.max(F.when(F.col("decision") == "DENY", 2)
-                                   .when(F.col("decision") == "ALLOW", 1).otherwise(0)).alias("tv")))
-    dec = res_dec.join(tv, KEY, "left").withColumn("tv", F.coalesce("tv", F.lit(0)))
-    out = dec.select(*KEY, F.col("decision").alias("resource_decision"),
-                     F.when(F.col("tv") == 2, "DENY").when(F.col("tv") == 1, "ALLOW")
-                     .otherwise("NOT_DETERMINED").alias("tag_decision"),
-                     F.when(F.col("tv") == 2, "DENY").when(F.col("decision") == "DENY", "DENY")
-                     .when((F.col("tv") == 1) | (F.col("decision") == "ALLOW"), "ALLOW")
-                     .otherwise("NOT_DETERMINED").alias("decision"))
-    return reqs.join(out, KEY).select("request_id", "resource_decision", "tag_decision", "decision")
+    keys = cut_lineage(keys, name="keys")
+    asked = cut_lineage(keys.select(*RES, "access").distinct(), name="asked")
+    own, of_tags = service_index(spark, sf_dir, "lakehouse"), service_index(spark, sf_dir, "tags")
+    lists = access.access_lists(asked, RES, LAKE, own["index"], own["bound"])
+    tagged = cut_lineage(asked.join(resource_tags(spark, sf_dir, asked.select(*RES).distinct()), RES), name="tagged")
+    tag_lists = access.access_lists(tagged.select("tag", "access").distinct(), ["tag"], {"tag": "tag"}, of_tags["index"],
+                                    of_tags["bound"]).withColumnRenamed("policies", "said")
+    by_tag = tagged.join(tag_lists, ["tag", "access"]).groupBy(*RES, "access").agg(F.collect_list("said").alias("tagged"))
+    both = lists.join(by_tag, [*RES, "access"], "full")
+    long = [x for x in (own["long_items"], of_tags["long_items"]) if x is not None]
+    full = access.with_principals(keys.join(both, [*RES, "access"], "left"), principals_of(spark, sf_dir, keys),
+                                  long[0].unionByName(long[-1]) if long else None)
+    by = F.transform("tagged", lambda p: access.verdict(access.judge(p))["decision"])
+    found = full.withColumn("by_tag", F.coalesce(by, F.array().cast("array<string>"))).withColumn(
+        "r", access.verdict(F.coalesce(access.judge(F.col("policies")), F.array()))["decision"])
+    tag_decision = (F.when(F.array_contains("by_tag", "DENY"), "DENY").when(F.array_contains("by_tag", "ALLOW"), "ALLOW")
+                    .otherwise("NOT_DETERMINED"))
+    dec = cut_lineage(found.select(*KEY, F.col("r").alias("resource_decision"), tag_decision.alias("tag_decision")).withColumn(
+        "decision", F.when((F.col("tag_decision") == "DENY") | (F.col("resource_decision") == "DENY"), "DENY")
+        .when((F.col("tag_decision") == "ALLOW") | (F.col("resource_decision") == "ALLOW"), "ALLOW")
+        .otherwise("NOT_DETERMINED")), name="decisions")
+    return access.decide_requests(reqs, KEY, dec).select("request_id", "resource_decision", "tag_decision", "decision")
 
 
 # --- GOV-14: policy version diff -------------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from wardlake.operators import directory as d
 from wardlake.operators import policylog as pl
 from wardlake.operators import tags as tg
-from wardlake.operators.joins import skew_safe_join
+from wardlake.operators.access import decide_requests
 from wardlake.sources.tables import read_order
 
 
@@ -125,7 +125,7 @@ def stream_audit_summary(spark: SparkSession, stream: DataFrame, decide_fn: Call
 
     def fn(df: DataFrame, batch_id: int) -> None:
         dec = decide_fn(df.select(*key_cols).distinct()).select(*key_cols, "decision")
-        (skew_safe_join(df, dec, key_cols)
+        (decide_requests(df, key_cols, dec)
          .groupBy(*key_cols, "decision", F.window("ts", window).alias("w"))
          .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
          .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
