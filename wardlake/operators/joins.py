@@ -38,6 +38,18 @@ def sized_join(big: DataFrame, index: DataFrame, on: list[str], bound: int | Non
     return big.join(F.broadcast(index) if bound is not None and bound <= INDEX_ROW_LIMIT else index, on, how)
 
 
+def spread_join(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Join where a few keys of ``big`` may hold most of its rows and ``small`` is short.
+
+    Rows of ``big`` are spread by a hash of the row, ``small`` is copied once for each core of the cluster, so no key
+    is one task. No size is asked for; where ``small`` turns out tiny, AQE broadcasts it.
+    """
+    salts = max(2, big.sparkSession.sparkContext.defaultParallelism)
+    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return spread.join(copies, [*on, "_salt"]).drop("_salt")
+
+
 def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
                 buckets: int = 64, bound: int | None = None) -> DataFrame:
     """Pair every row of ``big`` with every row of a short ``small`` list.

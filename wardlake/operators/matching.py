@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions.globs import glob_to_regex, has_wildcard
-from wardlake.operators.joins import sized_join
+from wardlake.operators.joins import sized_join, spread_join
+from wardlake.session import cut_lineage
 
 #: The macro for the requesting user in paths and principals, as policies write it.
 USER_MACRO = "{USER}"
 PATH = "path"
+SHALLOW = 2  # slashes of a prefix that most requests may share
 
 
 def pattern_rows(resources: DataFrame, level_opts: DataFrame | None) -> DataFrame:
@@ -147,13 +149,11 @@ def pattern_hits(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str
 # ---------------------------------------------------------------------------
 
 def path_ancestors(path_col: str = "path"):
-    """'/a/b/c' -> ['/a/b/c', '/a/b', '/a', '/'] (the path and each parent)."""
-    parts = F.filter(F.split(F.col(path_col), "/"), lambda x: x != "")
-    n = F.size(parts)
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                           lambda k: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, k), "/")))
-    return F.array_union(F.when(n > 0, prefixes).otherwise(F.array().cast("array<string>")),
-                         F.array(F.lit("/")))
+    """'/a/b/c' -> ['/', '/a', '/a/b', '/a/b/c'] (the path and each parent)."""
+    p = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(path_col, "/{2,}", "/"), "^/|/$", ""))
+    n = F.length(p) - F.length(F.replace(p, F.lit("/")))
+    up = F.transform(F.sequence(F.lit(1), n), lambda k: F.call_function("substring_index", p, F.lit("/"), k + 1))
+    return F.when(p == "/", F.array(F.lit("/"))).otherwise(F.concat(F.array(F.lit("/")), up))
 
 
 def _quoted(user: Column) -> Column:
@@ -181,12 +181,13 @@ def match_path_index(keys: DataFrame, path_col: str, index: DataFrame, bound: in
     none of its paths covers; it is posted at the root, which is an ancestor of every path.
     """
     posted = postings(index, [PATH])
-    asked = keys.withColumn("_up", path_ancestors(path_col)).withColumn("prefix", F.explode("_up"))
-    shallow, deep = "size(split(prefix, '/')) <= 3", "size(split(prefix, '/')) > 3"
-    # '/', '/en': few in any store but over most requests, so they are joined apart from the many deep ones
-    met = sized_join(asked.where(shallow), posted.where(shallow), ["prefix"], bound).unionByName(
-        sized_join(asked.where(deep), posted.where(deep), ["prefix"], bound))
-    first = F.array_min(F.array_intersect("prefixes", "_up"))
+    asked = keys.withColumn("prefix", F.explode(path_ancestors(path_col)))
+    # '/', '/en': few in any store but over most requests, so they are joined apart from the many deep ones, spread
+    slashes = F.length("prefix") - F.length(F.replace("prefix", F.lit("/")))
+    met = spread_join(asked.where(slashes <= SHALLOW), posted.where(slashes <= SHALLOW), ["prefix"]).unionByName(
+        sized_join(asked.where(slashes > SHALLOW), posted.where(slashes > SHALLOW), ["prefix"], bound))
+    path = F.col(path_col)
+    first = F.array_min(F.filter("prefixes", lambda p: (p == "/") | (p == path) | F.startswith(path, F.concat(p, F.lit("/")))))
     seen = met.where(F.col("prefix") == first).withColumn("hit", F.filter("res", lambda r: covers(r, F.col(path_col))))
     plain = F.exists("hit", lambda r: ~r["macro"])
     templates = F.transform("hit", lambda r: r["re"])
@@ -204,7 +205,7 @@ def match_paths(reqs: DataFrame, key_cols: list[str], resources: DataFrame, serv
     Distinct paths are matched and go back to the requests. ``user_col`` names the requesting user, whom the macro in a
     path stands for; without it a path with the macro fits no request.
     """
-    index = resource_index(resources, None, service)
+    index = cut_lineage(resource_index(resources, None, service), name="path_index")  # read for shallow and deep prefixes
     rows = reqs.select(*key_cols, F.col("path"), (F.col(user_col) if user_col else F.lit(None).cast("string")).alias("_user"))
     found = match_index(rows.select("path").distinct(), {PATH: "path"}, index, bound)
     lists = found.groupBy("path").agg(F.collect_list(F.struct("policy_id", "excluding", "hit", "unless")).alias("_found"))

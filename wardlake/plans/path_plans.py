@@ -121,10 +121,9 @@ pmatch AS (
 
 
 def objectstore_resources(spark, sf_dir, enabled_only: bool):
-    snap = policy_snapshot(spark, sf_dir)
-    res = snap["resources"].where(F.col("service") == "objectstore")
+    res = policy_snapshot(spark, sf_dir, names=("resources",))["resources"].where(F.col("service") == "objectstore")
     if enabled_only:
-        en = snap["items_x"].where("is_enabled").select("policy_id").distinct()
+        en = policy_snapshot(spark, sf_dir, names=("items_x",))["items_x"].where("is_enabled").select("policy_id").distinct()
         res = res.join(en, "policy_id", "left_semi")
     return res
 

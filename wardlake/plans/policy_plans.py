@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,60 +58,75 @@ _BOUNDS: dict[tuple, dict[str, int]] = {}
 
 
 def _snapshot_key(spark: SparkSession, sf_dir: str, service: str) -> tuple:
-    return spark.sparkContext.applicationId, sf_dir, service.rsplit(":", 1)[-1] == DERIVED_SERVICE
+    """A snapshot holds for these versions of the policy files (names, sizes, times)."""
+    files = tuple((f, os.stat(f).st_size, os.stat(f).st_mtime_ns) for f in [*fx.POLICY_FILES, fx.LEGACY_FILE, fx.SERVICEDEF_FILE])
+    return files, spark.sparkContext.applicationId, sf_dir, service.rsplit(":", 1)[-1] == DERIVED_SERVICE
 
 
-def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SERVICE) -> dict[str, DataFrame]:
-    """Normalized policy tables, written once per application and scale dir.
+def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SERVICE,
+                    names: tuple = ("items_x", "resources", "level_opts")) -> dict[str, DataFrame]:
+    """Normalized policy tables, each written once per application and scale dir, when first asked for.
 
     Normalizing is a batch job whose output every decision reads; landing
     it as Parquet in the shared folder cuts the lineage (nothing is
     recomputed if an executor is lost later) and makes size checks on it a
     cheap metadata count. The policies derived from the orders are part of it
-    only for the service that they belong to.
+    only for the service that they belong to. ``long_lists`` and ``index`` are what decisions read: the lists of
+    principals that are too long for a row, and one row per policy.
     """
     key = _snapshot_key(spark, sf_dir, service)
-    if key not in _SNAPSHOTS:
-        base = fresh_path(spark, "policy_snapshot")
-        # Partitioned by service: a decision for one service reads only its
-        # own policies (partition pruning), however large the others grow.
-        expanded_items(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/items_x")
-        all_resources(spark, sf_dir, key[2]).write.partitionBy("service").parquet(f"{base}/resources")
-        pol.ignore_case_levels(servicedefs(spark)).write.parquet(f"{base}/level_opts")
-        items, res, opts = (spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts"))
-        # The index that decisions read: one row per policy, and the lists that are too long for such a row.
-        access.long_lists(items).write.partitionBy("service").parquet(f"{base}/long_lists")
-        long = spark.read.schema(LONG_LISTS).parquet(f"{base}/long_lists")
-        access.policy_index(items, res, opts, long).write.partitionBy("service").parquet(f"{base}/index")
-        # Resource rows per service, recorded once: any pattern subset of a
-        # service is bounded by it, so later broadcast checks need no job.
-        counts = spark.read.parquet(f"{base}/resources").groupBy("service").count().collect()
-        icounts = spark.read.parquet(f"{base}/items_x").groupBy("service").count().collect()
-        lcounts = long.groupBy("service").count().collect()
-        _BOUNDS[key] = {r["service"]: r["count"] for r in counts}
-        _BOUNDS[key].update({"items:" + r["service"]: r["count"] for r in icounts})
-        _BOUNDS[key].update({"long:" + r["service"]: r["count"] for r in lcounts})
-        _SNAPSHOTS[key] = base
-    base = _SNAPSHOTS[key]
-    out = {n: spark.read.parquet(f"{base}/{n}") for n in ("items_x", "resources", "level_opts", "index")}
-    return {**out, "long_lists": spark.read.schema(LONG_LISTS).parquet(f"{base}/long_lists")}
+    base = _SNAPSHOTS.setdefault(key, fresh_path(spark, "policy_snapshot"))
+    bounds = _BOUNDS.setdefault(key, {})
+
+    def table(name: str) -> DataFrame:
+        made = f"table:{name}"
+        if made not in bounds:
+            # Partitioned by service: a decision for one service reads only its
+            # own policies (partition pruning), however large the others grow.
+            writer = build[name]().write
+            (writer if name == "level_opts" else writer.partitionBy("service")).parquet(f"{base}/{name}")
+            bounds[made] = 1
+            if name in prefixes:
+                # Rows per service, recorded once: any subset of a service is bounded by it, so later broadcast
+                # checks need no job.
+                counts = read(name).groupBy("service").count().collect()
+                bounds.update({prefixes[name] + r["service"]: r["count"] for r in counts})
+        return read(name)
+
+    def read(name: str) -> DataFrame:
+        reader = spark.read.schema(LONG_LISTS) if name == "long_lists" else spark.read
+        return reader.parquet(f"{base}/{name}")
+
+    build = {
+        "items_x": lambda: expanded_items(spark, sf_dir, key[-1]),
+        "resources": lambda: all_resources(spark, sf_dir, key[-1]),
+        "level_opts": lambda: pol.ignore_case_levels(servicedefs(spark)),
+        "long_lists": lambda: access.long_lists(expanded_items(spark, sf_dir, key[-1])),
+        "index": lambda: access.policy_index(
+            expanded_items(spark, sf_dir, key[-1]), all_resources(spark, sf_dir, key[-1]),
+            pol.ignore_case_levels(servicedefs(spark)), table("long_lists")),
+    }
+    prefixes = {"items_x": "items:", "resources": "", "long_lists": "long:", "index": "index:"}
+    return {name: table(name) for name in names}
+
+
+def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int | None:
+    """Row count of the service's policy resources (with ``items:`` before the name, of its policy items, with ``long:``,
+    of its long lists of principals, with ``index:`` of its policies) recorded with the snapshot; None, which leaves the size checks on, for a service
+    without any."""
+    kind, _, name = service.rpartition(":")
+    policy_snapshot(spark, sf_dir, name, ({"": "resources", "items": "items_x", "long": "long_lists", "index": "index"}[kind],))
+    return _BOUNDS[_snapshot_key(spark, sf_dir, service)].get(service)
 
 
 def service_index(spark: SparkSession, sf_dir: str, service: str) -> dict:
     """What ``access.decide_by_index`` needs of a service: index, long_items, bound."""
-    snap = policy_snapshot(spark, sf_dir, service)
-    mine = F.col("service") == service
-    long = None
+    mine, long = F.col("service") == service, None
+    index = policy_snapshot(spark, sf_dir, service, ("index",))["index"].where(mine)
     if resource_bound(spark, sf_dir, "long:" + service):
+        snap = policy_snapshot(spark, sf_dir, service, ("items_x", "long_lists"))
         long = access.long_items_of(snap["items_x"].where(mine), snap["long_lists"].where(mine))
-    return {"index": snap["index"].where(mine), "long_items": long, "bound": resource_bound(spark, sf_dir, service)}
-
-
-def resource_bound(spark: SparkSession, sf_dir: str, service: str) -> int | None:
-    """Row count of the service's policy resources (with ``items:`` before the name, of its policy items, with ``long:``,
-    of its long lists of principals) recorded with the snapshot; None, which leaves the size checks on, for a service without any."""
-    policy_snapshot(spark, sf_dir, service.rsplit(":", 1)[-1])
-    return _BOUNDS[_snapshot_key(spark, sf_dir, service)].get(service)
+    return {"index": index, "long_items": long, "bound": resource_bound(spark, sf_dir, "index:" + service)}
 
 
 def with_cte(body: str) -> str:
