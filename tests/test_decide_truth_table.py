@@ -78,7 +78,7 @@ def decided(spark):
     keys = spark.createDataFrame([t[:4] for t in TRUTH], "user string, access string, tbl string, col string")
     members = spark.createDataFrame(MEMBERS, "user string, grp string")
     roles = spark.createDataFrame([], "role string, grp string")
-    princ = access.principals(keys.select("user"), members, roles)
+    princ = access.user_tags(keys.select("user"), members, roles)
     out = access.decide(keys, ["user", "access", "tbl", "col"], {"table": "tbl", "column": "col"},
                         items, resources, opts, princ, S)
     return {(r.user, r.access, r.tbl, r.col): (r.decision, r.policy_id) for r in out.collect()}

@@ -12,7 +12,7 @@ def test_long_list_of_principals(spark):
     keys = spark.createDataFrame([(u, "select", t) for u in ("u1", "u7", "u9999", "x") for t in ("t1", "t2")],
                                  "user string, access string, tbl string")
     members = spark.createDataFrame([("u1", "g3"), ("u7", "g3")], "user string, grp string")
-    princ = access.principals(keys, members, spark.createDataFrame([], "role string, grp string"))
+    princ = access.user_tags(keys, members, spark.createDataFrame([], "role string, grp string"))
     opts = spark.createDataFrame([("svc", "table", False, False)],
                                  "service string, level string, ignore_case boolean, recursive_supported boolean")
     resources = spark.createDataFrame([res(1, "table", "*"), res(2, "table", "t2"), res(3, "table", "t1")], RES_COLS)

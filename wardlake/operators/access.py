@@ -33,18 +33,27 @@ LONG_LIST = 512
 _DETAILS = ["mask_type", "value_expr", "condition_expr", "filter_expr"]
 
 
+def user_tags(users: DataFrame, members: DataFrame, role_members: DataFrame) -> DataFrame:
+    """(user, who): what each user is, as tags ``kind:name``: itself, the group ``public``, its groups and their roles.
+
+    One list per user, as long as its memberships; the roles of a group are joined as one list per group.
+    """
+    def tagged(kind, names):
+        return F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda x: F.concat(F.lit(f"{kind}:"), x))
+    u = users.select("user").distinct()
+    roles = role_members.groupBy("grp").agg(F.collect_set("role").alias("roles"))
+    m = (members.join(roles, "grp", "left").join(u, "user", "left_semi").groupBy("user")
+         .agg(F.collect_set("grp").alias("grps"), F.flatten(F.collect_set("roles")).alias("roles")))
+    own = F.array(F.concat(F.lit("user:"), F.col("user")), F.lit("group:public"))
+    return u.join(m, "user", "left").select("user", F.array_distinct(F.concat(
+        F.when(F.col("user").isNull(), F.array(F.lit("group:public"))).otherwise(own),
+        tagged("group", F.col("grps")), tagged("role", F.col("roles")))).alias("who"))
+
+
 def principals(users: DataFrame, members: DataFrame, role_members: DataFrame) -> DataFrame:
     """(user, principal_kind, principal) for each user: self, public, groups, roles."""
-    u = users.select("user").distinct()
-    m = members.join(u, "user", "left_semi")
-    return (
-        u.select("user", F.lit("user").alias("principal_kind"), F.col("user").alias("principal"))
-        .unionByName(u.select("user", F.lit("group").alias("principal_kind"), F.lit("public").alias("principal")))
-        .unionByName(m.select("user", F.lit("group").alias("principal_kind"), F.col("grp").alias("principal")))
-        .unionByName(m.join(role_members, "grp")
-                     .select("user", F.lit("role").alias("principal_kind"), F.col("role").alias("principal")))
-        .distinct()
-    )
+    return user_tags(users, members, role_members).select("user", F.explode("who").alias("t")).select(
+        "user", F.substring_index("t", ":", 1).alias("principal_kind"), F.expr("substr(t, locate(':', t) + 1)").alias("principal"))
 
 
 def _tag(kind: str = "principal_kind", name: str = "principal") -> Column:
@@ -54,11 +63,6 @@ def _tag(kind: str = "principal_kind", name: str = "principal") -> Column:
 EVERYBODY = f"user:{USER_MACRO}"
 
 
-def user_tags(princ: DataFrame) -> DataFrame:
-    """(user, who): all principals that a user is, as tags; as many as the user has memberships."""
-    return princ.groupBy("user").agg(F.collect_set(_tag()).alias("who"))
-
-
 def long_lists(items: DataFrame) -> DataFrame:
     """(service, policy_id, access, item_kind) of more than LONG_LIST principals: counted in the tasks first."""
     return (items.where(F.col("principal").isNotNull() & F.col("item_kind").isin(ACCESS_KINDS)).groupBy("service", "policy_id", "access", "item_kind").count()
@@ -139,25 +143,24 @@ def verdict(judged: Column) -> Column:
     return F.struct(said.alias("decision"), win["policy_id"].alias("policy_id"), win["is_audit_enabled"].alias("is_audit_enabled"))
 
 
-def with_principals(keys: DataFrame, princ: DataFrame, long_items: DataFrame | None) -> DataFrame:
-    """``keys`` with ``who`` and ``held``. Everybody is the macro for the requesting user."""
-    tags = user_tags(princ)
-    out = keys.join(tags, "user", "left").withColumn("who", F.concat(
+def with_principals(keys: DataFrame, who: DataFrame, long_items: DataFrame | None) -> DataFrame:
+    """``keys`` with ``who`` (from ``user_tags``) and ``held``. Everybody is the macro for the requesting user."""
+    out = keys.join(who, "user", "left").withColumn("who", F.concat(
         F.coalesce("who", F.array().cast("array<string>")), F.array(F.lit(EVERYBODY))))
     if long_items is None:
         return out.withColumn("held", F.lit(None).cast("array<struct<policy_id:bigint,item_kind:string>>"))
-    lists = long_items.select("policy_id", "item_kind", "access", "principal_kind", "principal").distinct()
-    held = (lists.join(princ, ["principal_kind", "principal"]).groupBy("user", "access")
+    lists = long_items.select("policy_id", "item_kind", "access", _tag().alias("tag")).distinct()
+    held = (lists.join(who.select("user", F.explode("who").alias("tag")), "tag").groupBy("user", "access")
             .agg(F.collect_set(F.struct(F.col("policy_id").cast("long").alias("policy_id"), "item_kind")).alias("held")))
     return out.join(held, ["user", "access"], "left")
 
 
-def judged_keys(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], index: DataFrame, princ: DataFrame,
+def judged_keys(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], index: DataFrame, who: DataFrame,
                 long_items: DataFrame | None = None, bound: int | None = None) -> DataFrame:
     """``key_cols`` of the distinct ``keys`` with ``judged`` (empty where no policy fits)."""
     res_cols = list(level_cols.values())
     lists = access_lists(keys.select(*res_cols, "access").distinct(), res_cols, level_cols, index, bound)
-    full = with_principals(keys.select(*key_cols).join(lists, [*res_cols, "access"], "left"), princ, long_items)
+    full = with_principals(keys.select(*key_cols).join(lists, [*res_cols, "access"], "left"), who, long_items)
     path = F.col(res_cols[0]) if list(level_cols) == ["path"] else None
     return full.withColumn("judged", F.coalesce(judge(F.col("policies"), path), F.array())).select(*key_cols, "judged")
 
@@ -172,26 +175,26 @@ def long_items_of(items: DataFrame, long: DataFrame) -> DataFrame | None:
 
 
 def decide_by_index(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], index: DataFrame,
-                    princ: DataFrame, long_items: DataFrame | None = None, bound: int | None = None,
+                    who: DataFrame, long_items: DataFrame | None = None, bound: int | None = None,
                     stage: bool = True) -> DataFrame:
     """``key_cols`` + decision, allowed, policy_id, is_audit_enabled, one row per row of ``keys``.
 
     ``stage``: the decisions are written once, because they are joined back to many more requests.
     """
-    got = judged_keys(keys, key_cols, level_cols, index, princ, long_items, bound)
+    got = judged_keys(keys, key_cols, level_cols, index, who, long_items, bound)
     out = got.withColumn("v", verdict(F.col("judged"))).select(
         *key_cols, "v.decision", (F.col("v.decision") == "ALLOW").alias("allowed"), "v.policy_id", "v.is_audit_enabled")
     return cut_lineage(out, name="decisions") if stage else out
 
 
 def decide(keys: DataFrame, key_cols: list[str], level_cols: dict[str, str], items: DataFrame, resources: DataFrame,
-           level_opts: DataFrame, princ: DataFrame, service: str) -> DataFrame:
+           level_opts: DataFrame, who: DataFrame, service: str) -> DataFrame:
     """keys(user, access, <levels>) -> keys + decision..., from the normalized tables of one service."""
     mine = items.where(F.col("service") == service)
     long = cut_lineage(long_lists(mine), name="long_lists")
     index = policy_index(mine, resources.where(F.col("service") == service), level_opts, long)
     staged = cut_lineage(keys.select(*key_cols).distinct(), name="keys")
-    return decide_by_index(staged, key_cols, level_cols, index, princ, long_items_of(mine, long))
+    return decide_by_index(staged, key_cols, level_cols, index, who, long_items_of(mine, long))
 
 
 def decide_requests(requests: DataFrame, key_cols: list[str], decisions: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ LEVELS = {"database": "db", "table": "tbl", "column": "col"}
 
 
 def resolve_policies(spark: SparkSession, user: str, db: str, tbl: str, columns: list[str], index: DataFrame,
-                     princ: DataFrame, long_items: DataFrame | None = None,
+                     who: DataFrame, long_items: DataFrame | None = None,
                      bound: int | None = None) -> tuple[set[str], str | None, dict[str, tuple]]:
     """(columns that may be selected, row filter, column -> (mask type, value, condition)).
 
@@ -38,7 +38,7 @@ def resolve_policies(spark: SparkSession, user: str, db: str, tbl: str, columns:
     """
     keys = spark.createDataFrame([(user, "select", db, tbl, c) for c in [None, *columns]],
                                  "user string, access string, db string, tbl string, col string")
-    met = access.with_principals(match_index(keys, LEVELS, index, bound), princ, long_items)
+    met = access.with_principals(match_index(keys, LEVELS, index, bound), who, long_items)
     its = F.filter("its", lambda x: x["access"] == F.col("access"))
     of = lambda k: F.transform(F.filter("its", lambda x: x["kind"] == k), lambda x: x["principal"])
     entry = F.struct("policy_id", "priority", "deny_all_else", "is_audit_enabled", *[of(k).alias(k) for k in access.ACCESS_KINDS])
@@ -87,7 +87,7 @@ def apply_masks(df: DataFrame, masks: dict[str, tuple], keep: list[str] | None =
     return df.select(*[mask_column(c, types[c], *masks.get(c, (None, None))) for c in cols])
 
 
-def governed(df: DataFrame, user: str, db: str, tbl: str, index: DataFrame, princ: DataFrame,
+def governed(df: DataFrame, user: str, db: str, tbl: str, index: DataFrame, who: DataFrame,
              long_items: DataFrame | None = None, bound: int | None = None, row_filter: bool = True, masks: bool = True,
              column_acl: bool = True, denied: str = "drop") -> DataFrame:
     """The table as ``user`` may see it. ``index``: the policies of its service (``access.policy_index``).
@@ -96,7 +96,7 @@ def governed(df: DataFrame, user: str, db: str, tbl: str, index: DataFrame, prin
     default) or kept as typed NULLs (``denied="null"``, a stable schema for
     reports that run for many readers).
     """
-    allowed, rows, found = resolve_policies(df.sparkSession, user, db, tbl, df.columns, index, princ, long_items, bound)
+    allowed, rows, found = resolve_policies(df.sparkSession, user, db, tbl, df.columns, index, who, long_items, bound)
     keep, m = df.columns, dict(found) if masks else {}
     if column_acl:
         keep = [c for c in df.columns if c in allowed]

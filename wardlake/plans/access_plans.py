@@ -32,13 +32,13 @@ def lake_inputs(spark: SparkSession, sf_dir: str):
 
 
 def principals_of(spark: SparkSession, sf_dir: str, users: DataFrame) -> DataFrame:
-    return access.principals(users.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
+    return access.user_tags(users.select("user"), fx.memberships(spark, sf_dir), role_members_df(spark))
 
 
 def decide_keys(spark: SparkSession, sf_dir: str, keys: DataFrame, key_cols=KEY, levels=LAKE, stage: bool = True) -> DataFrame:
     """Decisions of distinct keys of the lakehouse service; the keys are read three times, so they are written first."""
     staged = cut_lineage(keys.select(*key_cols), name="keys") if stage else keys
-    return access.decide_by_index(staged, key_cols, levels, princ=principals_of(spark, sf_dir, staged), stage=stage,
+    return access.decide_by_index(staged, key_cols, levels, who=principals_of(spark, sf_dir, staged), stage=stage,
                                   **service_index(spark, sf_dir, "lakehouse"))
 
 
@@ -128,7 +128,7 @@ SELECT "user", access, db, tbl, col, policy_id, al AS allow, de AS deny,
 def q_match_principal(spark, sf_dir):
     _, keys = request_keys(spark, sf_dir)
     staged = cut_lineage(keys, name="keys")
-    got = access.judged_keys(staged, KEY, LAKE, princ=principals_of(spark, sf_dir, staged),
+    got = access.judged_keys(staged, KEY, LAKE, who=principals_of(spark, sf_dir, staged),
                              **service_index(spark, sf_dir, "lakehouse"))
     said = got.select(*KEY, F.explode("judged").alias("s"))
     return (said.where("s.allow OR s.deny OR s.allow_exception OR s.deny_exception")
@@ -158,25 +158,26 @@ def q_effective_permissions(spark, sf_dir):
 
 
 def effective_permissions(users: DataFrame, grid: DataFrame, res_cols: list[str], level_cols: dict[str, str],
-                          princ: DataFrame, index: DataFrame, long_items: DataFrame | None, bound: int | None) -> DataFrame:
+                          who: DataFrame, index: DataFrame, long_items: DataFrame | None, bound: int | None) -> DataFrame:
     """(user, <resource>, access) that are allowed, of the ``users`` (distinct) and the cells of ``grid``.
 
     From the policies outwards: the principals that an allow item names for a cell are resolved to users, and only
     these (user, cell) pairs are decided. A pair that no item allows is never made.
     """
     lists = cut_lineage(access.access_lists(grid, res_cols, level_cols, index, bound), name="access_lists")
-    tags = princ.select("user", F.concat_ws(":", "principal_kind", "principal").alias("tag")).unionByName(
-        users.select("user", F.lit(access.EVERYBODY).alias("tag")))
+    who = cut_lineage(who, name="who")
+    tags = who.select("user", F.explode(F.concat("who", F.array(F.lit(access.EVERYBODY)))).alias("tag"))
     named = lists.select(*res_cols, "access", F.explode(F.array_distinct(F.flatten(F.transform(
         "policies", lambda e: e["allow"])))).alias("tag"))
     pairs = tags.join(named.where(F.col("tag").isNotNull()), "tag").select("user", "access", *res_cols)
     if long_items is not None:
-        far = (long_items.where(F.col("item_kind") == "allow").join(princ, ["principal_kind", "principal"])
+        far = (long_items.where(F.col("item_kind") == "allow")
+               .withColumn("tag", F.concat_ws(":", "principal_kind", "principal")).join(tags, "tag")
                .select("user", "policy_id", "access").distinct())
         of = lists.select(*res_cols, "access", F.explode("policies").alias("p")).select(*res_cols, "access", "p.policy_id")
         pairs = pairs.unionByName(far.join(of, ["policy_id", "access"]).select("user", "access", *res_cols))
     keys = pairs.distinct()
-    full = access.with_principals(keys.join(lists, [*res_cols, "access"]), princ, long_items)
+    full = access.with_principals(keys.join(lists, [*res_cols, "access"]), who, long_items)
     said = access.verdict(access.judge(F.col("policies")))
     return full.where(said["decision"] == "ALLOW").select("user", *res_cols, "access")
 

@@ -38,8 +38,8 @@ CONDITION_SQL = {"c_name": {"c_acctbal < 5000": "c_acctbal < 5000"}}
 
 
 def _governed(spark, sf_dir, table, user, **kw):
-    princ = principals_of(spark, sf_dir, spark.createDataFrame([(user,)], "user string"))
-    return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, princ=princ,
+    who = principals_of(spark, sf_dir, spark.createDataFrame([(user,)], "user string"))
+    return governed(scan_parquet(spark, sf_dir, table), user, "tpch", table, who=who,
                     **service_index(spark, sf_dir, "lakehouse"), **kw)
 
 

@@ -153,7 +153,7 @@ def path_decisions(spark, sf_dir, reqs):
     """
     keys = ["user", "access", "path"]
     staged = cut_lineage(reqs.select(*keys).distinct(), name="keys")
-    dec = access.decide_by_index(staged, keys, {"path": "path"}, princ=principals_of(spark, sf_dir, staged),
+    dec = access.decide_by_index(staged, keys, {"path": "path"}, who=principals_of(spark, sf_dir, staged),
                                  **service_index(spark, sf_dir, "objectstore"))
     skip = F.col("user").isin(fx.SKIP_USERS)
     return (access.decide_requests(reqs, keys, dec.select(*keys, "decision"))

@@ -52,7 +52,7 @@ def expanded_items(spark: SparkSession, sf_dir: str, derived: bool = True) -> Da
 
 # The service whose policies are derived from the data (one per order).
 DERIVED_SERVICE = "objectstore"
-LONG_LISTS = "policy_id long, access string, item_kind string, service string"
+_SCHEMAS: dict = {}
 _SNAPSHOTS: dict[tuple, str] = {}
 _BOUNDS: dict[tuple, dict[str, int]] = {}
 
@@ -83,7 +83,9 @@ def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SER
         if made not in bounds:
             # Partitioned by service: a decision for one service reads only its
             # own policies (partition pruning), however large the others grow.
-            writer = build[name]().write
+            df = build[name]()
+            _SCHEMAS[f"{base}/{name}"] = df.schema
+            writer = df.write
             (writer if name == "level_opts" else writer.partitionBy("service")).parquet(f"{base}/{name}")
             bounds[made] = 1
             if name in prefixes:
@@ -94,8 +96,7 @@ def policy_snapshot(spark: SparkSession, sf_dir: str, service: str = DERIVED_SER
         return read(name)
 
     def read(name: str) -> DataFrame:
-        reader = spark.read.schema(LONG_LISTS) if name == "long_lists" else spark.read
-        return reader.parquet(f"{base}/{name}")
+        return spark.read.schema(_SCHEMAS[f"{base}/{name}"]).parquet(f"{base}/{name}")
 
     build = {
         "items_x": lambda: expanded_items(spark, sf_dir, key[-1]),

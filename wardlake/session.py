@@ -15,9 +15,11 @@ BROADCAST_ROW_LIMIT = 1_000_000
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
     """Local/test session. On a cluster the submitter's session is used as is."""
+    builder = SparkSession.builder.appName("wardlake")
+    if master or SparkSession.getActiveSession() is None:
+        builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
     builder = (
-        SparkSession.builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
-        .appName("wardlake")
+        builder
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -70,4 +72,4 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     spark = spark or df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no job to read it from the files
