@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,10 +22,45 @@ def test_strict_corpus(spark, text, ok):
     assert got is ok
 
 
-def test_known_gap_trailing_text(spark):
-    # Recorded gap: the parser stops after one complete value.
-    df = spark.createDataFrame([('["Extra close"]]',)], "t string")
-    assert df.select(jc.parse_strict(F.col("t")).isNotNull()).first()[0] is True
+# Authored: text after or between complete values.
+TRAILING = ['["Extra close"]]', "1 2", "1, 2", '1, "v": 2', '{"a": 1}}', '1}, {"a":2', "1], [2", '{"a": 1} x', '"a" "b"', "[1],"]
+
+
+@pytest.mark.parametrize("text", TRAILING)
+def test_trailing_text_is_refused(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(jc.parse_strict(F.col("t")).isNull()).first()[0] is True
+
+
+def _walk(v, path="$"):
+    if isinstance(v, dict) and v:
+        return [x for k, w in v.items() for x in _walk(w, f"{path}.{k}")]
+    if isinstance(v, list) and v:
+        return [x for k, w in enumerate(v) for x in _walk(w, f"{path}[{k}]")]
+    kind = {dict: "object", list: "array", str: "string", bool: "boolean", int: "number", type(None): "null"}[type(v)]
+    return [(path, kind, None if kind in ("object", "array", "null") else json.dumps(v) if kind != "string" else v)]
+
+
+def test_nested_documents(spark):
+    """A walk and a canonical text of random nested documents against plain Python."""
+    rng = random.Random(6)
+
+    def made(depth):
+        kind = rng.random()
+        if depth and kind < .35:
+            return {rng.choice(["z", "a", "é", "B", "k9", "long_key"]): made(depth - 1) for _ in range(rng.randint(0, 4))}
+        if depth and kind < .6:
+            return [made(depth - 1) for _ in range(rng.randint(0, 3))]
+        return rng.choice([None, True, False, 7, -12345678901, "text", "", "quo\"te \n é"])
+
+    docs = [made(5) for _ in range(60)] + [{"a": {"b": {"c": [[[{"d": None}]]]}}}, [], {}]
+    df = spark.createDataFrame([(k, json.dumps(d, ensure_ascii=False, indent=1)) for k, d in enumerate(docs)] + [(99, "[1"), (98, None)],
+                               "id int, t string")
+    got = sorted(((r.id, r.path, r.type, r.value) for r in jc.flatten(df, ["id"], "t").collect()), key=str)
+    assert got == sorted(((k, *x) for k, d in enumerate(docs) for x in _walk(d)), key=str)
+    texts = {r.id: r.c for r in df.select("id", jc.canonical_text(F.col("t")).alias("c")).collect()}
+    assert texts == {**{k: json.dumps(d, ensure_ascii=False, sort_keys=True, separators=(",", ":")) for k, d in enumerate(docs)},
+                     99: None, 98: None}
 
 
 def test_quarantine_split(spark):

@@ -1,19 +1,23 @@
 """JSON held in columns: strict parse with quarantine, canonical text,
-non-finite numbers, and a flat walk of objects (all JVM-side)."""
+non-finite numbers, and a walk of nested documents (all JVM-side)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardlake.session import cut_lineage
+
 
 def parse_strict(c: Column) -> Column:
-    """A VARIANT, or NULL when the text is not one JSON value.
+    """A VARIANT, or NULL when the text is not exactly one JSON value.
 
-    Known gap (kept visible in tests): the parser stops after the first
-    complete value, so trailing text such as ``["x"]]`` is accepted.
+    The parser stops after the first complete value, so the text is parsed inside an object and inside an array
+    too: text after the value, such as ``["x"]]`` or ``1, 2``, breaks one of them.
     """
-    return F.try_parse_json(c)
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
+    element = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.when(member.isNotNull() & element.isNotNull(), F.try_parse_json(c))
 
 
 def quarantine(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
@@ -22,9 +26,15 @@ def quarantine(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     return parsed.where(F.col("_json").isNotNull()), parsed.where(F.col("_json").isNull()).drop("_json")
 
 
+def canonical_text(c: Column) -> Column:
+    """The JSON text with the keys of every object sorted, at any depth, NULL members kept, numbers without
+    trailing zeros and white space gone; NULL for what is not one JSON value. A VARIANT holds the fields of an object by name."""
+    return F.to_json(parse_strict(c))
+
+
 def canonical(cols: list[str]) -> Column:
-    """JSON text of the named columns with keys in sorted order."""
-    return F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]))
+    """JSON text of the named columns, canonical at any depth."""
+    return canonical_text(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
 
 
 def parse_nonfinite(c: Column, schema: str) -> Column:
@@ -32,7 +42,30 @@ def parse_nonfinite(c: Column, schema: str) -> Column:
     return F.from_json(c, schema, {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
 
 
-def flatten_object(c: Column) -> Column:
-    """Top-level (key, value-as-JSON-text) pairs of an object column, as an array to explode."""
-    m = F.from_json(c, "map<string,string>")
-    return F.map_entries(m)
+def flatten(docs: DataFrame, id_cols: list[str], col: str) -> DataFrame:
+    """(id..., path, type, value) for every scalar, NULL or empty container of JSON documents, at any depth.
+
+    path: ``$.a[0].b``; type: string, number, boolean, null, object or array (the last two only when empty); value:
+    its text, NULL for null and empty containers. Containers are opened level by level on all documents at once, until
+    no level holds one, so there are as many rounds as the deepest document has levels. Texts that are not one JSON
+    value give no rows.
+    """
+    spark = docs.sparkSession
+    front = docs.select(*id_cols, F.lit("$").alias("path"), parse_strict(F.col(col)).alias("v")).where("v IS NOT NULL")
+    leaves = None
+    while True:
+        kind = F.schema_of_variant("v")
+        typed = cut_lineage(front.withColumn("kind", F.when(kind.startswith("OBJECT"), "object").when(
+            kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(
+            kind == "VOID", "null").otherwise("number")), name="json_level")
+        opened = F.col("kind").isin("object", "array") & ~F.to_json("v").isin("{}", "[]")
+        here = typed.where(~opened).select(*id_cols, "path", F.col("kind").alias("type"), F.when(
+            F.col("kind").isin("string", "number", "boolean"), F.variant_get("v", "$", "string")).alias("value"))
+        leaves = here if leaves is None else leaves.unionByName(here)
+        boxes = typed.where(opened)
+        if boxes.limit(1).count() == 0:
+            return leaves
+        step = F.when(F.col("kind") == "object", F.concat(F.lit("."), F.col("key"))).otherwise(
+            F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        front = boxes.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+            *id_cols, F.concat("path", step).alias("path"), F.col("value").alias("v"))

@@ -182,21 +182,30 @@ def effective_permissions(users: DataFrame, grid: DataFrame, res_cols: list[str]
     return full.where(said["decision"] == "ALLOW").select("user", *res_cols, "access")
 
 
-def _info_keys_sql() -> str:
-    res = fx.values_sql(fx.INFO_SCHEMA_TABLES, ["db", "tbl", "col"]).replace(" AS t(", " AS rc(")
-    return (f"SELECT u.\"user\", 'select' AS access, rc.db, rc.tbl, rc.col FROM "
-            f"(SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS \"user\" FROM events) u, {res}")
+CATALOG_LEVELS = {"catalog": "cat", "schema": "db", "table": "tbl", "column": "col"}
+INFO_ROWS = [(c, *r) for c in fx.CATALOGS for r in fx.INFO_SCHEMA_TABLES]
 
 
-@query("metadata_visibility", lambda: cte(
-    'SELECT "user", db, tbl, col, decision, allowed FROM decisions_x',
-    keys_cte="ikeys", keys_sql=_info_keys_sql()))
+def _info_sql() -> str:
+    res = fx.values_sql(INFO_ROWS, ["cat", "db", "tbl", "col"]).replace(" AS t(", " AS rc(")
+    return with_cte(f""",
+ikeys AS (SELECT u."user", 'select' AS access, rc.cat, rc.db, rc.tbl, rc.col FROM
+          (SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS "user" FROM events) u, {res}),
+{principals_sql('ikeys')},
+{decide_sql('ikeys', levels=list(CATALOG_LEVELS.items()), service='federated')}
+SELECT "user", cat, db, tbl, col, decision, allowed FROM decisions_x""")
+
+
+@query("metadata_visibility", _info_sql)
 def q_metadata_visibility(spark, sf_dir):
+    """GOV-17: who sees the tables that describe a catalog; resources of four levels."""
     users = scan_parquet(spark, sf_dir, "events").select(fx.user_name(F.col("user_id")).alias("user")).distinct()
-    info = spark.createDataFrame(fx.INFO_SCHEMA_TABLES, "db string, tbl string, col string") \
-        .withColumn("access", F.lit("select"))
-    keys = attach_each(users, info, bound=len(fx.INFO_SCHEMA_TABLES)).select(*KEY)
-    return decide_keys(spark, sf_dir, keys).select("user", "db", "tbl", "col", "decision", "allowed")
+    info = spark.createDataFrame(INFO_ROWS, "cat string, db string, tbl string, col string").withColumn("access", F.lit("select"))
+    kc = ["user", "access", *CATALOG_LEVELS.values()]
+    keys = cut_lineage(attach_each(users, info, bound=len(INFO_ROWS)).select(*kc), name="keys")
+    dec = access.decide_by_index(keys, kc, CATALOG_LEVELS, who=principals_of(spark, sf_dir, keys),
+                                 **service_index(spark, sf_dir, "federated"))
+    return dec.select("user", "cat", "db", "tbl", "col", "decision", "allowed")
 
 
 @query("audit_summary", lambda: cte("""

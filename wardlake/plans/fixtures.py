@@ -18,9 +18,10 @@ DATA_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 POLICY_FILE = os.path.join(DATA_DIR, "lakehouse_policies.json")
 TAG_POLICY_FILE = os.path.join(DATA_DIR, "tag_policies.json")
 PREV_POLICY_FILE = os.path.join(DATA_DIR, "lakehouse_policies_prev.json")
+CATALOG_POLICY_FILE = os.path.join(DATA_DIR, "catalog_policies.json")
 TAGSET_FILE = os.path.join(DATA_DIR, "tagsets.jsonl")
 # The authored policy exports read together as the current store.
-POLICY_FILES = [POLICY_FILE, TAG_POLICY_FILE]
+POLICY_FILES = [POLICY_FILE, TAG_POLICY_FILE, CATALOG_POLICY_FILE]
 LEGACY_FILE = os.path.join(DATA_DIR, "legacy_policies.jsonl")
 SERVICEDEF_FILE = os.path.join(DATA_DIR, "servicedefs.jsonl")
 
@@ -72,7 +73,8 @@ ROLE_MAPPINGS = [
 # Users that bypass path checks (s3.authorization.skip.users).
 SKIP_USERS = ["u0", "hadoop"]
 
-# information_schema tables shown to metadata requests.
+# Catalogs whose metadata is asked for, and the information_schema tables shown to metadata requests.
+CATALOGS = ["lake", "warehouse", "scratch"]
 INFO_SCHEMA_TABLES = [("information_schema", "tables", "table_name"),
                       ("information_schema", "columns", "column_name"),
                       ("information_schema", "schemata", "schema_name")]

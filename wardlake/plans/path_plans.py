@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlake.operators import access
 from wardlake.operators.matching import match_paths
 from wardlake.plans import fixtures as fx
-from wardlake.plans.access_plans import principals_of, request_keys
+from wardlake.plans.access_plans import principals_of
 from wardlake.plans.access_sql import decide_matched_sql, principals_sql
 from wardlake.plans.policy_plans import policy_snapshot, resource_bound, service_index, with_cte
 from wardlake.plans.registry import query
@@ -187,23 +187,24 @@ PRIV_OF_ACCESS = [("select", "SELECT"), ("update", "UPDATE"), ("create", "INSERT
                   ("alter", "OWNERSHIP")]
 
 
-def file_rules_access(reqs: DataFrame, rules: DataFrame, priv_map: DataFrame) -> DataFrame:
+def file_rules_access(reqs: DataFrame, rules: list[tuple], priv_of: dict[str, str]) -> DataFrame:
     """First rule (lowest number) whose three regexes fully match decides.
 
-    The rule list is short and authored (broadcast); each request keeps only
-    the winning rule via ``min_by`` — no sort of the request table.
+    The ordered rules become one first-match expression over the columns of a request: no join and no shuffle, and
+    a request is read once.
     """
-    full = lambda c, r: F.regexp_like(F.col(c), F.concat(F.lit("^(?:"), F.col(r), F.lit(")$")))
-    cand = reqs.join(F.broadcast(rules), full("user", "r_user") & full("db", "r_schema") & full("tbl", "r_table"))
-    win = cand.groupBy("request_id").agg(F.min_by(F.struct("rule_no", "privileges"), F.col("rule_no")).alias("w"))
-    out = reqs.join(win, "request_id", "left").join(F.broadcast(priv_map), "access", "left")
-    return out.select(
-        "request_id", "user", "db", "tbl", "access",
-        F.coalesce(F.col("w.rule_no").cast("string"), F.lit("no_rule")).alias("rule"),
-        F.array_join(F.coalesce(F.col("w.privileges"), F.array().cast("array<string>")), ",").alias("privileges"),
-        F.coalesce(F.col("w.rule_no").isNotNull()
-                   & F.array_contains(F.coalesce(F.col("w.privileges"), F.array().cast("array<string>")),
-                                      F.col("priv")), F.lit(False)).alias("allowed"))
+    full = lambda c, r: F.regexp_like(F.col(c), F.lit(f"^(?:{r})$"))
+    win = None
+    for no, user, schema, tbl, privileges in sorted(rules):
+        fits = full("user", user) & full("db", schema) & full("tbl", tbl)
+        said = F.struct(F.lit(no).alias("rule_no"), F.array(*map(F.lit, privileges)).cast("array<string>").alias("privileges"))
+        win = F.when(fits, said) if win is None else win.when(fits, said)
+    named = F.create_map(*[F.lit(x) for pair in priv_of.items() for x in pair])[F.col("access")]
+    none = F.array().cast("array<string>")
+    return reqs.withColumn("w", win).select(
+        "request_id", "user", "db", "tbl", "access", F.coalesce(F.col("w.rule_no").cast("string"), F.lit("no_rule")).alias("rule"),
+        F.array_join(F.coalesce("w.privileges", none), ",").alias("privileges"),
+        F.coalesce(F.array_contains(F.coalesce("w.privileges", none), named), F.lit(False)).alias("allowed"))
 
 
 @query("file_rules_access", lambda: f"""
@@ -222,8 +223,4 @@ SELECT r.request_id, r."user", r.db, r.tbl, r.access, coalesce(CAST(w.rule_no AS
 FROM reqs r LEFT JOIN win w USING (request_id) LEFT JOIN pm USING (access)
 """)
 def q_file_rules_access(spark, sf_dir):
-    reqs, _ = request_keys(spark, sf_dir)
-    rules = spark.createDataFrame(FILE_RULES, "rule_no int, r_user string, r_schema string, r_table string, "
-                                              "privileges array<string>")
-    pm = spark.createDataFrame(PRIV_OF_ACCESS, "access string, priv string")
-    return file_rules_access(reqs, rules, pm)
+    return file_rules_access(fx.requests(spark, sf_dir), FILE_RULES, dict(PRIV_OF_ACCESS))

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from wardlake.operators import access
 from wardlake.operators import policies as pol
-from wardlake.operators.joins import attach_each
+from wardlake.operators.joins import attach_each, sized_join
+from wardlake.operators.matching import match_index, pattern_rows
 from wardlake.plans import fixtures as fx
 from wardlake.plans.policy_sql import policies_cte
 from wardlake.plans.registry import query
-from wardlake.session import fresh_path
+from wardlake.session import cut_lineage, fresh_path
 from wardlake.sources.tables import scan_parquet
 
 
@@ -252,3 +253,57 @@ def q_role_grants(spark, sf_dir):
     ur = resolve_group_role(fx.memberships(spark, sf_dir), fx.role_map_df(spark)).where("role IS NOT NULL")
     grants = spark.createDataFrame(ROLE_GRANTS, "role string, action string, resource string")
     return ur.join(F.broadcast(grants), "role").select("user", "role", "action", "resource").distinct()
+
+
+def role_access(reqs: DataFrame, user_roles: DataFrame, statements: DataFrame) -> DataFrame:
+    """GOV-21 decided: ``reqs`` (request_id, user, action, resource) + roles (that allow it, sorted) and allowed.
+
+    A statement (role, action glob, resource glob) is a policy of two levels, so distinct (action, resource) find the
+    statements through the index of literal prefixes; the roles that allow them are one list per pair, compared in the
+    row with the list of roles of the user.
+    """
+    pats = statements.withColumn("policy_id", F.xxhash64("role", "action", "resource"))
+    rows = pats.select("policy_id", "role", F.explode(F.array(
+        F.struct(F.lit("action").alias("level"), F.col("action").alias("pattern")),
+        F.struct(F.lit("resource").alias("level"), F.col("resource").alias("pattern")))).alias("l"))
+    index = pattern_rows(rows.select("policy_id", "role", "l.*", F.lit("roles").alias("service"), F.lit(False).alias("excludes"),
+                                     F.lit(False).alias("recursive")), None)
+    index = index.groupBy("policy_id", "role").agg(F.collect_set("r").alias("res"))
+    asked = cut_lineage(reqs.select("action", "resource").distinct(), name="actions")
+    found = match_index(asked, {"action": "action", "resource": "resource"}, index)
+    by_pair = cut_lineage(found.groupBy("action", "resource").agg(F.collect_set("role").alias("can")), name="action_roles")
+    mine = user_roles.where("role IS NOT NULL").groupBy("user").agg(F.collect_set("role").alias("has"))
+    full = sized_join(sized_join(reqs, by_pair, ["action", "resource"], None, "left"), mine, ["user"], None, "left")
+    roles = F.array_sort(F.coalesce(F.array_intersect("can", "has"), F.array().cast("array<string>")))
+    return full.select("request_id", "user", "action", "resource", F.array_join(roles, ",").alias("roles"),
+                       (F.size(roles) > 0).alias("allowed"))
+
+
+# The storage call that an event of a type stands for.
+CALL_OF_EVENT = [("view", "s3:GetObject"), ("click", "s3:ListBucket"), ("purchase", "s3:PutObject"),
+                 ("signup", "s3:GetBucketLocation"), ("error", "s3:DeleteObject")]
+
+
+@query("role_access", lambda: f"""
+WITH reqs AS (
+  SELECT e.event_id AS request_id, 'u' || CAST(e.user_id AS VARCHAR) AS "user", c.action,
+         'arn:aws:s3:::lake/' || CASE WHEN e.event_id % 2 = 0 THEN 'orders/' ELSE 'web/' END || CAST(e.event_id % 97 AS VARCHAR) AS resource
+  FROM events e JOIN {fx.values_sql(CALL_OF_EVENT, ['event_type', 'action']).replace(' AS t(', ' AS c(')} USING (event_type)),
+can AS (
+  SELECT DISTINCT r.request_id, g.role FROM reqs r
+  JOIN ({fx.MEMBERSHIPS_SQL}) m ON m."user" = r."user"
+  JOIN {fx.role_members_sql().replace(' AS t(', ' AS x(')} ON m.grp = x.grp
+  JOIN {fx.values_sql(ROLE_GRANTS, ['role', 'action', 'resource']).replace(' AS t(', ' AS g(')}
+    ON g.role = x.role AND r.action GLOB g.action AND r.resource GLOB g.resource)
+SELECT r.*, coalesce(c.roles, '') AS roles, c.roles IS NOT NULL AS allowed
+FROM reqs r LEFT JOIN (SELECT request_id, string_agg(role, ',' ORDER BY role) AS roles FROM can GROUP BY 1) c USING (request_id)
+""")
+def q_role_access(spark, sf_dir):
+    calls = F.create_map(*[F.lit(x) for pair in CALL_OF_EVENT for x in pair])
+    area = F.when(F.col("event_id") % 2 == 0, "orders/").otherwise("web/")
+    reqs = scan_parquet(spark, sf_dir, "events").select(
+        F.col("event_id").alias("request_id"), fx.user_name(F.col("user_id")).alias("user"),
+        calls[F.col("event_type")].alias("action"),
+        F.concat(F.lit("arn:aws:s3:::lake/"), area, (F.col("event_id") % 97).cast("string")).alias("resource")).where("action IS NOT NULL")
+    return role_access(reqs, resolve_group_role(fx.memberships(spark, sf_dir), fx.role_map_df(spark)),
+                       spark.createDataFrame(ROLE_GRANTS, "role string, action string, resource string"))
