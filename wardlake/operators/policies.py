@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The field names of the policy documents, as they are stored.
 ACCESS = T.StructType([T.StructField("type", T.StringType()), T.StructField("isAllowed", T.BooleanType())])
 _ITEM_FIELDS = [
     T.StructField("accesses", T.ArrayType(ACCESS)),
@@ -281,6 +282,69 @@ def delegate_admins(items: DataFrame) -> DataFrame:
             .select("policy_id", "service", "principal_kind", "principal").distinct())
 
 
+# ---------------------------------------------------------------------------
+# GOV-14 structural diff
+# ---------------------------------------------------------------------------
+
+# The header fields of a policy document, and its lists of items.
+HEADER_FIELDS = ["id", "service", "name", "policyType", "policyPriority", "description", "isAuditEnabled", "isEnabled",
+                 "version", "serviceType", "isDenyAllElse"]
+ITEM_LISTS = [("allow", "policyItems"), ("deny", "denyPolicyItems"), ("allow_exception", "allowExceptions"),
+              ("deny_exception", "denyExceptions"), ("mask", "dataMaskPolicyItems"), ("row_filter", "rowFilterPolicyItems")]
+
+
+def policy_facts(policies: DataFrame) -> DataFrame:
+    """(guid, path, value, many): everything a policy document says, one short row each.
+
+    A header field or a flag of a resource level has one value; labels, patterns, grants, masks, filters and
+    conditions are sets (``many``). Fields that are absent give no row.
+    """
+    def fact(path, value, many):
+        path = path if isinstance(path, Column) else F.lit(path)
+        return F.struct(path.alias("path"), value.cast("string").alias("value"), F.lit(many).alias("many"))
+
+    none = F.array().cast("array<struct<path:string,value:string,many:boolean>>")
+    heads = F.array(*[fact(c, F.col(c), False) for c in HEADER_FIELDS])
+    labels = F.transform("policyLabels", lambda x: fact("policyLabels", x, True))
+    levels = F.flatten(F.transform(F.map_entries("resources"), lambda e: F.concat(
+        F.transform(e["value"]["values"], lambda v: fact(F.concat(F.lit("resources."), e["key"], F.lit(".values")), v, True)),
+        F.array(fact(F.concat(F.lit("resources."), e["key"], F.lit(".isExcludes")), F.coalesce(e["value"]["isExcludes"], F.lit(False)), False),
+                fact(F.concat(F.lit("resources."), e["key"], F.lit(".isRecursive")), F.coalesce(e["value"]["isRecursive"], F.lit(False)), False)))))
+    conditions = [F.flatten(F.transform(F.col(c), _conditions_of(kind, fact))) for kind, c in ITEM_LISTS]
+    own = policies.select("guid", F.explode(F.concat(*[F.coalesce(x, none) for x in [heads, labels, levels, *conditions]])).alias("f"))
+    items = v2_items(policies.withColumn("service", F.col("guid")))  # the column of the service carries the guid along
+    who = F.concat_ws(":", "principal_kind", "principal")
+    told = F.concat_ws(" ", who, F.when(F.col("is_allowed"), F.col("access")).otherwise(F.concat(F.lit("not "), F.col("access"))),
+                       "mask_type", "value_expr", "condition_expr", "filter_expr")
+    said = items.where("principal IS NOT NULL AND access IS NOT NULL").select(F.col("service").alias("guid"), F.explode(F.array(
+        fact(F.col("item_kind"), told, True), fact(F.concat("item_kind", F.lit(".delegateAdmin")), F.when(F.col("delegate_admin"), who), True))).alias("f"))
+    return own.unionByName(said).select("guid", "f.*").where("value IS NOT NULL").distinct()
+
+
+def _conditions_of(kind, fact):
+    return lambda it: F.transform(F.coalesce(it["conditions"], F.array().cast("array<string>")),
+                                  lambda x: fact(f"{kind}.conditions", x, True))
+
+
+def policy_version_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """(guid, path, previous_value, current_value, policy_change): where two exports of a store differ.
+
+    Facts meet by (guid, path) and, in sets, by value, in one full outer join: a field that changed is one row with
+    both values, a member of a set that came or went is a row with one. policy_change tells whether the whole policy
+    is new, dropped or changed.
+    """
+    def keyed(df, name):
+        return policy_facts(df).select("guid", "path", F.when(F.col("many"), F.col("value")).otherwise("").alias("member"),
+                                       F.col("value").alias(name))
+    both = keyed(previous, "previous_value").join(keyed(current, "current_value"), ["guid", "path", "member"], "full")
+    differ = both.where(~F.col("previous_value").eqNullSafe(F.col("current_value"))).drop("member")
+    guids = (previous.select("guid", F.lit(True).alias("was")).distinct()
+             .join(current.select("guid", F.lit(True).alias("is")).distinct(), "guid", "full")
+             .select("guid", F.when(F.col("was").isNull(), "new_policy").when(F.col("is").isNull(), "dropped_policy")
+                     .otherwise("changed").alias("policy_change")))
+    return differ.join(guids, "guid").select("guid", "path", "previous_value", "current_value", "policy_change")
+
+
 def ignore_case_levels(servicedefs: DataFrame) -> DataFrame:
     """(service, level, ignore_case, recursive_supported) from the matcher options."""
     return (servicedefs.select(F.col("name").alias("service"), F.explode("resources").alias("r"))
@@ -300,7 +364,7 @@ def order_policies(orders: DataFrame, previous: bool = False) -> DataFrame:
     """A policy per order, in the v2 shape (see README for the rule).
 
     ``previous=True`` gives the earlier export of the same store: read and
-    write for every owner, no deny items.
+    write for every owner, no deny items, version 1, a second path for some.
     """
     acc = lambda t: F.struct(F.lit(t).alias("type"), F.lit(True).alias("isAllowed"))
     accesses = F.when(F.col("o_orderstatus") == "O", F.array(acc("read"), acc("write"))).otherwise(F.array(acc("read")))
@@ -319,7 +383,10 @@ def order_policies(orders: DataFrame, previous: bool = False) -> DataFrame:
         deny = F.array().cast(T.ArrayType(ITEM))
     path = F.concat(F.lit("/orders/"), F.year("o_orderdate").cast("string"), F.lit("/"),
                     F.col("o_orderkey").cast("string"))
-    res = F.create_map(F.lit("path"), F.struct(F.array(path).alias("values"), F.lit(False).alias("isExcludes"),
+    # the earlier export also covered a scratch folder of low orders
+    scratch = F.concat(F.lit("/tmp/orders/"), F.col("o_orderkey").cast("string"))
+    paths = F.when(F.lit(previous) & (F.col("o_orderpriority") == "5-LOW"), F.array(path, scratch)).otherwise(F.array(path))
+    res = F.create_map(F.lit("path"), F.struct(paths.alias("values"), F.lit(False).alias("isExcludes"),
                                                F.lit(True).alias("isRecursive")))
     none_items = F.array().cast(T.ArrayType(ITEM))
     return orders.select(
@@ -329,7 +396,7 @@ def order_policies(orders: DataFrame, previous: bool = False) -> DataFrame:
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("name"),
         F.lit(0).alias("policyType"), F.lit(0).alias("policyPriority"), F.lit("").alias("description"),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("isAuditEnabled"),
-        (F.col("o_orderstatus") != "P").alias("isEnabled"), F.lit(1).alias("version"),
+        (F.col("o_orderstatus") != "P").alias("isEnabled"), F.lit(1 if previous else 2).alias("version"),
         F.lit("objectstore").alias("serviceType"), F.lit(False).alias("isDenyAllElse"),
         empty.alias("policyLabels"), res.alias("resources"), allow.alias("policyItems"),
         deny.alias("denyPolicyItems"), none_items.alias("allowExceptions"), none_items.alias("denyExceptions"),

@@ -11,8 +11,10 @@ from wardlake.plans import fixtures as fx
 from wardlake.plans.access_plans import KEY, LAKE, RES, lake_inputs, principals_of, request_keys
 from wardlake.plans.access_sql import decide_sql, principals_sql
 from wardlake.plans.policy_plans import service_index, with_cte
+from wardlake.plans.policy_sql import POLICY_TYPE
 from wardlake.plans.registry import query
 from wardlake.session import cut_lineage
+from wardlake.sources.tables import scan_parquet
 
 TAGSET_COLS = (
     "{'op': 'VARCHAR', 'tagVersion': 'INTEGER', 'serviceName': 'VARCHAR', "
@@ -128,71 +130,74 @@ def q_tag_policy_access(spark, sf_dir):
 
 # --- GOV-14: policy version diff -------------------------------------------
 
-def _core(lst: str) -> str:
-    return (f"[{{'accesses': x.accesses, 'users': x.users, 'groups': x.\"groups\", 'roles': x.roles}} "
-            f"for x in coalesce({lst}, [])]")
-
-
-def grants_of(items):
-    return (items.where(F.col("principal").isNotNull() & F.col("access").isNotNull())
-            .select("policy_id", "item_kind", "principal_kind", "principal", "access"))
-
-
-def policy_version_diff(prev_items, cur_items):
-    """(policy_id, change, item_kind, principal_kind, principal, access).
-
-    ``exceptAll`` both ways on the grant rows: a shuffle on all columns, no
-    per-policy loop; 'added'/'removed' grants, plus whole policies that
-    appear or disappear (full outer join on the policy id).
-    """
-    p, c = grants_of(prev_items), grants_of(cur_items)
-    added = c.exceptAll(p).withColumn("change", F.lit("added"))
-    removed = p.exceptAll(c).withColumn("change", F.lit("removed"))
-    pids = (prev_items.select("policy_id").distinct().withColumn("in_prev", F.lit(True))
-            .join(cur_items.select("policy_id").distinct().withColumn("in_cur", F.lit(True)), "policy_id", "full"))
-    status = pids.select("policy_id", F.when(F.col("in_prev").isNull(), "new_policy")
-                         .when(F.col("in_cur").isNull(), "dropped_policy").otherwise("changed").alias("policy_change"))
-    return added.unionByName(removed).join(status, "policy_id")
-
-
-@query("policy_version_diff", lambda: with_cte(f""",
-prev_v2 AS (SELECT unnest(policies) AS p FROM read_json('{fx.PREV_POLICY_FILE}',
-            columns={{'policies': '{__import__('wardlake.plans.policy_sql', fromlist=['x']).POLICY_TYPE}'}})),
-prev_items AS (
-  SELECT p.id AS policy_id, k.item_kind, pr.kind AS principal_kind, pr.name AS principal, a."type" AS access
-  FROM prev_v2, LATERAL (SELECT 'allow' AS item_kind, unnest({_core('p.policyItems')}) AS it
-                         UNION ALL SELECT 'deny', unnest({_core('p.denyPolicyItems')})
-                         UNION ALL SELECT 'allow_exception', unnest({_core('p.allowExceptions')})
-                         UNION ALL SELECT 'deny_exception', unnest({_core('p.denyExceptions')})
-                         UNION ALL SELECT 'mask', unnest({_core('p.dataMaskPolicyItems')})
-                         UNION ALL SELECT 'row_filter', unnest({_core('p.rowFilterPolicyItems')})) k,
-  LATERAL (SELECT 'user' AS kind, unnest(k.it.users) AS name UNION ALL SELECT 'group', unnest(k.it."groups")
-           UNION ALL SELECT 'role', unnest(k.it.roles)) pr,
-  LATERAL (SELECT unnest(k.it.accesses) AS a) ac
-  UNION ALL
-  SELECT o_orderkey + 1000000, 'allow', 'user', 'u' || CAST(o_custkey AS VARCHAR), unnest(['read', 'write'])
-  FROM orders
-),
-cur_items AS (SELECT policy_id, item_kind, principal_kind, principal, access FROM items
-              WHERE (service IN ('lakehouse', 'objectstore') AND policy_id < 900 OR policy_id >= 1000000)
-                AND principal IS NOT NULL AND access IS NOT NULL),
-added AS (SELECT *, 'added' AS change FROM (SELECT * FROM cur_items EXCEPT ALL SELECT * FROM prev_items)),
-removed AS (SELECT *, 'removed' AS change FROM (SELECT * FROM prev_items EXCEPT ALL SELECT * FROM cur_items)),
-pids AS (SELECT coalesce(a.policy_id, b.policy_id) AS policy_id,
-                CASE WHEN a.policy_id IS NULL THEN 'new_policy' WHEN b.policy_id IS NULL THEN 'dropped_policy'
-                     ELSE 'changed' END AS policy_change
-         FROM (SELECT DISTINCT policy_id FROM prev_items) a FULL JOIN (SELECT DISTINCT policy_id FROM cur_items) b
-           ON a.policy_id = b.policy_id)
-SELECT x.*, pids.policy_change FROM (SELECT * FROM added UNION ALL SELECT * FROM removed) x JOIN pids USING (policy_id)
-"""))
+_ELEMENT = POLICY_TYPE.removesuffix("[]")
+
+
+def _order_policies_sql(previous: bool) -> str:
+    """Policies of the orders as full documents, written apart from the Spark rule."""
+    def item(accesses, users, groups, delegate):
+        return (f"{{'accesses': {accesses}, 'users': {users}, 'groups': {groups}, 'roles': []::VARCHAR[], "
+                f"'conditions': []::VARCHAR[], 'delegateAdmin': {delegate}}}")
+    acc = lambda *names: "[" + ", ".join(f"{{'type': '{n}', 'isAllowed': true}}" for n in names) + "]"
+    path = "'/orders/' || CAST(year(o_orderdate) AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR)"
+    paths, allowed, deny = f"[{path}]", f"CASE WHEN o_orderstatus = 'O' THEN {acc('read', 'write')} ELSE {acc('read')} END", (
+        "CASE WHEN o_totalprice > 300000 THEN [" + item(acc("write"), "[]::VARCHAR[]", "['public']", "false") + "] ELSE [] END")
+    if previous:
+        paths = f"CASE WHEN o_orderpriority = '5-LOW' THEN [{path}, '/tmp/orders/' || CAST(o_orderkey AS VARCHAR)] ELSE [{path}] END"
+        allowed, deny = acc("read", "write"), "[]"
+    return f"""SELECT CAST({{'id': o_orderkey + 1000000, 'guid': 'ord-' || CAST(o_orderkey AS VARCHAR), 'service': 'objectstore',
+  'name': 'order ' || CAST(o_orderkey AS VARCHAR), 'policyType': 0, 'policyPriority': 0, 'description': '',
+  'isAuditEnabled': o_orderpriority IN ('1-URGENT', '2-HIGH'), 'isEnabled': o_orderstatus <> 'P', 'version': {1 if previous else 2},
+  'serviceType': 'objectstore', 'isDenyAllElse': false, 'policyLabels': []::VARCHAR[],
+  'resources': MAP {{'path': {{'values': {paths}, 'isExcludes': false, 'isRecursive': true}}}},
+  'policyItems': [{item(allowed, "['u' || CAST(o_custkey AS VARCHAR)]", "[]::VARCHAR[]", "o_orderpriority = '1-URGENT'")}],
+  'denyPolicyItems': {deny}, 'allowExceptions': [], 'denyExceptions': [], 'dataMaskPolicyItems': [],
+  'rowFilterPolicyItems': []}} AS {_ELEMENT}) AS p FROM orders"""
+
+
+def _facts_sql(src: str) -> str:
+    heads = " UNION ALL ".join(f"SELECT p.guid, '{c}', CAST(p.\"{c}\" AS VARCHAR), false FROM {src}" for c in pol.HEADER_FIELDS)
+
+    def items(kind, col):
+        told = {"mask": ", it.dataMaskInfo.dataMaskType, it.dataMaskInfo.valueExpr, it.dataMaskInfo.conditionExpr",
+                "row_filter": ", it.rowFilterInfo.filterExpr"}.get(kind, "")
+        rows = f"(SELECT p.guid AS guid, unnest(p.{col}) AS it FROM {src})"
+        pr = """LATERAL (SELECT 'user:' || unnest(it.users) AS who UNION ALL SELECT 'group:' || unnest(it."groups")
+                         UNION ALL SELECT 'role:' || unnest(it.roles)) pr"""
+        return f"""
+  SELECT guid, '{kind}', concat_ws(' ', who, CASE WHEN coalesce(a.isAllowed, true) THEN a."type" ELSE 'not ' || a."type" END{told}), true
+  FROM {rows} x, {pr}, LATERAL (SELECT unnest(it.accesses) AS a) ac
+  UNION ALL SELECT guid, '{kind}.delegateAdmin', who, true FROM {rows} x, {pr} WHERE it.delegateAdmin AND len(it.accesses) > 0
+  UNION ALL SELECT guid, '{kind}.conditions', unnest(it.conditions), true FROM {rows} x"""
+    return f"""SELECT DISTINCT * FROM (
+  SELECT NULL::VARCHAR AS guid, NULL::VARCHAR AS path, NULL::VARCHAR AS value, NULL::BOOLEAN AS many WHERE false
+  UNION ALL {heads}
+  UNION ALL SELECT p.guid, 'policyLabels', unnest(p.policyLabels), true FROM {src}
+  UNION ALL SELECT guid, 'resources.' || e.key || '.values', unnest(e.value."values"), true
+    FROM (SELECT p.guid AS guid, unnest(map_entries(p."resources")) AS e FROM {src})
+  UNION ALL SELECT guid, 'resources.' || e.key || '.isExcludes', CAST(coalesce(e.value.isExcludes, false) AS VARCHAR), false
+    FROM (SELECT p.guid AS guid, unnest(map_entries(p."resources")) AS e FROM {src})
+  UNION ALL SELECT guid, 'resources.' || e.key || '.isRecursive', CAST(coalesce(e.value.isRecursive, false) AS VARCHAR), false
+    FROM (SELECT p.guid AS guid, unnest(map_entries(p."resources")) AS e FROM {src})
+  UNION ALL {" UNION ALL ".join(items(k, c) for k, c in pol.ITEM_LISTS)}) WHERE value IS NOT NULL"""
+
+
+@query("policy_version_diff", lambda: f"""
+WITH prev AS (SELECT unnest(policies) AS p FROM read_json('{fx.PREV_POLICY_FILE}', columns={{'policies': '{POLICY_TYPE}'}})
+              UNION ALL {_order_policies_sql(True)}),
+cur AS (SELECT unnest(policies) AS p FROM read_json('{fx.POLICY_FILE}', columns={{'policies': '{POLICY_TYPE}'}})
+        UNION ALL {_order_policies_sql(False)}),
+pf AS ({_facts_sql('prev')}), cf AS ({_facts_sql('cur')}),
+differ AS (
+  SELECT coalesce(a.guid, b.guid) AS guid, coalesce(a.path, b.path) AS path, a.value AS previous_value, b.value AS current_value
+  FROM pf a FULL JOIN cf b ON a.guid = b.guid AND a.path = b.path AND (CASE WHEN a.many THEN a.value ELSE '' END) = (CASE WHEN b.many THEN b.value ELSE '' END)
+  WHERE a.value IS DISTINCT FROM b.value)
+SELECT d.*, CASE WHEN d.guid NOT IN (SELECT p.guid FROM prev) THEN 'new_policy'
+                 WHEN d.guid NOT IN (SELECT p.guid FROM cur) THEN 'dropped_policy' ELSE 'changed' END AS policy_change
+FROM differ d
+""")
 def q_policy_version_diff(spark, sf_dir):
-    from pyspark.sql import functions as Fn
-    from wardlake.sources.tables import scan_parquet
-    prev_auth = pol.v2_items(pol.read_export(spark, fx.PREV_POLICY_FILE))
-    prev_orders = pol.v2_items(pol.order_policies(scan_parquet(spark, sf_dir, "orders"), previous=True))
-    prev = prev_auth.unionByName(prev_orders)
-    cur_all = pol.v2_items(pol.read_export(spark, fx.POLICY_FILE)).unionByName(
-        pol.v2_items(pol.order_policies(scan_parquet(spark, sf_dir, "orders"))))
-    cur = cur_all.where(Fn.col("service").isin("lakehouse", "objectstore"))
-    return policy_version_diff(prev, cur).select("policy_id", "item_kind", "principal_kind", "principal",
-                                                 "access", "change", "policy_change")
+    orders = scan_parquet(spark, sf_dir, "orders")
+    previous = pol.read_export(spark, fx.PREV_POLICY_FILE).unionByName(pol.order_policies(orders, previous=True))
+    current = pol.read_export(spark, fx.POLICY_FILE).unionByName(pol.order_policies(orders))
+    return pol.policy_version_diff(previous, current)
