@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators import directory as d
@@ -63,6 +63,64 @@ def batch_writer(out: str, fmt: str = "parquet"):
     return fn
 
 
+# --- keyed state, folded and compacted ---------------------------------------
+
+#: Batches after which a stream folds its state anew.
+COMPACT_EVERY = 8
+
+
+def _numbers(spark: SparkSession, out: str, name: str) -> list[int]:
+    return [int(p.rsplit("=", 1)[1]) for p in committed(spark, out, name)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def state_parts(spark: SparkSession, out: str, before: int | None = None) -> list[str]:
+    """The folders that make up the state: the newest base (older than batch ``before``) and the batches after it."""
+    bases = [i for i in _numbers(spark, out, "base") if before is None or i < before]
+    base = max(bases, default=-1)
+    parts = [f"{out}/base={base}"] if bases else []
+    return parts + [f"{out}/batch={i}" for i in _numbers(spark, out, "batch") if i > base and (before is None or i <= before)]
+
+
+def fold_batch(delta: DataFrame, batch_id: int, out: str, fold: Callable[[DataFrame], DataFrame],
+               closed: Callable[[DataFrame], Column] | None = None, every: int = COMPACT_EVERY) -> None:
+    """Add the batch's own state rows to ``out``; each ``every`` batches, fold base and batches into a new base.
+
+    So a run reads the state and at most ``every`` batches, however many there were. ``closed`` tells which folded
+    rows are done: they leave the state for ``closed=<batch>``, which is only ever read for the result. All folders are
+    named by batch and overwritten on replay; what a new base replaces is kept until the base after it.
+    """
+    spark = delta.sparkSession
+    delta.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    if (batch_id + 1) % every:
+        return
+    parts = state_parts(spark, out, batch_id)
+    if f"{out}/batch={batch_id}" not in parts:
+        parts.append(f"{out}/batch={batch_id}")
+    merged = fold(spark.read.schema(delta.schema).parquet(*parts))
+    if closed is not None:
+        done = closed(merged)
+        merged.where(done).write.mode("overwrite").parquet(f"{out}/closed={batch_id}")
+        merged = merged.where(~F.coalesce(done, F.lit(False)))
+    merged.write.mode("overwrite").parquet(f"{out}/base={batch_id}")
+    bases = _numbers(spark, out, "base")
+    kept = bases[-2] if len(bases) > 1 else -1
+    for name, last in (("batch", kept), ("base", kept - 1)):
+        for i in _numbers(spark, out, name):
+            if i <= last:
+                _remove(spark, f"{out}/{name}={i}")
+
+
+def read_state(spark: SparkSession, out: str, like: DataFrame, fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """State and closed rows, folded; without any, no rows with the columns of ``like``."""
+    parts = state_parts(spark, out) + committed(spark, out, "closed")
+    return fold(spark.read.schema(like.schema).parquet(*parts)) if parts else spark.createDataFrame([], like.schema)
+
+
 # --- STR-01: policy-change lines -> parsed events --------------------------
 
 def _file_stream(spark: SparkSession, files_per_trigger: int | None):
@@ -88,55 +146,56 @@ def stream_policy_changes(spark: SparkSession, log_dir: str, out: str, checkpoin
 # --- STR-02: grant state, replaced by Sid -----------------------------------
 
 def stream_grant_state(spark: SparkSession, log_dir: str, state_dir: str, checkpoint: str,
-                       files_per_trigger: int | None = None) -> DataFrame:
+                       files_per_trigger: int | None = None, every: int = COMPACT_EVERY) -> DataFrame:
     """The newest statement per (doc, sid) by log time, then read order, whatever the batch it came in.
 
-    A batch writes only its own newest statements with their time and order, so its work does not grow with the state;
-    the state is the newest over all batches. A replayed batch overwrites its folder.
+    A batch writes only its own newest statements with their time and order; every ``every`` batches they are folded
+    into the state. A replayed batch overwrites its folder.
     """
     stream = policy_change_stream(spark, log_dir, files_per_trigger)
 
     def statements(df: DataFrame, batch_id: int) -> DataFrame:
         return pl.latest_statements(pl.grants_object_store(df.withColumn("seq", read_order(batch_id))))
 
-    def fn(df: DataFrame, batch_id: int) -> None:
-        statements(df, batch_id).write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
-
-    run(stream, fn, checkpoint)
-    paths = committed(spark, state_dir)
-    if not paths:
-        empty = spark.read.schema("value string").text(log_dir).select("value", "_metadata").limit(0)
-        p = pl.extract_policy_fields(pl.parse_header(empty)).withColumn("kind", pl.event_kind(F.col("message")))
-        return statements(p, 0)
-    return pl.latest_statements(spark.read.parquet(*paths))
+    run(stream, lambda df, batch_id: fold_batch(statements(df, batch_id), batch_id, state_dir, pl.latest_statements, every=every),
+        checkpoint)
+    empty = spark.read.schema("value string").text(log_dir).select("value", "_metadata").limit(0)
+    p = pl.extract_policy_fields(pl.parse_header(empty)).withColumn("kind", pl.event_kind(F.col("message")))
+    return read_state(spark, state_dir, statements(p, 0), pl.latest_statements)
 
 
 # --- STR-03: audit summary over a stream of requests ------------------------
 
 def stream_audit_summary(spark: SparkSession, stream: DataFrame, decide_fn: Callable[[DataFrame], DataFrame],
-                         key_cols: list[str], out: str, checkpoint: str, window: str = "1 hour") -> DataFrame:
+                         key_cols: list[str], out: str, checkpoint: str, window: str = "1 hour",
+                         delay: str = "1 day", every: int = COMPACT_EVERY) -> DataFrame:
     """Requests decided and counted per window.
 
     ``decide_fn(keys) -> keys + decision`` decides the distinct keys of each batch, so no request is lost for a key
-    that was not known beforehand. A batch writes its own counts per window and the result adds them up, so a request
-    that comes however late still counts in its window and no state is held between batches.
+    that was not known beforehand. The state holds the counts of open windows: a window that ended ``delay`` before the
+    newest request of the state is closed when the state is folded and is not read again by the stream. A request that
+    comes later still counts: it makes a row of its own for the closed window, and the result adds both up.
     """
     keys = [*key_cols, "decision", "w"]
+    counts = [F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")]
+
+    def fold(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys).agg(F.sum("n_events").alias("n_events"), F.min("first_ts").alias("first_ts"),
+                                     F.max("last_ts").alias("last_ts"))
+
+    def closed(df: DataFrame) -> Column:
+        newest = df.agg(F.max("last_ts")).first()[0]  # one value
+        return F.col("w.end") <= F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
 
     def fn(df: DataFrame, batch_id: int) -> None:
         dec = decide_fn(df.select(*key_cols).distinct()).select(*key_cols, "decision")
-        (decide_requests(df, key_cols, dec)
-         .groupBy(*key_cols, "decision", F.window("ts", window).alias("w"))
-         .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+        delta = decide_requests(df, key_cols, dec).groupBy(*key_cols, "decision", F.window("ts", window).alias("w")).agg(*counts)
+        fold_batch(delta, batch_id, out, fold, closed, every)
 
     run(stream, fn, checkpoint)
     like = (spark.createDataFrame([], stream.schema).withColumn("decision", F.lit(""))
-            .groupBy(*key_cols, "decision", F.window("ts", window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
-    return (read_batches(spark, out, like).groupBy(*keys)
-            .agg(F.sum("n_events").alias("n_events"), F.min("first_ts").alias("first_ts"),
-                 F.max("last_ts").alias("last_ts")))
+            .groupBy(*key_cols, "decision", F.window("ts", window).alias("w")).agg(*counts))
+    return read_state(spark, out, like, fold)
 
 
 # --- STR-04: tag files re-read periodically, replace by version -------------
