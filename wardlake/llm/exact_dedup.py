@@ -59,13 +59,22 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``decisions`` drops, all columns as they were."""
-    kept = decisions(docs, id_col, text_col).filter("kept").select(
-        row_key("doc_id").alias("_row_key"), F.col("text_sha256").alias("_digest"))
-    keyed = docs.withColumn("_row_key", row_key(id_col)).withColumn("_digest", F.sha2(text_of(text_col), 256))
-    stay = keyed.join(kept, ["_row_key", "_digest"], "left_semi")
-    again = F.row_number().over(W.partitionBy("_row_key", "_digest").orderBy("_row_key", "_digest"))
-    return stay.withColumn("_again", again).filter("_again = 1").select(*docs.columns)
+    """``docs`` without the rows that ``decisions`` drops, all columns as they were, whatever their names.
+
+    Nulls, ties and repeated rows are decided as there: of equal texts the row with the largest id stays, of rows that
+    repeat id and text one; an empty table gives no rows.
+    """
+    kept = decisions(docs, id_col, text_col).filter("kept").select(row_key("doc_id").alias("key"), F.col("text_sha256").alias("digest"))
+    return rows_of(docs, kept, id_col, text_col)
+
+
+def rows_of(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose (key of the id, digest of the text) is in ``kept``, one for each."""
+    # a row travels as one column, so its own column names can clash with none of these
+    keyed = docs.select(F.struct("*").alias("row"), row_key(id_col).alias("key"), F.sha2(text_of(text_col), 256).alias("digest"))
+    stay = keyed.join(kept, ["key", "digest"], "left_semi")
+    again = F.row_number().over(W.partitionBy("key", "digest").orderBy("key", "digest"))
+    return stay.withColumn("again", again).filter("again = 1").select("row.*")
 
 
 SQL = """

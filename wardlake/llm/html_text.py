@@ -1,11 +1,15 @@
 """Main text of web pages: parser events, text-to-tag ratio, Gaussian smoothing, threshold clustering.
 
 The events of the standard library's streaming parser are cut into lines at block tags. A line knows its text, the
-tags met since the line before, and the open elements around it. The ratio of text to tags, smoothed with a
-Gaussian kernel over neighbouring lines, is cut at a threshold taken from the page itself; the lines above it
-are the page's content clusters. They vote for the element that holds the article, and of that
-element all blocks are returned, short ones too, but for the parts whose tag, role or class names them as menu,
-header, footer, sidebar, notice, advert, form, script, style or reader comments.
+tags met since the line before, and the open element around it. The ratio of text to tags, smoothed with a
+Gaussian kernel over neighbouring lines, is cut at a threshold taken from the page itself; the lines above it are the
+page's content clusters. Their characters are the mass of the elements around them, and the way goes down from the page
+to the element that holds nearly all of the mass; an ``article`` or ``main`` needs less of it, and lines in parts whose
+class, id or role names them as something else hardly weigh. Of the element found all blocks are returned, short ones
+too, but for named parts below it. A name is overruled where the part holds most of the page's content, and a heading
+is none. Tags that hold no article text (menus, forms, scripts...) are left out while parsing.
+
+Every step is linear in the page: open tags are counted by name, masses are added up once from the leaves.
 """
 
 from __future__ import annotations
@@ -35,7 +39,17 @@ NAMES = ("ad ads advert adverts advertisement advertising banner breadcrumb brea
          "cookies disclaimer discussion disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
          "notice notices popup promo promotion related replies respond share sharing sidebar signup skip social sponsor "
          "sponsored subscribe toolbar widget")
-NAMED = re.compile(r"^(?:.*[-_])?(?:" + "|".join(NAMES.split()) + r")(?:[-_].*|\d+)?$")
+_ONE = "(?:" + "|".join(NAMES.split()) + ")"
+#: The name is the whole word, its first part or its last: ``share-bar``, ``page-footer``, not ``market-share-table``.
+NAMED = re.compile(rf"^(?:{_ONE}(?:[-_].*|\d+)?|.*[-_]{_ONE}\d*)$")
+#: Reader comments may well be longer than the article: these names are never overruled.
+COMMENTS = re.compile(r"^(?:.*[-_])?(?:comments?|discussion|disqus|replies|respond)(?:[-_].*|\d+)?$")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NAMED_WEIGHT = 0.01
+MOST = 0.9  # share of the mass that an element must hold to be gone into
+MOST_OF_ARTICLE = 0.6
+OVERRULED = 0.9  # share of the page's content that makes a named part, if it has LEAST_LINES, the content
+LEAST_LINES = 3
 NOT_NAMED = re.compile(r"^(?:has|with|no|without)[-_]|[-_]with[-_]")
 #: An open element of the first name ends where one of the second begins.
 ENDS_AT = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
@@ -44,19 +58,25 @@ KERNEL = [math.exp(-k * k / 2) for k in range(-2, 3)]
 
 
 class Element:
-    __slots__ = ("tag", "parent", "out", "depth")
+    """``name``: 0 none, 1 named, 2 reader comments. ``block``: the nearest block around or at it; a block counts the
+    inline elements that are open within it."""
+    __slots__ = ("tag", "parent", "out", "name", "block", "inline", "nr")
 
-    def __init__(self, tag: str, parent: Element | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
-        self.depth = parent.depth + 1 if parent else 0
+    def __init__(self, tag: str, parent: Element | None, out: bool, name: int = 0, nr: int = 0):
+        self.nr = nr
+        self.tag, self.parent, self.out, self.name = tag, parent, out, name
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.inline: dict[str, int] | None = {} if self.block is self else None
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, element) per line."""
+    """Collects (text, tags, element) per line, and the elements in the order they begin."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.here = Element("", None, False)
+        self.elements = [self.here]
+        self.open: dict[str, int] = {}  # open blocks by tag
         self.lines: list[tuple[str, int, Element]] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -68,23 +88,29 @@ class Lines(HTMLParser):
             self.lines.append((text, self.tags, self.here))
             self.tags = 0
 
+    def leave(self) -> None:
+        """One element out."""
+        e = self.here
+        counts = self.open if e.block is e else e.block.inline
+        counts[e.tag] -= 1
+        self.here = e.parent
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-            node = self.here
-            while node.parent:  # an open element that this one ends, if no other block stands between
-                if tag in ENDS_AT.get(node.tag, ()):
-                    self.here = node.parent
-                    node = self.here
-                    continue
-                if node.tag in BLOCK:
-                    break
-                node = node.parent
+            while self.here.block.parent and tag in ENDS_AT.get(self.here.block.tag, ()):
+                ended = self.here.block  # an open element that this one ends; no other block stands between
+                while self.here is not ended:
+                    self.leave()
+                self.leave()
         if tag == "br":
             self.parts.append(" ")
         if tag not in VOID:
-            self.here = Element(tag, self.here, self.here.out or left_out(tag, attrs))
+            self.here = Element(tag, self.here, self.here.out or left_out(tag), name_of(tag, attrs) if attrs else 0, len(self.elements))
+            self.elements.append(self.here)
+            counts = self.open if self.here.block is self.here else self.here.block.inline
+            counts[tag] = counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -97,36 +123,38 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-        node = self.here
-        while node.parent:
-            if node.tag == tag:
-                self.here = node.parent
-                return
-            if node.tag in BLOCK and tag not in BLOCK:
-                return  # the end of an inline element that a block has ended already
-            node = node.parent
+        counts = self.open if tag in BLOCK else self.here.block.inline
+        if not counts.get(tag):
+            return  # nothing to end, or an inline element that a block has ended already
+        while self.here.tag != tag:
+            self.leave()
+        self.leave()
 
     def handle_data(self, data):
         if not self.here.out:
             self.parts.append(data)
 
 
-def left_out(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    if tag in ("html", "body", "main", "article"):
-        return False
+def left_out(tag: str) -> bool:
+    return tag in LEFT_OUT
+
+
+def name_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """Whether class, id or role name the element as something else than the article."""
+    if tag in ("html", "body", "main", "article") or tag in HEADINGS:
+        return 0
+    found = 0
     for name, value in attrs:
         if name == "role" and value and value.lower() in LEFT_OUT_ROLES:
-            return True
+            found = max(found, 1)
         if name in ("class", "id") and value:
             for one in value.lower().split():
-                if NAMED.match(one) and not NOT_NAMED.search(one):
-                    return True
-    return False
+                if not NOT_NAMED.search(one):
+                    found = 2 if COMMENTS.match(one) else max(found, 1 if NAMED.match(one) else 0)
+    return found
 
 
-def page_lines(html: str) -> list[tuple[str, int, Element]]:
+def page_lines(html: str) -> tuple[list[tuple[str, int, Element]], list[Element]]:
     for source in (html, html.replace("<![", "&lt;![")):
         parser = Lines()
         try:
@@ -135,8 +163,8 @@ def page_lines(html: str) -> list[tuple[str, int, Element]]:
         except AssertionError:  # a marked section that the parser refuses: read as text
             continue
         parser.flush()
-        return parser.lines
-    return []
+        return parser.lines, parser.elements
+    return [], []
 
 
 def content_lines(lines: list[tuple[str, int, Element]]) -> list[bool]:
@@ -152,45 +180,47 @@ def content_lines(lines: list[tuple[str, int, Element]]) -> list[bool]:
 
 
 def main_text(html: str) -> str:
-    lines = page_lines(html)
+    lines, elements = page_lines(html)
     if not lines:
         return ""
     inside = content_lines(lines)
-    mass: dict[Element, int] = {}
-    children: dict[Element, set[Element]] = {}
+    # characters and lines of content in each element; elements come after those around them, so the way back adds up
+    n = len(elements)
+    up = [e.parent.nr if e.parent else -1 for e in elements]
+    held, count = [0] * n, [0] * n
+    for (text, _, element), good in zip(lines, inside):
+        if good:
+            held[element.nr] += len(text)
+            count[element.nr] += 1
+    for k in range(n - 1, 0, -1):
+        held[up[k]] += held[k]
+        count[up[k]] += count[k]
+    own = [e.name == 2 or (e.name == 1 and not (held[e.nr] >= OVERRULED * held[0] and count[e.nr] >= LEAST_LINES))
+           if e.name else False for e in elements]
+    named = own[:]  # it, or one around it
+    for k in range(1, n):
+        named[k] = named[k] or named[up[k]]
+    mass = [0.0] * n
     for (text, _, element), good in zip(lines, inside):
-        node = element
-        while good and node:
-            mass[node] = mass.get(node, 0) + len(text)
-            if node.parent:
-                children.setdefault(node.parent, set()).add(node)
-            node = node.parent
-    named = [e for e in mass if e.tag in ("article", "main")]
-    if named:
-        # the smallest named element with most of the content that lies in named ones
-        most = max(mass[e] for e in named)
-        home = max((e for e in named if mass[e] >= 0.5 * most), key=lambda e: (e.depth, mass[e]))
-        within = home
-        while within.parent:  # several articles beside each other: the element around them
-            within = within.parent
-            if within.tag in ("article", "main") and mass[home] < 0.9 * mass[within]:
-                home = within
-    else:
-        home = next(e for e in mass if not e.parent) if mass else lines[0][2]
-        while home in children:  # down while one child holds nearly all of it
-            best = max(children[home], key=lambda e: mass[e])
-            if best.tag == "p" or mass[best] < 0.9 * mass[home]:
-                break
-            home = best
-
-    def belongs(e: Element | None) -> bool:
-        while e and e.depth >= home.depth:
-            if e is home:
-                return True
-            e = e.parent
-        return False
-
-    return "\n".join(t for t, _, e in lines if belongs(e))
+        if good:
+            mass[element.nr] += len(text) * (NAMED_WEIGHT if named[element.nr] else 1)
+    best = [0] * n  # the child with most mass, the first of equals; 0 for none
+    for k in range(n - 1, 0, -1):
+        mass[up[k]] += mass[k]
+        if not best[up[k]] or mass[k] >= mass[best[up[k]]]:
+            best[up[k]] = k
+    home = 0
+    while best[home]:
+        child = best[home]
+        need = MOST_OF_ARTICLE if elements[child].tag in ("article", "main") else MOST
+        if elements[child].tag == "p" or mass[child] <= 0 or mass[child] < need * mass[home]:
+            break
+        home = child
+    kept = [False] * n
+    kept[home] = True
+    for k in range(home + 1, n):
+        kept[k] = kept[up[k]] and not own[k]
+    return "\n".join(t for t, _, e in lines if kept[e.nr])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,12 +131,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it is taken, columns as they were."""
-    keyed = docs.withColumn("_mix_id", F.struct(F.xxhash64(F.col(id_col)), F.xxhash64(text_of(text_col)),
-                                                F.xxhash64(F.col(source_col))))
-    taken = mix(keyed, "_mix_id", text_col, source_col).groupBy("doc_id").agg(F.sum("copies").alias("_copies"))
-    joined = keyed.join(taken.withColumnRenamed("doc_id", "_mix_id"), "_mix_id")
-    # rows that repeat id, text and source share their copies: the first of them stands for all
-    first = F.row_number().over(W.partitionBy("_mix_id").orderBy("_mix_id"))
-    return joined.withColumn("_nth", first).filter("_nth = 1 AND _copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
+    """``docs`` as the mix takes them: each row as often as it is taken, columns as they were, whatever their names.
+
+    Rows that repeat id, text and source share their copies, and the first of them stands for all; nulls and rows
+    without words are treated as in ``mix``; an empty table gives no rows.
+    """
+    mix_id = F.struct(F.xxhash64(F.col(id_col)), F.xxhash64(text_of(text_col)), F.xxhash64(F.col(source_col))).alias("mix_id")
+    plain = docs.select(mix_id, F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    taken = mix(plain, "mix_id", "text", "source").groupBy("doc_id").agg(F.sum("copies").alias("copies"))
+    # a row travels as one column, so its own column names can clash with none of these
+    joined = docs.select(F.struct("*").alias("row"), mix_id).join(taken.withColumnRenamed("doc_id", "mix_id"), "mix_id")
+    first = F.row_number().over(W.partitionBy("mix_id").orderBy("mix_id"))
+    return joined.withColumn("nth", first).filter("nth = 1 AND copies > 0").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardlake.llm.exact_dedup import rows_of
 from wardlake.llm.common import components, row_key, salted_lookup, stage, text_of
 
 WORDS = 5
@@ -392,10 +393,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class, all columns as they were."""
-    kept = classes(docs, id_col, text_col).filter("kept").select(
-        row_key("doc_id").alias("_row_key"), F.col("text_sha256").alias("_digest"))
-    keyed = docs.withColumn("_row_key", row_key(id_col)).withColumn("_digest", F.sha2(text_of(text_col), 256))
-    stay = keyed.join(kept, ["_row_key", "_digest"], "left_semi")
-    again = F.row_number().over(W.partitionBy("_row_key", "_digest").orderBy("_row_key", "_digest"))
-    return stay.withColumn("_again", again).filter("_again = 1").select(*docs.columns)
+    """``docs`` with one row of each class of ``classes``, all columns as they were, whatever their names.
+
+    Nulls, ties and repeated rows are decided as there; an empty table gives no rows.
+    """
+    kept = classes(docs, id_col, text_col).filter("kept").select(row_key("doc_id").alias("key"), F.col("text_sha256").alias("digest"))
+    return rows_of(docs, kept, id_col, text_col)

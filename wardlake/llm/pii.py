@@ -1,8 +1,9 @@
 """Personal data by weak supervision: labelers vote on spans, their reliabilities are estimated, a classifier decides.
 
-Base spans (e-mail, ip, card, phone by fixed patterns) always stay. Looser patterns propose further spans where no base
-span lies, such as the card and the phone number that stand side by side and that the base patterns, which take
-them for one number, drop. On every span, base or proposed, regex, gazetteer and context labelers vote yes, no or
+Base spans (e-mail, ip, card, phone by fixed patterns) always stay. Further spans are proposed where no base span lies:
+by looser patterns (national numbers, spelled-out addresses), by the longest valid beginning of a phone match that
+the base pattern ran on into the next number and dropped, by the gazetteer (an address spelled with a known top domain)
+and by context (a number after a word such as ``call``). On every span, base or proposed, regex, gazetteer and context labelers vote yes, no or
 nothing. The votes of the whole table are counted by pattern (four kinds, three votes for each of five labelers, so
 a bounded table whatever the number of spans). Expectation-maximisation estimates from these counts how reliable each labeler is and
 how likely each pattern is personal data, without labels. These likelihoods train a logistic span classifier, which adds the
@@ -11,6 +12,7 @@ proposed spans it finds likelier than ``LEAST_CHANCE``.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -38,13 +40,14 @@ PROPOSED = [
     ("card", re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{14,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z])\+?[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9A-Za-z])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])")),
+    ("phone", re.compile(r"(?<![0-9A-Za-z+.-])[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9A-Za-z]|[.-][0-9])")),
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}"
                          r"(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{1,63}){1,5}")),
 ]
 # Shapes, prefixes and words the labelers know.
 SHAPES = {"email": re.compile(r"[^@]+@[^@.]+(?:\.[^@.]+)*\.[A-Za-z]{2,}"), "ip": re.compile(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
           "card": re.compile(r"[0-9]{16}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[47][0-9]{13}"),
-          "phone": re.compile(r"\+?[0-9]{0,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}")}
+          "phone": re.compile(r"\+?[0-9]{0,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-]?[0-9]{4}")}
 CARD_PREFIX = re.compile(r"4|5[1-5]|2[2-7]|3[0-9]|6")
 TOP_DOMAINS = frozenset("com org net edu gov info biz io co uk de fr es it nl eu ch at us ca au jp".split())
 CONTEXT = {"email": frozenset("mail email contact write correo courriel kontakt".split()),
@@ -53,6 +56,11 @@ CONTEXT = {"email": frozenset("mail email contact write correo courriel kontakt"
            "phone": frozenset("call phone tel telephone fax mobile cell ring telefon téléphone teléfono".split())}
 AGAINST = frozenset("token key hash sha md5 version id order invoice serial isbn issn doi password secret".split())
 _WORD = re.compile(r"\w+")
+GROUP = re.compile(r"[0-9]+")
+#: A number after a context word, and an address spelled in words that ends in a top domain of the gazetteer.
+ANNOUNCED = re.compile(r"(?i:\b(?:" + "|".join(sorted(CONTEXT["phone"])) + r")\b)[^\w\n+(]{1,4}([(]?[0-9][0-9 ().-]{5,18}[0-9])(?![0-9A-Za-z])")
+SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63}){0,4} dot (?:"
+                     + "|".join(sorted(TOP_DOMAINS)) + r")(?![A-Za-z0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -97,18 +105,63 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _phone_beginnings(text: str) -> Iterator[tuple[int, int]]:
+    """Beginnings, longest first, of the base phone matches that have too many digits, cut where a group of digits ends."""
+    if "+" in text:
+        for m in PHONE.finditer(text):
+            if len(_digits(m.group())) <= 15:
+                continue
+            n, ends = 0, []
+            for g in GROUP.finditer(text, m.start(), m.end()):
+                n += g.end() - g.start()
+                if n > 15:
+                    break
+                if n >= 10:
+                    ends.append(g.end())
+            yield from ((m.start(), e) for e in reversed(ends))
+
+
+def _after_words(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers of 7 to 15 digits right after a word that announces a phone number."""
+    for m in ANNOUNCED.finditer(text):
+        if 7 <= len(_digits(m.group(1))) <= 15:
+            yield m.span(1)
+
+
+def _apart(got, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of ``got``, in order, what overlaps neither ``taken`` (merged, sorted) nor an earlier one: one binary search each."""
+    starts, ends = [a for a, _ in taken], [b for _, b in taken]
+    out: list[tuple[int, int]] = []
+    for a, b in got:
+        k = bisect.bisect_left(starts, b)
+        if (k == 0 or ends[k - 1] <= a) and (not out or out[-1][1] <= a):
+            out.append((a, b))
+    return out
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def proposed_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Looser spans that overlap neither a base span nor each other; earlier patterns first."""
-    taken = [(a, b) for a, _, b in base]
-    out = []
-    for kind, pattern in PROPOSED:
-        if kind == "email" and "at" not in text:
-            continue
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            if all(b <= x or y <= a for x, y in taken):
-                taken.append((a, b))
-                out.append((a, KINDS.index(kind), b))
+    """Looser spans that overlap neither a base span nor each other; earlier proposers first."""
+    taken, out = _merged([(a, b) for a, _, b in base]), []
+    ways = [("phone", _phone_beginnings(text))]
+    ways += [(kind, (m.span() for m in p.finditer(text))) for kind, p in PROPOSED if kind != "email" or "at" in text]
+    if " at " in text:
+        ways.append(("email", (m.span() for m in SPELLED.finditer(text))))
+    ways.append(("phone", _after_words(text)))
+    for kind, got in ways:
+        new = _apart(got, taken)
+        if new:
+            out += [(a, KINDS.index(kind), b) for a, b in new]
+            taken = _merged(taken + new)
     return sorted(out)
 
 
@@ -122,7 +175,7 @@ def votes(text: str, span: tuple[int, int, int]) -> str:
         check = "y" if 14 <= len(digits) <= 19 and luhn(digits) else "n"
         known = "y" if CARD_PREFIX.match(digits) else "n"
     elif kind == "phone":
-        check = "y" if 10 <= len(digits) <= 15 else "n"
+        check = "y" if 10 <= len(digits) <= 15 else "-" if 7 <= len(digits) <= 9 else "n"  # local numbers are shorter
         known = "y" if found.startswith("+") else "-"
     elif kind == "ip":
         check = "n" if digits.startswith("0") else "y"

@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from wardlake.llm.common import stage, text_of
 
 MIN_WORDS = 50
+RANK_PARTS = 16
 COMMON_WORDS = 64
 #: What passes the base rules in a language, for its medians and its common words to be a reference.
 LEAST_DOCUMENTS = 10
@@ -262,8 +263,12 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     keyed = found.select(F.coalesce("lang", F.lit("")).alias("lang"), F.col("lang").isNotNull().alias("known"), "kind", "key", "n")
     counts = stage(keyed.groupBy("lang", "known", "kind", "key").agg(F.sum("n").alias("n")), "quality-counts")
     value = F.lit(None).cast("double").alias("value")
-    nth = F.row_number().over(W.partitionBy("lang", "known").orderBy(F.desc("n"), "key"))
-    common = counts.filter("kind = 'w' AND key <> ''").withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS).drop("nth")
+    # ranked in two levels: the best of each of RANK_PARTS parts of the words, then the best of these
+    common = counts.filter("kind = 'w' AND key <> ''").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(RANK_PARTS)))
+    for level in (["lang", "known", "part"], ["lang", "known"]):
+        nth = F.row_number().over(W.partitionBy(*level).orderBy(F.desc("n"), "key"))
+        common = common.withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS).drop("nth")
+    common = common.drop("part")
     total = counts.filter("kind <> 'c'").groupBy("lang", "known", F.when(F.col("kind") == "w", "t").otherwise("d").alias("kind")).agg(
         F.lit("").alias("key"), F.sum("n").alias("n"))
     share = F.split("key", ":")
@@ -361,9 +366,15 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", t
 
 
 def good_documents(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they were."""
+    """The rows of ``docs`` that the rules keep, all columns as they were, whatever their names.
+
+    A null text has no words and goes; a null language is one of its own; rows that repeat are judged alike and all
+    stay or go; an empty table gives no rows.
+    """
     refs = references(docs, lang_col, text_col)
-    names = docs.columns
+    names = [f"c{k}" for k in range(len(docs.columns))]  # under these names the columns clash with none added here
+    safe = docs.toDF(*names)
+    lang, text = (names[docs.columns.index(c)] for c in (lang_col, text_col))
 
     def work(b: pa.RecordBatch, refs: list[Reference | None]) -> pa.RecordBatch:
         keep = []
@@ -373,4 +384,5 @@ def good_documents(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
             keep.append(not base_failed(len(words), n) and judge(text, words, n, ref)[2])
         return b.select(names).filter(pa.array(keep, pa.bool_()))
 
-    return _each(docs.withColumn("_lang", F.col(lang_col).cast("string")).withColumn("_text", text_of(text_col)), refs, work, docs.schema)
+    good = _each(safe.withColumn("_lang", F.col(lang).cast("string")).withColumn("_text", text_of(text)), refs, work, safe.schema)
+    return good.toDF(*docs.columns)
