@@ -192,6 +192,7 @@ def _tokenize(path: str, end_id: int):
                 [b.column("doc_id"), pa.array(np.full(len(n), part, np.int64)), pa.array(first), pa.array(n),
                  pa.array([x.tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "part", "before", "doc_tokens", "ids"])
+        pa.default_memory_pool().release_unused()  # an idle worker keeps its tables, not the room of its batches
     return run
 
 
