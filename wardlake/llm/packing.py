@@ -29,7 +29,8 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Entries of a worker's word tables; when full they start anew, which changes no result.
 TABLE_ENTRIES = 500_000
-BATCH_BYTES = 8_000_000
+#: Text that is cut into words at a time: its words take some ten times as much of a worker's memory.
+BATCH_BYTES = 2_000_000
 
 
 class WordTokenizer:
