@@ -234,6 +234,15 @@ def test_chat_folds_and_reads_back(spark):
         chat.messages(df.withColumn("kind", F.lit("x"))).collect()
 
 
+def test_chat_of_repeated_rows_long_texts_and_other_columns(spark):
+    long = "ab ~<[|] " * 60_000
+    turns = [(1, 0, "user", long), (1, 1, "assistant", long + "!"), (1, 1, "assistant", long + "!"), (2, None, None, None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr(
+        "*", "1 AS seq", "'x' AS kind", "2 AS message", "'y' AS log", "3 AS formatted", "4 AS head")
+    back = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.read_back(chat.chat_format(chat.as_events(df))).collect()}
+    assert back == {1: [("user", long, False)] + [("assistant", long + "!", True)] * 2, 2: [("", "", False)]}
+
+
 def test_token_counts_against_plain_dynamic_programming(docs, empty):
     pieces, fallback = token_counts.load_pieces(token_counts.vocabulary_path())
     tiny = token_counts.UnigramTrie(pieces, fallback, nodes=50, entries=20)
@@ -285,6 +294,26 @@ def test_mixing(spark, docs, rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixing_of_one_row_repeated(spark, monkeypatch):
+    """Equal rows are dealt to groups like any others: none holds more than a few times GROUP of them."""
+    largest = []
+    level = mixing._level
+
+    def seen(rows, *rest):
+        largest.append(rows.groupBy("rank", "groups", "at").count().agg(F.max("count")).first()[0])
+        return level(rows, *rest)
+
+    monkeypatch.setattr(mixing, "_level", seen)
+    docs = spark.createDataFrame([(None, "one two three", "a")] * 3000 + [(1, "one two", "b")] * 500,
+                                 "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert len(got) == 3500 and max(largest) < 3 * mixing.GROUP
+    for source_size in {r.source_size for r in got}:
+        mine = [r for r in got if r.source_size == source_size]
+        assert abs(sum(r.size * r.copies for r in mine) - mine[0].target) <= mine[0].size
+        assert max(r.copies for r in mine) <= mixing.LARGEST
+
+
 def test_packing_round_trip(docs, rows, empty):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.vocabulary_path())
@@ -339,3 +368,17 @@ def test_toxicity_held_out(spark, empty):
     assert [got[k] for k in range(300, 400)] == [k % 4 == 0 for k in range(300, 400)] and got[1000] is False
     none = toxicity.train(empty, spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score(empty, none).count() == 0 and toxicity.score(d, none).filter("is_toxic").count() == 0
+
+
+def test_toxicity_of_repeated_rows_long_texts_and_other_columns(spark):
+    rng = random.Random(5)
+    rows = [(k, words(rng, 30) + (" idiot" if k % 3 == 0 else "")) for k in range(120)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)] * 2, "doc_id long, toxic int")
+    long = words(rng, 50_000)
+    more = [(200, long), (201, long + " idiot"), (201, long + " idiot"), (None, "idiot"), (202, "")]
+    wide = spark.createDataFrame(rows + more, "doc_id long, text string").selectExpr(
+        "*", "1 AS toxic", "'x' AS feature", "2 AS clean", "3 AS fold", "4 AS insult", "5 AS p_toxic", "true AS is_toxic")
+    got = toxicity.score(wide, toxicity.train(wide, labels.withColumn("text", F.lit("z")))).collect()
+    assert len(got) == 125 and all(r.is_toxic == (r.doc_id % 3 == 0) for r in got if r.doc_id is not None and r.doc_id < 120)
+    assert len({tuple(r) for r in got if r.doc_id == 201}) == 1
+    assert [r.is_toxic for r in got if r.doc_id == 202] == [False]

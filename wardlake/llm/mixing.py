@@ -92,24 +92,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     size is the number of words (null text: 0), target the words wanted from the document's source (null is a
     source of its own), copies how often the document is taken, from 0 to ``largest``. Documents without words
-    are taken 0 times. Rows that repeat an id count as documents of their own. An empty table gives no rows.
+    are taken 0 times. Rows that repeat an id count as documents of their own; those that also agree in source and size
+    are told apart by a number, so a group of the tree stays small however often a row is repeated. An empty table
+    gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"))
-    sized = stage(rows.withColumn("named", F.col("source").isNotNull()).withColumn(
-        "source", F.coalesce("source", F.lit(""))), "mix-sizes")
-    sums = sized.groupBy("named", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    # rows alike in all of this are counted first and numbered when they part again, so each has a hash of its own
+    sized = stage(rows.withColumn("named", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
+                  .groupBy("doc_id", "named", "source", "size").agg(F.count("*").alias("alike")), "mix-sizes")
+    sums = sized.groupBy("named", "source").agg(F.sum(F.col("size") * F.col("alike")).alias("source_size"),
+                                                F.sum("alike").alias("n"))
     plan = stage(targets(sums.withColumn("source", F.when(F.col("named"), F.col("source"))), largest), "mix-targets")
     known = plan.withColumn("named", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
     mean = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(largest))))
-    full = salted_lookup(sized, known, ["named", "source"], "inner").withColumn("mean", F.coalesce(mean, F.lit(0.0)))
+    full = salted_lookup(sized, known, ["named", "source"], "inner").withColumn("mean", F.coalesce(mean, F.lit(0.0))).withColumn(
+        "nth", F.explode(F.sequence(F.lit(1).cast("long"), "alike")))
     split = full.withColumn("base", F.floor("mean").cast("long")).withColumn("p", F.col("mean") - F.floor("mean"))
     whole = (F.col("p") <= 0) | (F.col("size") == 0)
     columns = ["doc_id", "size", "source_size", "target", "copies"]
     out = split.filter(whole).withColumn("copies", F.when(F.col("size") > 0, F.col("base")).otherwise(
         F.lit(0).cast("long"))).select(columns)
     groups = F.ceil(F.col("n") / F.lit(float(GROUP))).cast("long")
-    rest = split.filter(~whole).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn(
+    rest = split.filter(~whole).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size", "nth")).withColumn(
         "groups", groups).withColumn("at", F.pmod("h", "groups")).select(
         "rank", "source_size", "target", "groups", "at", "h", "doc_id", "size", "base", "p")
     most, level = plan.agg(F.max(groups)).first()[0], 0  # one number
