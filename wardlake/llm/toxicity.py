@@ -1,7 +1,9 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other, each by a logistic model on the words of the text and on the chances that
-the models before it gave. A later model is trained on out-of-fold chances: those of a model that has not seen the
+the models before it gave. The labels know one category, toxic; the two before it are learnt from the labelled texts:
+of the words that mark toxic documents, in whatever language, the most frequent ones, which hold half of all such finds,
+make ``frequent``, the others ``rarer`` abuse. A later model is trained on out-of-fold chances: those of a model that has not seen the
 document, as it will be with new documents. Features are words and word beginnings, so that a new form of a known
 stem counts too; the vocabulary keeps those that tell toxic from clean documents.
 
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.common import stage, text_of
@@ -29,9 +31,9 @@ LEAST_CHI2 = 40.0
 FOLDS = 3
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
-# Words that stand for two kinds of abuse; with the label they make the chain's first two categories.
-TERMS = {"insult": "idiot moron loser clown scum trash".split(), "demeaning": "worthless pathetic disgusting stupid".split()}
-CATEGORIES = ["insult", "demeaning", "toxic"]
+#: A word marks abuse when this share of the labelled documents that hold it is toxic.
+LEAST_SHARE = 0.5
+CATEGORIES = ["frequent", "rarer", "toxic"]
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -70,8 +72,25 @@ def chances(model, x: list[np.ndarray], extra: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def best_cut(p: np.ndarray, y: np.ndarray, least: float = THRESHOLD) -> float:
+    """The chance from ``least`` on at which calling a document toxic has the largest F1 on (p, y).
+
+    Of cuts between two neighbouring chances that call the same documents toxic the middle one, of several with equal
+    F1 the lowest. Without toxic documents it is ``least``.
+    """
+    order = np.argsort(-p, kind="stable")
+    p, y = p[order], y[order]
+    said = np.arange(1, len(p) + 1)
+    f1 = 2 * np.cumsum(y) / (said + max(1, y.sum()))
+    ends = np.append(p[1:] < p[:-1], True) & (p >= least) if len(p) else np.zeros(0, bool)
+    if not ends.any() or not y.any():
+        return least
+    k = int(np.flatnonzero(ends & (f1 == f1[ends].max()))[-1])
+    return max(least, (p[k] + (p[k + 1] if k + 1 < len(p) else least)) / 2)
+
+
 class Chain:
-    """The fitted chain: vocabulary, one model per category, and the last category's cut."""
+    """The fitted chain: vocabulary, one model per category, and the last category's cut, from its out-of-fold chances."""
 
     def __init__(self, vocabulary: list[str], x: list[np.ndarray], labels: np.ndarray, fold: np.ndarray):
         self.at = {f: k for k, f in enumerate(vocabulary)}
@@ -89,6 +108,7 @@ class Chain:
                 out[new] = chances(model, [x[k] for k in new], extra[new])
             extra = np.column_stack([extra, out])
         self.out_of_fold = extra
+        self.cut = best_cut(extra[:, -1], labels[:, -1])
 
     def rows(self, texts: list[str], known: dict[str, tuple[int, ...]]) -> list[np.ndarray]:
         out = []
@@ -113,10 +133,26 @@ class Chain:
         return extra
 
 
-def category_labels(text: Column, toxic: Column, categories: list[str] = CATEGORIES) -> list[Column]:
-    """0/1 per category: toxic documents with a term of TERMS, and the label itself."""
-    words = {c: F.lower(text).rlike(r"\b(" + "|".join(t) + r")\b") for c, t in TERMS.items()}
-    return [F.when((toxic == 1) & words.get(c, F.lit(True)), 1).otherwise(0).alias(c) for c in categories]
+def marking_words(counts: list[tuple[str, int, int]]) -> tuple[set[str], set[str]]:
+    """The words of the first two categories, from (feature, clean documents, toxic documents) of the vocabulary.
+
+    Ties of the number of toxic documents go by the word. Without such words both sets are empty, and these categories
+    are never predicted.
+    """
+    marks = sorted((-t, f) for f, c, t in counts if f.startswith("w:") and t >= LEAST_SHARE * (c + t))
+    half, seen, frequent = -sum(t for t, _ in marks) / 2, 0, set()
+    for t, f in marks:
+        if seen < half:
+            frequent.add(f)
+        seen -= t
+    return frequent, {f for _, f in marks} - frequent
+
+
+def category_labels(x: list[np.ndarray], toxic: np.ndarray, vocabulary: list[str],
+                    words: tuple[set[str], set[str]]) -> np.ndarray:
+    """0/1 per document and category: toxic documents that hold a word of a category, and the label itself."""
+    marks = [np.array([f in w for f in vocabulary], bool) for w in words]
+    return np.array([[*(int(t and m[r].any()) for m in marks), t] for r, t in zip(x, toxic)], int).reshape(len(x), len(CATEGORIES))
 
 
 def _distinct_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +169,13 @@ def _distinct_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
           most: int = MAX_TRAINING) -> Chain:
     """Fit the chain. Labels that are null, other than 0 or 1, or of no document are left out; of rows that
-    repeat an id, the largest label counts."""
+    repeat an id, the largest label and the text that sorts first count, so the sample stays bounded."""
     one = labels.select(F.col(id_col).alias("doc_id"), F.col(toxic_col).cast("int").alias("toxic")).filter(
         "doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # at most ``most`` short rows: this side may be broadcast at any size of the table
     sample = stage(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "toxic-sample")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = stage(texts.select("doc_id", "text", *category_labels(F.col("text"), F.col("toxic"))), "toxic-texts")
+    rows = stage(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxic-texts")
     seen = rows.select("text", "toxic").mapInArrow(_distinct_features, "feature string, clean long, toxic long").groupBy(
         "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     size = rows.agg(F.count("*"), F.sum("toxic")).first()
@@ -150,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     gap = F.col("toxic") * F.lit(n) - df * F.lit(pos)
     chi2 = gap * gap / (df * (F.lit(n) - df + F.lit(1.0)) * F.lit(max(1.0, pos * (n - pos)) / n))
     best = seen.filter(df >= LEAST_DOCUMENTS).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2).orderBy(
-        F.desc("chi2"), "feature").limit(MAX_FEATURES).select("feature").collect()
+        F.desc("chi2"), "feature").limit(MAX_FEATURES).select("feature", "clean", "toxic").collect()
     vocabulary = [r["feature"] for r in best]
     empty = Chain.__new__(Chain)
     empty.at = {f: k for k, f in enumerate(vocabulary)}
@@ -159,23 +195,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
             x = empty.rows(b.column("text").to_pylist(), known)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(b.column(c) for c in CATEGORIES),
-                                              pa.array(x, pa.list_(pa.int32()))], names=["doc_id", *CATEGORIES, "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(x, pa.list_(pa.int32()))],
+                                             names=["doc_id", "toxic", "x"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(vectors, f"doc_id {kind}, {', '.join(f'{c} int' for c in CATEGORIES)}, x array<int>").withColumn(
+    got = rows.mapInArrow(vectors, f"doc_id {kind}, toxic int, x array<int>").withColumn(
         "fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS))).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    y = np.array([[r[c] for c in CATEGORIES] for r in got])
-    return Chain(vocabulary, [np.array(r["x"], int) for r in got], y, np.array([r["fold"] for r in got]))
+    x = [np.array(r["x"], int) for r in got]
+    words = marking_words([(r["feature"], r["clean"], r["toxic"]) for r in best])
+    y = category_labels(x, np.array([r["toxic"] for r in got]), vocabulary, words)
+    return Chain(vocabulary, x, y, np.array([r["fold"] for r in got]))
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, the chance of each category, and is_toxic, for every row of ``docs``.
+          threshold: float | None = None) -> DataFrame:
+    """doc_id, the chance of each category, and is_toxic (at ``threshold``, else the chain's cut), for every row of ``docs``.
 
     A null or empty text has no features and gets the chances of a text without any. Rows that repeat are
     scored each; an empty table gives no rows; other columns are not read.
     """
+    cut = chain.cut if threshold is None else threshold
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
@@ -183,7 +223,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
                 part = b.slice(k, 500)
                 p = chain.score(part.column("text").to_pylist(), known)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(p[:, c]) for c in range(p.shape[1])), pa.array(p[:, -1] >= threshold)],
+                    [part.column("doc_id"), *(pa.array(p[:, c]) for c in range(p.shape[1])), pa.array(p[:, -1] >= cut)],
                     names=["doc_id", *(f"p_{c}" for c in CATEGORIES), "is_toxic"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
