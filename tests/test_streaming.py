@@ -101,3 +101,25 @@ def test_folded_state_reads_few_folders_and_survives_replay(spark, tmp_path):
         assert dict(map(tuple, st.read_state(spark, out, like, newest).collect())) == want
     assert len(st.list_children(spark, out)) <= 2 + 8
     assert st.read_state(spark, str(tmp_path / "none"), like, newest).count() == 0
+
+
+@pytest.mark.parametrize("every", [1, 2, 100])
+def test_directory_folded_over_batches_is_that_of_all_records(spark, tmp_path, every):
+    src = tmp_path / "ldif"
+    src.mkdir()
+    batches = [
+        "dn: CN=a\nchangetype: add\ncn: a\nmail: one\nmail: two\n\ndn: CN=b\nchangetype: add\ncn: b\n",
+        "dn: CN=a\nchangetype: modify\nreplace: mail\nmail: three\n-\nadd: title\ntitle: x\ntitle: y\n-\n",
+        "dn: CN=b\nchangetype: delete\n\ndn: CN=a\nchangetype: modify\ndelete: title\ntitle: x\n-\n",
+        "dn: CN=b\nchangetype: add\ncn: again\n\ndn: CN=a\nchangetype: modify\nadd: mail\nmail: one\n-\n",
+        "dn: CN=a\nchangetype: modify\ndelete: cn\n-\nadd: title\ntitle: x\n-\n",
+    ]
+    for k, text in enumerate(batches):
+        (src / f"{k}.ldif").write_text(text + "\n")
+        os.utime(src / f"{k}.ldif", (k + 1, k + 1))
+    got = st.stream_directory_sync(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"), 1, every)
+    want = {("CN=a", "mail", "three"), ("CN=a", "mail", "one"), ("CN=a", "title", "x"), ("CN=a", "title", "y"),
+            ("CN=b", "cn", "again")}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert len(st.state_parts(spark, str(tmp_path / "out"))) == {1: 1, 2: 2, 100: 5}[every]

@@ -91,25 +91,18 @@ def under_base(dn, base: str):
     return F.lower(dn).endswith(base.lower())
 
 
-SALT = 16
-
-
-def _salted_left(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+def _salted_left(big: DataFrame, small: DataFrame, on: list[str], salts: int) -> DataFrame:
     """``big`` carries ``_salt``; the small side is copied once per salt."""
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.join(copies, [*on, "_salt"], "left")
 
 
-def apply_changes(entries: DataFrame) -> DataFrame:
-    """DIR-02: (dn, attr, value) after all records, in the order of ``seq`` and of the operations in a record.
+def changes_of(entries: DataFrame) -> DataFrame:
+    """(dn, attr, value, kind, at): what the records say, with the place of the record and of its operation.
 
-    Add records and ``add:`` put values, ``replace:`` puts its values in place of all earlier ones, ``delete:`` with
-    values takes those away and without values the whole attribute, ``changetype: delete`` the whole entry. A value
-    stands when its last put is later than the last delete of it, of its attribute and of its entry. Renames
-    (``modrdn``, ``moddn``) are not supported and raise.
-
-    One aggregate per (dn, attr, value), combined before the shuffle; the rare resets join it salted, so the members
-    of one big group spread over SALT tasks.
+    kind: ``put`` and ``cut`` of a value, ``reset`` of an attribute (NULL value), ``gone`` of an entry (NULL attr and
+    value). Of each only the latest is kept, combined before the shuffle. Renames (``modrdn``, ``moddn``) are not
+    supported and raise.
     """
     known = F.col("changetype").isin("add", "modify", "delete")
     entries = entries.withColumn("changetype", F.when(known, F.col("changetype")).otherwise(
@@ -123,18 +116,43 @@ def apply_changes(entries: DataFrame) -> DataFrame:
             .select("dn", F.col("o.attr").alias("attr"), F.struct("seq", F.col("o.no").alias("no")).alias("at"),
                     F.col("o.op").alias("op"), F.col("o.vals").alias("vals")))
     steps = base.unionByName(mods)
-    is_delete = F.col("op") == "delete"
-    values = (steps.select("dn", "attr", "at", "op", F.explode("vals").alias("value"))
-              .groupBy("dn", "attr", "value")
-              .agg(F.max(F.when(~is_delete, F.col("at"))).alias("put"), F.max(F.when(is_delete, F.col("at"))).alias("cut"))
+    is_delete, none = F.col("op") == "delete", F.lit(None).cast("string")
+    values = steps.select("dn", "attr", F.explode("vals").alias("value"),
+                          F.when(is_delete, "cut").otherwise("put").alias("kind"), "at")
+    resets = steps.where((F.col("op") == "replace") | (is_delete & (F.size("vals") == 0))).select(
+        "dn", "attr", none.alias("value"), F.lit("reset").alias("kind"), "at")
+    gone = entries.where(F.col("changetype") == "delete").select(
+        "dn", none.alias("attr"), none.alias("value"), F.lit("gone").alias("kind"), F.struct("seq", no_op.alias("no")).alias("at"))
+    said = values.unionByName(resets).unionByName(gone)
+    return said.groupBy("dn", "attr", "value", "kind").agg(F.max("at").alias("at"))
+
+
+def settle(changes: DataFrame) -> DataFrame:
+    """The values that stand, as puts: rows of ``changes_of`` that say the same to whatever comes after them.
+
+    A value stands when its last put is later than the last cut of it, reset of its attribute and end of its entry.
+    Changes that all come later need only these rows, so a stream keeps them in place of all it has read. The rare
+    resets join the values salted, so the members of one big group spread over the cores.
+    """
+    salts = max(2, changes.sparkSession.sparkContext.defaultParallelism)
+    at = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("at")))
+    values = (changes.where(F.col("kind").isin("put", "cut")).groupBy("dn", "attr", "value")
+              .agg(at("put").alias("put"), at("cut").alias("cut"))
               .where(F.col("put").isNotNull() & (F.col("cut").isNull() | (F.col("put") > F.col("cut"))))
-              .withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(SALT))))
+              .withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int")))
+    resets = changes.where(F.col("kind") == "reset").groupBy("dn", "attr").agg(F.max("at").alias("reset"))
+    gone = changes.where(F.col("kind") == "gone").groupBy("dn").agg(F.max("at").alias("gone"))
     # A replace resets its attribute and puts at the same step, so >= keeps its own values.
-    resets = (steps.where((F.col("op") == "replace") | (is_delete & (F.size("vals") == 0)))
-              .groupBy("dn", "attr").agg(F.max("at").alias("reset")))
-    gone = (entries.where(F.col("changetype") == "delete")
-            .groupBy("dn").agg(F.max(F.struct("seq", no_op.alias("no"))).alias("gone")))
-    return (_salted_left(_salted_left(values, resets, ["dn", "attr"]), gone, ["dn"])
+    return (_salted_left(_salted_left(values, resets, ["dn", "attr"], salts), gone, ["dn"], salts)
             .where((F.col("reset").isNull() | (F.col("put") >= F.col("reset")))
                    & (F.col("gone").isNull() | (F.col("put") > F.col("gone"))))
-            .select("dn", "attr", "value"))
+            .select("dn", "attr", "value", F.lit("put").alias("kind"), F.col("put").alias("at")))
+
+
+def apply_changes(entries: DataFrame) -> DataFrame:
+    """DIR-02: (dn, attr, value) after all records, in the order of ``seq`` and of the operations in a record.
+
+    Add records and ``add:`` put values, ``replace:`` puts its values in place of all earlier ones, ``delete:`` with
+    values takes those away and without values the whole attribute, ``changetype: delete`` the whole entry.
+    """
+    return settle(changes_of(entries)).select("dn", "attr", "value")

@@ -68,17 +68,19 @@ def attach_each(big: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIM
 
 
 def skew_safe_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                   salts: int = 16, limit: int = BROADCAST_ROW_LIMIT, bound: int | None = None) -> DataFrame:
+                   salts: int | None = None, limit: int = BROADCAST_ROW_LIMIT, bound: int | None = None) -> DataFrame:
     """Join a large side whose keys may be very unequal (one key can hold a
     third of all rows) with a side that has one or few rows per key.
 
     Under the broadcast bound the small side is broadcast: no shuffle, no
     skew. Beyond it, the large side is spread by a salt taken from a hash of
     its whole row and the small side is copied once per salt value, so a hot
-    key is split over ``salts`` tasks instead of one.
+    key is split over ``salts`` tasks (None: as many as there are cores)
+    instead of one.
     """
     if fits_broadcast(small, limit, bound):
         return big.join(F.broadcast(small), on, how)
+    salts = salts or max(2, big.sparkSession.sparkContext.defaultParallelism)
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return b.join(s, [*on, "_salt"], how).drop("_salt")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions.globs import glob_to_regex
+from wardlake.operators.joins import sized_join
 
 # Money is summed as DECIMAL(38,2): exact, so the order of addition across
 # tasks never changes a cent.
@@ -59,18 +60,20 @@ def top_k(df: DataFrame, k: int, by: str, tie: list[str]) -> DataFrame:
 
 
 def latest_matching(items: DataFrame, requests: DataFrame, name_col: str, order_cols: list[str],
-                    label_col: str = "label", glob_col: str = "glob") -> DataFrame:
+                    label_col: str = "label", glob_col: str = "glob", bound: int | None = None) -> DataFrame:
     """LIM-04: newest item whose name fits a glob, per requested label.
 
-    ``requests(label, glob)`` is a short lookup list (broadcast; the caller
-    checks its size). The match is a regex made from the glob; the newest row
-    per label is one ``max_by`` aggregate, partial before the shuffle, so a
-    label that matches most rows still costs one row per map task.
+    Items of one name are first reduced to the newest, partial before the shuffle. A glob is found under the literal
+    text before its first wildcard, which is a prefix of every name that fits, so names meet their globs by an equi
+    join and a regex tests only these pairs. ``bound``: a known number of requests, which are broadcast where it is
+    small (``joins.sized_join``). Several globs of one label count together.
     """
-    reqs = requests.select(label_col, glob_col).withColumn("_re", glob_to_regex(F.col(glob_col)))
-    joined = items.join(F.broadcast(reqs), F.regexp_like(F.col(name_col), F.col("_re")))
-    cols = list(items.columns)
-    return joined.groupBy(label_col).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]),
-                 F.struct(*[F.col(c) for c in order_cols])).alias("_r")
-    ).select(label_col, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    newest = F.max_by(F.struct("*"), F.struct(*[F.col(c) for c in order_cols]))
+    names = items.where(F.col(name_col).isNotNull()).groupBy(F.col(name_col).alias("_name")).agg(newest.alias("_r"))
+    reqs = requests.select(F.col(label_col).alias("_label"), glob_to_regex(F.col(glob_col)).alias("_re"),
+                           F.regexp_extract(glob_col, r"^([^*?]*)", 1).alias("_prefix"))
+    prefixes = F.transform(F.sequence(F.lit(0), F.length("_name")), lambda k: F.substr("_name", F.lit(1), k))
+    met = sized_join(names.withColumn("_prefix", F.explode(prefixes)), reqs, ["_prefix"], bound)
+    order = F.struct(*[F.col(f"_r.{c}") for c in order_cols])
+    return met.where(F.regexp_like("_name", F.col("_re"))).groupBy("_label").agg(
+        F.max_by("_r", order).alias("_r")).select(F.col("_label").alias(label_col), "_r.*")

@@ -220,15 +220,18 @@ def stream_tag_replace(spark: SparkSession, tag_dir: str, out: str, checkpoint:
 # --- STR-05: directory sync ---------------------------------------------------
 
 def stream_directory_sync(spark: SparkSession, ldif_dir: str, out: str, checkpoint: str,
-                          files_per_trigger: int | None = None) -> DataFrame:
-    """LDIF files arrive; each batch appends its parsed records; the current
-    directory is the fold of all records in order of (batch, file, place)."""
+                          files_per_trigger: int | None = None, every: int = COMPACT_EVERY) -> DataFrame:
+    """LDIF files arrive; the directory after all their records, in order of (batch, file, place).
+
+    A batch writes the latest changes of its own records; every ``every`` batches they are folded into the values that
+    stand, so a run reads the directory and at most ``every`` batches, not all records ever sent.
+    """
     src = (_file_stream(spark, files_per_trigger).option("lineSep", "\n\n").text(ldif_dir)
            .select("value", "_metadata"))
 
     def fn(df: DataFrame, batch_id: int) -> None:
-        d.parse_entries(d.split_records(df, batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        fold_batch(d.changes_of(d.parse_entries(d.split_records(df, batch_id))), batch_id, out, d.settle, every=every)
 
     run(src, fn, checkpoint)
-    like = d.parse_entries(d.read_ldif(spark, ldif_dir).limit(0))
-    return d.apply_changes(read_batches(spark, out, like))
+    like = d.changes_of(d.parse_entries(d.read_ldif(spark, ldif_dir).limit(0)))
+    return read_state(spark, out, like, d.settle).select("dn", "attr", "value")
