@@ -20,7 +20,9 @@ FAST = ["sales_by_category", "sales_by_sku_category", "join_orders_products", "t
         "expand_implied_grants", "decide_access", "match_resource", "effective_permissions",
         "governed_read", "column_mask", "tag_resources", "path_prefix_join", "file_rules_access",
         "apply_changes", "resolve_group_members", "extract_policy_fields", "grants_object_store",
-        "collect_statements", "role_name_from_group", "json_parse_strict", "json_flatten"]
+        "collect_statements", "role_name_from_group", "json_parse_strict", "json_flatten",
+        "retention_filter", "user_lowercase", "stream_directory_sync", "external_orders", "external_products",
+        "external_customers", "external_demographics"]
 SQL = se.oracle_sql()
 KEYS = sorted(SQL) if os.environ.get("WARDLAKE_FULL") else FAST
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators import retail
@@ -101,6 +101,52 @@ def q_external_table(spark, sf_dir):
         spark, f"ext_orders_{_tag(sf_dir)}", ddl, tables.table_path(sf_dir, "orders"))
 
 
+ORDER_LINES_SQL = """
+SELECT CAST(o_custkey AS VARCHAR) AS customer_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+       l_extendedprice AS price, CAST(l_partkey AS VARCHAR) AS sku
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+CUSTOMERS_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, c_mktsegment AS segment, n_name AS state, r_name AS region
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+"""
+DEMOGRAPHICS_SQL = """
+SELECT n_nationkey::BIGINT AS geoid, n_name AS state, count(*)::INTEGER AS population,
+       (count(*) FILTER (c_acctbal > 0))::INTEGER AS households,
+       CAST(sum(CAST(c_acctbal AS DECIMAL(38,2))) AS DOUBLE) AS household_income
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
+"""
+
+
+def _declared(spark, sf_dir, name: str, rows) -> DataFrame:
+    """``rows`` landed as Parquet files, declared as an external table of the staging database and scanned by name."""
+    tables.create_database(spark, "staging", "retail staging", {"creator": "wardlake"})
+    path = fresh_path(spark, name)
+    rows.write.parquet(path)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return tables.external_table(spark, f"staging.{name}_{_tag(sf_dir)}", ddl, path)
+
+
+@query("external_orders", ORDER_LINES_SQL)
+def q_external_orders(spark, sf_dir):
+    return _declared(spark, sf_dir, "orders", tables.staging_orders(spark, sf_dir))
+
+
+@query("external_products", PRODUCTS_SQL)
+def q_external_products(spark, sf_dir):
+    return _declared(spark, sf_dir, "products", tables.staging_products(spark, sf_dir))
+
+
+@query("external_customers", CUSTOMERS_SQL)
+def q_external_customers(spark, sf_dir):
+    return _declared(spark, sf_dir, "customers", tables.staging_customers(spark, sf_dir))
+
+
+@query("external_demographics", DEMOGRAPHICS_SQL)
+def q_external_demographics(spark, sf_dir):
+    return _declared(spark, sf_dir, "demographics", tables.staging_demographics(spark, sf_dir))
+
+
 IMPRESSION_COLS_SQL = """
 strftime(ts, '%Y-%m-%d %H:%M:%S') AS request_begin_time,
 json_extract_string(props, '$.k') AS ad_id,
@@ -311,4 +357,4 @@ def q_latest_matching(spark, sf_dir):
     items = scan_parquet(spark, sf_dir, "orders").select(
         "o_orderkey", F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("name"), "o_orderdate")
     reqs = spark.createDataFrame(LOOKUPS, "label string, glob string")
-    return retail.latest_matching(items, reqs, "name", ["o_orderdate", "name", "o_orderkey"])
+    return retail.latest_matching(items, reqs, "name", ["o_orderdate", "name", "o_orderkey"], bound=len(LOOKUPS))

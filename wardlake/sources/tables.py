@@ -87,6 +87,21 @@ def staging_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staging_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """demographics(geoid, state, population, households, household_income): customers of a nation as its people.
+
+    Households are customers with a positive balance; incomes are summed as decimals, so their order changes no cent.
+    """
+    counted = scan_parquet(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).cast("int").alias("population"),
+        F.count(F.when(F.col("c_acctbal") > 0, 1)).cast("int").alias("households"),
+        F.sum(F.col("c_acctbal").cast("decimal(38,2)")).cast("double").alias("household_income"))
+    n = scan_parquet(spark, sf_dir, "nation")  # 25 rows
+    return counted.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_nationkey").cast("long").alias("geoid"), F.col("n_name").alias("state"), "population", "households",
+        "household_income")
+
+
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ad-impression table derived from ``events``.
 
