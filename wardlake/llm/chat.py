@@ -89,7 +89,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """What ``render`` wrote, read from ``formatted`` and the mask: conv_id, formatted_chars, turns array of (role,
     text, loss).
 
-    A turn whose text is not as long as its mask says raises.
+    A turn whose text is not as long as its mask says raises. Empty roles and texts come back empty, repeated rows are
+    read each, an empty table gives no rows.
     """
     pieces = F.filter(F.split(F.col("formatted"), END), lambda p: p != "")
     cut = F.transform(pieces, lambda p: F.struct(
@@ -103,7 +104,11 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def chat_format(events: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
-    """Log to training text: ``render(messages(events))``."""
+    """Log to training text: ``render(messages(events))``.
+
+    Nulls, ties and repeated events are treated as in ``messages``; other columns are not read, whatever their names; an
+    empty log gives no rows. A conversation is one row and must fit one task.
+    """
     return render(messages(events), trained_role)
 
 

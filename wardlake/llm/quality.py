@@ -6,6 +6,9 @@ common words being the most frequent ones of that count, and the share of a clas
 shares, which junk of a minority cannot move. Short texts have noisy histograms: a distance is used
 only from a minimum length on, and the limit of the common words follows the distances that texts of the same length
 drawn from the reference have.
+
+A word of 40 characters or more counts among all words but is never one of the common ones: a language written with few
+spaces has then no common words, and its documents are judged by their classes of characters alone.
 """
 
 from __future__ import annotations
