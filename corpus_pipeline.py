@@ -14,27 +14,37 @@ from wardlake.llm.common import stage, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the base rules or the divergence from its language reject."""
+    """Drops what the base rules or the divergence from its language reject.
+
+    A null text is empty and fails the base rules; a null language is a language of its own; repeated rows are judged
+    alike; an empty table gives no rows.
+    """
     return quality.good_documents(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the largest id of equal texts."""
+    """Keeps the largest id of equal texts.
+
+    A null text equals an empty one; a null id is the smallest; of rows that repeat id and text one stays.
+    """
     return exact_dedup.distinct_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near duplicates."""
+    """Keeps one document of each class of near duplicates; nulls and repeated rows as in ``near_dedup.classes``."""
     return near_dedup.one_of_each_class(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    A null source is a source of its own; documents without words are not taken; a document taken n times is n rows.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences, with their ids."""
+    """The pieces of the packed sequences, with their ids; a null text is its end id alone, repeated rows are packed each."""
     return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                                      "sequence_id", "offset", "ids")
 
