@@ -1,4 +1,4 @@
-from wardlake.session import cut_lineage, fresh_path, shared_dir
+from wardlake.session import cut_lineage, fresh_path, get_spark, shared_dir
 
 
 def test_shared_dir_is_stable_and_used(spark):
@@ -22,3 +22,18 @@ def test_snapshot_bounds(spark, sf_dir):
     n = snap["resources"].where("service = 'lakehouse'").count()
     assert resource_bound(spark, sf_dir, "lakehouse") == n > 0
     assert resource_bound(spark, sf_dir, "items:lakehouse") == snap["items_x"].where("service = 'lakehouse'").count()
+
+
+def test_running_session_keeps_its_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert get_spark(shuffle_partitions=77) is spark
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_shared_dir_keeps_its_scheme(spark, tmp_path, monkeypatch):
+    """A folder named as a URI of a file system stays one, and tables are written and read there."""
+    monkeypatch.setattr(spark.sparkContext._conf, "get", lambda *a: f"file://{tmp_path}/")
+    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: self._conf)
+    assert shared_dir(spark) == f"file://{tmp_path}"
+    assert cut_lineage(spark.range(5), name="t").count() == 5
+    assert any((tmp_path / "wardlake").iterdir())

@@ -14,12 +14,17 @@ BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
-    """Local/test session. On a cluster the submitter's session is used as is."""
+    """Local/test session. A running session, or the one of a submitted application, is used as it is.
+
+    ``master`` asks for a session of one's own; SPARK_MASTER (local[8]) names it where nothing else does.
+    """
     builder = SparkSession.builder.appName("wardlake")
-    if master or SparkSession.getActiveSession() is None:
-        builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
+    # spark-submit starts the JVM, with the submitter's master and settings, and hands its port to Python
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    if master is None and (submitted or SparkSession.getActiveSession() is not None):
+        return SparkSession.builder.getOrCreate()
     builder = (
-        builder
+        builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -39,7 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     The session setting wins; only when it is unset (local tests) a folder is
-    made under /tmp and registered, so later calls see the same value.
+    made under /tmp and registered, so later calls see the same value. The
+    text is kept with its scheme (``file:``, ``hdfs:``), which names the file
+    system; without one it is the session's default file system.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -51,8 +58,6 @@ def shared_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="wardlake-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
-    if d.startswith("file:"):
-        d = d[len("file:"):]
     return d.rstrip("/")
 
 
