@@ -105,6 +105,29 @@ def test_near_dedup_against_brute_force(spark, docs, rows, empty):
     assert near_dedup.classes(empty).count() == 0
 
 
+def test_near_dedup_of_long_texts_repeats_and_other_columns(spark):
+    """Texts of 20 000 words: an edited copy of J over 0.8 is linked, one below is not."""
+    rng = random.Random(12)
+    body = words(rng, 20_000).split()
+
+    def edited(n):
+        copy = list(body)
+        for k in rng.sample(range(len(copy)), n):
+            copy[k] = f"edited{k}"
+        return " ".join(copy)
+
+    long, near, far = " ".join(body), edited(250), edited(1500)
+    j = [near_dedup.probability_jaccard(near_dedup.shingles(long), near_dedup.shingles(t)) for t in (near, far)]
+    assert j[0] > 0.85 and j[1] < 0.6
+    rows = [(1, long), (2, near), (2, near), (3, far), (4, None), (5, ""), (None, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS node", "'x' AS label", "2 AS bands", "3 AS bucket", "4 AS class_id", "false AS kept", "'y' AS digest", "5 AS _head")
+    got = Counter((r.doc_id, r.class_id, r.class_size) for r in near_dedup.classes(df).collect())
+    assert got == Counter([(1, 1, 4), (2, 1, 4), (2, 1, 4), (None, 1, 4), (3, 3, 1), (4, 4, 2), (5, 4, 2)])
+    left = near_dedup.one_of_each_class(df)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
+
+
 def test_block_links_connect_what_all_pairs_connect():
     rng = random.Random(5)
     body = words(rng, 80).split()
