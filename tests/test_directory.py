@@ -129,3 +129,14 @@ def test_renames_raise(spark, tmp_path):
     (tmp_path / "a.ldf").write_text("dn: CN=a\nchangetype: modrdn\nnewrdn: CN=b\n")
     with pytest.raises(Exception, match="changetype not supported"):
         _applied(spark, tmp_path / "a.ldf")
+
+
+def test_records_are_read_and_taken_apart_once(spark, tmp_path):
+    (tmp_path / "a.ldf").write_text(CHANGES)
+    changes = d.changes_of(d.parse_entries(d.read_ldif(spark, str(tmp_path / "a.ldf"))))
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert plan.count("regexp_extract(") <= 4  # a line of an attribute, a line of an operation; before: for each key
+    kinds = {(r.attr, r.value, r.kind) for r in changes.where("dn = 'CN=t'").collect()}
+    assert {("mail", None, "reset"), ("phone", None, "reset"), ("member", "b", "cut"), ("mail", "w", "put")} <= kinds
+    assert (None, None, "gone") in {(r.attr, r.value, r.kind) for r in changes.where("dn = 'CN=gone'").collect()}

@@ -41,10 +41,23 @@ def _value(line):
     return F.when(line.rlike("^[^:]*::"), F.try_to_binary(text, F.lit("base64")).cast("string")).otherwise(text)
 
 
+def _once(c, fn):
+    """``fn`` of ``c``, worked out once: a column named inside a lambda is worked out again for each element."""
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
+
+
 def _kv(lines):
     return F.transform(
         F.filter(lines, lambda x: (x != "") & (x != "-") & ~x.startswith("#")),
-        lambda x: F.struct(F.regexp_extract(x, "^[^:]*", 0).alias("k"), _value(x).alias("v")))
+        lambda x: F.struct(F.lower(F.substring_index(x, ":", 1)).alias("k"), _value(x).alias("v")))
+
+
+def _attributes(kv):
+    """map<key, array<value>> of the lines of a record."""
+    def of(kv, keys):
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(
+            F.filter(kv, lambda x: x["k"] == k), lambda x: x["v"])))
+    return _once(kv, lambda kv: _once(F.array_distinct(F.transform(kv, lambda x: x["k"])), lambda keys: of(kv, keys)))
 
 
 OPS = ["add", "replace", "delete"]
@@ -53,11 +66,11 @@ OPS = ["add", "replace", "delete"]
 def _operations(text):
     """The operations of a modify record in order: each is ``<op>: <attr>`` and the values after it, up to a ``-`` line."""
     def one(chunk, i):
-        kv = F.filter(_kv(F.split(chunk, "\r?\n")), lambda x: ~F.lower(x["k"]).isin("dn", "changetype"))
-        head = F.get(kv, F.lit(0))
-        attr = F.lower(F.trim(head["v"]))
-        vals = F.transform(F.filter(kv, lambda x: F.lower(x["k"]) == attr), lambda x: x["v"])
-        return F.struct(i.alias("no"), F.lower(head["k"]).alias("op"), attr.alias("attr"), vals.alias("vals"))
+        def of(kv, attr):
+            vals = F.transform(F.filter(kv, lambda x: x["k"] == attr), lambda x: x["v"])
+            return F.struct(i.alias("no"), F.get(kv, F.lit(0))["k"].alias("op"), attr.alias("attr"), vals.alias("vals"))
+        return _once(F.filter(_kv(F.split(chunk, "\r?\n")), lambda x: ~x["k"].isin("dn", "changetype")),
+                     lambda kv: _once(F.lower(F.trim(F.get(kv, F.lit(0))["v"])), lambda attr: of(kv, attr)))
     return F.filter(F.transform(F.split(text, r"\r?\n-[ \t]*(?=\r?\n|$)"), one), lambda x: x["op"].isin(OPS))
 
 
@@ -68,15 +81,11 @@ def parse_entries(records: DataFrame) -> DataFrame:
     counts as an add. ``ops`` holds every operation of a modify record; ``op`` and ``op_attr`` are the first one's.
     """
     text = F.regexp_replace("record", "\r?\n ", "")
-    lines = F.split(text, "\r?\n")
-    kv = _kv(lines)
-    keys = F.array_distinct(F.transform(kv, lambda x: F.lower(x["k"])))
-    attrs = F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(
-        F.filter(kv, lambda x: F.lower(x["k"]) == k), lambda x: x["v"])))
-    df = records.select("seq", attrs.alias("attributes"), _operations(text).alias("_ops"))
+    df = records.select("seq", text.alias("text"))
+    df = df.select("seq", "text", _attributes(_kv(F.split("text", "\r?\n"))).alias("attributes"))
     kind = F.coalesce(F.lower(F.trim(F.get(F.col("attributes")["changetype"], F.lit(0)))), F.lit("add"))
     df = df.withColumn("changetype", kind)
-    df = df.withColumn("ops", F.when(F.col("changetype") == "modify", F.col("_ops")))
+    df = df.withColumn("ops", F.when(F.col("changetype") == "modify", _operations(F.col("text"))))
     first = F.get("ops", F.lit(0))
     return df.select("seq", F.get(F.col("attributes")["dn"], F.lit(0)).alias("dn"), "changetype",
                      first["op"].alias("op"), first["attr"].alias("op_attr"), "ops", "attributes")
@@ -101,30 +110,33 @@ def changes_of(entries: DataFrame) -> DataFrame:
     """(dn, attr, value, kind, at): what the records say, with the place of the record and of its operation.
 
     kind: ``put`` and ``cut`` of a value, ``reset`` of an attribute (NULL value), ``gone`` of an entry (NULL attr and
-    value). Of each only the latest is kept, combined before the shuffle. Renames (``modrdn``, ``moddn``) are not
+    value). Of each only the latest is kept, combined before the shuffle; the records are read once. Renames (``modrdn``, ``moddn``) are not
     supported and raise.
     """
     known = F.col("changetype").isin("add", "modify", "delete")
     entries = entries.withColumn("changetype", F.when(known, F.col("changetype")).otherwise(
         F.raise_error(F.concat(F.lit("changetype not supported: "), F.col("changetype"))).cast("string")))
-    no_op = F.lit(-1).cast("int")
-    base = (entries.where(F.col("changetype") == "add")
-            .select("dn", F.struct("seq", no_op.alias("no")).alias("at"), F.explode("attributes").alias("attr", "vals"))
-            .where(~F.col("attr").isin("dn", "changetype"))
-            .select("dn", "attr", "at", F.lit("add").alias("op"), "vals"))
-    mods = (entries.where(F.col("changetype") == "modify").select("dn", "seq", F.explode("ops").alias("o"))
-            .select("dn", F.col("o.attr").alias("attr"), F.struct("seq", F.col("o.no").alias("no")).alias("at"),
-                    F.col("o.op").alias("op"), F.col("o.vals").alias("vals")))
-    steps = base.unionByName(mods)
-    is_delete, none = F.col("op") == "delete", F.lit(None).cast("string")
-    values = steps.select("dn", "attr", F.explode("vals").alias("value"),
-                          F.when(is_delete, "cut").otherwise("put").alias("kind"), "at")
-    resets = steps.where((F.col("op") == "replace") | (is_delete & (F.size("vals") == 0))).select(
-        "dn", "attr", none.alias("value"), F.lit("reset").alias("kind"), "at")
-    gone = entries.where(F.col("changetype") == "delete").select(
-        "dn", none.alias("attr"), none.alias("value"), F.lit("gone").alias("kind"), F.struct("seq", no_op.alias("no")).alias("at"))
-    said = values.unionByName(resets).unionByName(gone)
-    return said.groupBy("dn", "attr", "value", "kind").agg(F.max("at").alias("at"))
+    no_op, none = F.lit(-1).cast("int"), F.lit(None).cast("string")
+
+    def said(attr, value, kind, no):
+        return F.struct(attr.alias("attr"), value.alias("value"), kind.alias("kind"), no.alias("no"))
+
+    def of(s):
+        cuts = s["op"] == "delete"
+        values = F.transform(s["vals"], lambda v: said(s["attr"], v, F.when(cuts, "cut").otherwise("put"), s["no"]))
+        reset = F.array(said(s["attr"], none, F.lit("reset"), s["no"]))
+        return F.concat(values, F.when((s["op"] == "replace") | (cuts & (F.size(s["vals"]) == 0)), reset)
+                        .otherwise(F.slice(reset, 1, 0)))
+
+    kept = F.filter(F.map_entries("attributes"), lambda e: ~e["key"].isin("dn", "changetype"))
+    base = F.transform(kept, lambda e: F.struct(no_op.alias("no"), F.lit("add").alias("op"), e["key"].alias("attr"),
+                                                e["value"].alias("vals")))
+    steps = F.when(F.col("changetype") == "add", base).otherwise(F.col("ops"))
+    gone = F.array(said(none, none, F.lit("gone"), no_op))
+    rows = F.when(F.col("changetype") == "delete", gone).otherwise(F.flatten(F.transform(steps, of)))
+    return (entries.select("dn", "seq", F.explode(rows).alias("s"))
+            .select("dn", "s.attr", "s.value", "s.kind", F.struct("seq", "s.no").alias("at"))
+            .groupBy("dn", "attr", "value", "kind").agg(F.max("at").alias("at")))
 
 
 def settle(changes: DataFrame) -> DataFrame:
