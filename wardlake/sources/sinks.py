@@ -50,14 +50,20 @@ def from_column_families(df: DataFrame, family: str, key_name: str) -> DataFrame
     return df.select(F.col("rowkey").alias(key_name), f"{family}.*")
 
 
-def land_per_owner(df: DataFrame, owner_col: str, path: str, fmt: str = "csv") -> None:
+def land_per_owner(df: DataFrame, owner_col: str, path: str, fmt: str = "csv", rows_per_file: int = 1_000_000) -> None:
     """SNK-07: each owner gets a directory ``owner=<name>/`` (one write job).
 
-    Rows are first shuffled on (owner, small salt) so each owner directory is
-    written by a few tasks (few files), and a hot owner by several.
+    Rows are first shuffled by owner, so a directory is one file; only an owner
+    with more than ``rows_per_file`` rows is spread by a salt over several tasks.
+    Such owners are at most rows / ``rows_per_file``, so their list is short.
+    A directory written by one task is moved into place whole when the job ends.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(4))
-    w = df.repartition(owner_col, salt).write.mode("overwrite").partitionBy(owner_col)
+    hot = df.groupBy(owner_col).count().where(F.col("count") > rows_per_file).select(
+        F.col(owner_col).alias("_owner"), F.ceil(F.col("count") / rows_per_file).alias("_files"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce("_files", F.lit(1)))
+    spread = (df.join(F.broadcast(hot), F.col(owner_col).eqNullSafe(F.col("_owner")), "left")
+              .repartition(owner_col, salt).select(*df.columns))
+    w = spread.write.mode("overwrite").partitionBy(owner_col)
     if fmt == "csv":
         w.option("sep", "\t").csv(path)
     else:
