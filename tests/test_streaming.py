@@ -123,3 +123,10 @@ def test_directory_folded_over_batches_is_that_of_all_records(spark, tmp_path, e
     rows = [tuple(r) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want)
     assert len(st.state_parts(spark, str(tmp_path / "out"))) == {1: 1, 2: 2, 100: 5}[every]
+
+
+def test_landed_files_grow_in_number_with_the_rows(spark):
+    from wardlake.plans import stream_plans as sp
+    cores = max(2, spark.sparkContext.defaultParallelism)
+    assert sp._files(spark) == cores
+    assert sp._files(spark, 100 * sp.FILE_ROWS + 1) == 101  # before: as many as cores, whatever the rows
