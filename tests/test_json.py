@@ -79,3 +79,11 @@ def test_nonfinite(spark):
 def test_canonical_sorted_keys(spark):
     df = spark.createDataFrame([(2, "b", 1.5)], "z int, a string, m double")
     assert df.select(jc.canonical(["z", "a", "m"])).first()[0] == '{"a":"b","m":1.5,"z":2}'
+
+
+def test_empty_containers_and_arrays_of_nulls(spark):
+    df = spark.createDataFrame([(1, '{"a": [], "b": {}, "c": [null], "d": [[]], "e": [{}], "f": "[]"}')], "id int, t string")
+    leaves = jc.flatten(df, ["id"], "t")
+    assert "opened" in leaves._jdf.queryExecution().optimizedPlan().toString()  # before: each container written out again per read
+    got = {(r.path, r.type) for r in leaves.collect()}
+    assert got == {("$.a", "array"), ("$.b", "object"), ("$.c[0]", "null"), ("$.d[0]", "array"), ("$.e[0]", "object"), ("$.f", "string")}

@@ -54,11 +54,12 @@ def flatten(docs: DataFrame, id_cols: list[str], col: str) -> DataFrame:
     front = docs.select(*id_cols, F.lit("$").alias("path"), parse_strict(F.col(col)).alias("v")).where("v IS NOT NULL")
     leaves = None
     while True:
-        kind = F.schema_of_variant("v")
-        typed = cut_lineage(front.withColumn("kind", F.when(kind.startswith("OBJECT"), "object").when(
+        kind = F.col("_schema")
+        typed = cut_lineage(front.withColumn("_schema", F.schema_of_variant("v")).withColumn("kind", F.when(kind.startswith("OBJECT"), "object").when(
             kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(
-            kind == "VOID", "null").otherwise("number")), name="json_level")
-        opened = F.col("kind").isin("object", "array") & ~F.to_json("v").isin("{}", "[]")
+            kind == "VOID", "null").otherwise("number")).withColumn("opened", F.col("kind").isin("object", "array") & ~(
+                (kind == "OBJECT<>") | ((kind == "ARRAY<VOID>") & (F.to_json("v") == "[]")))).drop("_schema"), name="json_level")
+        opened = F.col("opened")
         here = typed.where(~opened).select(*id_cols, "path", F.col("kind").alias("type"), F.when(
             F.col("kind").isin("string", "number", "boolean"), F.variant_get("v", "$", "string")).alias("value"))
         leaves = here if leaves is None else leaves.unionByName(here)
