@@ -76,3 +76,16 @@ def test_ten_thousand_wildcards(spark):
     want = {(i, pid) for i, p in reqs for pid, pat, rec in by_folder[p.split("/")[1]] if brute(p, pat, rec)}
     assert got == want and len(want) > 40
     assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_requests_are_not_regrouped(spark):
+    """Shallow policies are joined in place and a request is not joined back: only the deep join shuffles requests."""
+    reqs = spark.createDataFrame([(i, p) for i, p in enumerate([*PATHS, "//en//825/", "", None])], "rid int, path string")
+    res = spark.createDataFrame([(pid, "store", "path", pat, False, rec) for pid, pat, rec in POLICIES], RES)
+    df = match_paths(reqs, ["rid"], res, "store")
+    got = {(r.rid, r.policy_id) for r in df.collect()}
+    want = {(i, pid) for i, p in enumerate(PATHS) for pid, pat, rec in POLICIES if brute(p, pat, rec)}
+    # a path that is not written in its short form meets the root alone
+    assert got == want | {(len(PATHS), 5), (len(PATHS) + 1, 5)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_salt" not in plan

@@ -32,3 +32,21 @@ def test_path_flag_mask_and_whole_policies(spark, tmp_path):
     assert {r[4] for r in rows if r[0] == "p2"} == {"dropped_policy"}
     assert {r[4] for r in rows if r[0] == "p3"} == {"new_policy"}
     assert not [r for r in rows if r[0] == "p4"]
+
+
+def test_repeated_and_missing_guids(spark, tmp_path):
+    """Documents that share a guid pair all their values; a document without a guid takes no part."""
+    before = [_policy("p1", ["/a"], version=1), _policy("p1", ["/a", "/b"], version=2), _policy(None, ["/n"])]
+    after = [_policy("p1", ["/a"], version=2), _policy("p1", ["/c"], version=2)]
+    got = pol.policy_version_diff(pol.read_export(spark, _export(tmp_path, "a.json", before)),
+                                  pol.read_export(spark, _export(tmp_path, "b.json", after)))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [
+        ("p1", "resources.path.values", "/b", None, "changed"), ("p1", "resources.path.values", None, "/c", "changed"),
+        ("p1", "version", "1", "2", "changed")]
+
+
+def test_exports_meet_in_one_shuffle(spark, tmp_path):
+    """The facts of a policy are compared as lists in the row: no distinct and no join of single facts."""
+    path = _export(tmp_path, "a.json", [_policy("p1", ["/a"])])
+    plan = pol.policy_version_diff(pol.read_export(spark, path), pol.read_export(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
