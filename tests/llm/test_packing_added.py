@@ -22,3 +22,15 @@ def test_added_tokens_are_the_librarys(spark):
         want = tok.encode(t, add_special_tokens=False).ids + [packing.END_ID]
         assert [x for _, ids, _ in sorted(found[k]) for x in ids] == want and found[k][0][2] == len(want), t
     assert 49407 in tok.encode(texts[-1], add_special_tokens=False).ids
+
+
+def test_raw_ids_are_the_librarys_when_tables_start_anew():
+    """Texts of known and new words, with tables so small that they start anew within and between calls."""
+    from tokenizers import Tokenizer
+    path = packing.vocabulary_path()
+    tok, mine = Tokenizer.from_file(path), packing.WordTokenizer(path, entries=24)
+    rng = random.Random(3)
+    for n in (1, 3, 5, 40):
+        texts = [" ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(0, 6))) for _ in range(n)] + ["", " ", "a\nb  a"]
+        for t, raw in zip(texts, mine.encode_raw(texts)):
+            assert np.frombuffer(raw, mine.kind).tolist() == tok.encode(t, add_special_tokens=False).ids, t

@@ -113,29 +113,38 @@ class WordTokenizer:
             words[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(x, self.kind) for x in self.encode_raw(texts)]
+
+    def encode_raw(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of ``kind``."""
         collecting = gc.isenabled()
         gc.disable()  # the tables hold no cycles, and walking them for each batch takes longer than the work
         try:
-            return self._encode(texts)
+            return self._raw(texts)
         finally:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        """A word is looked up once, and again only where a text has new ones."""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         seen = self.words
-        new = list({w for ws in cut for w in ws if w not in seen})
+        found = [list(map(seen.get, ws)) for ws in cut]
+        late = [k for k, ids in enumerate(found) if None in ids]
+        if not late:
+            return list(map(b"".join, found))
+        new = list({w for k in late for w, ids in zip(cut[k], found[k]) if ids is None})
         room = self.entries // 2
         if len(new) > room:  # one text after the other, each by blocks of words
             return [self._long(ws, room) for ws in cut]
-        if new:
-            self._learn(new)
-            if self.words is not seen:  # started anew: the older words of this batch are missing
-                self._learn(list({w for ws in cut for w in ws if w not in self.words}))
+        self._learn(new)  # where the table started anew, the words that were found are in ``found``
         get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), self.kind) for ws in cut]
+        fresh = self.words is not seen
+        for k in late:
+            found[k] = list(map(get, cut[k])) if not fresh else [get(w) if x is None else x for w, x in zip(cut[k], found[k])]
+        return list(map(b"".join, found))
 
-    def _long(self, words: list[str], room: int) -> np.ndarray:
+    def _long(self, words: list[str], room: int) -> bytes:
         out = []
         for k in range(0, len(words), room):
             some = words[k:k + room]
@@ -146,7 +155,7 @@ class WordTokenizer:
                 if self.words is not seen:
                     self._learn(list({w for w in some if w not in self.words}))
             out.append(b"".join(map(self.words.__getitem__, some)))
-        return np.frombuffer(b"".join(out), self.kind)
+        return b"".join(out)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -183,15 +192,26 @@ def _tokenize(path: str, end_id: int):
         import pyarrow.compute  # noqa: F401
         tok = tokenizer(path)
         part, before = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4")
+        wide = tok.kind.itemsize
+        small = end_id <= np.iinfo(tok.kind).max
+        end = np.array([end_id if small else 0], tok.kind).tobytes()
         for b in _blocks(batches):
-            ids = [np.concatenate([x.astype("<u4"), end]) for x in tok.encode(b.column("text").to_pylist())]
-            n = np.array([len(x) for x in ids], np.int64)
-            first = before + np.cumsum(n) - n
+            raw = tok.encode_raw(b.column("text").to_pylist())
+            n = np.fromiter(map(len, raw), np.int64, len(raw)) // wide + 1
+            ends = np.cumsum(n)
+            first = before + ends - n
             before += int(n.sum())
+            ids = np.frombuffer(end.join([*raw, b""]), tok.kind).astype("<u4")  # the block's ids, an end behind each text
+            if not small:
+                ids[ends - 1] = end_id
+            places = np.concatenate([[0], ends * 4])
+            if places[-1] < 1 << 31:
+                column = pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(ids)])
+            else:  # of one very long text
+                column = pa.array([ids[e - k:e].tobytes() for e, k in zip(ends.tolist(), n.tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.full(len(n), part, np.int64)), pa.array(first), pa.array(n),
-                 pa.array([x.tobytes() for x in ids], pa.binary())],
+                 column],
                 names=["doc_id", "part", "before", "doc_tokens", "ids"])
         pa.default_memory_pool().release_unused()  # an idle worker keeps its tables, not the room of its batches
     return run
